@@ -6,28 +6,27 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ordermill.functions.json import to_envelope_value
-from ordermill.schema import ORDER_COLUMNS, PAYLOAD_TEXT_SCHEMA
+from ordermill.schema import ORDER_COLUMNS
 
 ENVELOPE_COLUMNS = ("eventhub_partition", "kafka_offset", "enqueued_at")
-_CORRUPT = "_corrupt"
 
 
-def parse_envelope(env: DataFrame, keep: Sequence[str] = ENVELOPE_COLUMNS) -> DataFrame:
+def parse_envelope(env: DataFrame, keep: Sequence[str] = ENVELOPE_COLUMNS, flag_malformed: bool = True) -> DataFrame:
     """``raw_json`` -> the five order fields as text, plus ``_malformed``.
 
-    Every payload field is read as text (numbers keep their JSON spelling) and
-    converted later by the rule set, so quoted numbers are not lost. A malformed
-    message yields NULL fields and ``_malformed = true`` instead of failing the batch.
+    ``json_tuple`` parses each message once (it is a generator, so filters on
+    the fields are not inlined back into repeated parses). Every field is read
+    as text (numbers keep their JSON spelling) and converted later by the rule
+    set, so quoted numbers are not lost. A malformed message yields NULL fields
+    and ``_malformed = true`` instead of failing the batch.
     """
-    schema = T.StructType(list(PAYLOAD_TEXT_SCHEMA.fields) + [T.StructField(_CORRUPT, T.StringType(), True)])
-    parsed = env.withColumn("_p", F.from_json("raw_json", schema,
-                                              {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}))
-    return parsed.select(*[F.col(f"_p.{c}").alias(c) for c in ORDER_COLUMNS],
-                         (F.col(f"_p.{_CORRUPT}").isNotNull() | F.col("_p").isNull()).alias("_malformed"),
-                         *keep)
+    fields = list(ORDER_COLUMNS)
+    out = env.select(F.json_tuple(F.col("raw_json"), *fields).alias(*fields), "raw_json", *keep)
+    if flag_malformed:
+        out = out.withColumn("_malformed", F.get_json_object("raw_json", "$").isNull())
+    return out.drop("raw_json").select(*fields, *(["_malformed"] if flag_malformed else []), *keep)
 
 
 def build_envelope(rows: DataFrame, key: str = "order_id", columns: Sequence[str] = ORDER_COLUMNS) -> DataFrame:
