@@ -741,3 +741,50 @@ def q_latest_run_state(spark, sf):
     fmt = "yyyy-MM-dd HH:mm:ss.SSSSSS"
     return st.select("run_id", "run_status", F.date_format("started_at", fmt).alias("started_at"),
                      F.date_format("finished_at", fmt).alias("finished_at"), "event_count")
+
+
+# ---------------------------------------------------------------------------
+# Streaming (ST1-ST6, SC8): a file stream of the envelope drained into stores
+# ---------------------------------------------------------------------------
+
+def _stream_workdir(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """Write the derived envelope as files (plus one re-delivered file) for a file stream."""
+    import uuid
+
+    from ordermill.session import scratch_path
+    root = scratch_path(spark, "stream", uuid.uuid4().hex)
+    env = event_envelope(_raw(spark, sf))
+    cols = ["raw_json", "eventhub_partition", "kafka_offset", "enqueued_at"]
+    env.select(*cols, "_batch").write.partitionBy("_batch").parquet(f"{root}/staged")
+    inbox = f"{root}/inbox"
+    # one folder per delivery: batch 0, batch 1, and batch 0 again (at-least-once re-delivery)
+    for i, b in enumerate((0, 1, 0)):
+        spark.read.parquet(f"{root}/staged/_batch={b}").select(*cols).write.parquet(f"{inbox}/delivery={i}")
+    return root, inbox
+
+
+def _drain(spark, sf, sink_cls, table):
+    from ordermill.plans.store import Store
+    from ordermill.streaming.jobs import run_available_now
+    from ordermill.streaming.sources import read_envelope_files
+    root, inbox = _stream_workdir(spark, sf)
+    store = Store(spark, f"{root}/lake")
+    stream = read_envelope_files(spark, inbox, max_files_per_trigger=8)
+    run_available_now(stream, sink_cls(store), f"{root}/checkpoint")
+    return store.read(table)
+
+
+@register("stream_bronze", O.with_ctes(O.RAW_ORDERS, O.EVENT_ENVELOPE, body=f"""
+SELECT raw_json, eventhub_partition, kafka_offset, {O.ts_text('enqueued_at')} AS enqueued_at FROM event_envelope"""))
+def q_stream_bronze(spark, sf):
+    from ordermill.streaming.sinks import BronzeSink
+    b = _drain(spark, sf, BronzeSink, "bronze_events")
+    return b.select("raw_json", "eventhub_partition", "kafka_offset", ts_text("enqueued_at").alias("enqueued_at"))
+
+
+@register("stream_silver", ORACLE["latest_per_key_tiebreak"])
+def q_stream_silver(spark, sf):
+    from ordermill.streaming.sinks import EventSilverSink
+    s = _drain(spark, sf, EventSilverSink, "silver_events")
+    return s.select("order_id", "status", "amount_cents", ts_text("updated_at").alias("updated_at"),
+                    ts_text("enqueued_at").alias("enqueued_at"), "eventhub_partition", "kafka_offset")

@@ -66,13 +66,13 @@ def _load(store: Store, checked: DataFrame, new_orders: DataFrame, run_id: str,
     merged = merged.observe(obs_m, F.sum(F.when(F.col(M.CHANGE).isin(M.INSERT, M.UPDATE), 1).otherwise(0))
                             .alias("changed"))
     added = added.observe(obs_q, F.count(F.lit(1)).alias("quarantined"))
-    outputs = {ORDERS_TABLE: merged.drop(M.CHANGE), REJECTS_TABLE: q_target.unionByName(added)}
+    outputs = {ORDERS_TABLE: merged.drop(M.CHANGE), REJECTS_TABLE: added}
     new_wm = current_wm
     if watermark_update:
         top = new_orders.agg(F.date_format(F.max("updated_at"), "yyyy-MM-dd'T'HH:mm:ss").alias("wm")).first()["wm"]
         new_wm = top or current_wm
         outputs[STATE_TABLE] = store.spark.createDataFrame([(name, new_wm)], STATE_SCHEMA)
-    store.publish(outputs, run_id, hook=hook, operation="MERGE")
+    store.publish(outputs, run_id, hook=hook, operation="MERGE", appends=[REJECTS_TABLE])
     return {"changed_count": int(obs_m.get.get("changed") or 0),
             "quarantined_count": int(obs_q.get.get("quarantined") or 0), "watermark": new_wm}
 
@@ -169,7 +169,7 @@ def ingest_bronze(store: Store, raw: DataFrame, run_id: str, null_safe: bool = T
     added = M.new_rows(target, raw, ["_source_file", "order_id", "updated_at"], null_safe=null_safe)
     obs = Observation("bronze")
     added = added.observe(obs, F.count(F.lit(1)).alias("inserted"))
-    store.publish({BRONZE: target.select(*cols).unionByName(added.select(*cols))}, run_id, operation="MERGE")
+    store.publish({BRONZE: added.select(*cols)}, run_id, appends=[BRONZE])
     return {"bronze_inserted": int(obs.get.get("inserted") or 0)}
 
 
@@ -195,7 +195,7 @@ def reprocess_file(store: Store, source_file: str, run_id: str, rules: RuleSet =
     q_schema = quarantine.schema
     q_target = store.read(QUARANTINE, q_schema) if store.exists(QUARANTINE) else spark.createDataFrame([], q_schema)
     added = M.new_rows(q_target, quarantine, QUARANTINE_KEYS, null_safe=["order_id", "updated_at", "_error_reason"])
-    paths = store.publish({SILVER: merged, QUARANTINE: q_target.unionByName(added)}, run_id, operation="MERGE")
+    paths = store.publish({SILVER: merged, QUARANTINE: added}, run_id, operation="MERGE", appends=[QUARANTINE])
     new_silver = spark.read.parquet(paths[SILVER])
     gold = daily_metrics(new_silver, stamp=True)
     gpath = store.publish({GOLD: gold}, run_id + "-gold", operation="OVERWRITE")[GOLD]
@@ -203,4 +203,4 @@ def reprocess_file(store: Store, source_file: str, run_id: str, rules: RuleSet =
         enforce(reconcile_daily(new_silver, spark.read.parquet(gpath)))
     except QualityError as e:
         raise PipelineError(str(e)) from e
-    return {"silver_rows": new_silver.count(), "quarantine_rows": spark.read.parquet(paths[QUARANTINE]).count()}
+    return {"silver_rows": new_silver.count(), "quarantine_rows": store.read(QUARANTINE).count()}

@@ -33,6 +33,9 @@ COMMIT_SCHEMA = T.StructType([
 ])
 
 
+APPEND = "APPEND"
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -63,33 +66,49 @@ class Store:
         """Commit history of one table, newest first (DESCRIBE HISTORY)."""
         return self.commits().filter(F.col("table") == table).orderBy(F.col("run_id").desc())
 
+    def current_paths(self, table: str) -> list[str]:
+        """Folders making up the current table: the newest full version plus every
+        append committed after it (metadata only: one row per commit)."""
+        rows = (self.commits().filter(F.col("table") == table)
+                .select("run_id", "path", "operation").orderBy("run_id").collect())
+        paths: list[str] = []
+        for r in rows:
+            if r["operation"] == APPEND:
+                paths.append(r["path"])
+            else:
+                paths = [r["path"]]
+        return paths
+
     def current_path(self, table: str) -> str | None:
-        row = (self.commits().filter(F.col("table") == table)
-               .agg(F.max_by("path", "run_id").alias("path")).first())
-        return None if row is None else row["path"]
+        paths = self.current_paths(table)
+        return paths[-1] if paths else None
 
     def read(self, table: str, schema: T.StructType | str | None = None) -> DataFrame:
         """Current version of ``table``; an empty frame of ``schema`` when it does not exist yet."""
-        path = self.current_path(table)
-        if path is None:
+        paths = self.current_paths(table)
+        if not paths:
             if schema is None:
                 raise FileNotFoundError(f"table {table!r} has no committed version")
             return self.spark.createDataFrame([], schema)
         reader = self.spark.read
         if schema is not None:
             reader = reader.schema(schema)
-        return reader.parquet(path)
+        return reader.parquet(*paths)
 
     def exists(self, table: str) -> bool:
         return self.current_path(table) is not None
 
     # -- writing --------------------------------------------------------------
     def publish(self, outputs: dict[str, DataFrame], run_id: str, hook: Callable[[], None] | None = None,
-                operation: str = "WRITE", partition_by: dict[str, list[str]] | None = None) -> dict[str, str]:
-        """Write every output as a new version, then commit them together.
-
-        ``hook`` runs after the data is written and before the commit (a failure
-        there publishes nothing). Returns table -> committed path.
+                operation: str = "WRITE", partition_by: dict[str, list[str]] | None = None,
+                appends: tuple[str, ...] | list[str] = ()) -> dict[str, str]:
+        """Write every output as a new folder, then commit them together.
+
+        Tables listed in ``appends`` are committed as APPEND: their frame holds only
+        new rows, added to the current table without rewriting it (insert-only
+        merges). The others replace the table (``operation``). ``hook`` runs after
+        the data is written and before the commit (a failure there publishes
+        nothing). Returns table -> written folder.
         """
         paths = {}
         for table, df in outputs.items():
@@ -101,12 +120,16 @@ class Store:
             paths[table] = path
         if hook is not None:
             hook()
-        records = [(run_id, t, p, None, operation) for t, p in paths.items()]
+        records = [(run_id, t, p, None, APPEND if t in appends else operation) for t, p in paths.items()]
         (self.spark.createDataFrame(records, COMMIT_SCHEMA)
          .withColumn("committed_at", F.current_timestamp())
          .coalesce(1).write.mode("append").json(os.path.join(self.commits_path, f"run={run_id}")))
         return paths
 
+    def compact(self, table: str, run_id: str) -> str:
+        """Rewrite the current table (base + appends) as one full version."""
+        return self.publish({table: self.read(table)}, run_id, operation="COMPACT")[table]
+
     def ensure(self, table: str, schema: T.StructType | str, run_id: str = "00000000T000000000000-init") -> None:
         """Create the table empty when it does not exist (CREATE TABLE IF NOT EXISTS)."""
         if not self.exists(table):

@@ -32,6 +32,7 @@ def test_incremental_idempotent_then_day2(spark, order_files, tmp_path):
     assert store.read(REJECTS_TABLE).count() == 5
     hist = store.history(ORDERS_TABLE).collect()
     assert len(hist) == 3 and all(h["operation"] == "MERGE" for h in hist)
+    assert {h["operation"] for h in store.history(REJECTS_TABLE).collect()} == {"APPEND"}
 
 
 def test_replay_window_and_idempotency(spark, order_files, tmp_path):
