@@ -28,7 +28,8 @@ from ordermill.operators.audit import run_state
 from ordermill.plans import oracle as O
 from ordermill.schema import ALLOWED_STATUSES
 from ordermill.sources.files import slice_by_file, status_dimension
-from ordermill.sources.orderfeed import event_envelope, load_tables, raw_orders, run_events
+from ordermill.sources.bronze import bronze
+from ordermill.sources.orderfeed import load_tables, run_events
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -66,8 +67,12 @@ EVENT_COLS = ORDER_COLS + ("eventhub_partition", "kafka_offset", "enqueued_at")
 # ---------------------------------------------------------------------------
 
 def _raw(spark: SparkSession, sf: str) -> DataFrame:
-    (orders,) = load_tables(spark, sf, "orders")
-    return raw_orders(orders)
+    """Bronze raw orders derived from ``orders`` (stored once per session)."""
+    return bronze(spark, sf, "raw_orders")
+
+
+def _envelope(spark: SparkSession, sf: str) -> DataFrame:
+    return bronze(spark, sf, "event_envelope")
 
 
 def _checked(spark, sf, rules=LAKEHOUSE) -> DataFrame:
@@ -83,7 +88,7 @@ def _silver(orders: DataFrame) -> DataFrame:
 
 
 def _events(spark, sf) -> DataFrame:
-    env = event_envelope(_raw(spark, sf))
+    env = _envelope(spark, sf)
     return apply_rules(parse_envelope(env, keep=("eventhub_partition", "kafka_offset", "enqueued_at", "_batch")),
                        EVENTS)
 
@@ -239,7 +244,7 @@ def q_event_valid(spark, sf):
 SELECT order_id, customer_id, status, amount_text, updated_text, malformed, eventhub_partition, kafka_offset
 FROM parsed_events"""))
 def q_parse_events(spark, sf):
-    p = parse_envelope(event_envelope(_raw(spark, sf)))
+    p = parse_envelope(_envelope(spark, sf))
     return p.select("order_id", "customer_id", "status", F.col("amount_cents").alias("amount_text"),
                     F.col("updated_at").alias("updated_text"), F.col("_malformed").alias("malformed"),
                     "eventhub_partition", "kafka_offset")
@@ -457,7 +462,7 @@ FROM event_envelope s
 WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.eventhub_partition = s.eventhub_partition
                   AND t.kafka_offset = s.kafka_offset)"""))
 def q_merge_topic_coordinates(spark, sf):
-    env = event_envelope(_raw(spark, sf)).select("raw_json", "eventhub_partition", "kafka_offset", "enqueued_at", "_batch")
+    env = _envelope(spark, sf).select("raw_json", "eventhub_partition", "kafka_offset", "enqueued_at", "_batch")
     cols = ["raw_json", "eventhub_partition", "kafka_offset", "enqueued_at"]
     m = M.insert_only(env.filter(F.col("_batch") == 0).select(*cols), env.select(*cols),
                       ["eventhub_partition", "kafka_offset"], null_safe=False)
@@ -753,7 +758,7 @@ def _stream_workdir(spark: SparkSession, sf: str) -> tuple[str, str]:
 
     from ordermill.session import scratch_path
     root = scratch_path(spark, "stream", uuid.uuid4().hex)
-    env = event_envelope(_raw(spark, sf))
+    env = _envelope(spark, sf)
     cols = ["raw_json", "eventhub_partition", "kafka_offset", "enqueued_at"]
     env.select(*cols, "_batch").write.partitionBy("_batch").parquet(f"{root}/staged")
     inbox = f"{root}/inbox"

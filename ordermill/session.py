@@ -13,6 +13,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # HotSpot does not JIT-compile methods above 8000 bytecode bytes; wide rule
+    # expressions fused into one stage would otherwise run interpreted. Stages
+    # whose generated code exceeds this fall back to per-operator code.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -37,6 +41,17 @@ def get_spark(app: str = "ordermill", master: str | None = None, shuffle_partiti
     return spark
 
 
+def with_parallelism_floor(df: DataFrame, floor: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores.
+
+    Large inputs split into many more partitions than cores and pass through
+    untouched (no shuffle). A small, unsplittable file (one row group) would
+    otherwise run every narrow step downstream in a single task.
+    """
+    floor = floor or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(floor) if df.rdd.getNumPartitions() < floor else df
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -95,5 +95,8 @@ def run_events(events: DataFrame) -> DataFrame:
                          F.col("ts").alias("event_at"), F.col("event_id").alias("event_seq"))
 
 
-def load_tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
-    return [spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names]
+def load_tables(spark: SparkSession, sf_dir: str, *names: str, spread: bool = True) -> list[DataFrame]:
+    """Benchmark tables; each small single-row-group file is spread over the cores."""
+    from ordermill.session import with_parallelism_floor
+    dfs = [spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names]
+    return [with_parallelism_floor(d) for d in dfs] if spread else dfs
