@@ -44,7 +44,8 @@ def newer(src: dict[str, Column], tgt: dict[str, Column], compare: Sequence[str]
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], compare: Sequence[str] | None = None,
-           cmp: str = ">", source_order: Sequence | None = None, dedupe_source: bool = True) -> DataFrame:
+           cmp: str = ">", source_order: Sequence | None = None, dedupe_source: bool = True,
+           null_safe: bool = False) -> DataFrame:
     """Upsert ``source`` into ``target`` on ``keys``; returns next state with ``_change``.
 
     * ``compare=None`` - the source always wins (update-else-insert by id);
@@ -55,6 +56,11 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], compare: S
     The source is first reduced to its best row per key (``source_order``,
     defaulting to ``compare`` descending). ``_change`` is keep | insert | update | stale.
     Target rows are assumed unique per key (the invariant this function keeps).
+
+    Keys are validated ids, so the join uses plain equality: the join then reuses
+    the hash partitioning of the source ranking (and of a target ranked or
+    bucketed on the same key) instead of shuffling both sides again.
+    ``null_safe=True`` matches NULL keys too, at the price of that extra shuffle.
     """
     cols = [c for c in target.columns if c != CHANGE]
     missing = [c for c in cols if c not in source.columns]
@@ -68,7 +74,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], compare: S
         src = latest_per_key(src, keys, order)
     t = target.select(*cols, F.lit(True).alias("_in_tgt")).alias("t")
     s = src.select(*cols, F.lit(True).alias("_in_src")).alias("s")
-    joined = t.join(s, [F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys], "full_outer")
+    eq = (lambda a, b: a.eqNullSafe(b)) if null_safe else (lambda a, b: a == b)
+    joined = t.join(s, [eq(F.col(f"t.{k}"), F.col(f"s.{k}")) for k in keys], "full_outer")
     t_has = F.col("t._in_tgt").isNotNull()
     s_has = F.col("s._in_src").isNotNull()
     s_map = {c: F.col(f"s.{c}") for c in cols}
