@@ -400,6 +400,27 @@ def q_merge_change_counts(spark, sf):
     return M.change_counts(M.upsert(tgt, src, ["order_id"], ["updated_at"], ">", source_order=list(LATEST_ORDER)))
 
 
+_MERGE_NEWER_SQL = _merge_sql("s.updated_at > t.updated_at")
+
+
+@register("merge_change_rows", "SELECT * FROM (" + _MERGE_NEWER_SQL + ") m WHERE _change IN ('insert', 'update')")
+def q_merge_change_rows(spark, sf):
+    """Upsert as change rows: only inserts and winning updates are produced."""
+    tgt, src = _merge_inputs(spark, sf)
+    return _merged_out(M.upsert_changes(tgt, src, ["order_id"], ["updated_at"], ">", source_order=list(LATEST_ORDER)))
+
+
+@register("merge_on_read", "SELECT order_id, customer_id, status, amount_cents, updated_at, _source_file FROM ("
+          + _MERGE_NEWER_SQL + ") m")
+def q_merge_on_read(spark, sf):
+    """State = target with the change rows applied (equals the full-rewrite upsert)."""
+    tgt, src = _merge_inputs(spark, sf)
+    changes = M.upsert_changes(tgt, src, ["order_id"], ["updated_at"], ">", source_order=list(LATEST_ORDER))
+    state = M.apply_changes(tgt, changes.withColumn(M.SEQ, F.lit("1")), ["order_id"])
+    return state.select("order_id", "customer_id", "status", "amount_cents", ts_text("updated_at").alias("updated_at"),
+                        "_source_file")
+
+
 _TB_CTE = (O.RAW_ORDERS, O.EVENT_ENVELOPE, O.PARSED_EVENTS, """
 tgt AS (SELECT * FROM valid_events WHERE _batch = 0
         QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY updated_at DESC, enqueued_at DESC,

@@ -20,7 +20,7 @@ from ordermill.operators.audit import FAILED, RUNNING, SUCCESS, append_event, ru
 from ordermill.operators.dedupe import sorted_duplicate_ids
 from ordermill.operators.incremental import after_watermark, check_window, replay_window
 from ordermill.operators.rules import ERRORS, LAKEHOUSE, LOCAL, RuleSet, apply_rules, to_orders
-from ordermill.operators.quality import QualityError
+from ordermill.operators.quality import QualityError  # noqa: E402
 from ordermill.plans.store import Store, export_csv
 from ordermill.schema import ORDER_SCHEMA, PIPELINE_NAME, REJECTED_EXPORT_COLUMNS
 from ordermill.session import reliable
@@ -50,12 +50,39 @@ def _counts(checked: DataFrame) -> dict:
     return {"extracted_count": extracted, "valid_count": valid, "rejected_count": extracted - valid}
 
 
+COMPACT_AFTER = 16   # deltas per keyed table before the state is rewritten as a new base
+
+
+def publish_changes(store: Store, table: str, changes: DataFrame, keys: list[str], run_id: str,
+                    others: dict[str, DataFrame] | None = None, appends=(), hook=None,
+                    compact_after: int = COMPACT_AFTER) -> None:
+    """Publish upsert change rows of ``table`` (as a delta, or folded into a new base once
+    ``compact_after`` deltas are pending) atomically with ``others``."""
+    outputs = dict(others or {})
+    changes = changes.drop(M.CHANGE)
+    if store.pending_deltas(table) + 1 >= compact_after:
+        base, app, deltas, _ = store.layout(table)
+        current = store.read(table) if (base or app or deltas) else None
+        cols = [c for c in changes.columns]
+        staged = changes.withColumn(M.SEQ, F.lit(run_id))
+        if current is not None:
+            prior = current.select(*cols).withColumn(M.SEQ, F.lit(""))
+            outputs[table] = M.apply_changes(None, prior.unionByName(staged), keys)
+        else:
+            outputs[table] = M.apply_changes(None, staged, keys)
+        store.publish(outputs, run_id, hook=hook, operation="COMPACT", appends=appends)
+    else:
+        outputs[table] = changes
+        store.publish(outputs, run_id, hook=hook, appends=appends, deltas={table: keys})
+
+
 def _load(store: Store, checked: DataFrame, new_orders: DataFrame, run_id: str, watermark_update: bool,
           current_wm: str | None, hook, name: str) -> dict:
-    """Upsert new orders (M2), insert-ignore rejects (M7), advance the watermark (I2), publish (K7)."""
+    """Upsert new orders (M2) as change rows, insert-ignore rejects (M7), advance the watermark (I2),
+    publish everything together (K7)."""
     target = store.read(ORDERS_TABLE, ORDER_SCHEMA)
-    merged = M.upsert(target, new_orders.select(*ORDER_SCHEMA.fieldNames()), ["order_id"], ["updated_at"], ">",
-                      source_order=["updated_at"])
+    changes = M.upsert_changes(target, new_orders.select(*ORDER_SCHEMA.fieldNames()), ["order_id"],
+                               ["updated_at"], ">", source_order=["updated_at"])
     rejects = checked.filter(F.col(ERRORS) != "").select(
         "order_id", F.col(ERRORS).alias("error_message"), raw_row_json().alias("raw_row"),
         F.current_timestamp().alias("rejected_at"))
@@ -63,16 +90,15 @@ def _load(store: Store, checked: DataFrame, new_orders: DataFrame, run_id: str,
     added = M.new_rows(q_target, rejects, ["error_message", "raw_row"], distinct_source=True)
 
     obs_m, obs_q = Observation("merge"), Observation("quarantine")
-    merged = merged.observe(obs_m, F.sum(F.when(F.col(M.CHANGE).isin(M.INSERT, M.UPDATE), 1).otherwise(0))
-                            .alias("changed"))
+    changes = changes.observe(obs_m, F.count(F.lit(1)).alias("changed"))
     added = added.observe(obs_q, F.count(F.lit(1)).alias("quarantined"))
-    outputs = {ORDERS_TABLE: merged.drop(M.CHANGE), REJECTS_TABLE: added}
+    others = {REJECTS_TABLE: added}
     new_wm = current_wm
     if watermark_update:
         top = new_orders.agg(F.date_format(F.max("updated_at"), "yyyy-MM-dd'T'HH:mm:ss").alias("wm")).first()["wm"]
         new_wm = top or current_wm
-        outputs[STATE_TABLE] = store.spark.createDataFrame([(name, new_wm)], STATE_SCHEMA)
-    store.publish(outputs, run_id, hook=hook, operation="MERGE", appends=[REJECTS_TABLE])
+        others[STATE_TABLE] = store.spark.createDataFrame([(name, new_wm)], STATE_SCHEMA)
+    publish_changes(store, ORDERS_TABLE, changes, ["order_id"], run_id, others, appends=[REJECTS_TABLE], hook=hook)
     return {"changed_count": int(obs_m.get.get("changed") or 0),
             "quarantined_count": int(obs_q.get.get("quarantined") or 0), "watermark": new_wm}
 
@@ -189,14 +215,14 @@ def reprocess_file(store: Store, source_file: str, run_id: str, rules: RuleSet =
     silver_schema = ", ".join(["order_id string", "customer_id string", "status string", "amount_cents bigint",
                                "updated_at timestamp_ntz", "_source_file string", "_ingested_at timestamp"])
     silver = store.read(SILVER, silver_schema)
-    merged = M.upsert(silver, batch.select(*SILVER_COLS), ["order_id"], ["updated_at"], ">",
-                      source_order=["updated_at", "_ingested_at"]).drop(M.CHANGE)
+    changes = M.upsert_changes(silver, batch.select(*SILVER_COLS), ["order_id"], ["updated_at"], ">",
+                               source_order=["updated_at", "_ingested_at"])
     quarantine = to_quarantine(checked.filter(F.col(ERRORS) != ""), lineage=("_source_file", "_ingested_at"))
     q_schema = quarantine.schema
     q_target = store.read(QUARANTINE, q_schema) if store.exists(QUARANTINE) else spark.createDataFrame([], q_schema)
     added = M.new_rows(q_target, quarantine, QUARANTINE_KEYS, null_safe=["order_id", "updated_at", "_error_reason"])
-    paths = store.publish({SILVER: merged, QUARANTINE: added}, run_id, operation="MERGE", appends=[QUARANTINE])
-    new_silver = spark.read.parquet(paths[SILVER])
+    publish_changes(store, SILVER, changes, ["order_id"], run_id, {QUARANTINE: added}, appends=[QUARANTINE])
+    new_silver = store.read(SILVER)
     gold = daily_metrics(new_silver, stamp=True)
     gpath = store.publish({GOLD: gold}, run_id + "-gold", operation="OVERWRITE")[GOLD]
     try:

@@ -30,10 +30,11 @@ COMMIT_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()),
     T.StructField("committed_at", T.TimestampType()),
     T.StructField("operation", T.StringType()),
+    T.StructField("keys", T.StringType()),
 ])
 
 
-APPEND = "APPEND"
+APPEND, DELTA = "APPEND", "DELTA"
 
 
 class Store:
@@ -66,34 +67,58 @@ class Store:
         """Commit history of one table, newest first (DESCRIBE HISTORY)."""
         return self.commits().filter(F.col("table") == table).orderBy(F.col("run_id").desc())
 
-    def current_paths(self, table: str) -> list[str]:
-        """Folders making up the current table: the newest full version plus every
-        append committed after it (metadata only: one row per commit)."""
+    def layout(self, table: str) -> tuple[str | None, list[str], list[str], list[str]]:
+        """(base folder, append folders, delta folders, delta keys) of the current table.
+
+        Metadata only: one small record per commit. Folders committed before the
+        newest full version are superseded by it.
+        """
         rows = (self.commits().filter(F.col("table") == table)
-                .select("run_id", "path", "operation").orderBy("run_id").collect())
-        paths: list[str] = []
+                .select("run_id", "path", "operation", "keys").orderBy("run_id").collect())
+        base, appends, deltas, keys = None, [], [], []
         for r in rows:
             if r["operation"] == APPEND:
-                paths.append(r["path"])
+                appends.append(r["path"])
+            elif r["operation"] == DELTA:
+                deltas.append(r["path"])
+                keys = (r["keys"] or "").split(",")
             else:
-                paths = [r["path"]]
-        return paths
+                base, appends, deltas = r["path"], [], []
+        return base, appends, deltas, keys
+
+    def current_paths(self, table: str) -> list[str]:
+        base, appends, deltas, _ = self.layout(table)
+        return ([base] if base else []) + appends + deltas
 
     def current_path(self, table: str) -> str | None:
         paths = self.current_paths(table)
         return paths[-1] if paths else None
 
     def read(self, table: str, schema: T.StructType | str | None = None) -> DataFrame:
-        """Current version of ``table``; an empty frame of ``schema`` when it does not exist yet."""
-        paths = self.current_paths(table)
-        if not paths:
+        """Current state of ``table``; an empty frame of ``schema`` when it does not exist yet.
+
+        Append-only tables are the base plus appended folders; keyed tables written
+        with deltas are the base with the change rows applied (merge-on-read).
+        """
+        base, appends, deltas, keys = self.layout(table)
+        if not (base or appends or deltas):
             if schema is None:
                 raise FileNotFoundError(f"table {table!r} has no committed version")
             return self.spark.createDataFrame([], schema)
         reader = self.spark.read
-        if schema is not None:
+        if schema is not None and not deltas:
             reader = reader.schema(schema)
-        return reader.parquet(*paths)
+        plain = [p for p in ([base] if base else []) + appends]
+        base_df = reader.parquet(*plain) if plain else None
+        if not deltas:
+            return base_df
+        from ordermill.operators.merge import apply_changes
+        state = apply_changes(base_df, self.spark.read.parquet(*deltas), keys)
+        if schema is None:
+            return state
+        names = schema.fieldNames() if isinstance(schema, T.StructType) else \
+            self.spark.createDataFrame([], schema).columns
+        return state.select(*names)
 
     def exists(self, table: str) -> bool:
         return self.current_path(table) is not None
@@ -101,18 +126,26 @@ class Store:
     # -- writing --------------------------------------------------------------
     def publish(self, outputs: dict[str, DataFrame], run_id: str, hook: Callable[[], None] | None = None,
                 operation: str = "WRITE", partition_by: dict[str, list[str]] | None = None,
-                appends: tuple[str, ...] | list[str] = ()) -> dict[str, str]:
+                appends: tuple[str, ...] | list[str] = (),
+                deltas: dict[str, list[str]] | None = None) -> dict[str, str]:
         """Write every output as a new folder, then commit them together.
 
-        Tables listed in ``appends`` are committed as APPEND: their frame holds only
-        new rows, added to the current table without rewriting it (insert-only
-        merges). The others replace the table (``operation``). ``hook`` runs after
-        the data is written and before the commit (a failure there publishes
-        nothing). Returns table -> written folder.
+        * tables in ``appends`` hold only new rows, added to the current table
+          (insert-only merges), committed as APPEND;
+        * tables in ``deltas`` (table -> key columns) hold upsert change rows, committed
+          as DELTA and applied on read; a ``_seq`` column (the run id) orders them;
+        * every other table replaces the current one (``operation``).
+
+        ``hook`` runs after the data is written and before the commit (a failure
+        there publishes nothing). Run ids must increase. Returns table -> written folder.
         """
+        from ordermill.operators.merge import SEQ
+        deltas = deltas or {}
         paths = {}
         for table, df in outputs.items():
             path = self.version_path(table, run_id)
+            if table in deltas:
+                df = df.withColumn(SEQ, F.lit(run_id))
             w = df.write.mode("overwrite")
             if partition_by and table in partition_by:
                 w = w.partitionBy(*partition_by[table])
@@ -120,14 +153,19 @@ class Store:
             paths[table] = path
         if hook is not None:
             hook()
-        records = [(run_id, t, p, None, APPEND if t in appends else operation) for t, p in paths.items()]
+        records = [(run_id, t, p, None,
+                    APPEND if t in appends else DELTA if t in deltas else operation,
+                    ",".join(deltas[t]) if t in deltas else None) for t, p in paths.items()]
         (self.spark.createDataFrame(records, COMMIT_SCHEMA)
          .withColumn("committed_at", F.current_timestamp())
          .coalesce(1).write.mode("append").json(os.path.join(self.commits_path, f"run={run_id}")))
         return paths
 
+    def pending_deltas(self, table: str) -> int:
+        return len(self.layout(table)[2])
+
     def compact(self, table: str, run_id: str) -> str:
-        """Rewrite the current table (base + appends) as one full version."""
+        """Rewrite the current table (base + appends, deltas applied) as one full version."""
         return self.publish({table: self.read(table)}, run_id, operation="COMPACT")[table]
 
     def ensure(self, table: str, schema: T.StructType | str, run_id: str = "00000000T000000000000-init") -> None:

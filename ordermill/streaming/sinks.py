@@ -74,10 +74,11 @@ class EventSilverSink:
         keep = ("eventhub_partition", "kafka_offset", "enqueued_at")
         checked = apply_rules(parse_envelope(batch, keep=keep, flag_malformed=False), self.rules)
         valid = to_orders(checked.filter(F.col(ERRORS) == ""), keep).withColumn("ingested_at", F.current_timestamp())
+        from ordermill.plans.runs import publish_changes
         target = self.store.read(self.table, EVENT_SILVER_SCHEMA)
-        merged = M.upsert(target, valid.select(*EVENT_SILVER_COLS), ["order_id"], EVENT_ORDER,
-                          source_order=EVENT_ORDER)
-        self.store.publish({self.table: merged.drop(M.CHANGE)}, _run_id(batch_id, self.prefix), operation="MERGE")
+        changes = M.upsert_changes(target, valid.select(*EVENT_SILVER_COLS), ["order_id"], EVENT_ORDER,
+                                   source_order=EVENT_ORDER)
+        publish_changes(self.store, self.table, changes, ["order_id"], _run_id(batch_id, self.prefix))
 
 
 class OrderMessageSink:

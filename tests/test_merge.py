@@ -65,3 +65,33 @@ def test_insert_only_null_keys(spark):
     assert [r["k"] for r in blank.collect()] == ["B"]
     merged = M.insert_only(t, s, ["f", "k", "v"])
     assert M.new_rows(merged.drop(M.CHANGE), s, ["f", "k", "v"]).count() == 0
+
+
+def test_change_rows_equal_full_rewrite(spark, tmp_path):
+    from ordermill.plans.runs import publish_changes
+    from ordermill.plans.store import Store
+    batches = [_df(spark, [("A", "1", 8, 1), ("B", "1", 9, 1)]),
+               _df(spark, [("A", "2", 10, 1), ("C", "2", 8, 1), ("B", "2", 9, 1)]),
+               _df(spark, [("A", "3", 9, 3), ("B", "3", 9, 2), ("C", "3", 8, 2), ("D", "3", 1, 1)])]
+    keys, cmp = ["order_id"], ["updated_at", "enqueued_at"]
+    for i, perm in enumerate(list(itertools.permutations(batches))[::2]):
+        full = spark.createDataFrame([], SCHEMA)
+        for b in perm:
+            full = M.upsert(full, b, keys, cmp).drop(M.CHANGE)
+        for compact_after in (2, 100):
+            store = Store(spark, str(tmp_path / f"s{i}-{compact_after}"))
+            changed = 0
+            for j, b in enumerate(perm):
+                ch = M.upsert_changes(store.read("t", SCHEMA), b, keys, cmp)
+                changed += ch.count()
+                publish_changes(store, "t", ch, keys, f"r{j:03d}", compact_after=compact_after)
+            assert _state(store.read("t", SCHEMA)) == _state(full)
+            again = M.upsert_changes(store.read("t", SCHEMA), perm[-1], keys, cmp)
+            assert again.count() == 0                                  # replaying a batch changes nothing
+        kinds = {r[M.CHANGE] for r in M.upsert_changes(spark.createDataFrame([], SCHEMA), perm[0], keys, cmp).collect()}
+        assert kinds == {M.INSERT}
+    store = Store(spark, str(tmp_path / "ops"))
+    for j, b in enumerate(batches):
+        publish_changes(store, "t", M.upsert_changes(store.read("t", SCHEMA), b, keys, cmp), keys, f"r{j:03d}",
+                        compact_after=2)
+    assert [h["operation"] for h in store.history("t").collect()] == ["DELTA", "COMPACT", "DELTA"]

@@ -31,7 +31,7 @@ def test_incremental_idempotent_then_day2(spark, order_files, tmp_path):
                       "ORD-1008": ("PAID", 1550), "ORD-1009": ("PENDING", 3200)}
     assert store.read(REJECTS_TABLE).count() == 5
     hist = store.history(ORDERS_TABLE).collect()
-    assert len(hist) == 3 and all(h["operation"] == "MERGE" for h in hist)
+    assert len(hist) == 3 and all(h["operation"] == "DELTA" for h in hist)
     assert {h["operation"] for h in store.history(REJECTS_TABLE).collect()} == {"APPEND"}
 
 
