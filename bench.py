@@ -29,6 +29,7 @@ HEADLINE = [
     "validate_first_error",   # first-error messages + canonical raw-row JSON
     "latest_per_key_tiebreak",
     "merge_tiebreak",
+    "stream_bronze",          # file-stream drain: envelope files -> idempotent bronze sink (incl. re-delivery)
 ]
 
 

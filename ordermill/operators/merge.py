@@ -125,7 +125,9 @@ def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], null_saf
     unique constraint). Null-safe keys still plan as a hash left-anti join.
     """
     src = source.dropDuplicates(list(keys)) if distinct_source else source
-    tgt = target.select(*[F.col(k).alias("_t_" + k) for k in keys])
+    # one row per target identity (partial aggregation collapses repeats map-side), so a hot
+    # identity never becomes a large buffered group on the join's build side
+    tgt = target.select(*[F.col(k).alias("_t_" + k) for k in keys]).distinct()
     return src.join(tgt, key_condition(keys, null_safe, coalesce_blank), "left_anti")
 
 
