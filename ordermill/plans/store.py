@@ -185,4 +185,6 @@ def load_staging(raw: DataFrame) -> DataFrame:
 def export_csv(df: DataFrame, path: str, columns=ORDER_COLUMNS, ts_columns=("updated_at",)) -> None:
     """Overwrite a header CSV export; timestamps are written as 'yyyy-MM-dd HH:mm:ss'."""
     out = df.select(*[iso_text(c, " ").alias(c) if c in ts_columns else F.col(c) for c in columns])
-    out.write.mode("overwrite").option("header", True).csv(path)
+    # Spark's CSV writer trims values by default; exports keep text exactly as it was
+    (out.write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
