@@ -24,6 +24,7 @@ from ordermill.functions.text import blank, parse_int, parse_ts, text_or_none
 from ordermill.schema import ALLOWED_STATUSES, ORDER_COLUMNS
 
 ERRORS = "_errors"
+MALFORMED = "_corrupt_record"
 TYPED = ("_order_id", "_customer_id", "_status", "_amount_cents", "_updated_at")
 
 
@@ -43,6 +44,7 @@ class RuleSet:
     amount_bits: int = 64
     separator: str = "; "
     statuses: Sequence[str] = field(default=ALLOWED_STATUSES)
+    malformed: str = "malformed_row"       # reported for rows with the wrong number of fields
 
     def typed_columns(self) -> dict[str, Column]:
         oid, cid, st = F.col("order_id"), F.col("customer_id"), F.col("status")
@@ -56,8 +58,12 @@ class RuleSet:
             "_updated_at": parse_ts("updated_at"),
         }
 
-    def error_column(self) -> Column:
+    def error_column(self, malformed: bool = False) -> Column:
         parts = [F.when(ch.failed(), ch.message()) for ch in self.checks]
+        if malformed:
+            text = F.concat(text_or_none("order_id"), F.lit(": " + self.malformed)) if self.report == "first" \
+                else F.lit(self.malformed)
+            parts = [F.when(F.col(MALFORMED).isNotNull(), text)] + parts
         if self.report == "first":
             return F.coalesce(*parts, F.lit(""))
         return F.concat_ws(self.separator, *parts)
@@ -66,7 +72,7 @@ class RuleSet:
 def apply_rules(df: DataFrame, rules: RuleSet) -> DataFrame:
     """Add the typed columns ``_order_id .. _updated_at`` and ``_errors`` ('' when valid)."""
     typed = df.withColumns(rules.typed_columns())
-    return typed.withColumn(ERRORS, rules.error_column())
+    return typed.withColumn(ERRORS, rules.error_column(malformed=MALFORMED in df.columns))
 
 
 def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -168,8 +174,9 @@ def _coded_checks(min_exclusive: bool = False) -> list[Check]:
     ]
 
 
-LOCAL = RuleSet("local", _local_checks(), report="first")
-STAGING = RuleSet("staging", _staging_checks(), report="all", normalise=True, amount_bits=32)
+LOCAL = RuleSet("local", _local_checks(), report="first", malformed="malformed row")
+STAGING = RuleSet("staging", _staging_checks(), report="all", normalise=True, amount_bits=32,
+                  malformed="row is malformed")
 LAKEHOUSE = RuleSet("lakehouse", _coded_checks(), report="all")
 EVENTS = RuleSet("events", _coded_checks(min_exclusive=True), report="drop")
 

@@ -129,7 +129,7 @@ def run_incremental(spark: SparkSession, store: Store, source: str | DataFrame,
                "quarantined_count": 0, "late_count": 0}
     try:
         wm = read_watermark(store, name)
-        raw = read_orders(spark, source, empty_as_null=False) if isinstance(source, str) else source
+        raw = read_orders(spark, source, empty_as_null=False, flag_malformed=True) if isinstance(source, str) else source
         checked = reliable(apply_rules(raw, rules))
         summary.update(_counts(checked))
         _gates(checked, summary, on_duplicates)
@@ -163,7 +163,7 @@ def run_replay(spark: SparkSession, store: Store, source: str | DataFrame, start
     summary = {"extracted_count": 0, "valid_count": 0, "rejected_count": 0, "changed_count": 0,
                "quarantined_count": 0}
     try:
-        raw = read_orders(spark, source, empty_as_null=False) if isinstance(source, str) else source
+        raw = read_orders(spark, source, empty_as_null=False, flag_malformed=True) if isinstance(source, str) else source
         checked = reliable(apply_rules(replay_window(raw, start_at, end_at), rules))
         summary.update(_counts(checked))
         _gates(checked, summary, "fail")

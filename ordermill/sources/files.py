@@ -31,9 +31,12 @@ def resolve_uri(uri: str, containers: dict[str, str] | None = None) -> str:
     return uri
 
 
+CORRUPT = "_corrupt_record"
+
+
 def read_orders(spark: SparkSession, path: str | Sequence[str], strict_header: bool = True,
                 pattern: str | None = None, lineage: bool = True, empty_as_null: bool = True,
-                containers: dict[str, str] | None = None) -> DataFrame:
+                containers: dict[str, str] | None = None, flag_malformed: bool = False) -> DataFrame:
     """Raw order CSV (all text) from a file, a folder or a glob.
 
     * ``strict_header`` - every file's header must carry the five names in order
@@ -43,9 +46,16 @@ def read_orders(spark: SparkSession, path: str | Sequence[str], strict_header: b
       not recursive.
     * ``lineage`` - ``_source_file`` (full path), ``_file_name``, ``_ingested_at``.
     * ``empty_as_null=False`` keeps empty fields as '' (short rows still NULL).
+    * ``flag_malformed`` - keep the raw line of rows with too few or too many fields in
+      ``_corrupt_record`` (Spark would otherwise pad or cut them silently); the rule sets
+      then reject such rows as malformed.
     """
     paths = [resolve_uri(p, containers) for p in ([path] if isinstance(path, str) else path)]
-    reader = (spark.read.schema(RAW_ORDER_SCHEMA)
+    schema = RAW_ORDER_SCHEMA
+    if flag_malformed:
+        from pyspark.sql import types as T
+        schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
+    reader = (spark.read.schema(schema)
               .option("header", True)
               .option("enforceSchema", not strict_header)
               .option("mode", "PERMISSIVE")
@@ -57,16 +67,18 @@ def read_orders(spark: SparkSession, path: str | Sequence[str], strict_header: b
         reader = reader.option("nullValue", _NO_NULL_TOKEN)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
+    if flag_malformed:
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     df = reader.csv(paths)
     if lineage:
-        df = with_lineage(df)
+        df = with_lineage(df, extra=(CORRUPT,) if flag_malformed else ())
     return df
 
 
-def with_lineage(df: DataFrame) -> DataFrame:
+def with_lineage(df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """Add file lineage from the hidden ``_metadata`` column and the load time."""
     return df.select(
-        *ORDER_COLUMNS,
+        *ORDER_COLUMNS, *extra,
         F.col("_metadata.file_path").alias("_source_file"),
         F.col("_metadata.file_name").alias("_file_name"),
         F.current_timestamp().alias("_ingested_at"),

@@ -81,3 +81,16 @@ def test_pattern_scan_and_lineage(spark, order_files, tmp_path):
     assert df.count() == 18
     names = {r["_file_name"] for r in df.select("_file_name").distinct().collect()}
     assert names == {"orders_2026-08-01.csv", "orders_2026-08-02.csv", "orders_2026-08-03.csv"}
+
+
+def test_malformed_rows_are_flagged(spark, tmp_path):
+    p = write_csv(tmp_path, "m.csv", "A,C,PAID,1,2026-08-01T10:00:00\nB,C,PAID,1,2026-08-01T10:00:00,extra\nC,C,PAID")
+    plain = read_orders(spark, p)
+    assert plain.count() == 3 and "_corrupt_record" not in plain.columns      # Spark would pad / cut silently
+    df = read_orders(spark, p, flag_malformed=True)
+    coded = {r["order_id"]: r[ERRORS] for r in apply_rules(df, LAKEHOUSE).collect()}
+    assert coded["A"] == ""
+    assert coded["B"] == "malformed_row"
+    assert coded["C"].startswith("malformed_row; ")
+    first = {r["order_id"]: r[ERRORS] for r in apply_rules(df, LOCAL).collect()}
+    assert first["B"] == "B: malformed row"
