@@ -50,18 +50,13 @@ class Store:
     def commits_path(self) -> str:
         return f"{self.root}/_commits"
 
-    def _has_commits(self) -> bool:
-        # the commit folder is created by the first publish; local and Hadoop paths both work
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.commits_path)
-        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        return fs.exists(p)
-
-    # -- reading --------------------------------------------------------------
     def commits(self) -> DataFrame:
-        if not self._has_commits():
+        """All commit records (empty before the first publish)."""
+        from pyspark.errors import AnalysisException
+        try:
+            return self.spark.read.schema(COMMIT_SCHEMA).json(self.commits_path)
+        except AnalysisException:          # no commit folder yet
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
-        return self.spark.read.schema(COMMIT_SCHEMA).json(self.commits_path)
 
     def history(self, table: str) -> DataFrame:
         """Commit history of one table, newest first (DESCRIBE HISTORY)."""

@@ -48,8 +48,12 @@ def with_parallelism_floor(df: DataFrame, floor: int | None = None) -> DataFrame
     untouched (no shuffle). A small, unsplittable file (one row group) would
     otherwise run every narrow step downstream in a single task.
     """
-    floor = floor or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(floor) if df.rdd.getNumPartitions() < floor else df
+    try:
+        floor = floor or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()          # planning only, nothing runs
+    except Exception:                               # no RDD access (e.g. Spark Connect): leave as is
+        return df
+    return df.repartition(floor) if splits < floor else df
 
 
 def checkpoint_root(spark: SparkSession) -> str:
