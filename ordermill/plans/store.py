@@ -50,13 +50,24 @@ class Store:
     def commits_path(self) -> str:
         return f"{self.root}/_commits"
 
+    def _exists(self, path: str) -> bool:
+        """Hadoop FileSystem check (any scheme: file, hdfs, s3a, abfss); True when unknown."""
+        try:
+            hp = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            return bool(hp.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hp))
+        except Exception:          # no JVM access (e.g. Spark Connect): let the reader decide
+            return True
+
     def commits(self) -> DataFrame:
         """All commit records (empty before the first publish)."""
         from pyspark.errors import AnalysisException
+        empty = self.spark.createDataFrame([], COMMIT_SCHEMA)
+        if not self._exists(self.commits_path):
+            return empty
         try:
             return self.spark.read.schema(COMMIT_SCHEMA).json(self.commits_path)
-        except AnalysisException:          # no commit folder yet
-            return self.spark.createDataFrame([], COMMIT_SCHEMA)
+        except AnalysisException:
+            return empty
 
     def history(self, table: str) -> DataFrame:
         """Commit history of one table, newest first (DESCRIBE HISTORY)."""
