@@ -46,3 +46,25 @@ def test_watermark_filter_and_pruning_reach_parquet(spark, tmp_path):
     daily = plan(QUERIES["daily_metrics"](spark, SF))
     assert "o_orderpriority" not in daily                     # unused columns are never read
     assert silver is not None
+
+
+def test_change_rows_read_only_batch_keys_of_the_base(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from ordermill.operators import merge as M
+    from ordermill.plans.store import Store
+    store = Store(spark, str(tmp_path / "lake"))
+    base = spark.range(0, 20000).select(F.concat(F.lit("K"), F.col("id").cast("string")).alias("order_id"),
+                                        F.lit("x").alias("status"), F.lit(1).alias("payload"),
+                                        F.current_timestamp().cast("timestamp_ntz").alias("updated_at"))
+    store.publish({"t": base}, "r000")
+    later = base.limit(50).withColumn("updated_at", F.col("updated_at") + F.expr("INTERVAL 1 HOUR"))
+    store.publish({"t": M.upsert_changes(store.read("t"), later, ["order_id"], ["updated_at"]).drop(M.CHANGE)},
+                  "r001", deltas={"t": ["order_id"]})
+    batch = base.limit(10).withColumn("updated_at", F.col("updated_at") + F.expr("INTERVAL 2 HOUR"))
+    ch = M.upsert_changes(store.read("t"), batch, ["order_id"], ["updated_at"])
+    assert ch.count() == 10
+    p = plan(ch)
+    # the base is read pruned to key + compare column and filtered by broadcast semi/anti joins
+    assert "ReadSchema: struct<order_id:string,updated_at:timestamp_ntz>" in p
+    assert "LeftSemi" in p and "payload" not in p.split("Union")[-1]
