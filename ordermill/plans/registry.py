@@ -383,18 +383,13 @@ def q_merge_replace(spark, sf):
     return _merged_out(M.replace_by_key(tgt, src, ["order_id"], source_order=list(LATEST_ORDER)))
 
 
-_MERGE_COUNTS_BODY = """
+@register("merge_change_counts", """
 SELECT CAST(SUM(CASE WHEN _change = 'keep' THEN 1 ELSE 0 END) AS BIGINT) AS kept,
        CAST(SUM(CASE WHEN _change = 'insert' THEN 1 ELSE 0 END) AS BIGINT) AS inserted,
        CAST(SUM(CASE WHEN _change = 'update' THEN 1 ELSE 0 END) AS BIGINT) AS updated,
        CAST(SUM(CASE WHEN _change = 'stale' THEN 1 ELSE 0 END) AS BIGINT) AS stale,
        CAST(SUM(CASE WHEN _change IN ('insert', 'update') THEN 1 ELSE 0 END) AS BIGINT) AS changed
-FROM merged"""
-
-
-@register("merge_change_counts",
-          _merge_sql("s.updated_at > t.updated_at").replace("\nSELECT CASE WHEN _change", "\n, merged AS (SELECT CASE WHEN _change", 1)
-          .rstrip() + ")" + _MERGE_COUNTS_BODY)
+FROM (""" + _merge_sql("s.updated_at > t.updated_at") + ") merged")
 def q_merge_change_counts(spark, sf):
     tgt, src = _merge_inputs(spark, sf)
     return M.change_counts(M.upsert(tgt, src, ["order_id"], ["updated_at"], ">", source_order=list(LATEST_ORDER)))
@@ -774,18 +769,17 @@ def q_latest_run_state(spark, sf):
 # ---------------------------------------------------------------------------
 
 def _stream_workdir(spark: SparkSession, sf: str) -> tuple[str, str]:
-    """Write the derived envelope as files (plus one re-delivered file) for a file stream."""
+    """Drop the bronze envelope into an inbox as three deliveries: batch 0, batch 1 and batch 0
+    again (an at-least-once re-delivery the sink must absorb)."""
     import uuid
 
     from ordermill.session import scratch_path
     root = scratch_path(spark, "stream", uuid.uuid4().hex)
     env = _envelope(spark, sf)
     cols = ["raw_json", "eventhub_partition", "kafka_offset", "enqueued_at"]
-    env.select(*cols, "_batch").write.partitionBy("_batch").parquet(f"{root}/staged")
     inbox = f"{root}/inbox"
-    # one folder per delivery: batch 0, batch 1, and batch 0 again (at-least-once re-delivery)
     for i, b in enumerate((0, 1, 0)):
-        spark.read.parquet(f"{root}/staged/_batch={b}").select(*cols).write.parquet(f"{inbox}/delivery={i}")
+        env.filter(F.col("_batch") == b).select(*cols).write.parquet(f"{inbox}/delivery={i}")
     return root, inbox
 
 

@@ -43,13 +43,14 @@ class BronzeSink:
         self.batches: list[tuple[int, int]] = []
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
+        # one aggregate answers "empty?" and gives the lowest offset: only stored rows at or
+        # above it can match a row of this batch, and the bound reaches parquet as a pushed
+        # filter, so row groups of older offsets are skipped
+        low = batch.agg(F.min("kafka_offset")).first()[0]
+        if low is None:
             return
         rows = (batch.select("raw_json", "eventhub_partition", "kafka_offset", "enqueued_at")
                 .dropDuplicates(self.keys).withColumn("ingested_at", F.current_timestamp()))
-        # only stored rows at or above the batch's lowest offset can match one of its rows; the
-        # bound reaches parquet as a pushed filter, so row groups of older offsets are skipped
-        low = rows.agg(F.min("kafka_offset")).first()[0]
         target = self.store.read(self.table, BRONZE_SCHEMA).filter(F.col("kafka_offset") >= F.lit(low))
         added = M.new_rows(target, rows, self.keys)
         from pyspark.sql import Observation
