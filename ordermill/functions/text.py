@@ -12,9 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accepted text forms.
+# Accepted text forms (ASCII digits; ISO date, optional time 00:00-23:59:59,
+# optional fraction up to microseconds, years 0001-9999, no zone offset).
 INT_TEXT = r"^\s*[+-]?[0-9]+\s*$"
-ISO_TS_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?)?$"
+ISO_TS_TEXT = r"^(000[1-9]|00[1-9][0-9]|0[1-9][0-9]{2}|[1-9][0-9]{3})-[0-9]{2}-[0-9]{2}([T ]([01][0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9](\.[0-9]{1,6})?)?)?$"
 
 
 def _c(c) -> Column:

@@ -8,9 +8,11 @@ regex guards as ``ordermill.functions.text`` so both engines agree.
 
 from __future__ import annotations
 
+from ordermill.functions.text import INT_TEXT, ISO_TS_TEXT  # the same guards as the Spark side
+
 STATUS_LIST = "('PENDING', 'PAID', 'SHIPPED', 'CANCELLED')"
-INT_GUARD = r"'^\s*[+-]?[0-9]+\s*$'"
-TS_GUARD = r"'^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?)?$'"
+INT_GUARD = "'" + INT_TEXT + "'"
+TS_GUARD = "'" + ISO_TS_TEXT + "'"
 
 
 def int_of(x: str, bits: int = 64) -> str:
