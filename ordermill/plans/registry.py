@@ -789,7 +789,7 @@ def _drain(spark, sf, sink_cls, table):
     from ordermill.streaming.sources import read_envelope_files
     root, inbox = _stream_workdir(spark, sf)
     store = Store(spark, f"{root}/lake")
-    stream = read_envelope_files(spark, inbox, max_files_per_trigger=8)
+    stream = read_envelope_files(spark, inbox, max_files_per_trigger=16)
     run_available_now(stream, sink_cls(store), f"{root}/checkpoint")
     return store.read(table)
 
@@ -895,3 +895,16 @@ def q_replay_run(spark, sf):
                    run_id=f"{v:06d}-replay")
     out = store.read(ORDERS_TABLE)
     return out.select("order_id", "customer_id", "status", "amount_cents", ts_text("updated_at").alias("updated_at"))
+
+
+@register("event_job", ORACLE["quality_gate"])
+def q_event_job(spark, sf):
+    """Topic -> bronze -> silver -> gold totals -> gate, as one streaming job over three deliveries."""
+    from ordermill.plans.store import Store
+    from ordermill.streaming.jobs import run_event_job
+    from ordermill.streaming.sources import read_envelope_files
+    root, inbox = _stream_workdir(spark, sf)
+    store = Store(spark, f"{root}/lake")
+    stream = read_envelope_files(spark, inbox, max_files_per_trigger=16)
+    checks = run_event_job(store, stream, f"{root}/checkpoint", "event-gold-000001", enforce_gate=False)
+    return checks
