@@ -1,16 +1,22 @@
 """Merges of a batch into a keyed target, as pure DataFrame functions.
 
-Each function returns the *next* target state (and, where useful, a ``_change``
-flag) instead of mutating a table; ``ordermill.plans.store`` writes it as a new
-snapshot. Plain parquet cannot ``MERGE INTO``; with Delta Lake present the same
-conditions map onto ``DeltaTable.merge``.
+Functions return data instead of mutating a table: the *next* target state
+(``upsert``, ``insert_only``), only the rows that change it (``upsert_changes``,
+``new_rows``), or the state with change rows applied (``apply_changes``);
+``ordermill.plans.store`` commits them. Plain parquet cannot ``MERGE INTO``; with
+Delta Lake present the same conditions map onto ``DeltaTable.merge``.
 
 Scale notes
 -----------
 * Upserts first reduce the batch to one row per key (partial WindowGroupLimit,
-  so hot keys shrink map-side), then do one full outer equi-join. Both sides are
+  so hot keys shrink map-side), then join it with the target. Both sides are
   unique per key, so the join cannot fan out and no key can skew it.
-* Insert-only merges are hash left-anti joins (also with null-safe keys).
+* ``upsert`` rewrites the whole state (one full outer join: rebuilds);
+  ``upsert_changes`` reads only key + compare columns of the target, filtered to
+  the batch's keys, and yields only inserts and winning updates (incremental
+  loads and streams), applied on read by ``apply_changes``.
+* Insert-only merges are hash left-anti joins (also with null-safe keys) against
+  the distinct target identities.
 * Which side is broadcast is left to AQE (runtime sizes), never forced on data
   whose size grows with the input.
 """

@@ -20,7 +20,7 @@ from ordermill.operators.audit import FAILED, RUNNING, SUCCESS, append_event, ru
 from ordermill.operators.dedupe import sorted_duplicate_ids
 from ordermill.operators.incremental import after_watermark, check_window, replay_window
 from ordermill.operators.rules import ERRORS, LAKEHOUSE, LOCAL, RuleSet, apply_rules, to_orders
-from ordermill.operators.quality import QualityError  # noqa: E402
+from ordermill.operators.quality import QualityError
 from ordermill.plans.store import Store, export_csv
 from ordermill.schema import ORDER_SCHEMA, PIPELINE_NAME, REJECTED_EXPORT_COLUMNS
 from ordermill.session import reliable
@@ -29,6 +29,9 @@ from ordermill.sources.files import read_orders
 REJECTED_SCHEMA = "order_id string, error_message string, raw_row string, rejected_at timestamp"
 STATE_SCHEMA = "pipeline_name string, last_watermark string"
 ORDERS_TABLE, REJECTS_TABLE, STATE_TABLE = "orders", "rejected_orders", "pipeline_state"
+# "Newest row per order" inside one batch: time first, then the row's values, so that equal
+# times still give one deterministic winner (rows equal in all of these are the same row).
+BATCH_ORDER = ["updated_at", "status", "amount_cents", "customer_id"]
 
 
 class PipelineError(RuntimeError):
@@ -82,7 +85,7 @@ def _load(store: Store, checked: DataFrame, new_orders: DataFrame, run_id: str,
     publish everything together (K7)."""
     target = store.read(ORDERS_TABLE, ORDER_SCHEMA)
     changes = M.upsert_changes(target, new_orders.select(*ORDER_SCHEMA.fieldNames()), ["order_id"],
-                               ["updated_at"], ">", source_order=["updated_at"])
+                               ["updated_at"], ">", source_order=BATCH_ORDER)
     rejects = checked.filter(F.col(ERRORS) != "").select(
         "order_id", F.col(ERRORS).alias("error_message"), raw_row_json().alias("raw_row"),
         F.current_timestamp().alias("rejected_at"))
@@ -211,12 +214,12 @@ def reprocess_file(store: Store, source_file: str, run_id: str, rules: RuleSet =
     bronze = store.read(BRONZE)
     checked = reliable(apply_rules(bronze.filter(F.col("_source_file") == source_file), rules))
     batch = latest_per_key(to_orders(checked.filter(F.col(ERRORS) == ""), ("_source_file", "_ingested_at")),
-                           ["order_id"], ["updated_at", "_ingested_at"])
+                           ["order_id"], ["updated_at", "_ingested_at", *BATCH_ORDER[1:]])
     silver_schema = ", ".join(["order_id string", "customer_id string", "status string", "amount_cents bigint",
                                "updated_at timestamp_ntz", "_source_file string", "_ingested_at timestamp"])
     silver = store.read(SILVER, silver_schema)
     changes = M.upsert_changes(silver, batch.select(*SILVER_COLS), ["order_id"], ["updated_at"], ">",
-                               source_order=["updated_at", "_ingested_at"])
+                               source_order=["updated_at", "_ingested_at", *BATCH_ORDER[1:]])
     quarantine = to_quarantine(checked.filter(F.col(ERRORS) != ""), lineage=("_source_file", "_ingested_at"))
     q_schema = quarantine.schema
     q_target = store.read(QUARANTINE, q_schema) if store.exists(QUARANTINE) else spark.createDataFrame([], q_schema)

@@ -97,5 +97,6 @@ class OrderMessageSink:
         if batch.isEmpty():
             return
         checked = apply_rules(batch, self.rules)
-        valid = latest_per_key(to_orders(checked.filter(F.col(ERRORS) == "")), ["order_id"], ["updated_at"])
+        from ordermill.plans.runs import BATCH_ORDER
+        valid = latest_per_key(to_orders(checked.filter(F.col(ERRORS) == "")), ["order_id"], BATCH_ORDER)
         _load(self.store, checked, valid, _run_id(batch_id, self.prefix), False, None, None, "")
