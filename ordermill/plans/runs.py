@@ -23,7 +23,7 @@ from ordermill.operators.rules import ERRORS, LAKEHOUSE, LOCAL, RuleSet, apply_r
 from ordermill.operators.quality import QualityError
 from ordermill.plans.store import Store, export_csv
 from ordermill.schema import ORDER_SCHEMA, PIPELINE_NAME, REJECTED_EXPORT_COLUMNS
-from ordermill.session import reliable
+from ordermill.session import conf_override, reliable
 from ordermill.sources.files import read_orders
 
 REJECTED_SCHEMA = "order_id string, error_message string, raw_row string, rejected_at timestamp"
@@ -106,6 +106,18 @@ def _load(store: Store, checked: DataFrame, new_orders: DataFrame, run_id: str,
             "quarantined_count": int(obs_q.get.get("quarantined") or 0), "watermark": new_wm}
 
 
+def validate_once(raw: DataFrame, rules: RuleSet, exact_header: bool) -> DataFrame:
+    """Apply the rules and checkpoint the result (the one job that reads every column).
+
+    With ``exact_header`` the CSV header check runs case-sensitively during that job,
+    so a file whose header differs from the expected names even in case fails the run.
+    """
+    if not exact_header:
+        return reliable(apply_rules(raw, rules))
+    with conf_override(raw.sparkSession, {"spark.sql.caseSensitive": "true"}):
+        return reliable(apply_rules(raw, rules))
+
+
 def _gates(checked: DataFrame, counts: dict, on_duplicates: str) -> None:
     if counts["valid_count"] + counts["rejected_count"] != counts["extracted_count"]:
         raise PipelineError(f"Row count mismatch: {counts}")
@@ -133,7 +145,7 @@ def run_incremental(spark: SparkSession, store: Store, source: str | DataFrame,
     try:
         wm = read_watermark(store, name)
         raw = read_orders(spark, source, empty_as_null=False, flag_malformed=True) if isinstance(source, str) else source
-        checked = reliable(apply_rules(raw, rules))
+        checked = validate_once(raw, rules, exact_header=isinstance(source, str))
         summary.update(_counts(checked))
         _gates(checked, summary, on_duplicates)
         valid = to_orders(checked.filter(F.col(ERRORS) == ""))
@@ -167,7 +179,7 @@ def run_replay(spark: SparkSession, store: Store, source: str | DataFrame, start
                "quarantined_count": 0}
     try:
         raw = read_orders(spark, source, empty_as_null=False, flag_malformed=True) if isinstance(source, str) else source
-        checked = reliable(apply_rules(replay_window(raw, start_at, end_at), rules))
+        checked = validate_once(replay_window(raw, start_at, end_at), rules, exact_header=isinstance(source, str))
         summary.update(_counts(checked))
         _gates(checked, summary, "fail")
         valid = to_orders(checked.filter(F.col(ERRORS) == ""))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,6 +57,22 @@ def with_parallelism_floor(df: DataFrame, floor: int | None = None) -> DataFrame
     return df.repartition(floor) if splits < floor else df
 
 
+@contextmanager
+def conf_override(spark: SparkSession, conf: dict[str, str]):
+    """Set session confs for the jobs run inside the block, then restore them."""
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield spark
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -40,8 +40,9 @@ def read_orders(spark: SparkSession, path: str | Sequence[str], strict_header: b
     """Raw order CSV (all text) from a file, a folder or a glob.
 
     * ``strict_header`` - every file's header must carry the five names in order
-      (``enforceSchema=false``; Spark compares names case-insensitively unless
-      ``spark.sql.caseSensitive`` is on). A mismatch fails the read.
+      (``enforceSchema=false``). A mismatch fails the job that reads the columns;
+      names are compared case-insensitively unless ``spark.sql.caseSensitive`` is on
+      while that job runs (``ordermill.plans.runs.validate_once`` does so).
     * ``pattern`` - only file names matching the glob (e.g. ``orders_*.csv``),
       not recursive.
     * ``lineage`` - ``_source_file`` (full path), ``_file_name``, ``_ingested_at``.

@@ -94,3 +94,16 @@ def test_interrupted_runs_are_reported_failed(spark):
         "run_id string, run_status string, event_at timestamp_ntz, event_seq bigint")
     st = {r["run_id"]: (r["run_status"], r["finished_at"]) for r in run_state(ev).collect()}
     assert st["r1"][0] == "FAILED" and st["r2"][0] == "SUCCESS" and st["r3"] == ("RUNNING", None)
+
+
+def test_header_must_match_exactly(spark, tmp_path):
+    p = write_csv(tmp_path, "h.csv", "A,C,PAID,1,2026-08-01T08:15:00",
+                  header="ORDER_ID,customer_id,status,amount_cents,updated_at")
+    store = Store(spark, str(tmp_path / "lake"))
+    with pytest.raises(Exception):
+        run_incremental(spark, store, p)
+    assert spark.conf.get("spark.sql.caseSensitive", "false") == "false"   # the override is scoped
+    runs = run_state(read_events(spark, f"{store.root}/_runs")).collect()
+    assert [r["run_status"] for r in runs] == ["FAILED"]
+    ok = write_csv(tmp_path, "ok.csv", "A,C,PAID,1,2026-08-01T08:15:00")
+    assert run_incremental(spark, store, ok)["changed_count"] == 1
