@@ -79,7 +79,10 @@ class Store:
         Metadata only: one small record per commit. Folders committed before the
         newest full version are superseded by it.
         """
-        rows = (self.commits().filter(F.col("table") == table)
+        mine = self.commits().filter(F.col("table") == table)
+        # only commits from the newest full version on reach the driver (pending appends/deltas)
+        last_full = mine.filter(~F.col("operation").isin(APPEND, DELTA)).agg(F.max("run_id")).scalar()
+        rows = (mine.filter(last_full.isNull() | (F.col("run_id") >= last_full))
                 .select("run_id", "path", "operation", "keys").orderBy("run_id").collect())
         base, appends, deltas, keys = None, [], [], []
         for r in rows:
