@@ -74,3 +74,24 @@ def status_summary(orders: DataFrame, statuses: DataFrame, amount: str = "amount
                                               F.sum(amount).alias("total_amount"))
     joined = join_small(per_status, statuses, on="status", how="left")
     return joined.select("status", "status_label", "order_count", "total_amount")
+
+
+def refresh_daily_metrics(gold: DataFrame, before: DataFrame, changes: DataFrame, after: DataFrame,
+                          keys=("order_id",), ts: str = "updated_at") -> DataFrame:
+    """Daily metrics after a change set, recomputing only the dates it touched.
+
+    Touched dates are the new dates of the changed rows and the old dates of the
+    rows they replaced (``before`` semi-joined to the changed keys). Those dates are
+    recomputed from ``after``; every other date keeps its gold row. A date left
+    without orders disappears, exactly as in a full recompute. The date set is
+    small (one row per day), so the filters are broadcast.
+    """
+    key_cols = list(keys)
+    changed_keys = changes.select(*key_cols)
+    touched = (changes.select(F.to_date(ts).alias("report_date"))
+               .unionByName(before.join(changed_keys, key_cols, "left_semi").select(F.to_date(ts).alias("report_date")))
+               .distinct())
+    recomputed = daily_metrics(after.join(F.broadcast(touched), F.to_date(after[ts]) == touched["report_date"],
+                                          "left_semi"))
+    kept = gold.join(F.broadcast(touched), "report_date", "left_anti")
+    return kept.select(*recomputed.columns).unionByName(recomputed)

@@ -216,9 +216,9 @@ def ingest_bronze(store: Store, raw: DataFrame, run_id: str, null_safe: bool = T
 
 def reprocess_file(store: Store, source_file: str, run_id: str, rules: RuleSet = LAKEHOUSE) -> dict:
     """I6: validate one bronze file slice, upsert silver (newest per id first), insert quarantine (M6),
-    then rebuild the daily gold table and reconcile it."""
+    then refresh the daily gold table for the dates the file touched and reconcile it with silver."""
     from ordermill.operators.dedupe import latest_per_key
-    from ordermill.operators.metrics import daily_metrics
+    from ordermill.operators.metrics import daily_metrics, refresh_daily_metrics
     from ordermill.operators.quality import enforce, reconcile_daily
     from ordermill.operators.rules import to_quarantine
 
@@ -238,7 +238,11 @@ def reprocess_file(store: Store, source_file: str, run_id: str, rules: RuleSet =
     added = M.new_rows(q_target, quarantine, QUARANTINE_KEYS, null_safe=["order_id", "updated_at", "_error_reason"])
     publish_changes(store, SILVER, changes, ["order_id"], run_id, {QUARANTINE: added}, appends=[QUARANTINE])
     new_silver = store.read(SILVER)
-    gold = daily_metrics(new_silver, stamp=True)
+    if store.exists(GOLD):          # only the dates this file touched are recomputed
+        gold = refresh_daily_metrics(store.read(GOLD).drop("_calculated_at"), silver, changes, new_silver)
+    else:
+        gold = daily_metrics(new_silver)
+    gold = gold.withColumn("_calculated_at", F.current_timestamp())
     gpath = store.publish({GOLD: gold}, run_id + "-gold", operation="OVERWRITE")[GOLD]
     try:
         enforce(reconcile_daily(new_silver, spark.read.parquet(gpath)))

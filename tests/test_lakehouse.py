@@ -97,3 +97,19 @@ def test_bronze_silver_gold_flow(spark, order_files, tmp_path):
     assert silver["ORD-1001"] == "SHIPPED" and silver["ORD-1002"] == "SHIPPED" and silver["ORD-1009"] == "PAID"
     assert _daily(store.read(GOLD).drop("_calculated_at"))["2026-08-03"] == (3, 14690, 2, 1, 0, 0, 9700)
     assert store.read(QUARANTINE).filter(F.col("_error_reason") == "missing_customer_id").count() == 3
+
+
+def test_gold_refresh_of_touched_dates_equals_full_recompute(spark, order_files):
+    from ordermill.operators import merge as M
+    from ordermill.operators.metrics import refresh_daily_metrics
+    d1 = _silver(apply_rules(read_orders(spark, order_files["day1"]), LAKEHOUSE)).drop("_source_file")
+    gold = daily_metrics(d1)
+    state = d1
+    for day in ("day2", "day3"):
+        batch = to_orders(valid_rows(apply_rules(read_orders(spark, order_files[day]), LAKEHOUSE)))
+        changes = M.upsert_changes(state, batch, ["order_id"], ["updated_at"])
+        after = M.apply_changes(state, changes.withColumn(M.SEQ, F.lit(day)), ["order_id"])
+        gold = refresh_daily_metrics(gold, state, changes, after)
+        assert _daily(gold) == _daily(daily_metrics(after))
+        state = after
+    assert _daily(gold)["2026-08-03"] == (3, 14690, 2, 1, 0, 0, 9700)
