@@ -925,3 +925,30 @@ def q_daily_metrics_refresh(spark, sf):
     after = M.apply_changes(tgt, changes.withColumn(M.SEQ, F.lit("1")), ["order_id"])
     gold = refresh_daily_metrics(daily_metrics(tgt), tgt, changes, after)
     return gold.withColumn("report_date", F.date_format("report_date", "yyyy-MM-dd"))
+
+
+@register("stream_order_files", ORACLE["csv_roundtrip"])
+def q_stream_order_files(spark, sf):
+    """New-file discovery: CSV files landing in a folder are picked up by a file stream (glob,
+    strict header, lineage) and merged insert-only into bronze; the folder is drained twice."""
+    import uuid
+
+    from ordermill.plans.runs import BRONZE, ingest_bronze
+    from ordermill.plans.store import Store, export_csv
+    from ordermill.schema import ORDER_COLUMNS
+    from ordermill.session import scratch_path
+    from ordermill.streaming.jobs import run_available_now
+    from ordermill.streaming.sources import read_order_files
+    root = scratch_path(spark, "files", uuid.uuid4().hex)
+    export_csv(_raw(spark, sf), f"{root}/landing", columns=ORDER_COLUMNS, ts_columns=())
+    store = Store(spark, f"{root}/lake")
+
+    runs = iter(range(1, 1_000_000))
+
+    def sink(batch, batch_id):
+        ingest_bronze(store, batch, f"{next(runs):012d}")      # run ids increase across both drains
+
+    for attempt in ("checkpoint", "checkpoint-lost"):     # a lost checkpoint replays every file
+        run_available_now(read_order_files(spark, f"{root}/landing", pattern="part-*.csv", max_files_per_trigger=4),
+                          sink, f"{root}/{attempt}")
+    return store.read(BRONZE).select(*ORDER_COLUMNS)
