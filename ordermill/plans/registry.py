@@ -20,7 +20,7 @@ from ordermill.operators import merge as M
 from ordermill.operators import quality as Q
 from ordermill.operators.dedupe import duplicate_keys, latest_per_key, surplus_duplicates
 from ordermill.operators.events import build_envelope, parse_envelope
-from ordermill.operators.incremental import after_watermark, increment_vs_target, late_rows, replay_window
+from ordermill.operators.incremental import after_watermark, increment_vs_target, replay_window
 from ordermill.operators.metrics import daily_metrics, daily_metrics_display, status_summary, total_metrics, with_amount
 from ordermill.operators.rules import (ERRORS, EVENTS, LAKEHOUSE, LOCAL, STAGING, apply_rules, rejected_rows,
                                        to_orders, valid_rows)

@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.schema import ENVELOPE_SCHEMA  # noqa: F401  (documented schema of event_envelope)
 
 
 def _s(c: Column) -> Column:
