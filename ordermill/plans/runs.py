@@ -73,10 +73,10 @@ def publish_changes(store: Store, table: str, changes: DataFrame, keys: list[str
             outputs[table] = M.apply_changes(None, prior.unionByName(staged), keys)
         else:
             outputs[table] = M.apply_changes(None, staged, keys)
-        store.publish(outputs, run_id, hook=hook, operation="COMPACT", appends=appends)
+        store.publish(outputs, run_id, hook=hook, operation="COMPACT", appends=appends, bloom={table: keys})
     else:
         outputs[table] = changes
-        store.publish(outputs, run_id, hook=hook, appends=appends, deltas={table: keys})
+        store.publish(outputs, run_id, hook=hook, appends=appends, deltas={table: keys}, bloom={table: keys})
 
 
 def _load(store: Store, checked: DataFrame, new_orders: DataFrame, run_id: str, watermark_update: bool,

@@ -136,7 +136,8 @@ class Store:
     def publish(self, outputs: dict[str, DataFrame], run_id: str, hook: Callable[[], None] | None = None,
                 operation: str = "WRITE", partition_by: dict[str, list[str]] | None = None,
                 appends: tuple[str, ...] | list[str] = (),
-                deltas: dict[str, list[str]] | None = None) -> dict[str, str]:
+                deltas: dict[str, list[str]] | None = None,
+                bloom: dict[str, list[str]] | None = None) -> dict[str, str]:
         """Write every output as a new folder, then commit them together.
 
         * tables in ``appends`` hold only new rows, added to the current table
@@ -146,7 +147,8 @@ class Store:
         * every other table replaces the current one (``operation``).
 
         ``hook`` runs after the data is written and before the commit (a failure
-        there publishes nothing). Run ids must increase. Returns table -> written folder.
+        there publishes nothing). Run ids must increase. ``bloom`` (table -> columns) writes
+        parquet bloom filters for point lookups on those columns. Returns table -> written folder.
         """
         from ordermill.operators.merge import SEQ
         deltas = deltas or {}
@@ -156,6 +158,8 @@ class Store:
             if table in deltas:
                 df = df.withColumn(SEQ, F.lit(run_id))
             w = df.write.mode("overwrite")
+            for c in (bloom or {}).get(table, []):
+                w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
             if partition_by and table in partition_by:
                 w = w.partitionBy(*partition_by[table])
             w.parquet(path)
@@ -170,6 +174,25 @@ class Store:
          .coalesce(1).write.mode("append").json(os.path.join(self.commits_path, f"run={run_id}")))
         return paths
 
+    def lookup(self, table: str, key: str, values, schema=None) -> DataFrame:
+        """Rows of the current table whose ``key`` is in ``values`` (inspection by id).
+
+        The filter is applied to every folder before change rows are resolved, so the
+        ``In`` predicate reaches each parquet scan (bloom filters / min-max skip row groups).
+        """
+        values = list(values)
+        base, appends, deltas, keys = self.layout(table)
+        if not (base or appends or deltas):
+            return self.read(table, schema)
+        reader = self.spark.read if schema is None or deltas else self.spark.read.schema(schema)
+        plain = [p for p in ([base] if base else []) + appends]
+        pick = F.col(key).isin(values)
+        base_df = reader.parquet(*plain).filter(pick) if plain else None
+        if not deltas:
+            return base_df
+        from ordermill.operators.merge import apply_changes
+        return apply_changes(base_df, self.spark.read.parquet(*deltas).filter(pick), keys)
+
     def pending_deltas(self, table: str) -> int:
         return len(self.layout(table)[2])
 

@@ -81,3 +81,15 @@ def test_orders_table_survives_reader_of_old_version(spark, order_files, tmp_pat
     run_incremental(spark, store, order_files["day2"], run_id="20260802T000000000000-b")
     assert store.current_path(ORDERS_TABLE) != old
     assert spark.read.parquet(old).count() == 4            # earlier snapshot still readable
+
+
+def test_lookup_by_id_reaches_the_scan(spark, order_files, tmp_path):
+    store = Store(spark, str(tmp_path / "lake"))
+    run_incremental(spark, store, order_files["day1"], run_id="20260801T000000000000-a")
+    run_incremental(spark, store, order_files["day2"], run_id="20260802T000000000000-b")
+    got = store.lookup(ORDERS_TABLE, "order_id", ["ORD-1002", "ORD-1009", "ORD-9999"])
+    assert {r["order_id"]: r["status"] for r in got.collect()} == {"ORD-1002": "SHIPPED", "ORD-1009": "PENDING"}
+    p = got._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(order_id" in p
+    full = {r["order_id"]: r["status"] for r in store.read(ORDERS_TABLE).collect()}
+    assert full["ORD-1002"] == "SHIPPED" and len(full) == 5
