@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ordermill.functions.json import raw_row_json
 from ordermill.operators import merge as M
 from ordermill.operators.audit import FAILED, RUNNING, SUCCESS, append_event, run_event, new_run_id
-from ordermill.operators.dedupe import sorted_duplicate_ids
+from ordermill.operators.dedupe import duplicate_keys, sorted_duplicate_ids
 from ordermill.operators.incremental import after_watermark, check_window, replay_window
 from ordermill.operators.rules import ERRORS, LAKEHOUSE, LOCAL, RuleSet, apply_rules, to_orders
 from ordermill.operators.quality import QualityError
@@ -122,9 +122,14 @@ def _gates(checked: DataFrame, counts: dict, on_duplicates: str) -> None:
     if counts["valid_count"] + counts["rejected_count"] != counts["extracted_count"]:
         raise PipelineError(f"Row count mismatch: {counts}")
     if on_duplicates == "fail":
-        ids = sorted_duplicate_ids(checked.filter(F.col(ERRORS) == ""), "_order_id")
+        valid = checked.filter(F.col(ERRORS) == "")
+        ids = sorted_duplicate_ids(valid, "_order_id", limit=100)
         if ids:
-            raise PipelineError(f"Duplicate order IDs: {ids}")
+            more = ""
+            if len(ids) == 100:        # bounded message: first 100 sorted ids and the total
+                total = duplicate_keys(valid, "_order_id").count()
+                more = f" ... ({total} duplicated ids in total)" if total > 100 else ""
+            raise PipelineError(f"Duplicate order IDs: {ids}{more}")
 
 
 def run_incremental(spark: SparkSession, store: Store, source: str | DataFrame, rules: RuleSet = LOCAL,

@@ -107,3 +107,12 @@ def test_header_must_match_exactly(spark, tmp_path):
     assert [r["run_status"] for r in runs] == ["FAILED"]
     ok = write_csv(tmp_path, "ok.csv", "A,C,PAID,1,2026-08-01T08:15:00")
     assert run_incremental(spark, store, ok)["changed_count"] == 1
+
+
+def test_duplicate_message_is_bounded(spark, tmp_path):
+    rows = "\n".join(f"ID-{i:04d},C,PAID,1,2026-08-01T08:15:00\nID-{i:04d},C,PAID,2,2026-08-01T09:15:00"
+                     for i in range(150))
+    p = write_csv(tmp_path, "many.csv", rows)
+    store = Store(spark, str(tmp_path / "lake"))
+    with pytest.raises(PipelineError, match=r"'ID-0099'\] \.\.\. \(150 duplicated ids in total\)$"):
+        run_incremental(spark, store, p)
