@@ -93,3 +93,22 @@ def test_lookup_by_id_reaches_the_scan(spark, order_files, tmp_path):
     assert "PushedFilters: [In(order_id" in p
     full = {r["order_id"]: r["status"] for r in store.read(ORDERS_TABLE).collect()}
     assert full["ORD-1002"] == "SHIPPED" and len(full) == 5
+
+
+def test_compact_folds_deltas_into_a_base(spark, tmp_path):
+    from ordermill.operators import merge as M
+    store = Store(spark, str(tmp_path / "lake"))
+    schema = "order_id string, status string, updated_at timestamp_ntz"
+    from datetime import datetime
+    b1 = spark.createDataFrame([("A", "1", datetime(2026, 8, 1, 8)), ("B", "1", datetime(2026, 8, 1, 8))], schema)
+    b2 = spark.createDataFrame([("A", "2", datetime(2026, 8, 1, 9)), ("C", "2", datetime(2026, 8, 1, 9))], schema)
+    for i, b in enumerate((b1, b2)):
+        ch = M.upsert_changes(store.read("t", schema), b, ["order_id"], ["updated_at"]).drop(M.CHANGE)
+        store.publish({"t": ch}, f"r{i:03d}", deltas={"t": ["order_id"]})
+    before = sorted(tuple(r) for r in store.read("t", schema).collect())
+    assert store.pending_deltas("t") == 2
+    store.compact("t", "r002")
+    assert store.pending_deltas("t") == 0 and len(store.current_paths("t")) == 1
+    after = sorted(tuple(r) for r in store.read("t", schema).collect())
+    assert after == before and [r[1] for r in after] == ["2", "1", "2"]
+    assert "_seq" not in store.read("t").columns
