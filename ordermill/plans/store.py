@@ -34,7 +34,7 @@ COMMIT_SCHEMA = T.StructType([
 ])
 
 
-APPEND, DELTA = "APPEND", "DELTA"
+APPEND, DELTA, MERGED = "APPEND", "DELTA", "MERGE_APPENDS"
 
 
 class Store:
@@ -73,21 +73,21 @@ class Store:
         """Commit history of one table, newest first (DESCRIBE HISTORY)."""
         return self.commits().filter(F.col("table") == table).orderBy(F.col("run_id").desc())
 
-    def layout(self, table: str) -> tuple[str | None, list[str], list[str], list[str]]:
-        """(base folder, append folders, delta folders, delta keys) of the current table.
-
-        Metadata only: one small record per commit. Folders committed before the
-        newest full version are superseded by it.
-        """
+    def _pending(self, table: str) -> tuple[str | None, list[tuple[str, str, str]], list[str], list[str]]:
+        """(base, [(run_id, path, operation)] of appends, delta folders, delta keys)."""
         mine = self.commits().filter(F.col("table") == table)
         # only commits from the newest full version on reach the driver (pending appends/deltas)
-        last_full = mine.filter(~F.col("operation").isin(APPEND, DELTA)).agg(F.max("run_id")).scalar()
+        last_full = mine.filter(~F.col("operation").isin(APPEND, DELTA, MERGED)).agg(F.max("run_id")).scalar()
         rows = (mine.filter(last_full.isNull() | (F.col("run_id") >= last_full))
                 .select("run_id", "path", "operation", "keys").orderBy("run_id").collect())
         base, appends, deltas, keys = None, [], [], []
         for r in rows:
             if r["operation"] == APPEND:
-                appends.append(r["path"])
+                appends.append((r["run_id"], r["path"], APPEND))
+            elif r["operation"] == MERGED:          # replaces the raw appends of its run-id range
+                lo, hi = (r["keys"] or "|").split("|")
+                appends = [a for a in appends if not (a[2] == APPEND and lo <= a[0] <= hi)]
+                appends.append((r["run_id"], r["path"], MERGED))
             elif r["operation"] == DELTA:
                 deltas.append(r["path"])
                 keys = (r["keys"] or "").split(",")
@@ -95,6 +95,15 @@ class Store:
                 base, appends, deltas = r["path"], [], []
         return base, appends, deltas, keys
 
+    def layout(self, table: str) -> tuple[str | None, list[str], list[str], list[str]]:
+        """(base folder, append folders, delta folders, delta keys) of the current table.
+
+        Metadata only: one small record per commit. Folders committed before the
+        newest full version are superseded by it.
+        """
+        base, appends, deltas, keys = self._pending(table)
+        return base, [a[1] for a in appends], deltas, keys
+
     def current_paths(self, table: str) -> list[str]:
         base, appends, deltas, _ = self.layout(table)
         return ([base] if base else []) + appends + deltas
@@ -193,6 +202,27 @@ class Store:
         from ordermill.operators.merge import apply_changes
         return apply_changes(base_df, self.spark.read.parquet(*deltas).filter(pick), keys)
 
+    def merge_appends(self, table: str, run_id: str, min_folders: int = 2) -> str | None:
+        """Merge the raw APPEND folders of an append-only table into one folder.
+
+        Only raw appends are merged, each exactly once (merged folders are never merged
+        again), so every row is rewritten at most once and the base is never touched;
+        folders stay few for tables fed by many small micro-batches. Returns the new folder.
+        """
+        _, appends, _, _ = self._pending(table)
+        raw = [a for a in appends if a[2] == APPEND]
+        if len(raw) < min_folders:
+            return None
+        path = self.version_path(table, run_id)
+        self.spark.read.parquet(*[a[1] for a in raw]).write.mode("overwrite").parquet(path)
+        rec = [(run_id, table, path, None, MERGED, f"{raw[0][0]}|{raw[-1][0]}")]
+        (self.spark.createDataFrame(rec, COMMIT_SCHEMA).withColumn("committed_at", F.current_timestamp())
+         .coalesce(1).write.mode("append").json(os.path.join(self.commits_path, f"run={run_id}")))
+        return path
+
+    def pending_appends(self, table: str) -> int:
+        return sum(1 for a in self._pending(table)[1] if a[2] == APPEND)
+
     def pending_deltas(self, table: str) -> int:
         return len(self.layout(table)[2])
 

@@ -37,9 +37,10 @@ class BronzeSink:
 
     keys = ["eventhub_partition", "kafka_offset"]
 
-    def __init__(self, store: Store, table: str = "bronze_events", prefix: str | None = None):
+    def __init__(self, store: Store, table: str = "bronze_events", prefix: str | None = None, merge_after: int = 32):
         self.store, self.table = store, table
         self.prefix = prefix or table
+        self.merge_after = merge_after
         self.batches: list[tuple[int, int]] = []
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -56,8 +57,11 @@ class BronzeSink:
         from pyspark.sql import Observation
         obs = Observation(f"{self.table}-{batch_id}")
         added = added.observe(obs, F.count(F.lit(1)).alias("n"))
-        self.store.publish({self.table: added}, _run_id(batch_id, self.prefix), appends=[self.table])
+        run_id = _run_id(batch_id, self.prefix)
+        self.store.publish({self.table: added}, run_id, appends=[self.table])
         self.batches.append((batch_id, int(obs.get.get("n") or 0)))
+        if self.store.pending_appends(self.table) >= self.merge_after:
+            self.store.merge_appends(self.table, run_id + "-m")      # keep the folder count small
 
 
 class EventSilverSink:

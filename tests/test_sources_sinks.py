@@ -112,3 +112,22 @@ def test_compact_folds_deltas_into_a_base(spark, tmp_path):
     after = sorted(tuple(r) for r in store.read("t", schema).collect())
     assert after == before and [r[1] for r in after] == ["2", "1", "2"]
     assert "_seq" not in store.read("t").columns
+
+
+def test_merge_appends_keeps_rows_and_bounds_folders(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "lake"))
+    schema = "k long, v string"
+    store.publish({"b": spark.createDataFrame([(0, "base")], schema)}, "r000")
+    for i in range(1, 6):
+        store.publish({"b": spark.createDataFrame([(i, f"a{i}")], schema)}, f"r{i:03d}", appends=["b"])
+    assert len(store.current_paths("b")) == 6 and store.pending_appends("b") == 5
+    store.merge_appends("b", "r006")
+    assert len(store.current_paths("b")) == 2 and store.pending_appends("b") == 0
+    store.publish({"b": spark.createDataFrame([(7, "a7")], schema)}, "r007", appends=["b"])
+    assert store.merge_appends("b", "r008") is None            # one raw append: nothing to merge
+    store.publish({"b": spark.createDataFrame([(9, "a9")], schema)}, "r009", appends=["b"])
+    store.merge_appends("b", "r010")                           # merges r007 + r009 only
+    assert len(store.current_paths("b")) == 3
+    assert sorted(r["k"] for r in store.read("b").collect()) == [0, 1, 2, 3, 4, 5, 7, 9]
+    store.compact("b", "r011")
+    assert len(store.current_paths("b")) == 1 and store.read("b").count() == 8

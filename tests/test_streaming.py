@@ -27,8 +27,9 @@ def test_bronze_stream_is_idempotent(spark, tmp_path):
     inbox = str(tmp_path / "inbox")
     env.select(*COLS).repartition(4).write.parquet(inbox)
     store = Store(spark, str(tmp_path / "lake"))
-    sink = BronzeSink(store)
+    sink = BronzeSink(store, merge_after=3)
     run_available_now(read_envelope_files(spark, inbox, max_files_per_trigger=1), sink, str(tmp_path / "ck1"))
+    assert store.pending_appends("bronze_events") < 3             # small appends were merged
     n = env.count()
     assert store.read("bronze_events").count() == n
     assert len(sink.batches) >= 4
