@@ -60,8 +60,9 @@ class BronzeSink:
         run_id = _run_id(batch_id, self.prefix)
         self.store.publish({self.table: added}, run_id, appends=[self.table])
         self.batches.append((batch_id, int(obs.get.get("n") or 0)))
-        if self.store.pending_appends(self.table) >= self.merge_after:
-            self.store.merge_appends(self.table, run_id + "-m")      # keep the folder count small
+        # every merge_after batches, merge the small per-batch folders (no extra job otherwise)
+        if (batch_id + 1) % self.merge_after == 0 and self.store.pending_appends(self.table) >= self.merge_after:
+            self.store.merge_appends(self.table, run_id + "-m")
 
 
 class EventSilverSink:
