@@ -1,10 +1,11 @@
 """WARC archives written by Spark and read back in splits, records verified by their boundary chain.
 
 Writing: one record per row; the text sink's line separator is the blank lines that end a record,
-so every part file is a WARC file. Reading: files are cut at the version line, so each split yields
+so every part file is a WARC file. Reading: files are cut at version lines, so each split yields
 candidate records with their byte offset, and a candidate's header gives the offset of its
 successor. A version line inside a payload makes false candidates; only those that the chain of
-successors reaches from the start of the file are records.
+successors reaches from the start of the file are records. (A header has no such line: its lines
+are fields.)
 
 Null or empty payloads are empty; a null page_id is kept as such; line ends in a url are percent-
 encoded and a null url has no header line. Of equal payloads the smallest page_id is the response
@@ -22,6 +23,7 @@ from ordermill.llm.common import stored
 
 #: Fixed values of the format: version line, end of a header block and of a record, base-32 digits.
 VERSION = "WARC/1.1\r\n"
+CUT = "\n" + VERSION
 BLANK = "\r\n\r\n"
 DIGITS, BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -63,17 +65,17 @@ def write(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
 
 
 def segments(spark: SparkSession, path: str) -> DataFrame:
-    """What stands between version lines: value, its file, split and order in the split.
+    """What follows each version line up to the next (the first of a file: with it): value, file, split, order in the split.
 
     The order is only meaningful inside one scan (splits follow the cluster); offsets are not.
     """
-    return (spark.read.option("lineSep", VERSION).text(path)
+    return (spark.read.option("lineSep", CUT).text(path)
             .select("value", F.col("_metadata.file_path").alias("file"),
                     F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("nth")))
 
 
 def with_offset(seg: DataFrame) -> DataFrame:
-    """Add ``at``, the byte offset of the version line before each segment (the text before the first: none).
+    """Add ``start``, the byte offset of each segment, and ``at``, that of its version line.
 
     Segments and separators cover the file, so sizes add up to offsets: over the splits of a file
     (a few rows), then inside each split.
@@ -84,7 +86,9 @@ def with_offset(seg: DataFrame) -> DataFrame:
         before(Window.partitionBy("file").orderBy("split"))), F.lit(0)).alias("_base"))
     inner = F.coalesce(F.sum("size").over(before(Window.partitionBy("file", "split").orderBy("nth"))), F.lit(0))
     return (seg.withColumn("_inner", inner).join(sizes, ["file", "split"])
-            .withColumn("at", F.col("_base") + F.col("_inner") - len(VERSION)).drop("_base", "_inner"))
+            .withColumn("start", F.col("_base") + F.col("_inner"))
+            .withColumn("at", F.when(F.col("start") == 0, F.lit(0)).otherwise(F.col("start") - len(VERSION)).cast("long"))
+            .drop("_base", "_inner"))
 
 
 def chain(candidates: DataFrame) -> DataFrame:
@@ -137,8 +141,9 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     A record whose payload holds version lines spans several segments; those records' files are
     read once more and their segments joined in offset order.
     """
-    head = F.substring_index("value", BLANK, 1)
-    has_head = F.instr("value", BLANK) > 0
+    text = F.concat("value", F.lit("\n"))                    # the cut may have taken the header's last line feed
+    head = F.substring_index(text, BLANK, 1)
+    has_head = F.instr(text, BLANK) > 0
     field = lambda name: F.nullif(F.regexp_extract(head, rf"(?i)(?:^|\r\n){name}:[ \t]*([^\r\n]*)", 1), F.lit(""))
     begin = F.octet_length(head) + len(BLANK)
     length = F.expr("try_cast(_length as long)")
@@ -147,16 +152,17 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     whole = F.expr("substring(cast(value as binary), cast(begin + 1 as int), cast(length as int))")
     complete = (F.octet_length("value") - F.col("begin")) >= F.col("length")
     light = stored(scan.select(
-        "file", "split", "nth", (F.octet_length("value") + len(VERSION)).cast("long").alias("size"), "begin", "length",
+        "file", "split", "nth", (F.octet_length("value") + len(CUT)).cast("long").alias("size"), "begin", "length",
+        F.startswith(F.col("value"), F.lit(VERSION)).alias("whole_line"),
         F.when(has_head, field("WARC-Type")).alias("type"), F.when(has_head, field("WARC-Record-ID")).alias("id"),
         F.when(has_head, field("WARC-Refers-To")).alias("refers"),
         F.when(has_head, field("WARC-Payload-Digest")).alias("stated_digest"),
         F.when(has_head, field("X-Payload-Length")).cast("long").alias("stated_bytes"),
         F.when(complete, sha1_base32(whole)).alias("digest"), F.coalesce(complete, F.lit(False)).alias("complete")),
         "segments")
-    placed = stored(with_offset(light).withColumn(
-        "to", F.col("at") + len(VERSION) + F.col("begin") + F.col("length") + len(BLANK)), "placed")
-    found = placed.join(chain(placed.where("at >= 0 and length >= 0").select("file", "split", "at", "to")), ["file", "at"])
+    placed = stored(with_offset(light).withColumn("to", F.col("start") + F.col("begin") + F.col("length") + len(BLANK)), "placed")
+    candidates = placed.where("length >= 0 and (start > 0 or whole_line)")
+    found = candidates.join(chain(candidates.select("file", "split", "at", "to")), ["file", "at"])
     columns = ["file", "at", "type", "id", "refers", "stated_digest", "stated_bytes", "length", "digest"]
     found = stored(found.select(*columns, "begin", "to", "complete"), "records")
     split = found.where("not complete")
@@ -164,7 +170,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         return found.select(*columns)
     files = split.select("file").distinct()
     raw = segments(spark, path).join(files, "file", "left_semi").withColumn(
-        "size", (F.octet_length("value") + len(VERSION)).cast("long"))
+        "size", (F.octet_length("value") + len(CUT)).cast("long"))
     raw = with_offset(stored(raw, "raw")).select("file", F.col("at").alias("piece_at"), "value")
     spans = split.select("file", "at", "to", "begin", "length")
     # a segment's owner is the record before or at it; records of a file don't overlap
@@ -176,7 +182,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     body = (owned.join(spans, ["file", "at"]).where("piece_at < `to`").groupBy("file", "at")
             .agg(F.sort_array(F.collect_list(F.struct("piece_at", "value"))).alias("p"), F.first("begin").alias("begin"),
                  F.first("length").alias("length"))
-            .withColumn("value", F.array_join(F.col("p.value"), VERSION)).select("file", "at", sha1_base32(whole).alias("_digest")))
+            .withColumn("value", F.array_join(F.col("p.value"), CUT)).select("file", "at", sha1_base32(whole).alias("_digest")))
     return (found.join(body, ["file", "at"], "left").withColumn("digest", F.coalesce("digest", "_digest"))
             .select(*columns))
 
