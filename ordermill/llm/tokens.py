@@ -1,21 +1,25 @@
 """Token ids of whole texts by the tokenizers library, and how a task reaches them.
 
-The vocabulary drops white space and never joins tokens across it, so a text's ids are the ids of
-its space- and newline-separated pieces in order. Each piece is encoded by the library once and
-remembered (a bounded memo in two generations), because prose repeats its words.
+The vocabulary lower-cases, drops white space and never joins tokens across it or from letters to
+marks, so a text's ids are the ids of its pieces in order. Each piece is encoded by the library
+once and remembered (a bounded memo in two generations), because prose repeats its words.
 """
 
 from __future__ import annotations
 
+import re
 import sys
 import types
+import unicodedata
 
 import numpy as np
 
 #: Pieces remembered per worker in one of two generations (about 200 bytes each).
-MEMO_PIECES = 300_000
+MEMO_PIECES = 500_000
 #: Fixed value: a control character that the vocabulary encodes as one id of its own between spaces.
 MARK = "\x01"
+#: Between a letter and a mark: there the vocabulary cuts anyway (a mark after another mark stays with it).
+BEHIND = re.compile(r"(?<=[^\W\d_])(?=[.,;:!?])")
 
 
 def default_vocabulary() -> str:
@@ -36,39 +40,68 @@ class Encoder:
         self.last: dict[str, bytes] = {}
         self.kind = np.dtype("<u2") if self.library.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.mark = self._ids([MARK])[0]
+        vocabulary = self.library.get_vocab(with_added_tokens=True)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _split(self, part: list[str], ids: np.ndarray, ends: np.ndarray, skip: int) -> None:
+        raw, start = ids.tobytes(), 0
+        for p, end in zip(part, (ends * self.kind.itemsize).tolist(), strict=True):
+            self.memo[p] = raw[start:end]
+            start = end + skip * self.kind.itemsize
+
     def _learn(self, pieces: list[str]) -> None:
-        plain = [p for p in pieces if MARK not in p] if len(self.mark) == 1 else []
-        alone = [p for p in pieces if MARK in p] if len(self.mark) == 1 else pieces
+        """Encode pieces many at a time: words by their end-of-word ids, others between marks."""
+        words = [p for p in pieces if p.isalpha()]
+        others = [p for p in pieces if not p.isalpha()]
+        for at in range(0, len(words), 4096):
+            part = words[at:at + 4096]
+            ids = np.array(self._ids([" ".join(part)])[0], self.kind)
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) == len(part):
+                self._split(part, ids, ends, 0)
+            else:                                          # lower case made something else of a letter
+                others += part
+        plain = [p for p in others if MARK not in p] if len(self.mark) == 1 else []
+        alone = [p for p in others if MARK in p] if len(self.mark) == 1 else others
         for at in range(0, len(plain), 4096):
             part = plain[at:at + 4096]
             ids = np.array(self._ids([f" {MARK} ".join(part)])[0], self.kind)
-            ends = np.append(np.flatnonzero(ids == self.mark[0]), len(ids)) * self.kind.itemsize
-            raw, start = ids.tobytes(), 0
-            for p, end in zip(part, ends.tolist(), strict=True):
-                self.memo[p] = raw[start:end]
-                start = end + self.kind.itemsize
+            self._split(part, ids, np.append(np.flatnonzero(ids == self.mark[0]), len(ids)), 1)
         for p, ids in zip(alone, self._ids(alone) if alone else []):
             self.memo[p] = np.array(ids, self.kind).tobytes()
 
+    def _pieces(self, text: str | None) -> list[str]:
+        """Pieces whose ids, one after another, are the text's: words in lower case, marks behind them apart."""
+        text = (text or "").replace("\n", " ")
+        low = text.lower()
+        # only where a letter stays one letter, so that no accent of its own joins the marks
+        if len(low) != len(text) or "\u03a3" in text or not unicodedata.is_normalized("NFC", text):
+            return text.split(" ")
+        return BEHIND.sub(" ", low).split(" ")
+
     def _complete(self, wanted: set[str]) -> None:
         """Every wanted piece into the memo: those of the last generation are taken over, others encoded."""
-        missing = wanted - self.memo.keys()
+        missing = wanted.difference(self.memo)
         if len(self.memo) + len(missing) > MEMO_PIECES:
             self.memo, self.last = {}, self.memo
             missing = wanted
-        known = missing & self.last.keys()
-        for p in known:
-            self.memo[p] = self.last[p]
-        self._learn(list(missing - known))
+        memo, last, fresh = self.memo, self.last, []
+        for p in missing:
+            if p in last:
+                memo[p] = last[p]
+            else:
+                fresh.append(p)
+        if fresh:
+            self._learn(fresh)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         found = []
         for at in range(0, len(texts), 64):
-            part = [(t or "").replace("\n", " ").split(" ") for t in texts[at:at + 64]]
+            part = [self._pieces(t) for t in texts[at:at + 64]]
             self._complete(set().union(*part))
             get = self.memo.__getitem__
             found += [np.frombuffer(b"".join(map(get, p)), self.kind) for p in part]
