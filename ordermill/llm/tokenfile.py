@@ -66,7 +66,7 @@ def compress(seq: np.ndarray, last: np.ndarray, terminals: int) -> tuple[np.ndar
         run = np.concatenate(([True], np.diff(where) != 1))
         nth = np.arange(len(where)) - np.maximum.accumulate(np.where(run, np.arange(len(where)), 0))
         where = where[nth % 2 == 0]
-        seq[where] = (top + at[where]).astype(np.uint32)
+        seq[where] = (top + at[where].astype(np.int64)).astype(np.uint32)
         last[where] = last[where + 1]
         keep = np.ones(len(seq), bool)
         keep[where + 1] = False
