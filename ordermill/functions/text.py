@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 # Accepted text forms (ASCII digits; ISO date, optional time 00:00-23:59:59,
 # optional fraction up to microseconds, years 0001-9999, no zone offset).
+# Whitespace as Python's str.strip() removes it, as a character class for both engines' regular expressions.
+WHITESPACE = "[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 INT_TEXT = r"^\s*[+-]?[0-9]+\s*$"
 ISO_TS_TEXT = r"^(000[1-9]|00[1-9][0-9]|0[1-9][0-9]{2}|[1-9][0-9]{3})-[0-9]{2}-[0-9]{2}([T ]([01][0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9](\.[0-9]{1,6})?)?)?$"
 
@@ -28,8 +30,8 @@ def strip_space(c) -> Column:
 
 
 def strip_unicode(c) -> Column:
-    """Remove leading/trailing whitespace of any kind (tabs, newlines too)."""
-    return F.regexp_replace(_c(c), r"^\s+|\s+$", "")
+    """Remove leading/trailing whitespace of any kind (tabs, newlines, no-break and ideographic spaces too)."""
+    return F.regexp_replace(_c(c), f"^{WHITESPACE}+|{WHITESPACE}+$", "")
 
 
 def blank(c, whitespace: str = "space") -> Column:

@@ -30,15 +30,12 @@ def _desc(xs) -> list[Column]:
     return out
 
 
-def latest_per_key(df: DataFrame, keys: Sequence, order_by: Sequence, rank_col: str | None = None) -> DataFrame:
+def latest_per_key(df: DataFrame, keys: Sequence, order_by: Sequence) -> DataFrame:
     """Keep the first row per ``keys`` under ``order_by`` (strings mean DESC NULLS LAST).
 
-    ``keys`` may hold expressions (e.g. a trimmed id); ``rank_col`` keeps the rank
-    instead of filtering (for superseded-row reporting).
+    ``keys`` may hold expressions (e.g. a trimmed id).
     """
     w = Window.partitionBy(*_cols(keys)).orderBy(*_desc(order_by))
-    if rank_col:
-        return df.withColumn(rank_col, F.row_number().over(w))
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
@@ -59,9 +56,3 @@ def surplus_duplicates(df: DataFrame, key: Column | str = "order_id", by: Sequen
                .groupBy(*by, "_key").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1))
     return per_key.groupBy(*by).agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint")
                                     .alias("duplicate_order_id_rows"))
-
-
-def sorted_duplicate_ids(df: DataFrame, key: str = "order_id", limit: int = 100) -> list:
-    """Sorted duplicate ids for an error message: only a bounded sample reaches the driver."""
-    rows = duplicate_keys(df, key).select(key).orderBy(key).limit(limit).collect()
-    return [r[0] for r in rows]

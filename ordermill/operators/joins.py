@@ -1,26 +1,10 @@
-"""Join helpers with a checked broadcast."""
+"""Join helpers."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only below this many rows; above it the join is left
-# to the planner (shuffle join / AQE), so broadcast size never grows with data.
-BROADCAST_MAX_ROWS = 100_000
-
-
-def bounded_rows(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join a dimension, broadcasting it only when its row count is proven small."""
-    side = F.broadcast(small) if bounded_rows(small, max_rows) else small
-    return big.join(side, on=on, how=how)
-
 
 def missing_parents(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
     """Child rows whose non-NULL key has no parent (relationships test): hash left-anti join."""

@@ -16,7 +16,7 @@ Scale notes
   the batch's keys, and yields only inserts and winning updates (incremental
   loads and streams), applied on read by ``apply_changes``.
 * Insert-only merges are hash left-anti joins (also with null-safe keys) against
-  the distinct target identities.
+  the target identities that the batch also has.
 * Which side is broadcast is left to AQE (runtime sizes), never forced on data
   whose size grows with the input.
 """
@@ -131,10 +131,13 @@ def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], null_saf
     unique constraint). Null-safe keys still plan as a hash left-anti join.
     """
     src = source.dropDuplicates(list(keys)) if distinct_source else source
-    # one row per target identity (partial aggregation collapses repeats map-side), so a hot
-    # identity never becomes a large buffered group on the join's build side
-    tgt = target.select(*[F.col(k).alias("_t_" + k) for k in keys]).distinct()
-    return src.join(tgt, key_condition(keys, null_safe, coalesce_blank), "left_anti")
+    # the target is first cut to the batch's identities (a semi-join that AQE turns into a
+    # map-side filter when they are few), so the anti-join's cost follows the batch; neither
+    # join fans out, so repeated target identities need no aggregate over the table
+    cond = key_condition(keys, null_safe, coalesce_blank)
+    batch = source.select(*keys).distinct()
+    known = target.select(*[F.col(k).alias("_t_" + k) for k in keys]).join(batch, cond, "left_semi")
+    return src.join(known, cond, "left_anti")
 
 
 def insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool | Sequence[str] = True,

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.functions.money import cents_to_amount
-from ordermill.operators.joins import join_small
 from ordermill.schema import ALLOWED_STATUSES
 
 
@@ -25,8 +24,8 @@ def status_counts(status: str = "status", statuses: Sequence[str] = ALLOWED_STAT
 
 
 def daily_metrics(orders: DataFrame, ts: str = "updated_at", amount: str = "amount_cents",
-                  status: str = "status", stamp: bool = False) -> DataFrame:
-    """Per day: total_orders, total_amount_cents, per-status counts, paid_amount_cents."""
+                  status: str = "status", stamp: bool = False, extra: Sequence[Column] = ()) -> DataFrame:
+    """Per day: total_orders, total_amount_cents, per-status counts, paid_amount_cents (and ``extra`` aggregates)."""
     out = (orders.groupBy(F.to_date(F.col(ts)).alias("report_date"))
            .agg(F.count(F.lit(1)).alias("total_orders"),
                 F.sum(amount).cast("bigint").alias("total_amount_cents"),
@@ -35,7 +34,7 @@ def daily_metrics(orders: DataFrame, ts: str = "updated_at", amount: str = "amou
                 _count_if(F.col(status) == "PENDING").alias("pending_orders"),
                 _count_if(F.col(status) == "CANCELLED").alias("cancelled_orders"),
                 F.sum(F.when(F.col(status) == "PAID", F.col(amount)).otherwise(0)).cast("bigint")
-                .alias("paid_amount_cents")))
+                .alias("paid_amount_cents"), *extra))
     return out.withColumn("_calculated_at", F.current_timestamp()) if stamp else out
 
 
@@ -47,14 +46,17 @@ def daily_metrics_display(gold: DataFrame) -> DataFrame:
                        cents_to_amount("paid_amount_cents", 2).alias("paid_amount_eur"))
 
 
+def total_metric_columns(amount: str = "amount_cents", status: str = "status") -> list[Column]:
+    return [F.count(F.lit(1)).alias("total_orders"),
+            F.coalesce(F.sum(amount), F.lit(0)).cast("bigint").alias("total_amount_cents"),
+            *[F.coalesce(_count_if(F.col(status) == s), F.lit(0)).cast("bigint").alias(f"{s.lower()}_orders")
+              for s in ALLOWED_STATUSES]]
+
+
 def total_metrics(orders: DataFrame, amount: str = "amount_cents", status: str = "status",
                   stamp: bool = False) -> DataFrame:
     """One row over all orders. Totals are 0 on empty input (not NULL)."""
-    out = orders.agg(
-        F.count(F.lit(1)).alias("total_orders"),
-        F.coalesce(F.sum(amount), F.lit(0)).cast("bigint").alias("total_amount_cents"),
-        *[F.coalesce(_count_if(F.col(status) == s), F.lit(0)).cast("bigint").alias(f"{s.lower()}_orders")
-          for s in ALLOWED_STATUSES])
+    out = orders.agg(*total_metric_columns(amount, status))
     return out.withColumn("refreshed_at", F.current_timestamp()) if stamp else out
 
 
@@ -72,7 +74,7 @@ def status_summary(orders: DataFrame, statuses: DataFrame, amount: str = "amount
     """
     per_status = orders.groupBy("status").agg(F.count(F.lit(1)).alias("order_count"),
                                               F.sum(amount).alias("total_amount"))
-    joined = join_small(per_status, statuses, on="status", how="left")
+    joined = per_status.join(statuses, "status", "left")
     return joined.select("status", "status_label", "order_count", "total_amount")
 
 
@@ -83,15 +85,14 @@ def refresh_daily_metrics(gold: DataFrame, before: DataFrame, changes: DataFrame
     Touched dates are the new dates of the changed rows and the old dates of the
     rows they replaced (``before`` semi-joined to the changed keys). Those dates are
     recomputed from ``after``; every other date keeps its gold row. A date left
-    without orders disappears, exactly as in a full recompute. The date set is
-    small (one row per day), so the filters are broadcast.
+    without orders disappears, exactly as in a full recompute. ``changes`` should be a
+    stored table (it is read twice); AQE broadcasts the dates if they are few.
     """
     key_cols = list(keys)
     changed_keys = changes.select(*key_cols)
     touched = (changes.select(F.to_date(ts).alias("report_date"))
                .unionByName(before.join(changed_keys, key_cols, "left_semi").select(F.to_date(ts).alias("report_date")))
                .distinct())
-    recomputed = daily_metrics(after.join(F.broadcast(touched), F.to_date(after[ts]) == touched["report_date"],
-                                          "left_semi"))
-    kept = gold.join(F.broadcast(touched), "report_date", "left_anti")
+    recomputed = daily_metrics(after.join(touched, F.to_date(after[ts]) == touched["report_date"], "left_semi"))
+    kept = gold.join(touched, "report_date", "left_anti")
     return kept.select(*recomputed.columns).unionByName(recomputed)

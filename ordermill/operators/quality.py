@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ordermill.functions.text import blank
 from ordermill.operators.dedupe import surplus_duplicates
 from ordermill.operators.joins import missing_parents
+from ordermill.operators.metrics import daily_metrics, total_metric_columns
 from ordermill.operators.rules import ERRORS, STAGING, RuleSet, apply_rules, rule_counts
 from ordermill.schema import ALLOWED_STATUSES
 
@@ -75,6 +76,12 @@ def dq_report(raw: DataFrame, rules: RuleSet = STAGING, by: Sequence[str] = ())
     return out.withColumn("dq_status", status)
 
 
+def run_report(raw: DataFrame, rules: RuleSet, run_id: str, file_pattern: str) -> DataFrame:
+    """One report row of a run: its id, the file pattern, the counters and the check time."""
+    return dq_report(raw, rules).select(F.lit(run_id).alias("run_id"), F.lit(file_pattern).alias("source_file_pattern"), "*",
+                                        F.current_timestamp().alias("checked_at"))
+
+
 # -- D1 / W4 ------------------------------------------------------------------
 
 def conservation(checked: DataFrame, key: str = "_order_id") -> DataFrame:
@@ -96,15 +103,26 @@ def conservation(checked: DataFrame, key: str = "_order_id") -> DataFrame:
 
 
 
-def reconcile_daily(silver: DataFrame, gold: DataFrame, amount: str = "amount_cents") -> DataFrame:
-    """Silver vs daily gold: counts, amounts, status split, unique dates."""
-    g = gold.agg(F.coalesce(F.sum("total_orders"), F.lit(0)).alias("g_orders"),
+def reconcile_daily(silver: DataFrame, gold: DataFrame | None = None, amount: str = "amount_cents") -> DataFrame:
+    """Silver vs daily gold: counts, amounts, status split, unique dates.
+
+    Without a stored ``gold`` it is derived from ``silver`` here, and both sides come out of one
+    aggregation by date (silver is scanned once).
+    """
+    if gold is None:
+        gold = daily_metrics(silver, amount=amount, extra=(F.count(F.lit(1)).alias("_n"), F.sum(amount).alias("_sum")))
+        s_cols = (F.coalesce(F.sum("_n"), F.lit(0)).alias("s_orders"), F.coalesce(F.sum("_sum"), F.lit(0)).alias("s_amount"))
+    else:
+        s_cols = ()
+    g = gold.agg(*s_cols, F.coalesce(F.sum("total_orders"), F.lit(0)).alias("g_orders"),
                  F.coalesce(F.sum("total_amount_cents"), F.lit(0)).alias("g_amount"),
                  F.sum(F.when(F.col("total_orders") != F.col("paid_orders") + F.col("shipped_orders")
                               + F.col("pending_orders") + F.col("cancelled_orders"), 1).otherwise(0)).alias("bad_split"),
                  (F.count(F.lit(1)) - F.count_distinct("report_date")).alias("dup_dates"))
-    s = silver.agg(F.count(F.lit(1)).alias("s_orders"), F.coalesce(F.sum(amount), F.lit(0)).alias("s_amount"))
-    return combine_one_row(s, g).select(check_rows(
+    if not s_cols:
+        s = silver.agg(F.count(F.lit(1)).alias("s_orders"), F.coalesce(F.sum(amount), F.lit(0)).alias("s_amount"))
+        g = combine_one_row(s, g)
+    return g.select(check_rows(
         ("gold order count equals silver", F.col("g_orders") == F.col("s_orders")),
         ("gold amount equals silver", F.col("g_amount") == F.col("s_amount")),
         ("status split adds up per day", F.coalesce(F.col("bad_split"), F.lit(0)) == 0),
@@ -113,20 +131,28 @@ def reconcile_daily(silver: DataFrame, gold: DataFrame, amount: str = "amount_ce
 
 # -- D4 -------------------------------------------------------------------------
 
-def event_gate(silver: DataFrame, gold: DataFrame, statuses: Sequence[str] = ALLOWED_STATUSES) -> DataFrame:
-    """Five checks between the event silver table and its total-metrics row."""
+def event_gate(silver: DataFrame, gold: DataFrame | None = None, statuses: Sequence[str] = ALLOWED_STATUSES) -> DataFrame:
+    """Five checks between the event silver table and its total-metrics row.
+
+    Without a stored ``gold`` row its metrics are part of the same aggregate (silver is scanned once).
+    """
     invalid = (blank(F.coalesce("order_id", F.lit(""))) | blank(F.coalesce("customer_id", F.lit("")))
                | F.col("status").isNull() | ~F.col("status").isin(*statuses)
                | F.col("amount_cents").isNull() | (F.col("amount_cents") <= 0) | F.col("updated_at").isNull())
-    s = silver.agg(F.count(F.lit(1)).alias("silver_rows"),
+    status_total = sum((F.col(f"{x.lower()}_orders") for x in statuses), F.lit(0))
+    totals = () if gold is not None else total_metric_columns()
+    s = silver.agg(*totals, F.count(F.lit(1)).alias("silver_rows"),
                    F.count_distinct("order_id").alias("distinct_order_ids"),
                    F.coalesce(F.sum("amount_cents"), F.lit(0)).alias("silver_total_amount"),
                    F.coalesce(F.sum(F.when(invalid, 1).otherwise(0)), F.lit(0)).alias("invalid_rows"))
-    status_total = sum((F.col(f"{x.lower()}_orders") for x in statuses), F.lit(0))
-    g = gold.agg(F.coalesce(F.sum("total_orders"), F.lit(0)).alias("g_orders"),
-                 F.coalesce(F.sum("total_amount_cents"), F.lit(0)).alias("g_amount"),
-                 F.coalesce(F.sum(status_total), F.lit(0)).alias("g_status_total"))
-    return combine_one_row(s, g).select(check_rows(
+    if gold is None:
+        both = s.withColumns({"g_orders": F.col("total_orders"), "g_amount": F.col("total_amount_cents"),
+                              "g_status_total": status_total})
+    else:
+        both = combine_one_row(s, gold.agg(F.coalesce(F.sum("total_orders"), F.lit(0)).alias("g_orders"),
+                                           F.coalesce(F.sum("total_amount_cents"), F.lit(0)).alias("g_amount"),
+                                           F.coalesce(F.sum(status_total), F.lit(0)).alias("g_status_total")))
+    return both.select(check_rows(
         ("silver order ids are unique", F.col("silver_rows") == F.col("distinct_order_ids")),
         ("silver has no invalid rows", F.col("invalid_rows") == 0),
         ("gold total_orders matches silver", F.col("g_orders") == F.col("silver_rows")),

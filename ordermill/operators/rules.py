@@ -112,8 +112,9 @@ def to_rejects(rejected: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 def to_quarantine(rejected: DataFrame, lineage: Sequence[str] = ("_source_file", "_ingested_at"),
                   stamp: bool = True) -> DataFrame:
-    """Quarantine projection: raw text columns, lineage, reason, quarantine time."""
-    out = rejected.select(*ORDER_COLUMNS, *lineage, F.col(ERRORS).alias("_error_reason"))
+    """Quarantine projection: raw text columns (and the raw text of malformed rows), lineage, reason, quarantine time."""
+    raw = [MALFORMED] if MALFORMED in rejected.columns else []
+    out = rejected.select(*ORDER_COLUMNS, *raw, *lineage, F.col(ERRORS).alias("_error_reason"))
     return out.withColumn("_quarantined_at", F.current_timestamp()) if stamp else out
 
 

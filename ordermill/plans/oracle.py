@@ -8,7 +8,7 @@ regex guards as ``ordermill.functions.text`` so both engines agree.
 
 from __future__ import annotations
 
-from ordermill.functions.text import INT_TEXT, ISO_TS_TEXT  # the same guards as the Spark side
+from ordermill.functions.text import INT_TEXT, ISO_TS_TEXT, WHITESPACE  # the same guards as the Spark side
 
 STATUS_LIST = "('PENDING', 'PAID', 'SHIPPED', 'CANCELLED')"
 INT_GUARD = "'" + INT_TEXT + "'"
@@ -17,7 +17,7 @@ TS_GUARD = "'" + ISO_TS_TEXT + "'"
 
 def int_of(x: str, bits: int = 64) -> str:
     t = "BIGINT" if bits == 64 else "INTEGER"
-    return f"CAST(CASE WHEN regexp_matches({x}, {INT_GUARD}) THEN TRY_CAST(trim({x}) AS {t}) END AS BIGINT)"
+    return f"CAST(CASE WHEN regexp_matches({x}, {INT_GUARD}) THEN TRY_CAST(trim({x}, ' ') AS {t}) END AS BIGINT)"
 
 
 def ts_of(x: str) -> str:
@@ -29,7 +29,7 @@ def ts_text(x: str) -> str:
 
 
 def blank(x: str) -> str:
-    return f"({x} IS NULL OR trim({x}) = '')"
+    return f"({x} IS NULL OR trim({x}, ' ') = '')"
 
 
 RAW_ORDERS = r"""
@@ -39,7 +39,8 @@ raw_orders AS (
          WHEN k % 89 = 0 THEN '  '
          WHEN v = 1 AND k % 53 = 0 THEN ' ORD-' || CAST(k AS VARCHAR) || ' '
          ELSE 'ORD-' || CAST(k AS VARCHAR) END AS order_id,
-    CASE WHEN (k + v) % 23 = 0 THEN '' ELSE 'CUST-' || CAST(c AS VARCHAR) END AS customer_id,
+    CASE WHEN (k + v) % 23 = 0 THEN '' WHEN k % 71 = 0 THEN chr(160) WHEN k % 73 = 0 THEN chr(12288) || ' '
+         WHEN k % 79 = 0 THEN chr(9) ELSE 'CUST-' || CAST(c AS VARCHAR) END AS customer_id,
     CASE WHEN k % 29 = 0 THEN 'UNKNOWN' WHEN k % 31 = 0 THEN ' paid '
          WHEN s = 'F' THEN 'SHIPPED' WHEN s = 'O' THEN 'PENDING'
          WHEN k % 2 = 0 THEN 'PAID' ELSE 'CANCELLED' END AS status,
@@ -48,7 +49,7 @@ raw_orders AS (
          WHEN k % 59 = 0 THEN ' ' || CAST(CAST(round(p * 100) AS BIGINT) AS VARCHAR)
          ELSE CAST(CAST(round(p * 100) AS BIGINT) AS VARCHAR) END AS amount_cents,
     CASE WHEN k % 43 = 0 THEN 'not-a-date'
-         ELSE strftime(d, '%Y-%m-%d') || 'T'
+         ELSE strftime(CASE WHEN v = 1 AND k % 3 = 0 THEN d + INTERVAL 10 YEAR ELSE d END, '%Y-%m-%d') || 'T'
               || lpad(CAST((k + CASE WHEN k % 7 = 0 THEN 0 ELSE 5 * v END) % 24 AS VARCHAR), 2, '0')
               || ':' || lpad(CAST(k % 60 AS VARCHAR), 2, '0') || ':00' END AS updated_at,
     'orders_' || CAST(year(d) AS VARCHAR) || CASE WHEN v = 1 THEN '_b' ELSE '' END || '.csv' AS _source_file,
@@ -82,13 +83,13 @@ staged AS (
     concat_ws('; ',
       CASE WHEN {blank('order_id')} THEN 'order_id is missing' END,
       CASE WHEN {blank('customer_id')} THEN 'customer_id is missing' END,
-      CASE WHEN {blank('status')} OR upper(trim(status)) NOT IN {STATUS_LIST} THEN 'status is invalid' END,
+      CASE WHEN {blank('status')} OR upper(trim(status, ' ')) NOT IN {STATUS_LIST} THEN 'status is invalid' END,
       CASE WHEN amt32 IS NULL OR amt32 < 0 THEN 'amount_cents is invalid' END,
       CASE WHEN ts IS NULL THEN 'updated_at is invalid' END) AS error_message
   FROM (SELECT *, {int_of('amount_cents', 32)} AS amt32, {ts_of('updated_at')} AS ts FROM raw_orders) t
 )"""
 
-_WS = r"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
+_WS = "regexp_replace({x}, '^" + WHITESPACE + "+|" + WHITESPACE + "+$', '', 'g')"
 
 
 def _p_missing(x: str) -> str:
@@ -119,9 +120,9 @@ RAW_ROW_JSON = ("json_object('amount_cents', amount_cents, 'customer_id', custom
 EVENT_ENVELOPE = """
 event_envelope AS (
   SELECT
-    CASE WHEN _k % 101 = 0 THEN '{broken' ELSE
+    CASE WHEN _k % 101 = 0 THEN '{broken ' || CAST(_k * 2 + _version AS VARCHAR) ELSE
       '{"order_id":' || coalesce('"' || order_id || '"', 'null')
-      || ',"customer_id":"' || customer_id || '","status":"' || status || '","amount_cents":'
+      || ',"customer_id":"' || replace(customer_id, chr(9), '\\t') || '","status":"' || status || '","amount_cents":'
       || CASE WHEN amount_cents = 'abc' OR _k % 2 = 1 THEN '"' || amount_cents || '"' ELSE amount_cents END
       || ',"updated_at":"' || updated_at || '"}' END AS raw_json,
     CAST(_k % 4 AS INTEGER) AS eventhub_partition,

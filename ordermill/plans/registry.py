@@ -9,6 +9,7 @@ print them identically. Batches are the two versions of each order
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +28,7 @@ from ordermill.operators.rules import (ERRORS, EVENTS, LAKEHOUSE, LOCAL, STAGING
 from ordermill.operators.audit import run_state
 from ordermill.plans import oracle as O
 from ordermill.schema import ALLOWED_STATUSES
+from ordermill.session import scratch_path
 from ordermill.sources.files import slice_by_file, status_dimension
 from ordermill.sources.bronze import bronze
 from ordermill.sources.orderfeed import load_tables, run_events
@@ -176,20 +178,20 @@ FROM silver o LEFT JOIN statuses st ON o.status = st.status
 GROUP BY o.status, st.status_label""")
 
 
-def _q_summary(spark, sf, omit=()):
+def _q_summary(spark, sf, statuses):
     orders = with_amount(_silver(_orders_of(_checked(spark, sf))))
-    out = status_summary(orders, status_dimension(spark, omit))
+    out = status_summary(orders, statuses)
     return out.withColumn("total_amount", F.round("total_amount", 2))
 
 
 @register("status_summary", _summary_sql(()))
 def q_status_summary(spark, sf):
-    return _q_summary(spark, sf)
+    return _q_summary(spark, sf, status_dimension(spark))
 
 
 @register("status_summary_partial_dim", _summary_sql(("CANCELLED",)))
 def q_status_summary_partial(spark, sf):
-    return _q_summary(spark, sf, omit=("CANCELLED",))
+    return _q_summary(spark, sf, status_dimension(spark, ("CANCELLED",)))
 
 
 # ---------------------------------------------------------------------------
@@ -213,7 +215,7 @@ def q_validate_all_errors(spark, sf):
 
 
 @register("validate_normalised", O.with_ctes(O.RAW_ORDERS, O.STAGED, body="""
-SELECT _k, _version, trim(order_id) AS order_id, trim(customer_id) AS customer_id, upper(trim(status)) AS status,
+SELECT _k, _version, trim(order_id, ' ') AS order_id, trim(customer_id, ' ') AS customer_id, upper(trim(status, ' ')) AS status,
        amt32 AS amount_cents, error_message FROM staged"""))
 def q_validate_normalised(spark, sf):
     c = _checked(spark, sf, STAGING)
@@ -281,10 +283,10 @@ def q_latest_tiebreak(spark, sf):
 
 
 @register("latest_normalised", O.with_ctes(O.RAW_ORDERS, O.STAGED, body=f"""
-SELECT trim(order_id) AS order_id, trim(customer_id) AS customer_id, upper(trim(status)) AS status,
+SELECT trim(order_id, ' ') AS order_id, trim(customer_id, ' ') AS customer_id, upper(trim(status, ' ')) AS status,
        amt32 AS amount_cents, {O.ts_text('ts')} AS updated_at, _source_file
 FROM staged WHERE error_message = ''
-QUALIFY row_number() OVER (PARTITION BY trim(order_id) ORDER BY ts DESC, _loaded_at DESC, _source_file DESC) = 1"""))
+QUALIFY row_number() OVER (PARTITION BY trim(order_id, ' ') ORDER BY ts DESC, _loaded_at DESC, _source_file DESC) = 1"""))
 def q_latest_normalised(spark, sf):
     o = _orders_of(_checked(spark, sf, STAGING))
     s = latest_per_key(o, ["order_id"], list(LATEST_ORDER))
@@ -312,8 +314,8 @@ def q_duplicate_keys(spark, sf):
 
 @register("surplus_duplicates", O.with_ctes(O.RAW_ORDERS, body="""
 SELECT CAST(coalesce(SUM(n - 1), 0) AS BIGINT) AS duplicate_order_id_rows
-FROM (SELECT trim(order_id) AS id, COUNT(*) AS n FROM raw_orders
-      WHERE order_id IS NOT NULL AND trim(order_id) <> '' GROUP BY 1 HAVING COUNT(*) > 1) d"""))
+FROM (SELECT trim(order_id, ' ') AS id, COUNT(*) AS n FROM raw_orders
+      WHERE order_id IS NOT NULL AND trim(order_id, ' ') <> '' GROUP BY 1 HAVING COUNT(*) > 1) d"""))
 def q_surplus_duplicates(spark, sf):
     return surplus_duplicates(_raw(spark, sf), "order_id")
 
@@ -370,8 +372,8 @@ def q_merge_newer(spark, sf):
 
 
 @register("merge_newer_or_equal", _merge_sql("s.updated_at >= t.updated_at", rules_cte=O.STAGED,
-                                             valid="error_message = ''", oid="trim(order_id)",
-                                             cust="trim(customer_id)", st="upper(trim(status))", amt="amt32"))
+                                             valid="error_message = ''", oid="trim(order_id, ' ')",
+                                             cust="trim(customer_id, ' ')", st="upper(trim(status, ' '))", amt="amt32"))
 def q_merge_newer_or_equal(spark, sf):
     tgt, src = _merge_inputs(spark, sf, STAGING)
     return _merged_out(M.upsert(tgt, src, ["order_id"], ["updated_at"], ">=", source_order=list(LATEST_ORDER)))
@@ -523,9 +525,9 @@ def q_merge_unique_content(spark, sf):
     rej = rejected_rows(_checked(spark, sf, LOCAL)).select(
         "order_id", F.col(ERRORS).alias("error_message"), raw_row_json().alias("raw_row"), "_version")
     cols = ["order_id", "error_message", "raw_row"]
-    keys = ["error_message", "raw_row"]
-    tgt = rej.filter(F.col("_version") == 0).select(*cols).dropDuplicates(keys)
-    return M.insert_only(tgt, rej.select(*cols), keys, distinct_source=True)
+    # the order id is part of raw_row: distinct rows are distinct identities
+    tgt = rej.filter(F.col("_version") == 0).select(*cols).distinct()
+    return M.insert_only(tgt, rej.select(*cols).distinct(), ["error_message", "raw_row"])
 
 
 _T_REJECTS = f"""
@@ -601,12 +603,12 @@ SELECT _k, order_id, amount_cents, round(CAST(amount_cents AS DOUBLE) / 100.0, 2
        {O.ts_text('updated_at')} AS updated_at, {O.ts_text('_loaded_at')} AS _loaded_at
 FROM (SELECT _k, order_id, amt AS amount_cents, ts AS updated_at, _loaded_at FROM coded
       WHERE _error_reason = '' AND _version = 1) s
-WHERE _loaded_at > (SELECT max(_loaded_at) FROM silver)"""))
+WHERE updated_at > (SELECT max(updated_at) FROM silver)"""))
 def q_increment_vs_target(spark, sf):
-    """Incremental model: batch rows loaded after the newest load already in the target."""
+    """Incremental model: batch rows updated after the newest update already in the target."""
     o = _orders_of(_checked(spark, sf), keep=LINEAGE + ("_version", "_k"))
     target = _silver(o.filter(F.col("_version") == 0))
-    inc = increment_vs_target(o.filter(F.col("_version") == 1), target, "_loaded_at")
+    inc = increment_vs_target(o.filter(F.col("_version") == 1), target, "updated_at")
     return inc.select("_k", "order_id", "amount_cents", cents_to_amount("amount_cents", 2).alias("amount"),
                       ts_text("updated_at").alias("updated_at"), ts_text("_loaded_at").alias("_loaded_at"))
 
@@ -641,14 +643,14 @@ counters AS (
          {_dq_counter("error_message <> ''")} AS rejected_rows,
          {_dq_counter(O.blank('order_id'))} AS missing_order_id_rows,
          {_dq_counter(O.blank('customer_id'))} AS missing_customer_id_rows,
-         {_dq_counter(O.blank('status') + " OR upper(trim(status)) NOT IN " + O.STATUS_LIST)} AS invalid_status_rows,
+         {_dq_counter(O.blank('status') + " OR upper(trim(status, ' ')) NOT IN " + O.STATUS_LIST)} AS invalid_status_rows,
          {_dq_counter("amt32 IS NULL OR amt32 < 0")} AS invalid_amount_rows,
          {_dq_counter("ts IS NULL")} AS invalid_updated_at_rows
   FROM staged GROUP BY _source_file)""", """
 dups AS (
   SELECT _source_file, CAST(SUM(n - 1) AS BIGINT) AS duplicate_order_id_rows
-  FROM (SELECT _source_file, trim(order_id) AS id, COUNT(*) AS n FROM raw_orders
-        WHERE order_id IS NOT NULL AND trim(order_id) <> '' GROUP BY 1, 2 HAVING COUNT(*) > 1) d
+  FROM (SELECT _source_file, trim(order_id, ' ') AS id, COUNT(*) AS n FROM raw_orders
+        WHERE order_id IS NOT NULL AND trim(order_id, ' ') <> '' GROUP BY 1, 2 HAVING COUNT(*) > 1) d
   GROUP BY 1)""", body="""
 SELECT c._source_file, total_rows, total_rows - rejected_rows AS valid_rows, rejected_rows, missing_order_id_rows,
        missing_customer_id_rows, invalid_status_rows, invalid_amount_rows, invalid_updated_at_rows,
@@ -671,13 +673,13 @@ UNION ALL SELECT 'status split adds up per day', coalesce(coalesce(g.bad_split,
 UNION ALL SELECT 'report dates are unique', coalesce(g.dup_dates = 0, false) FROM s, g"""))
 def q_reconcile_gold(spark, sf):
     silver = _silver(_orders_of(_checked(spark, sf)))
-    return Q.reconcile_daily(silver, daily_metrics(silver))
+    return Q.reconcile_daily(silver)
 
 
 @register("quality_gate", O.with_ctes(*_EVENT_SQL, _EVENT_SILVER_SQL, f"""
 s AS (SELECT COUNT(*) AS silver_rows, COUNT(DISTINCT order_id) AS distinct_order_ids,
              coalesce(SUM(amount_cents), 0) AS silver_total_amount,
-             coalesce(SUM(CASE WHEN trim(coalesce(order_id, '')) = '' OR trim(coalesce(customer_id, '')) = ''
+             coalesce(SUM(CASE WHEN trim(coalesce(order_id, ''), ' ') = '' OR trim(coalesce(customer_id, ''), ' ') = ''
                                  OR status IS NULL OR status NOT IN {O.STATUS_LIST} OR amount_cents IS NULL
                                  OR amount_cents <= 0 OR updated_at IS NULL THEN 1 ELSE 0 END), 0) AS invalid_rows
       FROM event_silver)""", f"""
@@ -693,8 +695,7 @@ UNION ALL SELECT 'gold total_orders matches silver', coalesce(g.orders = s.silve
 UNION ALL SELECT 'gold total_amount matches silver', coalesce(g.amount = s.silver_total_amount, false) FROM s, g
 UNION ALL SELECT 'status counts add up to total_orders', coalesce(g.status_total = g.orders, false) FROM s, g"""))
 def q_quality_gate(spark, sf):
-    silver = _event_silver(_valid_events(spark, sf))
-    return Q.event_gate(silver, total_metrics(silver))
+    return Q.event_gate(_event_silver(_valid_events(spark, sf)))
 
 
 @register("test_not_null", O.with_ctes(O.RAW_ORDERS, body="""
@@ -764,6 +765,18 @@ def q_latest_run_state(spark, sf):
                      F.date_format("finished_at", fmt).alias("finished_at"), "event_count")
 
 
+def _written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """A stored table in a fresh folder under the checkpoint folder."""
+    path = scratch_path(spark, name, uuid.uuid4().hex)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _store(spark: SparkSession, name: str):
+    from ordermill.plans.store import Store
+    return Store(spark, scratch_path(spark, name, uuid.uuid4().hex))
+
+
 # ---------------------------------------------------------------------------
 # Streaming (ST1-ST6, SC8): a file stream of the envelope drained into stores
 # ---------------------------------------------------------------------------
@@ -771,9 +784,6 @@ def q_latest_run_state(spark, sf):
 def _stream_workdir(spark: SparkSession, sf: str) -> tuple[str, str]:
     """Drop the bronze envelope into an inbox as three deliveries: batch 0, batch 1 and batch 0
     again (an at-least-once re-delivery the sink must absorb)."""
-    import uuid
-
-    from ordermill.session import scratch_path
     root = scratch_path(spark, "stream", uuid.uuid4().hex)
     env = _envelope(spark, sf)
     cols = ["raw_json", "eventhub_partition", "kafka_offset", "enqueued_at"]
@@ -820,11 +830,8 @@ SELECT NULLIF(order_id, '') AS order_id, NULLIF(customer_id, '') AS customer_id,
        NULLIF(amount_cents, '') AS amount_cents, NULLIF(updated_at, '') AS updated_at FROM raw_orders"""))
 def q_csv_roundtrip(spark, sf):
     """Export the feed as header CSV files, read them back with the strict header check."""
-    import uuid
-
     from ordermill.plans.store import export_csv
     from ordermill.schema import ORDER_COLUMNS
-    from ordermill.session import scratch_path
     from ordermill.sources.files import read_orders
     path = scratch_path(spark, "csv", uuid.uuid4().hex)
     export_csv(_raw(spark, sf), path, columns=ORDER_COLUMNS, ts_columns=())
@@ -851,12 +858,9 @@ FROM (SELECT t.order_id AS t_id, s.order_id AS s_id, t.customer_id AS t_c, s.cus
 def q_incremental_run(spark, sf):
     """Two incremental runs (batch 0, then batch 1) of the first-error pipeline into a fresh store:
     watermark skip, upsert as change rows, insert-ignore quarantine, atomic publish, run log."""
-    import uuid
-
     from ordermill.plans.runs import ORDERS_TABLE, run_incremental
     from ordermill.plans.store import Store
     from ordermill.schema import ORDER_COLUMNS
-    from ordermill.session import scratch_path
     raw = _raw(spark, sf)
     store = Store(spark, scratch_path(spark, "runs", uuid.uuid4().hex))
     for v in (0, 1):
@@ -882,12 +886,9 @@ FROM (SELECT t.order_id AS t_id, s.order_id AS s_id, t.customer_id AS t_c, s.cus
       FROM t FULL OUTER JOIN s ON t.order_id = s.order_id) j"""))
 def q_replay_run(spark, sf):
     """Replay each batch over a half-open window into a fresh store (no watermark involved)."""
-    import uuid
-
     from ordermill.plans.runs import ORDERS_TABLE, run_replay
     from ordermill.plans.store import Store
     from ordermill.schema import ORDER_COLUMNS
-    from ordermill.session import scratch_path
     raw = _raw(spark, sf)
     store = Store(spark, scratch_path(spark, "replays", uuid.uuid4().hex))
     for v in (0, 1):
@@ -918,11 +919,15 @@ SELECT CAST(CAST(CAST(updated_at AS TIMESTAMP) AS DATE) AS VARCHAR) AS report_da
        CAST(SUM(CASE WHEN status = 'PAID' THEN amount_cents ELSE 0 END) AS BIGINT) AS paid_amount_cents
 FROM (""" + _MERGE_NEWER_SQL + """) merged GROUP BY 1""")
 def q_daily_metrics_refresh(spark, sf):
-    """Gold of the existing state, refreshed for the dates the update batch touches only."""
+    """Gold of the existing state, refreshed for the dates the update batch touches only.
+
+    State and change set are stored tables, as in the pipeline, so each is computed once."""
     from ordermill.operators.metrics import refresh_daily_metrics
     tgt, src = _merge_inputs(spark, sf)
-    changes = M.upsert_changes(tgt, src, ["order_id"], ["updated_at"], ">", source_order=list(LATEST_ORDER))
-    after = M.apply_changes(tgt, changes.withColumn(M.SEQ, F.lit("1")), ["order_id"])
+    tgt = _written(spark, tgt, "state")
+    changes = _written(spark, M.upsert_changes(tgt, src, ["order_id"], ["updated_at"], ">",
+                                               source_order=list(LATEST_ORDER)).drop(M.CHANGE), "changes")
+    after = M.apply_changes(tgt, changes.withColumn(M.SEQ, F.lit(0)), ["order_id"])
     gold = refresh_daily_metrics(daily_metrics(tgt), tgt, changes, after)
     return gold.withColumn("report_date", F.date_format("report_date", "yyyy-MM-dd"))
 
@@ -931,24 +936,259 @@ def q_daily_metrics_refresh(spark, sf):
 def q_stream_order_files(spark, sf):
     """New-file discovery: CSV files landing in a folder are picked up by a file stream (glob,
     strict header, lineage) and merged insert-only into bronze; the folder is drained twice."""
-    import uuid
-
     from ordermill.plans.runs import BRONZE, ingest_bronze
     from ordermill.plans.store import Store, export_csv
     from ordermill.schema import ORDER_COLUMNS
-    from ordermill.session import scratch_path
     from ordermill.streaming.jobs import run_available_now
     from ordermill.streaming.sources import read_order_files
     root = scratch_path(spark, "files", uuid.uuid4().hex)
     export_csv(_raw(spark, sf), f"{root}/landing", columns=ORDER_COLUMNS, ts_columns=())
     store = Store(spark, f"{root}/lake")
 
-    runs = iter(range(1, 1_000_000))
-
     def sink(batch, batch_id):
-        ingest_bronze(store, batch, f"{next(runs):012d}")      # run ids increase across both drains
+        ingest_bronze(store, batch, f"files-{batch_id:012d}")
 
     for attempt in ("checkpoint", "checkpoint-lost"):     # a lost checkpoint replays every file
         run_available_now(read_order_files(spark, f"{root}/landing", pattern="part-*.csv", max_files_per_trigger=4),
                           sink, f"{root}/{attempt}")
     return store.read(BRONZE).select(*ORDER_COLUMNS)
+
+
+# ---------------------------------------------------------------------------
+# Replays, reruns and writers that share a table: each must equal its batch result (K7, ST2, ST5, ST6, M5)
+# ---------------------------------------------------------------------------
+
+@register("stream_bronze_replay", ORACLE["stream_bronze"])
+def q_stream_bronze_replay(spark, sf):
+    """Every micro-batch delivered twice under one and the same batch id."""
+    from ordermill.streaming.sinks import BronzeSink
+    env, store = _envelope(spark, sf), _store(spark, "replays")
+    sink = BronzeSink(store)
+    for b in (0, 0, 1, 1):
+        sink(env.filter(F.col("_batch") == b), 0)
+    sink.tidy()
+    return store.read(sink.table).select("raw_json", "eventhub_partition", "kafka_offset",
+                                         ts_text("enqueued_at").alias("enqueued_at"))
+
+
+@register("stream_silver_restart", ORACLE["stream_silver"])
+def q_stream_silver_restart(spark, sf):
+    """A lost checkpoint after a compaction: the restarted sink counts its batches from 0 again."""
+    from ordermill.streaming.sinks import EventSilverSink
+    env, store = _envelope(spark, sf), _store(spark, "restarts")
+    old, new = [env.filter(F.col("_batch") == b) for b in (0, 1)]
+    EventSilverSink(store)(old, 7)
+    store.compact("silver_events", "silver-compact")
+    sink = EventSilverSink(store)
+    for i, batch in enumerate((new, old)):
+        sink(batch, i)
+    sink.tidy()
+    return store.read(sink.table).select("order_id", "status", "amount_cents", ts_text("updated_at").alias("updated_at"),
+                                         ts_text("enqueued_at").alias("enqueued_at"), "eventhub_partition", "kafka_offset")
+
+
+def _order_state(store) -> DataFrame:
+    from ordermill.plans.runs import ORDERS_TABLE
+    return store.read(ORDERS_TABLE).select("order_id", "customer_id", "status", "amount_cents",
+                                           ts_text("updated_at").alias("updated_at"))
+
+
+def _run_batches(spark, sf, ids: tuple[str, ...], versions: tuple[int, ...]):
+    from ordermill.plans.runs import run_incremental
+    raw, store = _raw(spark, sf), _store(spark, "runs")
+    for run_id, v in zip(ids, versions):
+        run_incremental(spark, store, raw.filter(F.col("_version") == v).select(*ORDER_COLS), run_id=run_id)
+    return store
+
+
+@register("incremental_rerun", ORACLE["incremental_run"])
+def q_incremental_rerun(spark, sf):
+    """Each incremental run repeated under its run id: the repetition changes nothing."""
+    return _order_state(_run_batches(spark, sf, ("job-1", "job-1", "job-2", "job-2"), (0, 0, 1, 1)))
+
+
+_NEWER_BODY = f"""
+SELECT CASE WHEN w THEN s_id ELSE t_id END AS order_id, CASE WHEN w THEN s_c ELSE t_c END AS customer_id,
+       CASE WHEN w THEN s_st ELSE t_st END AS status, CASE WHEN w THEN s_a ELSE t_a END AS amount_cents,
+       {O.ts_text("CASE WHEN w THEN s_u ELSE t_u END")} AS updated_at
+FROM (SELECT t.order_id AS t_id, s.order_id AS s_id, t.customer_id AS t_c, s.customer_id AS s_c,
+             t.status AS t_st, s.status AS s_st, t.amount_cents AS t_a, s.amount_cents AS s_a,
+             t.updated_at AS t_u, s.updated_at AS s_u,
+             s.order_id IS NOT NULL AND (t.order_id IS NULL OR s.updated_at > t.updated_at) AS w
+      FROM t FULL OUTER JOIN s ON t.order_id = s.order_id) j"""
+
+
+@register("mixed_writers", O.with_ctes(O.RAW_ORDERS, O.FIRST_ERROR, """
+pv AS (SELECT order_id, customer_id, status, amt AS amount_cents, ts AS updated_at, _version, _k FROM first_error
+       WHERE error_message = '')""", """
+t AS (SELECT * FROM pv WHERE _version = 0 AND _k % 101 <> 0)""", """
+s AS (SELECT * FROM pv WHERE _version = 1)""", body=_NEWER_BODY))
+def q_mixed_writers(spark, sf):
+    """The message sink and then an incremental load write one orders table."""
+    from ordermill.plans.runs import run_incremental
+    from ordermill.streaming.sinks import OrderMessageSink
+    from ordermill.streaming.sources import order_messages
+    store, env = _store(spark, "mixed"), _envelope(spark, sf)
+    OrderMessageSink(store)(order_messages(env.filter(F.col("_batch") == 0)), 0)
+    run_incremental(spark, store, _raw(spark, sf).filter(F.col("_version") == 1).select(*ORDER_COLS), run_id="1-load")
+    return _order_state(store)
+
+
+@register("order_messages", O.with_ctes(O.RAW_ORDERS, O.EVENT_ENVELOPE, f"""
+m AS (SELECT raw_json, coalesce(json_valid(raw_json), false) AS ok, {O._jx('order_id')} AS order_id,
+        {O._jx('customer_id')} AS customer_id, {O._jx('status')} AS status, {O._jx('amount_cents')} AS amount_cents,
+        {O._jx('updated_at')} AS updated_at FROM event_envelope)""",
+    O.FIRST_ERROR.replace("FROM raw_orders", "FROM m WHERE ok"), body=f"""
+SELECT DISTINCT order_id, error_message, {O.RAW_ROW_JSON} AS raw_row FROM first_error WHERE error_message <> ''
+UNION ALL SELECT NULL, 'None: malformed row', raw_json FROM m WHERE NOT ok"""))
+def q_order_messages(spark, sf):
+    """Order messages from the topic envelope: every broken message is one reject with its raw text."""
+    from ordermill.plans.runs import REJECTS_TABLE
+    from ordermill.streaming.sinks import OrderMessageSink
+    from ordermill.streaming.sources import order_messages
+    store, env = _store(spark, "messages"), _envelope(spark, sf)
+    sink = OrderMessageSink(store)
+    for b in (0, 1, 1):
+        sink(order_messages(env.filter(F.col("_batch") == b)), b)
+    return store.read(REJECTS_TABLE).select("order_id", "error_message", "raw_row")
+
+
+@register("event_quarantine", O.with_ctes(*_EVENT_SQL, f"""
+bad AS (SELECT *, concat_ws('; ', CASE WHEN malformed THEN 'malformed_row' END,
+        CASE WHEN {O.blank('order_id')} THEN 'missing_order_id' END,
+        CASE WHEN {O.blank('customer_id')} THEN 'missing_customer_id' END,
+        CASE WHEN status IS NULL OR status NOT IN {O.STATUS_LIST} THEN 'invalid_status' END,
+        CASE WHEN amount_cents IS NULL THEN 'invalid_amount' END,
+        CASE WHEN amount_cents <= 0 THEN 'non_positive_amount' END,
+        CASE WHEN updated_at IS NULL THEN 'invalid_updated_at' END) AS error_message FROM parsed_events)""", body="""
+SELECT e.raw_json, b.eventhub_partition, b.kafka_offset, b.error_message
+FROM bad b JOIN event_envelope e USING (eventhub_partition, kafka_offset) WHERE b.error_message <> ''"""))
+def q_event_quarantine(spark, sf):
+    """Rejected events and broken messages of the event stream, kept with their raw text."""
+    from ordermill.streaming.sinks import EventSilverSink
+    store, env = _store(spark, "quarantine"), _envelope(spark, sf)
+    sink = EventSilverSink(store)
+    for b in (0, 1, 0):
+        sink(env.filter(F.col("_batch") == b), b)
+    return store.read(f"{sink.table}_quarantine").select("raw_json", "eventhub_partition", "kafka_offset", "error_message")
+
+
+# ---------------------------------------------------------------------------
+# Whole runs: staging with its report, full load, one file, increment into the model, run history
+# ---------------------------------------------------------------------------
+
+def _staging_runs(spark, sf):
+    from ordermill.plans.runs import run_staging
+    raw, store = _raw(spark, sf), _store(spark, "staging")
+    for v, run_id in ((0, "staging-0"), (1, "staging-1"), (1, "staging-1")):
+        run_staging(store, raw.filter(F.col("_version") == v), run_id, "orders_*.csv")
+    return store
+
+
+@register("staging_run", O.with_ctes(O.RAW_ORDERS, O.STAGED, """
+pv AS (SELECT trim(order_id, ' ') AS order_id, trim(customer_id, ' ') AS customer_id, upper(trim(status, ' ')) AS status,
+              amt32 AS amount_cents, ts AS updated_at, _version FROM staged WHERE error_message = '')""", """
+t AS (SELECT * FROM pv WHERE _version = 0)""", """
+s AS (SELECT * FROM pv WHERE _version = 1)""", body=_NEWER_BODY.replace("s.updated_at > t.updated_at", "s.updated_at >= t.updated_at")))
+def q_staging_run(spark, sf):
+    """Staging load, newer-or-equal upsert, rejects, report and run log, per batch; the last run repeated."""
+    from ordermill.plans.runs import STAGED_ORDERS
+    return _staging_runs(spark, sf).read(STAGED_ORDERS).select(
+        "order_id", "customer_id", "status", "amount_cents", ts_text("updated_at").alias("updated_at"))
+
+
+@register("dq_report_by_run", ORACLE["dq_report"].replace("GROUP BY _source_file)", "GROUP BY _version)")
+          .replace("SELECT _source_file, COUNT(*) AS total_rows", "SELECT _version, COUNT(*) AS total_rows")
+          .replace("SELECT _source_file, CAST(SUM(n - 1) AS BIGINT)", "SELECT _version, CAST(SUM(n - 1) AS BIGINT)")
+          .replace("SELECT _source_file, trim(order_id, ' ') AS id", "SELECT _version, trim(order_id, ' ') AS id")
+          .replace("SELECT c._source_file,", "SELECT 'staging-' || CAST(c._version AS VARCHAR) AS run_id, 'orders_*.csv' AS source_file_pattern,")
+          .replace("ON c._source_file = d._source_file", "ON c._version = d._version"))
+def q_dq_report_by_run(spark, sf):
+    """One report row per run id, also when a run is repeated."""
+    from ordermill.plans.runs import REPORTS
+    return _staging_runs(spark, sf).read(REPORTS).drop("checked_at")
+
+
+@register("full_load_run", O.with_ctes(*_CODED_SQL, body=f"""
+SELECT order_id, customer_id, status, amt AS amount_cents, {O.ts_text('ts')} AS updated_at, _source_file FROM coded
+WHERE _error_reason = ''
+QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY ts DESC, _loaded_at DESC, status DESC, amt DESC, customer_id DESC) = 1"""))
+def q_full_load_run(spark, sf):
+    """Bronze overwrite -> silver -> quarantine -> gold -> checks, published together (run twice)."""
+    from ordermill.plans.runs import SILVER, full_load
+    store = _store(spark, "full")
+    raw = _raw(spark, sf).select(*ORDER_COLS, "_source_file", F.col("_loaded_at").alias("_ingested_at"))
+    for run_id in ("full-1", "full-2"):
+        full_load(store, raw, run_id)
+    return store.read(SILVER).select("order_id", "customer_id", "status", "amount_cents",
+                                     ts_text("updated_at").alias("updated_at"), "_source_file")
+
+
+UPDATE_FILE = SLICE_FILE.replace(".csv", "_b.csv")
+
+
+@register("reprocess_run", O.with_ctes(*_CODED_SQL, f"""
+v AS (SELECT order_id, status, amt AS amount_cents, ts AS updated_at, _version FROM coded
+      WHERE _error_reason = '' AND _source_file IN ('{SLICE_FILE}', '{UPDATE_FILE}'))""", """
+silver AS (SELECT order_id, status, amount_cents, updated_at FROM v
+           QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY updated_at DESC, _version) = 1)""", _DAILY_SQL, body="""
+SELECT CAST(report_date AS VARCHAR) AS report_date, total_orders, total_amount_cents, paid_orders, shipped_orders,
+       pending_orders, cancelled_orders, paid_amount_cents FROM daily"""))
+def q_reprocess_run(spark, sf):
+    """Bronze ingest of the whole feed, then one file and its update file reprocessed into silver and gold."""
+    from ordermill.plans.runs import GOLD, ingest_bronze, reprocess_file
+    store = _store(spark, "files")
+    raw = _raw(spark, sf).select(*ORDER_COLS, "_source_file", F.col("_loaded_at").alias("_ingested_at"))
+    ingest_bronze(store, raw, "ingest-1")
+    for name in (SLICE_FILE, UPDATE_FILE):
+        reprocess_file(store, name, f"file-{name}")
+    return store.read(GOLD).drop("_calculated_at").withColumn("report_date", F.date_format("report_date", "yyyy-MM-dd"))
+
+
+@register("incremental_model", O.with_ctes(*_CODED_SQL, """
+t AS (SELECT order_id, customer_id, status, amt AS amount_cents, ts AS updated_at FROM coded WHERE _error_reason = '' AND _version = 0)""", """
+s AS (SELECT trim(order_id, ' ') AS k, order_id, customer_id, status, amt AS amount_cents, ts AS updated_at FROM coded
+      WHERE _error_reason = '' AND _version = 1 AND ts > (SELECT max(updated_at) FROM t))""", body=_NEWER_BODY))
+def q_incremental_model(spark, sf):
+    """The increment beyond the model's own newest update, merged into the model by id."""
+    o = _orders_of(_checked(spark, sf), keep=("_version",))
+    model = o.filter(F.col("_version") == 0).drop("_version")
+    inc = increment_vs_target(o.filter(F.col("_version") == 1).drop("_version"), model, "updated_at")
+    return M.replace_by_key(model, inc, ["order_id"], source_order=["updated_at"]).drop(M.CHANGE).withColumn(
+        "updated_at", ts_text("updated_at"))
+
+
+@register("run_history", O.with_ctes(O.RAW_ORDERS, O.FIRST_ERROR, """
+wm AS (SELECT max(ts) AS wm FROM first_error WHERE error_message = '' AND _version = 0)""", body="""
+SELECT 'job-' || CAST(_version + 1 AS VARCHAR) AS run_id, 'SUCCESS' AS run_status, COUNT(*) AS extracted_count,
+       CAST(SUM(CASE WHEN error_message = '' THEN 1 ELSE 0 END) AS BIGINT) AS valid_count,
+       CAST(SUM(CASE WHEN error_message <> '' THEN 1 ELSE 0 END) AS BIGINT) AS rejected_count
+FROM first_error GROUP BY _version"""))
+def q_run_history(spark, sf):
+    """The run mart after two incremental runs, from the append-only run events they wrote."""
+    from ordermill.operators.audit import mart_pipeline_runs, read_events
+    store = _run_batches(spark, sf, ("job-1", "job-2"), (0, 1))
+    mart = mart_pipeline_runs(run_state(read_events(spark, f"{store.root}/_runs")))
+    return mart.select("run_id", "run_status", "extracted_count", "valid_count", "rejected_count")
+
+
+LOOKUP_IDS = ("ORD-1", "ORD-7", "ORD-64", "ORD-4711")
+
+
+@register("order_lookup", ORACLE["incremental_run"] + f"""
+WHERE (CASE WHEN w THEN s_id ELSE t_id END) IN {LOOKUP_IDS}""")
+def q_order_lookup(spark, sf):
+    """Rows of the stored orders table by id."""
+    from ordermill.plans.runs import ORDERS_TABLE
+    store = _run_batches(spark, sf, ("job-1", "job-2"), (0, 1))
+    return store.lookup(ORDERS_TABLE, "order_id", LOOKUP_IDS).select(
+        "order_id", "customer_id", "status", "amount_cents", ts_text("updated_at").alias("updated_at"))
+
+
+@register("status_summary_seed", ORACLE["status_summary"])
+def q_status_summary_seed(spark, sf):
+    """The status summary with its labels read from a seed file."""
+    from ordermill.sources.files import read_seed
+    path = scratch_path(spark, "seed", uuid.uuid4().hex)
+    status_dimension(spark).coalesce(1).write.option("header", True).csv(path)
+    return _q_summary(spark, sf, read_seed(spark, path))

@@ -1,34 +1,39 @@
 """Pipeline runs composed from the operators: incremental load, replay, file reprocess.
 
 A run is a handful of Spark jobs driven by plain Python: validate once
-(checkpointed in the shared folder so every output sees the same rows and a
+(written as a table under the run so every output sees the same rows and a
 lost executor re-reads instead of re-scanning), gate on counts and duplicates,
 merge into the current snapshots, publish all outputs atomically, then log
-the run. Only one-row aggregates and bounded id samples reach the driver.
+the run. Only one-row aggregates reach the driver.
+
+A repeated run id overwrites nothing: every merge is idempotent, so a rerun changes nothing.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.functions.json import raw_row_json
+from ordermill.functions.text import iso_text
 from ordermill.operators import merge as M
 from ordermill.operators.audit import FAILED, RUNNING, SUCCESS, append_event, run_event, new_run_id
-from ordermill.operators.dedupe import duplicate_keys, sorted_duplicate_ids
+from ordermill.operators.dedupe import duplicate_keys
 from ordermill.operators.incremental import after_watermark, check_window, replay_window
-from ordermill.operators.rules import ERRORS, LAKEHOUSE, LOCAL, RuleSet, apply_rules, to_orders
-from ordermill.operators.quality import QualityError
-from ordermill.plans.store import Store, export_csv
-from ordermill.schema import ORDER_SCHEMA, PIPELINE_NAME, REJECTED_EXPORT_COLUMNS
-from ordermill.session import conf_override, reliable
+from ordermill.operators.rules import ERRORS, LAKEHOUSE, LOCAL, MALFORMED, STAGING, RuleSet, apply_rules, to_orders
+from ordermill.operators.quality import QualityError, run_report
+from ordermill.plans.store import Store, export_csv, load_staging
+from ordermill.schema import ORDER_COLUMNS, ORDER_SCHEMA, PIPELINE_NAME, REJECTED_EXPORT_COLUMNS
+from ordermill.session import conf_override
 from ordermill.sources.files import read_orders
 
 REJECTED_SCHEMA = "order_id string, error_message string, raw_row string, rejected_at timestamp"
 STATE_SCHEMA = "pipeline_name string, last_watermark string"
-ORDERS_TABLE, REJECTS_TABLE, STATE_TABLE = "orders", "rejected_orders", "pipeline_state"
+ORDERS_TABLE, REJECTS_TABLE, STATE_TABLE, DUPLICATES = "orders", "rejected_orders", "pipeline_state", "duplicate_ids"
 # "Newest row per order" inside one batch: time first, then the row's values, so that equal
 # times still give one deterministic winner (rows equal in all of these are the same row).
 BATCH_ORDER = ["updated_at", "status", "amount_cents", "customer_id"]
@@ -45,91 +50,79 @@ def read_watermark(store: Store, name: str = PIPELINE_NAME) -> str | None:
     return None if row is None else row["last_watermark"]
 
 
-def _counts(checked: DataFrame) -> dict:
-    row = checked.agg(F.count(F.lit(1)).alias("extracted_count"),
-                      F.sum(F.when(F.col(ERRORS) == "", 1).otherwise(0)).alias("valid_count")).first()
-    extracted = int(row["extracted_count"])
-    valid = int(row["valid_count"] or 0)
-    return {"extracted_count": extracted, "valid_count": valid, "rejected_count": extracted - valid}
-
-
-COMPACT_AFTER = 16   # deltas per keyed table before the state is rewritten as a new base
+def publish_changes(store: Store, table: str, changes: DataFrame, keys: list[str], run_id: str,
+                    others: dict[str, DataFrame] | None = None, appends=(), hook=None, seen: int | None = None) -> dict:
+    """Publish upsert change rows of ``table`` as a delta, atomically with ``others``."""
+    outputs = {**(others or {}), table: changes.drop(M.CHANGE)}
+    return store.publish(outputs, run_id, hook=hook, appends=appends, deltas={table: keys}, bloom={table: keys}, seen=seen)
 
 
-def publish_changes(store: Store, table: str, changes: DataFrame, keys: list[str], run_id: str,
-                    others: dict[str, DataFrame] | None = None, appends=(), hook=None,
-                    compact_after: int = COMPACT_AFTER) -> None:
-    """Publish upsert change rows of ``table`` (as a delta, or folded into a new base once
-    ``compact_after`` deltas are pending) atomically with ``others``."""
-    outputs = dict(others or {})
-    changes = changes.drop(M.CHANGE)
-    if store.pending_deltas(table) + 1 >= compact_after:
-        base, app, deltas, _ = store.layout(table)
-        current = store.read(table) if (base or app or deltas) else None
-        cols = [c for c in changes.columns]
-        staged = changes.withColumn(M.SEQ, F.lit(run_id))
-        if current is not None:
-            prior = current.select(*cols).withColumn(M.SEQ, F.lit(""))
-            outputs[table] = M.apply_changes(None, prior.unionByName(staged), keys)
-        else:
-            outputs[table] = M.apply_changes(None, staged, keys)
-        store.publish(outputs, run_id, hook=hook, operation="COMPACT", appends=appends, bloom={table: keys})
-    else:
-        outputs[table] = changes
-        store.publish(outputs, run_id, hook=hook, appends=appends, deltas={table: keys}, bloom={table: keys})
-
-
-def _load(store: Store, checked: DataFrame, new_orders: DataFrame, run_id: str, watermark_update: bool,
-          current_wm: str | None, hook, name: str) -> dict:
-    """Upsert new orders (M2) as change rows, insert-ignore rejects (M7), advance the watermark (I2),
-    publish everything together (K7)."""
+def _load(store: Store, checked: DataFrame, new_orders: DataFrame, run_id: str, hook, others: dict[str, DataFrame],
+          seen: int) -> dict:
+    """Upsert new orders (M2) as change rows, insert-ignore rejects (M7) and publish them with
+    ``others`` (the advanced watermark, I2) together (K7)."""
     target = store.read(ORDERS_TABLE, ORDER_SCHEMA)
     changes = M.upsert_changes(target, new_orders.select(*ORDER_SCHEMA.fieldNames()), ["order_id"],
                                ["updated_at"], ">", source_order=BATCH_ORDER)
+    # the raw text of a malformed row or message is its identity; else its values are, order id included
+    raw_row = raw_row_json()
+    if MALFORMED in checked.columns:
+        raw_row = F.coalesce(F.col(MALFORMED), raw_row)
     rejects = checked.filter(F.col(ERRORS) != "").select(
-        "order_id", F.col(ERRORS).alias("error_message"), raw_row_json().alias("raw_row"),
-        F.current_timestamp().alias("rejected_at"))
+        "order_id", F.col(ERRORS).alias("error_message"), raw_row.alias("raw_row")).distinct()
     q_target = store.read(REJECTS_TABLE, REJECTED_SCHEMA)
-    added = M.new_rows(q_target, rejects, ["error_message", "raw_row"], distinct_source=True)
-
-    obs_m, obs_q = Observation("merge"), Observation("quarantine")
-    changes = changes.observe(obs_m, F.count(F.lit(1)).alias("changed"))
-    added = added.observe(obs_q, F.count(F.lit(1)).alias("quarantined"))
-    others = {REJECTS_TABLE: added}
-    new_wm = current_wm
-    if watermark_update:
-        top = new_orders.agg(F.date_format(F.max("updated_at"), "yyyy-MM-dd'T'HH:mm:ss").alias("wm")).first()["wm"]
-        new_wm = top or current_wm
-        others[STATE_TABLE] = store.spark.createDataFrame([(name, new_wm)], STATE_SCHEMA)
-    publish_changes(store, ORDERS_TABLE, changes, ["order_id"], run_id, others, appends=[REJECTS_TABLE], hook=hook)
-    return {"changed_count": int(obs_m.get.get("changed") or 0),
-            "quarantined_count": int(obs_q.get.get("quarantined") or 0), "watermark": new_wm}
-
-
-def validate_once(raw: DataFrame, rules: RuleSet, exact_header: bool) -> DataFrame:
-    """Apply the rules and checkpoint the result (the one job that reads every column).
-
-    With ``exact_header`` the CSV header check runs case-sensitively during that job,
-    so a file whose header differs from the expected names even in case fails the run.
+    added = M.new_rows(q_target, rejects, ["error_message", "raw_row"]).withColumn("rejected_at", F.current_timestamp())
+
+    paths = publish_changes(store, ORDERS_TABLE, changes, ["order_id"], run_id, {REJECTS_TABLE: added, **others},
+                            appends=[REJECTS_TABLE], hook=hook, seen=seen)
+    return {"changed_count": _written(store, paths[ORDERS_TABLE]), "quarantined_count": _written(store, paths[REJECTS_TABLE])}
+
+
+def _written(store: Store, path: str) -> int:
+    """Rows of a folder just written (from its files' footers)."""
+    return store.spark.read.schema("_any int").parquet(path).count()
+
+
+def validate_once(raw: DataFrame, rules: RuleSet, exact_header: bool, path: str) -> DataFrame:
+    """Apply the rules and write the result to ``path`` (the one job that reads every column).
+
+    Later jobs read the columns they need from there. With ``exact_header`` the CSV header
+    check runs case-sensitively during that job, so a file whose header differs from the
+    expected names even in case fails the run.
     """
-    if not exact_header:
-        return reliable(apply_rules(raw, rules))
-    with conf_override(raw.sparkSession, {"spark.sql.caseSensitive": "true"}):
-        return reliable(apply_rules(raw, rules))
+    checked = apply_rules(raw, rules)
+    with conf_override(raw.sparkSession, {"spark.sql.caseSensitive": "true"} if exact_header else {}):
+        checked.write.parquet(path)
+    return raw.sparkSession.read.schema(checked.schema).parquet(path)
+
+
+def _work_path(store: Store, run_id: str, name: str) -> str:
+    """A folder of this attempt of a run (a repeated run id gets another one)."""
+    return f"{store.root}/_work/{run_id}/{uuid.uuid4().hex}/{name}"
+
+
+def _counts(checked: DataFrame, watermark: str | None = None) -> tuple[dict, str | None]:
+    """Row counts and the newest valid time beyond the watermark, in one aggregate."""
+    valid = F.col(ERRORS) == ""
+    new = valid if watermark is None else valid & (
+        F.col("_updated_at") > F.lit(datetime.fromisoformat(watermark)).cast("timestamp_ntz"))
+    n = lambda c: F.coalesce(F.sum(F.when(c, 1).otherwise(0)), F.lit(0)).cast("bigint")
+    row = checked.agg(F.count(F.lit(1)).alias("all"), n(valid).alias("valid"), n(new).alias("new"),
+                      iso_text(F.max(F.when(new, F.col("_updated_at")))).alias("top")).first()
+    return {"extracted_count": row["all"], "valid_count": row["valid"], "rejected_count": row["all"] - row["valid"],
+            "late_count": row["valid"] - row["new"]}, row["top"]
 
 
-def _gates(checked: DataFrame, counts: dict, on_duplicates: str) -> None:
+def _gates(store: Store, checked: DataFrame, counts: dict, run_id: str) -> None:
+    """Fail the batch on duplicate ids: all of them are written as a table of the run, sorted."""
     if counts["valid_count"] + counts["rejected_count"] != counts["extracted_count"]:
         raise PipelineError(f"Row count mismatch: {counts}")
-    if on_duplicates == "fail":
-        valid = checked.filter(F.col(ERRORS) == "")
-        ids = sorted_duplicate_ids(valid, "_order_id", limit=100)
-        if ids:
-            more = ""
-            if len(ids) == 100:        # bounded message: first 100 sorted ids and the total
-                total = duplicate_keys(valid, "_order_id").count()
-                more = f" ... ({total} duplicated ids in total)" if total > 100 else ""
-            raise PipelineError(f"Duplicate order IDs: {ids}{more}")
+    twice = duplicate_keys(checked.filter(F.col(ERRORS) == ""), "_order_id").withColumnRenamed("_order_id", "order_id")
+    path = _work_path(store, run_id, DUPLICATES)
+    twice.orderBy("order_id").write.parquet(path)
+    n = _written(store, path)
+    if n:
+        raise PipelineError(f"Duplicate order IDs: {n}, listed in {path}")
 
 
 def run_incremental(spark: SparkSession, store: Store, source: str | DataFrame, rules: RuleSet = LOCAL,
@@ -140,7 +133,8 @@ def run_incremental(spark: SparkSession, store: Store, source: str | DataFrame,
 
     Rows at or below the stored watermark are skipped (reported as ``late_count``);
     quarantine is not watermark-filtered. ``on_duplicates='latest'`` keeps the newest
-    row per id instead of failing the batch.
+    row per id instead of failing the batch. ``hook`` runs after the outputs are written
+    and before they are committed.
     """
     run_id = run_id or new_run_id()
     log = f"{store.root}/_runs"
@@ -148,24 +142,28 @@ def run_incremental(spark: SparkSession, store: Store, source: str | DataFrame,
     summary = {"extracted_count": 0, "valid_count": 0, "rejected_count": 0, "changed_count": 0,
                "quarantined_count": 0, "late_count": 0}
     try:
+        seen = store.head()
         wm = read_watermark(store, name)
-        raw = read_orders(spark, source, empty_as_null=False, flag_malformed=True) if isinstance(source, str) else source
-        checked = validate_once(raw, rules, exact_header=isinstance(source, str))
-        summary.update(_counts(checked))
-        _gates(checked, summary, on_duplicates)
+        raw = read_orders(spark, source, empty_as_null=False) if isinstance(source, str) else source
+        checked = validate_once(raw, rules, isinstance(source, str), _work_path(store, run_id, "checked"))
+        counts, top = _counts(checked, wm)
+        summary.update(counts)
+        if on_duplicates == "fail":
+            _gates(store, checked, summary, run_id)
         valid = to_orders(checked.filter(F.col(ERRORS) == ""))
-        new = after_watermark(valid, "updated_at", wm)
-        summary["late_count"] = summary["valid_count"] - new.count()
-        loaded = _load(store, checked, new, run_id, True, wm, hook, name)
-        summary.update({k: loaded[k] for k in ("changed_count", "quarantined_count")})
-        summary["watermark"] = loaded["watermark"]
+        state = spark.createDataFrame([(name, top or wm)], STATE_SCHEMA)
+        kept = store.read(STATE_TABLE, STATE_SCHEMA).filter(F.col("pipeline_name") != name)
+        loaded = _load(store, checked, after_watermark(valid, "updated_at", wm), run_id, hook and (lambda _: hook()),
+                       {STATE_TABLE: kept.unionByName(state)}, seen)
+        summary.update(loaded)
+        summary["watermark"] = top or wm
         if export_dirs:
             export_csv(valid, f"{export_dirs['processed']}/{run_id}")
             export_csv(checked.filter(F.col(ERRORS) != "").withColumn("error_message", F.col(ERRORS)),
                        f"{export_dirs['rejected']}/{run_id}", columns=REJECTED_EXPORT_COLUMNS, ts_columns=())
         append_event(run_event(spark, run_id, SUCCESS, 1, "INCREMENTAL", summary), log)
     except Exception as e:
-        append_event(run_event(spark, run_id, FAILED, 1, "INCREMENTAL", summary, error=str(e)[:2000]), log)
+        append_event(run_event(spark, run_id, FAILED, 1, "INCREMENTAL", summary, error=str(e)), log)
         raise
     return summary
 
@@ -183,17 +181,19 @@ def run_replay(spark: SparkSession, store: Store, source: str | DataFrame, start
     summary = {"extracted_count": 0, "valid_count": 0, "rejected_count": 0, "changed_count": 0,
                "quarantined_count": 0}
     try:
-        raw = read_orders(spark, source, empty_as_null=False, flag_malformed=True) if isinstance(source, str) else source
-        checked = validate_once(replay_window(raw, start_at, end_at), rules, exact_header=isinstance(source, str))
-        summary.update(_counts(checked))
-        _gates(checked, summary, "fail")
+        seen = store.head()
+        raw = read_orders(spark, source, empty_as_null=False) if isinstance(source, str) else source
+        checked = validate_once(replay_window(raw, start_at, end_at), rules, isinstance(source, str),
+                                _work_path(store, run_id, "checked"))
+        counts, _ = _counts(checked)
+        summary.update({k: counts[k] for k in ("extracted_count", "valid_count", "rejected_count")})
+        _gates(store, checked, summary, run_id)
         valid = to_orders(checked.filter(F.col(ERRORS) == ""))
-        loaded = _load(store, checked, valid, run_id, False, None, hook, PIPELINE_NAME)
-        summary.update({k: loaded[k] for k in ("changed_count", "quarantined_count")})
+        summary.update(_load(store, checked, valid, run_id, hook and (lambda _: hook()), {}, seen))
         append_event(run_event(spark, run_id, SUCCESS, 1, "REPLAY", summary, replay_from=start_at,
                                replay_to=end_at), log)
     except Exception as e:
-        append_event(run_event(spark, run_id, FAILED, 1, "REPLAY", summary, error=str(e)[:2000],
+        append_event(run_event(spark, run_id, FAILED, 1, "REPLAY", summary, error=str(e),
                                replay_from=start_at, replay_to=end_at), log)
         raise
     return {"replay_count": summary["extracted_count"], "valid_count": summary["valid_count"],
@@ -205,52 +205,136 @@ def run_replay(spark: SparkSession, store: Store, source: str | DataFrame, start
 
 BRONZE, SILVER, QUARANTINE, GOLD = "bronze_orders", "silver_orders", "quarantine_orders", "gold_daily_order_metrics"
 SILVER_COLS = ("order_id", "customer_id", "status", "amount_cents", "updated_at", "_source_file", "_ingested_at")
+SILVER_SCHEMA = ("order_id string, customer_id string, status string, amount_cents bigint, updated_at timestamp_ntz, "
+                 "_source_file string, _ingested_at timestamp")
+SILVER_ORDER = ["updated_at", "_ingested_at", *BATCH_ORDER[1:]]
 QUARANTINE_KEYS = ["_source_file", "order_id", "updated_at", "_error_reason"]
 
 
 def ingest_bronze(store: Store, raw: DataFrame, run_id: str, null_safe: bool = True) -> dict:
-    """Insert-only bronze merge on (file, id, time) (M1); re-ingesting a file adds nothing."""
+    """Insert-only bronze merge on (file, id, time) (M1); re-ingesting a file adds nothing.
+
+    Bronze is stored by file and only the files of the batch are read (dynamic partition pruning).
+    """
     cols = raw.columns
-    target = store.read(BRONZE, raw.schema) if store.exists(BRONZE) else raw.limit(0)
+    seen = store.head()
+    target = store.read(BRONZE, raw.schema) if store.exists(BRONZE) else raw.sparkSession.createDataFrame([], raw.schema)
     added = M.new_rows(target, raw, ["_source_file", "order_id", "updated_at"], null_safe=null_safe)
-    obs = Observation("bronze")
-    added = added.observe(obs, F.count(F.lit(1)).alias("inserted"))
-    store.publish({BRONZE: added.select(*cols)}, run_id, appends=[BRONZE])
-    return {"bronze_inserted": int(obs.get.get("inserted") or 0)}
+    paths = store.publish({BRONZE: added.select(*cols)}, run_id, appends=[BRONZE], partition_by={BRONZE: ["_source_file"]},
+                          seen=seen)
+    return {"bronze_inserted": _written(store, paths[BRONZE])}
+
+
+def _silver_batch(checked: DataFrame) -> DataFrame:
+    """Newest valid row per order of a validated bronze frame."""
+    from ordermill.operators.dedupe import latest_per_key
+    return latest_per_key(to_orders(checked.filter(F.col(ERRORS) == ""), ("_source_file", "_ingested_at")),
+                          ["order_id"], SILVER_ORDER).select(*SILVER_COLS)
 
 
 def reprocess_file(store: Store, source_file: str, run_id: str, rules: RuleSet = LAKEHOUSE) -> dict:
     """I6: validate one bronze file slice, upsert silver (newest per id first), insert quarantine (M6),
-    then refresh the daily gold table for the dates the file touched and reconcile it with silver."""
-    from ordermill.operators.dedupe import latest_per_key
+    refresh the daily gold table for the dates the file touched and reconcile it with silver.
+
+    All three tables are published together, and only if the check passes.
+    """
     from ordermill.operators.metrics import daily_metrics, refresh_daily_metrics
     from ordermill.operators.quality import enforce, reconcile_daily
     from ordermill.operators.rules import to_quarantine
 
-    spark = store.spark
-    bronze = store.read(BRONZE)
-    checked = reliable(apply_rules(bronze.filter(F.col("_source_file") == source_file), rules))
-    batch = latest_per_key(to_orders(checked.filter(F.col(ERRORS) == ""), ("_source_file", "_ingested_at")),
-                           ["order_id"], ["updated_at", "_ingested_at", *BATCH_ORDER[1:]])
-    silver_schema = ", ".join(["order_id string", "customer_id string", "status string", "amount_cents bigint",
-                               "updated_at timestamp_ntz", "_source_file string", "_ingested_at timestamp"])
-    silver = store.read(SILVER, silver_schema)
-    changes = M.upsert_changes(silver, batch.select(*SILVER_COLS), ["order_id"], ["updated_at"], ">",
-                               source_order=["updated_at", "_ingested_at", *BATCH_ORDER[1:]])
+    spark, seen = store.spark, store.head()
+    bronze = store.read(BRONZE)                     # stored by file: the slice reads one partition
+    checked = validate_once(bronze.filter(F.col("_source_file") == source_file), rules, False,
+                            _work_path(store, run_id, "checked"))
+    silver = store.read(SILVER, SILVER_SCHEMA)
+    path = _work_path(store, run_id, "changes")
+    (M.upsert_changes(silver, _silver_batch(checked), ["order_id"], ["updated_at"], ">", source_order=SILVER_ORDER)
+     .drop(M.CHANGE).write.parquet(path))
+    changes = spark.read.schema(silver.schema).parquet(path)      # computed once, read for silver and gold
     quarantine = to_quarantine(checked.filter(F.col(ERRORS) != ""), lineage=("_source_file", "_ingested_at"))
     q_schema = quarantine.schema
     q_target = store.read(QUARANTINE, q_schema) if store.exists(QUARANTINE) else spark.createDataFrame([], q_schema)
-    added = M.new_rows(q_target, quarantine, QUARANTINE_KEYS, null_safe=["order_id", "updated_at", "_error_reason"])
-    publish_changes(store, SILVER, changes, ["order_id"], run_id, {QUARANTINE: added}, appends=[QUARANTINE])
-    new_silver = store.read(SILVER)
-    if store.exists(GOLD):          # only the dates this file touched are recomputed
-        gold = refresh_daily_metrics(store.read(GOLD).drop("_calculated_at"), silver, changes, new_silver)
-    else:
-        gold = daily_metrics(new_silver)
-    gold = gold.withColumn("_calculated_at", F.current_timestamp())
-    gpath = store.publish({GOLD: gold}, run_id + "-gold", operation="OVERWRITE")[GOLD]
+    raw_text = [MALFORMED] if MALFORMED in quarantine.columns else []
+    added = M.new_rows(q_target, quarantine, QUARANTINE_KEYS + raw_text,
+                       null_safe=["order_id", "updated_at", "_error_reason", *raw_text])
+    after = M.apply_changes(silver, changes.withColumn(M.SEQ, F.lit(0)), ["order_id"])
+    gold = (refresh_daily_metrics(store.read(GOLD).drop("_calculated_at"), silver, changes, after) if store.exists(GOLD)
+            else daily_metrics(after))
+
+    def gate(paths: dict[str, str]) -> None:
+        try:
+            enforce(reconcile_daily(after, spark.read.parquet(paths[GOLD])))
+        except QualityError as e:
+            raise PipelineError(str(e)) from e
+
+    publish_changes(store, SILVER, changes, ["order_id"], run_id,
+                    {QUARANTINE: added, GOLD: gold.withColumn("_calculated_at", F.current_timestamp())},
+                    appends=[QUARANTINE], hook=gate, seen=seen)
+    return {"silver_rows": store.read(SILVER).count(), "quarantine_rows": store.read(QUARANTINE).count()}
+
+
+def full_load(store: Store, raw: DataFrame, run_id: str, rules: RuleSet = LAKEHOUSE) -> dict:
+    """The lakehouse full load as a run: bronze is overwritten, silver (newest per order), quarantine
+    and daily gold are rebuilt from it, checked and published together."""
+    from ordermill.operators.metrics import daily_metrics
+    from ordermill.operators.quality import enforce, reconcile_daily
+    from ordermill.operators.rules import to_quarantine
+
+    spark, seen = store.spark, store.head()
+    checked = validate_once(raw, rules, False, _work_path(store, run_id, "checked"))
+    path = _work_path(store, run_id, "silver")
+    _silver_batch(checked).write.parquet(path)
+    silver = spark.read.schema(SILVER_SCHEMA).parquet(path)
+    quarantine = to_quarantine(checked.filter(F.col(ERRORS) != ""), lineage=("_source_file", "_ingested_at"))
+
+    def gate(paths: dict[str, str]) -> None:
+        try:
+            enforce(reconcile_daily(silver, spark.read.parquet(paths[GOLD])))
+        except QualityError as e:
+            raise PipelineError(str(e)) from e
+
+    store.publish({BRONZE: checked.select(*raw.columns), SILVER: silver, QUARANTINE: quarantine,
+                   GOLD: daily_metrics(silver, stamp=True)}, run_id, hook=gate, operation="OVERWRITE",
+                  partition_by={BRONZE: ["_source_file"]}, seen=seen)
+    return {"silver_rows": silver.count(), "quarantine_rows": store.read(QUARANTINE).count()}
+
+
+# -- staging flow: staging load -> upsert -> rejects -> report -> run log ----------------
+
+STAGING_TABLE, STAGED_ORDERS, STAGED_REJECTS, REPORTS = "stg_orders", "orders_staged", "rejected_orders_staged", "dq_reports"
+STAGED_SCHEMA = ("order_id string, customer_id string, status string, amount_cents bigint, updated_at timestamp_ntz, "
+                 "source_file string")
+STAGED_REJECTS_SCHEMA = "order_id string, error_message string, raw_row string, source_file string, rejected_at timestamp"
+STAGED_REJECT_KEYS = ["order_id", "error_message", "raw_row", "source_file"]
+
+
+def run_staging(store: Store, raw: DataFrame, run_id: str, file_pattern: str, rules: RuleSet = STAGING) -> dict:
+    """The staging flow as one run: truncate and load staging (K2), upsert newer-or-equal rows (M3),
+    insert rejects where NULL counts as '' (M8), update or insert the run's quality report by run
+    id (D5, M9) and log the run. ``raw`` has the text columns and ``_source_file``."""
+    spark, seen = store.spark, store.head()
+    log = f"{store.root}/_runs"
+    append_event(run_event(spark, run_id, RUNNING, 0, "STAGING"), log)
     try:
-        enforce(reconcile_daily(new_silver, spark.read.parquet(gpath)))
-    except QualityError as e:
-        raise PipelineError(str(e)) from e
-    return {"silver_rows": new_silver.count(), "quarantine_rows": store.read(QUARANTINE).count()}
+        checked = validate_once(load_staging(raw), rules, False, _work_path(store, run_id, "checked"))
+        staging = checked.select(*ORDER_COLUMNS, "source_file", "loaded_at")
+        valid = to_orders(checked.filter(F.col(ERRORS) == ""), ("source_file",))
+        changes = M.upsert_changes(store.read(STAGED_ORDERS, STAGED_SCHEMA), valid, ["order_id"], ["updated_at"], ">=",
+                                   source_order=[*BATCH_ORDER, "source_file"])
+        rejects = checked.filter(F.col(ERRORS) != "").select(
+            "order_id", F.col(ERRORS).alias("error_message"), raw_row_json().alias("raw_row"), "source_file").distinct()
+        added = M.new_rows(store.read(STAGED_REJECTS, STAGED_REJECTS_SCHEMA), rejects, STAGED_REJECT_KEYS,
+                           coalesce_blank=True).withColumn("rejected_at", F.current_timestamp())
+        report = run_report(staging, rules, run_id, file_pattern)
+        reports = store.read(REPORTS, report.schema)
+        reports = M.replace_by_key(reports, report, ["run_id"], source_order=["checked_at"]).drop(M.CHANGE)
+        paths = publish_changes(store, STAGED_ORDERS, changes, ["order_id"], run_id,
+                                {STAGED_REJECTS: added, STAGING_TABLE: staging, REPORTS: reports}, appends=[STAGED_REJECTS],
+                                seen=seen)
+        summary = {"changed_count": _written(store, paths[STAGED_ORDERS]),
+                   "quarantined_count": _written(store, paths[STAGED_REJECTS])}
+        append_event(run_event(spark, run_id, SUCCESS, 1, "STAGING", summary), log)
+    except Exception as e:
+        append_event(run_event(spark, run_id, FAILED, 1, "STAGING", error=str(e)), log)
+        raise
+    return summary

@@ -1,22 +1,24 @@
 """Versioned parquet tables with an atomic multi-table publish.
 
-Plain parquet has no transactions, so a run writes every output into a new
-version folder ``<root>/<table>/v=<run_id>`` (invisible to readers) and then
-appends one commit record per table under ``<root>/_commits/`` — last. Readers
-resolve each table to its newest committed version, so either all outputs of
-a run become visible or none do; a crashed run leaves only orphan folders.
-Merges never read and overwrite the same folder. With Delta Lake present, the
-same calls map onto Delta tables and ``DESCRIBE HISTORY``.
-
-The commit log holds one tiny record per table per run; resolving the current
-version is a one-row aggregate, never a driver-side listing of data files.
+Plain parquet has no transactions, so a publish writes every output into a folder of its own
+attempt (invisible to readers, never overwritten) and then creates one commit file, last. Commits
+are numbered; a number is taken by renaming the commit file into place, which fails if another
+writer took it first, so two writers can't both build on the same state. Each commit file holds
+the layout (base, appended and change-row folders) of the tables it changed and names, for every
+table, the commit that holds its layout: a reader opens two small files, however long the
+history. Merges of folders list exactly what they replace. A crashed run leaves only folders that
+no commit names. With Delta Lake present, the same calls map onto Delta tables and
+``DESCRIBE HISTORY``.
 """
 
 from __future__ import annotations
 
-import os
+import json
+import uuid
 from collections.abc import Callable
+from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,85 +26,121 @@ from pyspark.sql import types as T
 from ordermill.functions.text import iso_text
 from ordermill.schema import ORDER_COLUMNS
 
-COMMIT_SCHEMA = T.StructType([
-    T.StructField("run_id", T.StringType()),
-    T.StructField("table", T.StringType()),
-    T.StructField("path", T.StringType()),
-    T.StructField("committed_at", T.TimestampType()),
-    T.StructField("operation", T.StringType()),
-    T.StructField("keys", T.StringType()),
-])
+COMMIT_SCHEMA = "seq bigint, run_id string, table string, path string, committed_at timestamp, operation string, keys string"
+APPEND, DELTA, MERGED = "APPEND", "DELTA", "MERGE"
 
 
-APPEND, DELTA, MERGED = "APPEND", "DELTA", "MERGE_APPENDS"
+class CommitConflict(RuntimeError):
+    """Another writer committed since the state that this publish builds on."""
+
+
+class Files:
+    """Small files next to the tables, through Hadoop's FileContext (any scheme)."""
+
+    def __init__(self, spark: SparkSession):
+        self.jvm = spark._jvm
+        self.gateway = spark.sparkContext._gateway
+        self.conf = spark._jsc.hadoopConfiguration()
+
+    def _at(self, path: str):
+        p = self.jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.conf).makeQualified(p)
+
+    def exists(self, path: str) -> bool:
+        p = self._at(path)
+        return p.getFileSystem(self.conf).exists(p)
+
+    def read(self, path: str) -> str:
+        p = self._at(path)
+        stream = p.getFileSystem(self.conf).open(p)
+        try:
+            return self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def write(self, path: str, text: str, replace: bool) -> bool:
+        """Write whole and rename into place; False if the file exists and may not be replaced."""
+        p, tmp = self._at(path), self._at(f"{path}.{uuid.uuid4().hex}.tmp")
+        out = p.getFileSystem(self.conf).create(tmp, False)
+        try:
+            out.write(bytearray(text.encode("utf-8")))
+        finally:
+            out.close()
+        rename = self.jvm.org.apache.hadoop.fs.Options.Rename
+        how = self.gateway.new_array(rename, 1)
+        how[0] = rename.OVERWRITE if replace else rename.NONE
+        try:
+            self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(tmp.toUri(), self.conf).rename(tmp, p, how)
+            return True
+        except Py4JJavaError as e:
+            p.getFileSystem(self.conf).delete(tmp, False)
+            if "FileAlreadyExistsException" in e.java_exception.getClass().getName():
+                return False
+            raise
 
 
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.files = Files(spark)
 
-    # -- layout ---------------------------------------------------------------
-    def version_path(self, table: str, run_id: str) -> str:
-        return f"{self.root}/{table}/v={run_id}"
-
+    # -- commit log -------------------------------------------------------------
     @property
     def commits_path(self) -> str:
         return f"{self.root}/_commits"
 
-    def _exists(self, path: str) -> bool:
-        """Hadoop FileSystem check (any scheme: file, hdfs, s3a, abfss); True when unknown."""
-        try:
-            hp = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-            return bool(hp.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hp))
-        except Exception:          # no JVM access (e.g. Spark Connect): let the reader decide
-            return True
+    def _commit_path(self, seq: int) -> str:
+        return f"{self.commits_path}/{seq:012d}.json"
+
+    def head(self) -> int:
+        """Number of the newest commit (0: none). A hint file says where to start looking."""
+        hint = f"{self.root}/_head"
+        seq = int(self.files.read(hint)) if self.files.exists(hint) else 0
+        while self.files.exists(self._commit_path(seq + 1)):
+            seq += 1
+        return seq
+
+    def _commit(self, seq: int) -> dict:
+        return json.loads(self.files.read(self._commit_path(seq)).splitlines()[0])
+
+    def _layout(self, table: str, head: int | None = None) -> dict:
+        head = self.head() if head is None else head
+        at = self._commit(head)["heads"].get(table) if head else None
+        if at is None:
+            return {"base": None, "appends": [], "deltas": [], "keys": []}
+        return self._commit(at)["layouts"][table]
 
     def commits(self) -> DataFrame:
-        """All commit records (empty before the first publish)."""
-        from pyspark.errors import AnalysisException
-        empty = self.spark.createDataFrame([], COMMIT_SCHEMA)
-        if not self._exists(self.commits_path):
-            return empty
-        try:
-            return self.spark.read.schema(COMMIT_SCHEMA).json(self.commits_path)
-        except AnalysisException:
-            return empty
+        """All commit records, one per table and commit (empty before the first publish)."""
+        if not self.files.exists(self.commits_path):
+            return self.spark.createDataFrame([], COMMIT_SCHEMA)
+        # a commit file's first line is the log's own state; the other lines are the records
+        return (self.spark.read.schema(COMMIT_SCHEMA).option("pathGlobFilter", "*.json").json(self.commits_path)
+                .filter(F.col("table").isNotNull()))
 
     def history(self, table: str) -> DataFrame:
         """Commit history of one table, newest first (DESCRIBE HISTORY)."""
-        return self.commits().filter(F.col("table") == table).orderBy(F.col("run_id").desc())
-
-    def _pending(self, table: str) -> tuple[str | None, list[tuple[str, str, str]], list[str], list[str]]:
-        """(base, [(run_id, path, operation)] of appends, delta folders, delta keys)."""
-        mine = self.commits().filter(F.col("table") == table)
-        # only commits from the newest full version on reach the driver (pending appends/deltas)
-        last_full = mine.filter(~F.col("operation").isin(APPEND, DELTA, MERGED)).agg(F.max("run_id")).scalar()
-        rows = (mine.filter(last_full.isNull() | (F.col("run_id") >= last_full))
-                .select("run_id", "path", "operation", "keys").orderBy("run_id").collect())
-        base, appends, deltas, keys = None, [], [], []
-        for r in rows:
-            if r["operation"] == APPEND:
-                appends.append((r["run_id"], r["path"], APPEND))
-            elif r["operation"] == MERGED:          # replaces the raw appends of its run-id range
-                lo, hi = (r["keys"] or "|").split("|")
-                appends = [a for a in appends if not (a[2] == APPEND and lo <= a[0] <= hi)]
-                appends.append((r["run_id"], r["path"], MERGED))
-            elif r["operation"] == DELTA:
-                deltas.append(r["path"])
-                keys = (r["keys"] or "").split(",")
-            else:
-                base, appends, deltas = r["path"], [], []
-        return base, appends, deltas, keys
-
+        return self.commits().filter(F.col("table") == table).orderBy(F.col("seq").desc())
+
+    def _publish(self, seen: int, layouts: dict[str, dict], records: list[dict], run_id: str) -> int:
+        seq = seen + 1
+        heads = dict(self._commit(seen)["heads"]) if seen else {}
+        heads.update({t: seq for t in layouts})
+        now = datetime.now(timezone.utc).isoformat(timespec="microseconds")
+        lines = [{"heads": heads, "layouts": layouts},
+                 *[{"seq": seq, "run_id": run_id, "committed_at": now, **r} for r in records]]
+        text = "\n".join(json.dumps(x) for x in lines) + "\n"
+        if not self.files.write(self._commit_path(seq), text, replace=False):
+            raise CommitConflict(f"commit {seq} was taken by another writer; run {run_id!r} published nothing")
+        self.files.write(f"{self.root}/_head", str(seq), replace=True)
+        return seq
+
+    # -- reading ----------------------------------------------------------------
     def layout(self, table: str) -> tuple[str | None, list[str], list[str], list[str]]:
-        """(base folder, append folders, delta folders, delta keys) of the current table.
-
-        Metadata only: one small record per commit. Folders committed before the
-        newest full version are superseded by it.
-        """
-        base, appends, deltas, keys = self._pending(table)
-        return base, [a[1] for a in appends], deltas, keys
+        """(base folder, append folders, delta folders, delta keys) of the current table."""
+        at = self._layout(table)
+        return at["base"], [p for p, _ in at["appends"]], at["deltas"], at["keys"]
 
     def current_paths(self, table: str) -> list[str]:
         base, appends, deltas, _ = self.layout(table)
@@ -118,90 +156,96 @@ class Store:
         Append-only tables are the base plus appended folders; keyed tables written
         with deltas are the base with the change rows applied (merge-on-read).
         """
+        return self._read(table, schema)
+
+    def _read(self, table: str, schema, pick=None) -> DataFrame:
         base, appends, deltas, keys = self.layout(table)
         if not (base or appends or deltas):
             if schema is None:
                 raise FileNotFoundError(f"table {table!r} has no committed version")
             return self.spark.createDataFrame([], schema)
+        narrow = (lambda df: df) if pick is None else (lambda df: df.filter(pick))
         reader = self.spark.read
         if schema is not None and not deltas:
             reader = reader.schema(schema)
         plain = [p for p in ([base] if base else []) + appends]
-        base_df = reader.parquet(*plain) if plain else None
+        # the folders are read as partitions of one table, so those partitioned further go into one scan
+        base_df = narrow(reader.option("basePath", f"{self.root}/{table}").parquet(*plain).drop("v")) if plain else None
         if not deltas:
             return base_df
         from ordermill.operators.merge import apply_changes
-        state = apply_changes(base_df, self.spark.read.parquet(*deltas), keys)
+        state = apply_changes(base_df, narrow(self.spark.read.parquet(*deltas)), keys)
         if schema is None:
             return state
         names = schema.fieldNames() if isinstance(schema, T.StructType) else \
             self.spark.createDataFrame([], schema).columns
         return state.select(*names)
 
+    def lookup(self, table: str, key: str, values, schema=None) -> DataFrame:
+        """Rows of the current table whose ``key`` is in ``values`` (inspection by id).
+
+        The filter is applied to every folder before change rows are resolved, so the
+        ``In`` predicate reaches each parquet scan (bloom filters / min-max skip row groups).
+        """
+        return self._read(table, schema, F.col(key).isin(list(values)))
+
     def exists(self, table: str) -> bool:
         return self.current_path(table) is not None
 
-    # -- writing --------------------------------------------------------------
-    def publish(self, outputs: dict[str, DataFrame], run_id: str, hook: Callable[[], None] | None = None,
+    # -- writing ----------------------------------------------------------------
+    def _folder(self, table: str) -> str:
+        return f"{self.root}/{table}/v={uuid.uuid4().hex}"
+
+    def publish(self, outputs: dict[str, DataFrame], run_id: str, hook: Callable[[dict[str, str]], None] | None = None,
                 operation: str = "WRITE", partition_by: dict[str, list[str]] | None = None,
-                appends: tuple[str, ...] | list[str] = (),
-                deltas: dict[str, list[str]] | None = None,
-                bloom: dict[str, list[str]] | None = None) -> dict[str, str]:
+                appends: tuple[str, ...] | list[str] = (), deltas: dict[str, list[str]] | None = None,
+                bloom: dict[str, list[str]] | None = None, seen: int | None = None) -> dict[str, str]:
         """Write every output as a new folder, then commit them together.
 
         * tables in ``appends`` hold only new rows, added to the current table
           (insert-only merges), committed as APPEND;
         * tables in ``deltas`` (table -> key columns) hold upsert change rows, committed
-          as DELTA and applied on read; a ``_seq`` column (the run id) orders them;
+          as DELTA and applied on read; a ``_seq`` column (the commit number) orders them;
         * every other table replaces the current one (``operation``).
 
-        ``hook`` runs after the data is written and before the commit (a failure
-        there publishes nothing). Run ids must increase. ``bloom`` (table -> columns) writes
-        parquet bloom filters for point lookups on those columns. Returns table -> written folder.
+        ``seen`` is the commit (``head()``) whose state the outputs were computed from; if
+        another writer has committed since, nothing is published and ``CommitConflict`` is
+        raised. ``run_id`` is only recorded: a repeated id overwrites nothing. ``hook`` gets
+        the written folders before the commit (a failure there publishes nothing). ``bloom``
+        (table -> columns) writes parquet bloom filters. Returns table -> written folder.
         """
         from ordermill.operators.merge import SEQ
-        deltas = deltas or {}
-        paths = {}
+        deltas, partition_by = deltas or {}, partition_by or {}
+        seen = self.head() if seen is None else seen
+        paths, layouts, records = {}, {}, []
         for table, df in outputs.items():
-            path = self.version_path(table, run_id)
+            path = paths[table] = self._folder(table)
             if table in deltas:
-                df = df.withColumn(SEQ, F.lit(run_id))
-            w = df.write.mode("overwrite")
+                df = df.withColumn(SEQ, F.lit(seen + 1).cast("bigint"))
+            if table in partition_by:        # each folder's rows in few files
+                df = df.repartition(*partition_by[table])
+            w = df.write
             for c in (bloom or {}).get(table, []):
                 w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
-            if partition_by and table in partition_by:
+            if table in partition_by:
                 w = w.partitionBy(*partition_by[table])
             w.parquet(path)
-            paths[table] = path
+            kind = APPEND if table in appends else DELTA if table in deltas else operation
+            at = self._layout(table, seen)
+            if kind == APPEND:
+                at["appends"].append([path, APPEND])
+            elif kind == DELTA:
+                at["deltas"].append(path)
+                at["keys"] = deltas[table]
+            else:
+                at = {"base": path, "appends": [], "deltas": [], "keys": []}
+            layouts[table] = at
+            records.append({"table": table, "path": path, "operation": kind, "keys": ",".join(deltas.get(table, [])) or None})
         if hook is not None:
-            hook()
-        records = [(run_id, t, p, None,
-                    APPEND if t in appends else DELTA if t in deltas else operation,
-                    ",".join(deltas[t]) if t in deltas else None) for t, p in paths.items()]
-        (self.spark.createDataFrame(records, COMMIT_SCHEMA)
-         .withColumn("committed_at", F.current_timestamp())
-         .coalesce(1).write.mode("append").json(os.path.join(self.commits_path, f"run={run_id}")))
+            hook(paths)
+        self._publish(seen, layouts, records, run_id)
         return paths
 
-    def lookup(self, table: str, key: str, values, schema=None) -> DataFrame:
-        """Rows of the current table whose ``key`` is in ``values`` (inspection by id).
-
-        The filter is applied to every folder before change rows are resolved, so the
-        ``In`` predicate reaches each parquet scan (bloom filters / min-max skip row groups).
-        """
-        values = list(values)
-        base, appends, deltas, keys = self.layout(table)
-        if not (base or appends or deltas):
-            return self.read(table, schema)
-        reader = self.spark.read if schema is None or deltas else self.spark.read.schema(schema)
-        plain = [p for p in ([base] if base else []) + appends]
-        pick = F.col(key).isin(values)
-        base_df = reader.parquet(*plain).filter(pick) if plain else None
-        if not deltas:
-            return base_df
-        from ordermill.operators.merge import apply_changes
-        return apply_changes(base_df, self.spark.read.parquet(*deltas).filter(pick), keys)
-
     def merge_appends(self, table: str, run_id: str, min_folders: int = 2) -> str | None:
         """Merge the raw APPEND folders of an append-only table into one folder.
 
@@ -209,28 +253,47 @@ class Store:
         again), so every row is rewritten at most once and the base is never touched;
         folders stay few for tables fed by many small micro-batches. Returns the new folder.
         """
-        _, appends, _, _ = self._pending(table)
-        raw = [a for a in appends if a[2] == APPEND]
+        seen = self.head()
+        at = self._layout(table, seen)
+        raw = [p for p, kind in at["appends"] if kind == APPEND]
         if len(raw) < min_folders:
             return None
-        path = self.version_path(table, run_id)
-        self.spark.read.parquet(*[a[1] for a in raw]).write.mode("overwrite").parquet(path)
-        rec = [(run_id, table, path, None, MERGED, f"{raw[0][0]}|{raw[-1][0]}")]
-        (self.spark.createDataFrame(rec, COMMIT_SCHEMA).withColumn("committed_at", F.current_timestamp())
-         .coalesce(1).write.mode("append").json(os.path.join(self.commits_path, f"run={run_id}")))
+        path = self._folder(table)
+        self.spark.read.option("basePath", f"{self.root}/{table}").parquet(*raw).drop("v").write.parquet(path)
+        at["appends"] = [a for a in at["appends"] if a[0] not in raw] + [[path, MERGED]]
+        self._publish(seen, {table: at}, [{"table": table, "path": path, "operation": MERGED, "keys": None}], run_id)
+        return path
+
+    def merge_deltas(self, table: str, run_id: str, min_folders: int = 2) -> str | None:
+        """Merge the change-row folders of a keyed table into one (newest change per key).
+
+        The base isn't read or rewritten, so the cost follows the changes. Returns the new folder.
+        """
+        from ordermill.operators.dedupe import latest_per_key
+        from ordermill.operators.merge import SEQ
+        seen = self.head()
+        at = self._layout(table, seen)
+        if len(at["deltas"]) < min_folders:
+            return None
+        path = self._folder(table)
+        latest_per_key(self.spark.read.parquet(*at["deltas"]), at["keys"], [SEQ]).write.parquet(path)
+        at["deltas"] = [path]
+        self._publish(seen, {table: at}, [{"table": table, "path": path, "operation": MERGED,
+                                           "keys": ",".join(at["keys"])}], run_id)
         return path
 
     def pending_appends(self, table: str) -> int:
-        return sum(1 for a in self._pending(table)[1] if a[2] == APPEND)
+        return sum(1 for _, kind in self._layout(table)["appends"] if kind == APPEND)
 
     def pending_deltas(self, table: str) -> int:
         return len(self.layout(table)[2])
 
     def compact(self, table: str, run_id: str) -> str:
         """Rewrite the current table (base + appends, deltas applied) as one full version."""
-        return self.publish({table: self.read(table)}, run_id, operation="COMPACT")[table]
+        seen = self.head()
+        return self.publish({table: self.read(table)}, run_id, operation="COMPACT", seen=seen)[table]
 
-    def ensure(self, table: str, schema: T.StructType | str, run_id: str = "00000000T000000000000-init") -> None:
+    def ensure(self, table: str, schema: T.StructType | str, run_id: str = "init") -> None:
         """Create the table empty when it does not exist (CREATE TABLE IF NOT EXISTS)."""
         if not self.exists(table):
             self.publish({table: self.spark.createDataFrame([], schema)}, run_id, operation="CREATE")

@@ -42,21 +42,6 @@ def get_spark(app: str = "ordermill", master: str | None = None, shuffle_partiti
     return spark
 
 
-def with_parallelism_floor(df: DataFrame, floor: int | None = None) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has cores.
-
-    Large inputs split into many more partitions than cores and pass through
-    untouched (no shuffle). A small, unsplittable file (one row group) would
-    otherwise run every narrow step downstream in a single task.
-    """
-    try:
-        floor = floor or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()          # planning only, nothing runs
-    except Exception:                               # no RDD access (e.g. Spark Connect): leave as is
-        return df
-    return df.repartition(floor) if splits < floor else df
-
-
 @contextmanager
 def conf_override(spark: SparkSession, conf: dict[str, str]):
     """Set session confs for the jobs run inside the block, then restore them."""

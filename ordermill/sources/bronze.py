@@ -10,7 +10,6 @@ executor re-reads them instead of recomputing.
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,9 +21,12 @@ _WRITTEN: dict[tuple, str] = {}
 
 
 def _key(spark: SparkSession, sf_dir: str, table: str) -> tuple:
-    src = os.path.join(sf_dir, "orders.parquet")
-    stamp = os.stat(src).st_mtime_ns if os.path.exists(src) else 0
-    return (spark.sparkContext.applicationId, os.path.abspath(sf_dir), stamp, table)
+    """The source table as its file system reports it now, so that new data is noticed on any store."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/orders.parquet")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    status, whole = fs.getFileStatus(path), fs.getContentSummary(path)
+    stamp = (status.getModificationTime(), whole.getLength(), whole.getFileCount())
+    return (spark.sparkContext.applicationId, fs.makeQualified(path).toString(), stamp, table)
 
 
 def write_bronze(spark: SparkSession, sf_dir: str) -> dict[str, str]:
@@ -32,8 +34,8 @@ def write_bronze(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     root = scratch_path(spark, "bronze", uuid.uuid4().hex)
     (orders,) = load_tables(spark, sf_dir, "orders")
     raw_path, env_path = f"{root}/raw_orders", f"{root}/event_envelope"
-    raw_orders(orders).write.partitionBy("_source_file").parquet(raw_path)
-    event_envelope(spark.read.parquet(raw_path)).write.parquet(env_path)
+    raw_orders(orders).repartition("_source_file").write.partitionBy("_source_file").parquet(raw_path)
+    event_envelope(spark.read.parquet(raw_path)).repartition("kafka_offset").write.parquet(env_path)
     return {"raw_orders": raw_path, "event_envelope": env_path}
 
 

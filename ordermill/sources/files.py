@@ -36,7 +36,7 @@ CORRUPT = "_corrupt_record"
 
 def read_orders(spark: SparkSession, path: str | Sequence[str], strict_header: bool = True,
                 pattern: str | None = None, lineage: bool = True, empty_as_null: bool = True,
-                containers: dict[str, str] | None = None, flag_malformed: bool = False) -> DataFrame:
+                containers: dict[str, str] | None = None, flag_malformed: bool = True) -> DataFrame:
     """Raw order CSV (all text) from a file, a folder or a glob.
 
     * ``strict_header`` - every file's header must carry the five names in order
@@ -47,8 +47,8 @@ def read_orders(spark: SparkSession, path: str | Sequence[str], strict_header: b
       not recursive.
     * ``lineage`` - ``_source_file`` (full path), ``_file_name``, ``_ingested_at``.
     * ``empty_as_null=False`` keeps empty fields as '' (short rows still NULL).
-    * ``flag_malformed`` - keep the raw line of rows with too few or too many fields in
-      ``_corrupt_record`` (Spark would otherwise pad or cut them silently); the rule sets
+    * ``flag_malformed`` (default) - keep the raw line of rows with too few or too many fields
+      in ``_corrupt_record`` (Spark would otherwise pad or cut them silently); the rule sets
       then reject such rows as malformed.
     """
     paths = [resolve_uri(p, containers) for p in ([path] if isinstance(path, str) else path)]

@@ -34,12 +34,15 @@ def raw_orders(orders: DataFrame) -> DataFrame:
     k, c, s, p, d, v = (F.col(x) for x in "kcspdv")
     cents = _s(F.round(p * 100).cast("bigint"))
     hour = (k + F.when(k % 7 == 0, 0).otherwise(5 * v)) % 24
+    # a third of the updates lie well past every existing time, so increments are substantial
+    day = F.when((v == 1) & (k % 3 == 0), d + F.expr("INTERVAL 10 YEAR")).otherwise(d)
     return base.unionByName(update).select(
         F.when(k % 97 == 0, F.lit(None).cast("string"))
          .when(k % 89 == 0, F.lit("  "))
          .when((v == 1) & (k % 53 == 0), F.concat(F.lit(" ORD-"), _s(k), F.lit(" ")))
          .otherwise(F.concat(F.lit("ORD-"), _s(k))).alias("order_id"),
-        F.when((k + v) % 23 == 0, F.lit("")).otherwise(F.concat(F.lit("CUST-"), _s(c))).alias("customer_id"),
+        F.when((k + v) % 23 == 0, F.lit("")).when(k % 71 == 0, F.lit("\u00a0")).when(k % 73 == 0, F.lit("\u3000 "))
+         .when(k % 79 == 0, F.lit("\t")).otherwise(F.concat(F.lit("CUST-"), _s(c))).alias("customer_id"),
         F.when(k % 29 == 0, F.lit("UNKNOWN")).when(k % 31 == 0, F.lit(" paid "))
          .when(s == "F", F.lit("SHIPPED")).when(s == "O", F.lit("PENDING"))
          .when(k % 2 == 0, F.lit("PAID")).otherwise(F.lit("CANCELLED")).alias("status"),
@@ -47,7 +50,7 @@ def raw_orders(orders: DataFrame) -> DataFrame:
          .when(k % 61 == 0, F.lit("3000000000")).when(k % 67 == 0, F.lit("49.9"))
          .when(k % 59 == 0, F.concat(F.lit(" "), cents)).otherwise(cents).alias("amount_cents"),
         F.when(k % 43 == 0, F.lit("not-a-date"))
-         .otherwise(F.concat(F.date_format(d, "yyyy-MM-dd"), F.lit("T"), F.lpad(_s(hour), 2, "0"), F.lit(":"),
+         .otherwise(F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T"), F.lpad(_s(hour), 2, "0"), F.lit(":"),
                              F.lpad(_s(k % 60), 2, "0"), F.lit(":00"))).alias("updated_at"),
         F.concat(F.lit("orders_"), _s(F.year(d)), F.when(v == 1, F.lit("_b")).otherwise(F.lit("")),
                  F.lit(".csv")).alias("_source_file"),
@@ -69,10 +72,10 @@ def event_envelope(raw: DataFrame) -> DataFrame:
         .otherwise(F.col("amount_cents"))
     body = F.concat(
         F.lit('{"order_id":'), F.coalesce(q(F.col("order_id")), F.lit("null")),
-        F.lit(',"customer_id":"'), F.col("customer_id"), F.lit('","status":"'), F.col("status"),
+        F.lit(',"customer_id":"'), F.replace(F.col("customer_id"), F.lit("\t"), F.lit("\\t")), F.lit('","status":"'), F.col("status"),
         F.lit('","amount_cents":'), amount, F.lit(',"updated_at":"'), F.col("updated_at"), F.lit('"}'))
     return raw.select(
-        F.when(k % 101 == 0, F.lit("{broken")).otherwise(body).alias("raw_json"),
+        F.when(k % 101 == 0, F.concat(F.lit("{broken "), _s(k * 2 + F.col("_version")))).otherwise(body).alias("raw_json"),
         (k % 4).cast("int").alias("eventhub_partition"),
         (k * 2 + F.col("_version")).cast("bigint").alias("kafka_offset"),
         F.col("_loaded_at").alias("enqueued_at"),
@@ -94,8 +97,6 @@ def run_events(events: DataFrame) -> DataFrame:
                          F.col("ts").alias("event_at"), F.col("event_id").alias("event_seq"))
 
 
-def load_tables(spark: SparkSession, sf_dir: str, *names: str, spread: bool = True) -> list[DataFrame]:
-    """Benchmark tables; each small single-row-group file is spread over the cores."""
-    from ordermill.session import with_parallelism_floor
-    dfs = [spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names]
-    return [with_parallelism_floor(d) for d in dfs] if spread else dfs
+def load_tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
+    """Benchmark tables."""
+    return [spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names]

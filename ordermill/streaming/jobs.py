@@ -54,9 +54,13 @@ def run_event_job(store, stream: DataFrame, checkpoint: str, run_id: str, enforc
     from ordermill.streaming.sinks import BronzeSink, EventSilverSink
     bronze, silver = BronzeSink(store), EventSilverSink(store)
     run_available_now(stream, chain_sinks(bronze, silver), checkpoint)
+    bronze.tidy()
+    silver.tidy()
     silver_df = store.read(silver.table)
-    store.publish({"gold_event_metrics": total_metrics(silver_df, stamp=True)}, run_id, operation="OVERWRITE")
-    checks = event_gate(silver_df, store.read("gold_event_metrics"))
-    if enforce_gate:
-        enforce(checks)
-    return checks
+
+    def gate(paths: dict[str, str]) -> None:              # before the commit: bad gold never becomes visible
+        if enforce_gate:
+            enforce(event_gate(silver_df, store.spark.read.parquet(paths["gold_event_metrics"])))
+
+    store.publish({"gold_event_metrics": total_metrics(silver_df, stamp=True)}, run_id, hook=gate, operation="OVERWRITE")
+    return event_gate(silver_df, store.read("gold_event_metrics"))

@@ -2,9 +2,10 @@
 
 Structured Streaming gives at-least-once delivery into ``foreachBatch``: after a
 failure the last micro-batch is replayed from the checkpoint. Every sink here
-is an idempotent merge, so a replayed batch changes nothing — together that is
-exactly-once state. The checkpoint replaces manual offset commits: offsets
-advance only after the batch function returned.
+is an idempotent merge against the committed state, written to a folder of its
+own, so a replayed batch — also under the same batch id, or after a lost
+checkpoint — changes nothing. The checkpoint replaces manual offset commits:
+offsets advance only after the batch function returned.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from ordermill.operators import merge as M
 from ordermill.operators.dedupe import latest_per_key
 from ordermill.operators.events import parse_envelope
-from ordermill.operators.rules import ERRORS, EVENTS, LOCAL, RuleSet, apply_rules, to_orders
+from ordermill.operators.rules import ERRORS, EVENTS, LOCAL, MALFORMED, RuleSet, apply_rules, to_orders
 from ordermill.plans.store import Store
 
 EVENT_SILVER_COLS = ("order_id", "customer_id", "status", "amount_cents", "updated_at", "eventhub_partition",
@@ -26,47 +27,64 @@ EVENT_SILVER_SCHEMA = ("order_id string, customer_id string, status string, amou
                        "enqueued_at timestamp_ntz, ingested_at timestamp")
 BRONZE_SCHEMA = ("raw_json string, eventhub_partition int, kafka_offset bigint, enqueued_at timestamp_ntz, "
                  "ingested_at timestamp")
+BRONZE_REJECT_SCHEMA = ("raw_json string, eventhub_partition int, kafka_offset bigint, enqueued_at timestamp_ntz, "
+                        "error_message string")
+EVENT_QUARANTINE_SCHEMA = BRONZE_REJECT_SCHEMA + ", quarantined_at timestamp"
 
 
 def _run_id(batch_id: int, prefix: str) -> str:
+    """Recorded in the commit only: commits are numbered by the store, and a repeated id overwrites nothing."""
     return f"{prefix}-{batch_id:012d}"
 
 
 class BronzeSink:
-    """Insert-only merge of envelopes on (partition, offset) into the bronze table."""
+    """Insert-only merge of envelopes on (partition, offset) into the bronze table.
+
+    Rows without a partition or offset have no identity there: they go to ``<table>_rejects``,
+    each different row once.
+    """
 
     keys = ["eventhub_partition", "kafka_offset"]
 
-    def __init__(self, store: Store, table: str = "bronze_events", prefix: str | None = None, merge_after: int = 32):
+    def __init__(self, store: Store, table: str = "bronze_events", prefix: str | None = None):
         self.store, self.table = store, table
         self.prefix = prefix or table
-        self.merge_after = merge_after
-        self.batches: list[tuple[int, int]] = []
+        self.batches = 0
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        # one aggregate answers "empty?" and gives the lowest offset: only stored rows at or
-        # above it can match a row of this batch, and the bound reaches parquet as a pushed
-        # filter, so row groups of older offsets are skipped
-        low = batch.agg(F.min("kafka_offset")).first()[0]
-        if low is None:
+        seen = self.store.head()
+        # per topic partition (a few rows) the lowest offset of the batch: only stored rows at or above it
+        # can match, and the bound reaches parquet as a pushed filter that skips row groups
+        lows = batch.groupBy("eventhub_partition").agg(F.min("kafka_offset").alias("low"), F.count(F.lit(1)).alias("n"),
+                                                       F.count("kafka_offset").alias("placed")).collect()
+        if not lows:
             return
-        rows = (batch.select("raw_json", "eventhub_partition", "kafka_offset", "enqueued_at")
-                .dropDuplicates(self.keys).withColumn("ingested_at", F.current_timestamp()))
-        target = self.store.read(self.table, BRONZE_SCHEMA).filter(F.col("kafka_offset") >= F.lit(low))
-        added = M.new_rows(target, rows, self.keys)
-        from pyspark.sql import Observation
-        obs = Observation(f"{self.table}-{batch_id}")
-        added = added.observe(obs, F.count(F.lit(1)).alias("n"))
-        run_id = _run_id(batch_id, self.prefix)
-        self.store.publish({self.table: added}, run_id, appends=[self.table])
-        self.batches.append((batch_id, int(obs.get.get("n") or 0)))
-        # every merge_after batches, merge the small per-batch folders (no extra job otherwise)
-        if (batch_id + 1) % self.merge_after == 0 and self.store.pending_appends(self.table) >= self.merge_after:
-            self.store.merge_appends(self.table, run_id + "-m")
+        cols = ["raw_json", "eventhub_partition", "kafka_offset", "enqueued_at"]
+        has_place = F.col("eventhub_partition").isNotNull() & F.col("kafka_offset").isNotNull()
+        rows = (batch.filter(has_place).select(*cols).dropDuplicates(self.keys)
+                .withColumn("ingested_at", F.current_timestamp()))
+        reach = F.lit(False)
+        for r in lows:
+            if r["eventhub_partition"] is not None and r["low"] is not None:
+                reach = reach | ((F.col("eventhub_partition") == r["eventhub_partition"]) & (F.col("kafka_offset") >= r["low"]))
+        target = self.store.read(self.table, BRONZE_SCHEMA).filter(reach)
+        outputs = {self.table: M.new_rows(target, rows, self.keys, null_safe=False)}
+        rejects = f"{self.table}_rejects"
+        if any(r["eventhub_partition"] is None or r["placed"] < r["n"] for r in lows):
+            bad = (batch.filter(~has_place).select(*cols).withColumn("error_message", F.lit("missing topic coordinates"))
+                   .distinct())
+            outputs[rejects] = M.new_rows(self.store.read(rejects, BRONZE_REJECT_SCHEMA), bad, cols)
+        self.store.publish(outputs, _run_id(batch_id, self.prefix), appends=list(outputs), seen=seen)
+        self.batches += 1
+
+    def tidy(self) -> None:
+        """Merge the small per-batch folders (maintenance; changes no row)."""
+        self.store.merge_appends(self.table, f"{self.prefix}-merge")
 
 
 class EventSilverSink:
-    """Parse -> event rules (invalid dropped) -> newest per id -> upsert where newer.
+    """Parse -> event rules -> newest per id -> upsert where newer; invalid events and broken
+    messages go to ``<table>_quarantine`` with their raw text, each topic position once.
 
     "Newer" is the full 4-level order (time, enqueue time, partition, offset): the
     upstream rule stops after enqueue time, which would let the micro-batch split
@@ -78,30 +96,42 @@ class EventSilverSink:
         self.prefix = prefix or table
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        from ordermill.plans.runs import publish_changes
         if batch.isEmpty():
             return
+        seen = self.store.head()
         keep = ("eventhub_partition", "kafka_offset", "enqueued_at")
-        checked = apply_rules(parse_envelope(batch, keep=keep, flag_malformed=False), self.rules)
+        checked = apply_rules(parse_envelope(batch, keep=("raw_json", *keep), flag_malformed=False, corrupt=MALFORMED), self.rules)
         valid = to_orders(checked.filter(F.col(ERRORS) == ""), keep).withColumn("ingested_at", F.current_timestamp())
-        from ordermill.plans.runs import publish_changes
+        bad = checked.filter(F.col(ERRORS) != "").select("raw_json", *keep, F.col(ERRORS).alias("error_message")).distinct()
         target = self.store.read(self.table, EVENT_SILVER_SCHEMA)
         changes = M.upsert_changes(target, valid.select(*EVENT_SILVER_COLS), ["order_id"], EVENT_ORDER,
                                    source_order=EVENT_ORDER)
-        publish_changes(self.store, self.table, changes, ["order_id"], _run_id(batch_id, self.prefix))
+        quarantine = f"{self.table}_quarantine"
+        kept = self.store.read(quarantine, EVENT_QUARANTINE_SCHEMA)
+        added = M.new_rows(kept, bad, ["eventhub_partition", "kafka_offset", "raw_json"])
+        publish_changes(self.store, self.table, changes, ["order_id"], _run_id(batch_id, self.prefix),
+                        {quarantine: added.withColumn("quarantined_at", F.current_timestamp())}, appends=[quarantine], seen=seen)
+
+    def tidy(self) -> None:
+        """Merge the per-batch change rows and quarantine folders (maintenance; the base isn't rewritten)."""
+        self.store.merge_deltas(self.table, f"{self.prefix}-merge")
+        self.store.merge_appends(f"{self.table}_quarantine", f"{self.prefix}-merge")
 
 
 class OrderMessageSink:
     """Single JSON order messages through the first-error rules into orders + rejected orders
-    (upsert if newer, insert-ignore rejects), one atomic publish per micro-batch."""
+    (upsert if newer, insert-ignore rejects; a broken message is one reject with its raw text),
+    one atomic publish per micro-batch."""
 
     def __init__(self, store: Store, rules: RuleSet = LOCAL, prefix: str = "messages"):
         self.store, self.rules, self.prefix = store, rules, prefix
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        from ordermill.plans.runs import _load
+        from ordermill.plans.runs import BATCH_ORDER, _load
         if batch.isEmpty():
             return
+        seen = self.store.head()
         checked = apply_rules(batch, self.rules)
-        from ordermill.plans.runs import BATCH_ORDER
         valid = latest_per_key(to_orders(checked.filter(F.col(ERRORS) == "")), ["order_id"], BATCH_ORDER)
-        _load(self.store, checked, valid, _run_id(batch_id, self.prefix), False, None, None, "")
+        _load(self.store, checked, valid, _run_id(batch_id, self.prefix), None, {}, seen)

@@ -78,13 +78,15 @@ def test_change_rows_equal_full_rewrite(spark, tmp_path):
         full = spark.createDataFrame([], SCHEMA)
         for b in perm:
             full = M.upsert(full, b, keys, cmp).drop(M.CHANGE)
-        for compact_after in (2, 100):
-            store = Store(spark, str(tmp_path / f"s{i}-{compact_after}"))
+        for fold in ("compact", "merge_deltas", None):
+            store = Store(spark, str(tmp_path / f"s{i}-{fold}"))
             changed = 0
             for j, b in enumerate(perm):
                 ch = M.upsert_changes(store.read("t", SCHEMA), b, keys, cmp)
                 changed += ch.count()
-                publish_changes(store, "t", ch, keys, f"r{j:03d}", compact_after=compact_after)
+                publish_changes(store, "t", ch, keys, "same id")
+                if fold and j:
+                    getattr(store, fold)("t", "fold")
             assert _state(store.read("t", SCHEMA)) == _state(full)
             again = M.upsert_changes(store.read("t", SCHEMA), perm[-1], keys, cmp)
             assert again.count() == 0                                  # replaying a batch changes nothing
@@ -92,6 +94,8 @@ def test_change_rows_equal_full_rewrite(spark, tmp_path):
         assert kinds == {M.INSERT}
     store = Store(spark, str(tmp_path / "ops"))
     for j, b in enumerate(batches):
-        publish_changes(store, "t", M.upsert_changes(store.read("t", SCHEMA), b, keys, cmp), keys, f"r{j:03d}",
-                        compact_after=2)
-    assert [h["operation"] for h in store.history("t").collect()] == ["DELTA", "COMPACT", "DELTA"]
+        publish_changes(store, "t", M.upsert_changes(store.read("t", SCHEMA), b, keys, cmp), keys, f"r{j:03d}")
+        if j == 1:
+            base = store.compact("t", "fold")
+    assert [h["operation"] for h in store.history("t").collect()] == ["DELTA", "COMPACT", "DELTA", "DELTA"]
+    assert store.layout("t")[0] == base and store.pending_deltas("t") == 1

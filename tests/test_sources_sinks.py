@@ -131,3 +131,62 @@ def test_merge_appends_keeps_rows_and_bounds_folders(spark, tmp_path):
     assert sorted(r["k"] for r in store.read("b").collect()) == [0, 1, 2, 3, 4, 5, 7, 9]
     store.compact("b", "r011")
     assert len(store.current_paths("b")) == 1 and store.read("b").count() == 8
+
+
+def test_publish_refuses_a_state_that_moved_on(spark, tmp_path):
+    from ordermill.plans.store import CommitConflict
+    store, other = Store(spark, str(tmp_path / "lake")), Store(spark, str(tmp_path / "lake"))
+    row = lambda k: spark.createDataFrame([(k,)], "k long")
+    seen = store.head()
+    other.publish({"t": row(1)}, "first", appends=["t"])
+    with pytest.raises(CommitConflict):
+        store.publish({"t": row(2)}, "second", appends=["t"], seen=seen)
+    assert [r["k"] for r in store.read("t").collect()] == [1]
+    store.publish({"t": row(2)}, "second", appends=["t"])
+    assert sorted(r["k"] for r in other.read("t").collect()) == [1, 2]
+
+
+def test_merge_replaces_exactly_what_it_merged(spark, tmp_path):
+    """An append committed after a merge stays, whatever its run id."""
+    store = Store(spark, str(tmp_path / "lake"))
+    row = lambda k: spark.createDataFrame([(k,)], "k long")
+    for k, run_id in ((1, "b1"), (2, "b2"), (4, "b4")):
+        store.publish({"t": row(k)}, run_id, appends=["t"])
+    store.merge_appends("t", "m")
+    store.publish({"t": row(3)}, "b3", appends=["t"])
+    assert sorted(r["k"] for r in store.read("t").collect()) == [1, 2, 3, 4]
+    store.merge_appends("t", "m2")
+    assert sorted(r["k"] for r in store.read("t").collect()) == [1, 2, 3, 4]
+
+
+def test_unreadable_log_is_an_error_not_an_empty_table(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "lake"))
+    assert store.commits().count() == 0 and store.head() == 0
+    store.publish({"t": spark.createDataFrame([(1,)], "k long")}, "a")
+    (tmp_path / "lake" / "_commits" / "000000000002.json").write_text("{broken")
+    with pytest.raises(ValueError):
+        store.read("t")
+    with pytest.raises(ValueError):
+        store.publish({"t": spark.createDataFrame([(2,)], "k long")}, "b", appends=["t"])
+
+
+def test_a_reader_opens_two_small_files_however_long_the_history(spark, tmp_path, monkeypatch):
+    from ordermill.plans import store as S
+    store = Store(spark, str(tmp_path / "lake"))
+    store.publish({"other": spark.createDataFrame([(0,)], "k long")}, "first")
+    for i in range(300):                                    # commits without data: only the log grows
+        store._publish(store.head(), {"t": {"base": None, "appends": [], "deltas": [], "keys": []}}, [], f"r{i}")
+    opened = []
+    read = S.Files.read
+    monkeypatch.setattr(S.Files, "read", lambda self, path: opened.append(path) or read(self, path))
+    assert store.head() == 301 and store.read("other").count() == 1
+    assert len(opened) <= 4                                 # the hint twice, the head, the table's own commit
+
+
+def test_stale_hint_is_only_a_starting_point(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "lake"))
+    for i in range(3):
+        store.publish({"t": spark.createDataFrame([(i,)], "k long")}, f"r{i}", appends=["t"])
+    (tmp_path / "lake" / "_head").write_text("1")
+    (tmp_path / "lake" / "._head.crc").unlink(missing_ok=True)
+    assert store.head() == 3 and store.read("t").count() == 3
