@@ -96,18 +96,20 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     hashes are ranged; the next document sends just the start that is needed and its hashes.
     """
     rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    rows = rows.withColumns({"_hash": F.xxhash64("text"), "n_chars": F.length("text").cast("long")})
-    keys = rows.where("doc_id is not null").groupBy("doc_id").agg(
-        F.min("_hash").alias("_first"), F.max(F.floor(F.col("n_chars") / 3)).cast("int").alias("_need"))
+    known = rows.where("doc_id is not null")               # both joins read one shuffle of these texts
+    keys = known.groupBy("doc_id").agg(
+        F.min(F.xxhash64("text")).alias("_first"), F.max(F.floor(F.length("text") / 3)).cast("int").alias("_need"))
     near = neighbours(keys, "doc_id")
-    # what each document sends to the one before it: (receiver, sender, sender's row, length of the start)
+    # what each document sends to the one before it: (sender, its row, receiver, length of the start)
     sent = (near.select(F.col("lower").alias("doc_id"), F.col("doc_id").alias("_to"), "_need")
             .join(near.select("doc_id", "_first"), "doc_id"))
-    send = with_marks(rows.join(sent, "doc_id").where("_hash = _first"), "text", "_marks")
+    same_row = F.xxhash64("text").bitwiseXOR(F.col("_first")) == 0
+    send = with_marks(known.join(sent, "doc_id").where(same_row), "text", "_marks")
     send = send.select(F.col("_to").alias("doc_id"), F.substring(F.col("text"), F.lit(1), F.col("_need")).alias("_start"),
                        hashes(F.col("_marks")).alias("_next")).dropDuplicates(["doc_id"])
-    took = rows.join(send, "doc_id", "left").withColumns(
-        {"_start": F.coalesce("_start", F.lit("")), "_next": F.coalesce("_next", F.array().cast("array<bigint>"))})
+    took = known.join(send, "doc_id", "left").unionByName(rows.where("doc_id is null"), allowMissingColumns=True)
+    took = took.withColumns({"_start": F.coalesce("_start", F.lit("")), "n_chars": F.length("text").cast("long"),
+                             "_next": F.coalesce("_next", F.array().cast("array<bigint>"))})
     third = F.floor(F.col("n_chars") / 3).cast("int")
     took = took.withColumn("_edited", F.concat(
         F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - third),
