@@ -28,6 +28,8 @@ BLANK = "\r\n\r\n"
 DIGITS, BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2000-01-01T00:00:00Z"
+#: Repeated payload digests (about 50 bytes each) up to which their table is broadcast.
+BROADCAST_DIGESTS = 100_000
 
 
 def sha1_base32(data: Column) -> Column:
@@ -42,9 +44,11 @@ def write(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
     text = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select("page_id", "url", text.alias("_body"), F.octet_length(text).cast("long").alias("_bytes"),
                         sha1_base32(text.cast("binary")).alias("_digest"))
-    first = rows.groupBy("_digest").agg(F.min("page_id").alias("_first"))
-    rows = rows.join(first, "_digest")
-    again = (F.col("_bytes") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("_first"))
+    twice = stored(rows.groupBy("_digest").agg(F.min("page_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+                   .where("_n > 1").select("_digest", "_first"), "twice")
+    few = twice.limit(BROADCAST_DIGESTS + 1).count() <= BROADCAST_DIGESTS      # else payloads are shuffled by digest
+    rows = rows.join(F.broadcast(twice) if few else twice, "_digest", "left")
+    again = (F.col("_bytes") >= min_bytes) & F.col("_first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_first"))
     urn = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("none")), F.lit(">"))
     url = F.replace(F.replace(F.col("url"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
     lines = [
