@@ -273,7 +273,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                   .where("n > 1"), "hubs")
     inside = stored(members.join(hubs, ["band", "key"]), "inside")
     pairs = stored(inside.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
-    wanted = inside.select(F.col("id").alias("doc_id")).distinct()
+    # grows with the data, so it is never broadcast
+    wanted = inside.select(F.col("id").alias("doc_id")).distinct().hint("merge")
     texts = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null")
                    .join(wanted, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "text"), "wanted")
     links = stored(compared(pairs, texts, threshold), "links")
