@@ -14,7 +14,6 @@ link. Repeated rows are copies of each other. An empty table gives an empty resu
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -88,18 +87,17 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
                      (F.col("block") < F.col("with")).alias("left"), (F.col("block") > F.col("with")).alias("right"))
     met = met.join(keyed, "class")
 
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("class")
-        table = int(pdf["t"].iloc[0])
-        vec, rep = unit(np.stack(pdf["v"].to_numpy()).astype(np.float64)), pdf["rep"].to_numpy()
-        own, copies = np.stack(pdf["keys"].to_numpy()), pdf["copies"].to_numpy()
-        a = np.flatnonzero(~pdf["right"].to_numpy(bool))
-        b = np.flatnonzero(~pdf["left"].to_numpy(bool))
-        within = bool(pdf["low"].iloc[0] == pdf["high"].iloc[0])
-        near = (vec[a] @ vec[b].T) >= threshold
-        x, y = np.nonzero(near)
+    def compare(parts: list[pa.RecordBatch]) -> list[tuple]:
+        column = lambda name: np.concatenate([x.column(name).to_numpy(zero_copy_only=False) for x in parts])
+        wide = lambda name: np.concatenate([
+            x.column(name).flatten().to_numpy().reshape(x.num_rows, -1) for x in parts])
+        rep, copies, table = column("rep"), column("copies"), int(column("t")[0])
+        vec, own = unit(wide("v")), wide("keys")
+        a = np.flatnonzero(~column("right").astype(bool))
+        b = np.flatnonzero(~column("left").astype(bool))
+        x, y = np.nonzero((vec[a] @ vec[b].T) >= threshold)
         x, y = a[x], b[y]
-        new = x < y if within else np.ones(len(x), bool)
+        new = x < y if parts[0].column("low")[0] == parts[0].column("high")[0] else np.ones(len(x), bool)
         x, y = x[new], y[new]
         if table and len(x):                               # counted where the pair first meets
             first = np.ones(len(x), bool)
@@ -108,7 +106,7 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
             x, y = x[first], y[first]
         links = np.bincount(x, copies[y], len(rep)) + np.bincount(y, copies[x], len(rep))
         # a forest of the links instead of all of them
-        root = np.arange(len(rep))
+        root = list(range(len(rep)))
 
         def find(i):
             while root[i] != i:
@@ -116,20 +114,41 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
                 i = root[i]
             return i
 
-        edges = []
+        out = [(int(rep[i]), int(links[i]), None) for i in np.flatnonzero(links)]
         for i, j in zip(x.tolist(), y.tolist()):
-            i, j = find(i), find(j)
-            if i != j:
-                root[max(i, j)] = min(i, j)
-                edges.append((rep[i], rep[j]))
-        hit = np.flatnonzero(links)
-        u = [e[0] for e in edges]
-        w = [e[1] for e in edges]
-        return pd.DataFrame({"rep": [*rep[hit], *u], "links": [*links[hit].astype(np.int64), *[0] * len(u)],
-                             "other": pd.array([*[None] * len(hit), *w], "Int64")})
-
-    found = stored(met.groupBy("dim", "t", "key", "low", "high").applyInPandas(
-        compare, "rep long, links long, other long"), "links")
+            p, q = find(i), find(j)
+            if p != q:
+                root[max(p, q)] = min(p, q)
+                out.append((int(rep[i]), 0, int(rep[j])))
+        return out
+
+    bucket = ["dim", "t", "key", "low", "high"]
+
+    def walk(batches):
+        """The buckets of a sorted partition one after another; only the current one is held."""
+        held, at, size = [], None, 0
+
+        def flush():
+            out = compare(held) if size > 1 else []
+            return pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in out], pa.int64()) for i in range(3)], ["rep", "links", "other"])
+
+        for batch in batches:
+            keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in bucket], 1)
+            starts = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(1)))
+            for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)]):
+                now = keys[s].tobytes()
+                if now != at:
+                    if size > 1:
+                        yield flush()
+                    held, at, size = [], now, 0
+                held.append(batch.slice(s, e - s))
+                size += e - s
+        if size > 1:
+            yield flush()
+
+    found = stored(met.repartition(*bucket).sortWithinPartitions(*bucket).mapInArrow(
+        walk, "rep long, links long, other long"), "links")
     links = found.where("other is null").groupBy("rep").agg(F.sum("links").alias("links"))
     joined = components(found.where("other is not null").select(F.col("rep").alias("u"), F.col("other").alias("v")))
     known = (classes.join(links, "rep", "left")
