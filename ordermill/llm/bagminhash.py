@@ -14,11 +14,12 @@ Search: registers are banded. In each bucket all members are first compared with
 (a star, not all pairs). Buckets whose members are then still in different classes are compared
 completely, block against block inside tasks, so no link between bucket members is lost.
 
-Equal texts are compared once, as one text. A text of fewer than five words has one shingle of all
-its words; null texts and texts without words only equal themselves: null texts are classes of
-their own, equal texts one class. Rows without a doc_id take the class of an equal text with one.
-Repeated rows keep their class; rows sharing a doc_id but not the text share the class through it.
-An empty table gives an empty result; extra columns are ignored.
+Equal texts are compared once, as one text, whatever the doc_ids of their rows: a text is known by
+its digest, and a doc_id only names the class. A text of fewer than five words has one shingle of
+all its words; null texts and texts without words only equal themselves: null texts are classes of
+their own, equal texts one class. The class of rows that all lack a doc_id has no name (null).
+Repeated rows keep their class; rows sharing a doc_id but not the text are in the classes of their
+texts. An empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -177,7 +178,7 @@ def bands(ids: np.ndarray) -> np.ndarray:
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """(doc_id, same, keys): digest of the text (null for null) and its band keys (null without words), stored."""
+    """(doc_id, same, keys, row): digest of the text (null for null), its band keys (null without words), row number; stored."""
     def run(batches):
         for batch in batches:
             ids, same, texts = (batch.column(i) for i in range(3))
@@ -191,7 +192,8 @@ def signed(docs: DataFrame) -> DataFrame:
                     ["doc_id", "same", "keys"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.sha2(F.col("text"), 256).alias("same"), "text")
-    return stored(rows.mapInArrow(run, "doc_id long, same string, keys array<long>"), "signed")
+    found = rows.mapInArrow(run, "doc_id long, same string, keys array<long>")
+    return stored(found.withColumn("row", F.monotonically_increasing_id()), "signed")
 
 
 def compared(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -262,21 +264,26 @@ def rest_links(groups: DataFrame, threshold: float) -> DataFrame:
     return groups.groupBy("band", "key", "low", "high").applyInPandas(compare, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Per row: doc_id, class_id (smallest doc_id of its class) and kept (the row is that document)."""
+def text_classes(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The signed rows, the distinct texts (same, class) and the classes (class, class_id, row, doc_id, same).
+
+    Texts are numbered; a number means nothing outside of one call. A class has its smallest doc_id as class_id,
+    its smallest row number, and of the texts that have this doc_id the one with the smallest digest.
+    """
     rows = signed(docs)
-    reps = stored(rows.where("same is not null").groupBy("same").agg(F.min("doc_id").alias("id")), "texts")
-    members = (rows.where("keys is not null").join(reps.where("id is not null"), "same").where("doc_id = id")
-               .dropDuplicates(["same"]).select("id", F.posexplode("keys").alias("band", "key")))
-    members = stored(members, "members")
+    reps = stored(rows.where("same is not null").groupBy("same").agg(
+        F.min("doc_id").alias("first"), F.min("row").alias("row"), F.first("keys").alias("keys"))
+        .withColumn("id", F.monotonically_increasing_id()), "texts")
+    members = stored(reps.where("keys is not null").select("id", F.posexplode("keys").alias("band", "key")), "members")
     hubs = stored(members.groupBy("band", "key").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("n"))
                   .where("n > 1"), "hubs")
     inside = stored(members.join(hubs, ["band", "key"]), "inside")
     pairs = stored(inside.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
     # grows with the data, so it is never broadcast
-    wanted = inside.select(F.col("id").alias("doc_id")).distinct().hint("merge")
-    texts = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null")
-                   .join(wanted, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "text"), "wanted")
+    wanted = reps.select("id", "same").join(inside.select("id").distinct(), "id", "left_semi").hint("merge")
+    # copies of a text meet before the shuffle
+    texts = stored(docs.select(F.sha2(F.col("text"), 256).alias("same"), "text").where("text is not null")
+                   .dropDuplicates(["same"]).join(wanted, "same").select("id", "text"), "wanted")
     links = stored(compared(pairs, texts, threshold), "links")
     known = components(links)
     # buckets that the stars left in several classes: every pair across classes, in blocks
@@ -293,20 +300,43 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                          (F.col("block") > F.col("with")).alias("right"))
         more = stored(rest_links(met.join(texts, "id"), threshold), "rest")
         known = components(links.unionAll(more))
-    named = reps.join(known.withColumnRenamed("node", "id"), "id", "left").select(
-        "same", F.coalesce("component", "id").alias("class_id"))
-    out = rows.select("doc_id", "same").join(named, "same", "left")
+    named = stored(reps.select("same", "id", "first", "row").join(known.withColumnRenamed("node", "id"), "id", "left")
+                   .select("same", "first", "row", F.coalesce("component", "id").alias("class")), "named")
+    smallest = F.min(F.struct(F.col("first").isNull(), F.col("first"), F.col("same")))
+    classes = stored(named.groupBy("class").agg(smallest.alias("_s"), F.min("row").alias("row")).select(
+        "class", F.col("_s.first").alias("class_id"), "row", F.col("_s.same").alias("same")), "named-classes")
+    return rows, named.select("same", "class"), classes
+
+
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Per row: doc_id, class_id (smallest doc_id of its class) and kept (the row is that document).
+
+    Of a class whose rows all lack a doc_id one row is kept.
+    """
+    rows, texts, classes = text_classes(docs, threshold)
+    named = stored(texts.join(classes.select("class", "class_id", F.col("row").alias("_row")), "class")
+                   .select("same", "class_id", "_row"), "named-texts")
+    out = rows.select("doc_id", "same", "row").join(named, "same", "left")
     own = F.when(F.col("same").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
-    return out.select("doc_id", own.alias("class_id"), own.eqNullSafe(F.col("doc_id")).alias("kept"))
+    unnamed = F.col("same").isNotNull() & F.col("class_id").isNull()
+    return out.select("doc_id", own.alias("class_id"),
+                      F.when(unnamed, F.col("row") == F.col("_row")).otherwise(own.eqNullSafe(F.col("doc_id"))).alias("kept"))
 
 
 def deduplicated(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with one document of each class, that of the smallest doc_id; all rows without a doc_id go.
+    """``docs`` with one row of each class, whatever its doc_id: a row with the smallest doc_id of the class.
 
-    If rows repeat that doc_id, the one whose text has the smallest hash stays.
+    If texts of the class share that doc_id, or all lack one, the text with the smallest digest stays; of its rows
+    the one with the smallest hash. Null texts stay, once for each doc_id, and all that lack one.
     """
-    found = near_duplicates(docs, threshold)
-    ids = found.where("kept and doc_id is not null").select("doc_id").distinct()
-    kept = docs.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(
-        F.min_by(F.struct(*[F.col(c) for c in docs.columns]), F.coalesce(F.xxhash64("text"), F.lit(0))).alias("_row"))
-    return kept.select("_row.*")
+    rows, _, classes = text_classes(docs, threshold)
+    # a digest has 64 characters, so digest, id or both are told apart
+    key = lambda same, doc_id: F.concat_ws(":", same, doc_id.cast("string"))
+    keys = (classes.select(key(F.col("same"), F.col("class_id")).alias("_key")).unionAll(
+        rows.where("same is null and doc_id is not null").select(key(F.col("same"), F.col("doc_id")).alias("_key")).distinct()))
+    # copies meet before the shuffle
+    kept = (docs.where("text is not null or doc_id is not null")
+            .withColumn("_key", key(F.sha2(F.col("text"), 256), F.col("doc_id").cast("long")))
+            .groupBy("_key").agg(F.min_by(F.struct(*[F.col(c) for c in docs.columns]), F.xxhash64(*docs.columns)).alias("_row"))
+            .join(keys, "_key", "left_semi"))
+    return kept.select("_row.*").unionAll(docs.where("text is null and doc_id is null"))

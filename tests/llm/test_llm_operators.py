@@ -177,6 +177,24 @@ def test_classes_equal_brute_force(spark):
     assert bagminhash.deduplicated(again).count() == len(kept)
 
 
+def test_rows_without_or_with_repeated_ids_keep_their_texts(spark):
+    words = [f"u{i}" for i in range(400)]
+    long = [" ".join(words[at:at + 100]) for at in (0, 100, 200, 300)]
+    near = [t + " tail" for t in long]                     # 96 of 97 runs are shared
+    rows = [(None, "only here"), (None, long[0]), (None, near[0]), (None, long[0]),    # a class without any id
+            (7, long[1]), (7, long[2]), (7, "seven"), (7, "seven"),                    # one id, three texts
+            (None, near[2]), (9, long[3]), (8, near[3]), (None, long[3]), (5, None), (5, None), (None, None), (None, None)]
+    df = spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], DOCS)
+    got = collections.Counter((r["doc_id"], r["text"]) for r in bagminhash.deduplicated(df).collect())
+    unnamed = [k for k in got if k in ((None, long[0]), (None, near[0]))]
+    assert len(unnamed) == 1
+    assert got == collections.Counter({(None, "only here"): 1, unnamed[0]: 1, (7, long[1]): 1, (7, long[2]): 1, (7, "seven"): 1,
+                                       (8, near[3]): 1, (5, None): 1, (None, None): 2})
+    found = collections.Counter(tuple(r) for r in bagminhash.near_duplicates(df).collect())
+    assert found == collections.Counter({(None, None, True): 4, (None, None, False): 2, (7, 7, True): 4, (None, 7, False): 1,
+                                         (9, 8, False): 1, (8, 8, True): 1, (None, 8, False): 1, (5, 5, True): 2})
+
+
 def test_complete_comparison_of_a_bucket_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(bagminhash, "BLOCK", 4)
     draw = random.Random(5)
