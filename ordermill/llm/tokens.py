@@ -40,6 +40,7 @@ class Encoder:
         self.last: dict[str, bytes] = {}
         self.kind = np.dtype("<u2") if self.library.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.mark = self._ids([MARK])[0]
+        self.added = sorted({t.content.lower() for t in self.library.get_added_tokens_decoder().values()})
         vocabulary = self.library.get_vocab(with_added_tokens=True)
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
@@ -81,6 +82,9 @@ class Encoder:
         # only where a letter stays one letter, so that no accent of its own joins the marks
         if len(low) != len(text) or "\u03a3" in text or not unicodedata.is_normalized("NFC", text):
             return text.split(" ")
+        # added tokens are found in the text as it is: other cases of one are plain text
+        if any(t in low for t in self.added):
+            return text.split(" ")
         return BEHIND.sub(" ", low).split(" ")
 
     def _complete(self, wanted: set[str]) -> None:

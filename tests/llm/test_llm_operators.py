@@ -352,6 +352,14 @@ def test_encoder_equals_the_library(encoder, small):
     assert encoder.encode([None])[0].tolist() == []
 
 
+def test_other_cases_of_added_tokens_are_plain_text(encoder):
+    texts = ["<|ENDOFTEXT|>", "<|EndOfText|>", "a<|ENDOFTEXT|>b, <|endoftext|>. C", "<|startOFtext|> x", "<|ENDOFTEXT|>\n<|endoftext|>"]
+    texts += [c for t in encoder.library.get_added_tokens_decoder().values() for c in (t.content, t.content.upper(), t.content.title())]
+    want = [x.ids for x in encoder.library.encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in encoder.encode(texts)] == want
+    assert len(want[0]) > 1
+
+
 def test_blocks_round_trip_and_decode_alone():
     draw = np.random.default_rng(6)
     blocks = [[np.array([2])], [draw.integers(0, 6, n) for n in (1, 400, 3, 2000)], [np.full(999, 7), np.full(2, 7)],
