@@ -8,13 +8,16 @@ precision, block against block, each pair in the first table where it meets.
 
 Equal vectors are compared once, as a class with its number of copies. A vector that is null, zero
 or holds a null or non-finite component links with nothing; vectors of different dimension don't
-link. Repeated rows are copies of each other. An empty table gives an empty result.
+link. Repeated rows are copies of each other. Classes are numbered, and vec_ids only name the
+results: rows without a vec_id link like others, and a component whose rows all lack one has no
+name (null) and keeps one row. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,24 +60,23 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
         F.exists("v", lambda x: x != 0), F.lit(False))
     # -0.0 and 0.0 are one value; equal vectors have equal digests
     text = F.array_join(F.transform("v", lambda x: (x + F.lit(0.0)).cast("string")), ",")
-    rows = stored(rows.select("vec_id", "v", F.when(sound, F.sha2(text, 256)).alias("class")), "vectors")
-    classes = rows.where("class is not null").groupBy("class").agg(
-        F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    # a representative's row: repeated rows of one vec_id are one vector
-    vectors = stored(rows.join(classes.select("class", "copies", F.col("rep")), "class").where("vec_id <=> rep")
-                     .dropDuplicates(["class"]).select("class", "rep", "copies", "v"), "classes")
+    rows = stored(rows.select("vec_id", "v", F.when(sound, F.sha2(text, 256)).alias("class"),
+                              F.monotonically_increasing_id().alias("row")), "vectors")
+    # any row's vector stands for its class; copies meet before the shuffle
+    vectors = stored(rows.where("class is not null").groupBy("class").agg(
+        F.min("vec_id").alias("first"), F.min("row").alias("row"), F.count(F.lit(1)).alias("copies"), F.first("v").alias("v"))
+        .withColumn("rep", F.monotonically_increasing_id()), "classes")
 
     def keys(batches):
         for batch in batches:
-            frame = batch.to_pandas()
-            for _, same in frame.groupby(frame["v"].map(len)):
-                found = bucket_keys(unit(np.stack(same["v"].to_numpy()).astype(np.float64)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(same["class"], pa.string()), pa.array(same["rep"], pa.int64()),
-                     pa.array(same["copies"], pa.int64()), pa.array(list(same["v"]), pa.list_(pa.float64())),
-                     pa.array(list(found), pa.list_(pa.int64()))], ["class", "rep", "copies", "v", "keys"])
-
-    keyed = stored(vectors.mapInArrow(
+            sizes = pc.list_value_length(batch.column("v")).to_numpy()
+            for size in np.unique(sizes):
+                part = batch.take(pa.array(np.flatnonzero(sizes == size)))
+                found = bucket_keys(unit(part.column("v").flatten().to_numpy().reshape(part.num_rows, size)))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(list(found), pa.list_(pa.int64()))],
+                                                 ["class", "rep", "copies", "v", "keys"])
+
+    keyed = stored(vectors.select("class", "rep", "copies", "v").mapInArrow(
         keys, "class string, rep long, copies long, v array<double>, keys array<long>"), "keyed")
     places = keyed.select("class", F.size("v").alias("dim"), F.posexplode("keys").alias("t", "key"))
     sizes = (places.groupBy("dim", "t", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -151,11 +153,14 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
         walk, "rep long, links long, other long"), "links")
     links = found.where("other is null").groupBy("rep").agg(F.sum("links").alias("links"))
     joined = components(found.where("other is not null").select(F.col("rep").alias("u"), F.col("other").alias("v")))
-    known = (classes.join(links, "rep", "left")
-             .join(joined.select(F.col("node").alias("rep"), "component"), "rep", "left")
-             .select("class", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-                     F.coalesce("component", "rep").alias("component_id")))
-    out = rows.select("vec_id", "class").join(known, "class", "left")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                      F.coalesce("component_id", "vec_id").alias("component_id"),
-                      F.coalesce("component_id", "vec_id").eqNullSafe(F.col("vec_id")).alias("kept"))
+    known = stored(vectors.select("class", "first", "row", "copies", "rep").join(links, "rep", "left")
+                   .join(joined.select(F.col("node").alias("rep"), "component"), "rep", "left")
+                   .select("class", "first", "row", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
+                           F.coalesce("component", "rep").alias("component")), "known")
+    named = known.groupBy("component").agg(F.min("first").alias("component_id"), F.min("row").alias("_row"))
+    known = stored(known.select("class", "n_links", "component").join(named, "component").drop("component"), "named")
+    out = rows.select("vec_id", "class", "row").join(known, "class", "left")
+    own = F.when(F.col("n_links").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
+    unnamed = F.col("n_links").isNotNull() & F.col("component_id").isNull()
+    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), own.alias("component_id"),
+                      F.when(unnamed, F.col("row") == F.col("_row")).otherwise(own.eqNullSafe(F.col("vec_id"))).alias("kept"))

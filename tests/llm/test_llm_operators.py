@@ -243,6 +243,22 @@ def test_vectors_equal_brute_force(spark, monkeypatch):
     assert [(r["n_links"], r["component_id"]) for r in twice] == [(1, 5), (1, 5)]
 
 
+def test_vectors_without_an_id_link_like_others(spark):
+    big = (1 << 53) + 1
+    a, b, c, d = ([1.0, 0.0, 0.0, 0.0], [0.0, 1.0, 0.0, 0.0], [0.0, 0.0, 1.0, 0.0], [0.0, 0.0, 0.0, 1.0])
+    near = lambda v: [x + 0.01 for x in v]
+    rows = [(None, a), (big, near(a)), (big + 2, a),       # named by the one row that has the smaller id
+            (None, b), (None, b), (None, near(b)),         # no id at all
+            (None, c), (big + 4, d), (None, None), (None, [1.0, None])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    got = collections.Counter(tuple(r) for r in vectors.near_duplicates(df).collect())
+    kept = sum(n for r, n in got.items() if r[:3] == (None, 2, None) and r[3])
+    assert kept == 1
+    assert got == collections.Counter({(None, 2, big, False): 1, (big, 2, big, True): 1, (big + 2, 2, big, False): 1,
+                                       (None, 2, None, True): 1, (None, 2, None, False): 2, (None, 0, None, True): 3,
+                                       (big + 4, 0, big + 4, True): 1})
+
+
 # -- winnowing ----------------------------------------------------------------------------
 
 def marks_reference(codes):
