@@ -157,7 +157,8 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
                    .join(joined.select(F.col("node").alias("rep"), "component"), "rep", "left")
                    .select("class", "first", "row", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
                            F.coalesce("component", "rep").alias("component")), "known")
-    named = known.groupBy("component").agg(F.min("first").alias("component_id"), F.min("row").alias("_row"))
+    # stored, so that the join deals both sides and a large component can be split
+    named = stored(known.groupBy("component").agg(F.min("first").alias("component_id"), F.min("row").alias("_row")), "components")
     known = stored(known.select("class", "n_links", "component").join(named, "component").drop("component"), "named")
     out = rows.select("vec_id", "class", "row").join(known, "class", "left")
     own = F.when(F.col("n_links").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
