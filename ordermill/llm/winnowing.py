@@ -1,7 +1,7 @@
 """Document fingerprints by winnowing (Schleimer, Wilkerson, Aiken), in DataFrame expressions only.
 
-A text's units are its words (maximal runs without white space; Han, Hiragana and Katakana
-characters count singly). Every run of ``GRAM`` units has a rolling polynomial hash; of every
+A text's units are its characters without white space, in every script, so texts of a few words and
+texts without spaces are cut as finely as others. Every run of ``GRAM`` units has a rolling polynomial hash; of every
 ``WINDOW`` consecutive hashes the smallest is marked, the rightmost of equals, and marks keep
 their position. So any passage of at least ``GRAM + WINDOW - 1`` units that two texts share leaves
 a common mark in both.
@@ -19,11 +19,11 @@ from pyspark.sql import functions as F
 from ordermill.llm.common import neighbours
 
 #: Units of a gram, grams of a window (a power of two), and the base and modulus of the rolling hash.
-GRAM, WINDOW = 5, 16
+GRAM, WINDOW = 5, 4
 BASE, MODULUS = 1_000_003, (1 << 31) - 1
 #: Positions take the low 31 bits of a mark, counted from the end so that the smallest mark is the rightmost.
 PLACES = 1 << 31
-UNIT = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}]|[^\s\p{IsHan}\p{IsHiragana}\p{IsKatakana}]+"
+UNIT = r"\S"
 
 
 def _codes(text: Column) -> Column:

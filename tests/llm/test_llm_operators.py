@@ -315,6 +315,21 @@ def test_edited_fingerprints(spark):
     assert winnowing.edited_fingerprints(df.limit(0)).count() == 0
 
 
+def test_short_and_unspaced_texts_leave_common_marks(spark):
+    draw = random.Random(8)
+    letters = lambda n, first, many: "".join(chr(first + draw.randrange(many)) for _ in range(n))
+    texts = ["red apples grow slowly", "internationalisation", "one two three four five six seven eight",
+             " ".join(letters(5, 97, 26) for _ in range(12)), letters(60, 97, 26), letters(60, 0xE01, 46),     # Thai
+             letters(60, 0x1780, 36), letters(60, 0x4E00, 900), letters(60, 48, 10), "bcdfg" * 3 + letters(30, 98, 2)]
+    got = {r["doc_id"]: r["near_edited"] for r in winnowing.edited_fingerprints(docs(spark, texts)).collect()}
+    assert all(0 < got[i] < 1 for i in range(len(texts)))
+    for first, many in ((97, 26), (0xE01, 46), (0x1780, 36), (0x4E00, 900)):     # a passage inside one unspaced run
+        passage = letters(winnowing.GRAM + winnowing.WINDOW - 1, first, many)
+        pair = [letters(33, first, many) + passage + letters(9, first, many), letters(14, first, many) + passage]
+        a, b = winnowing.with_marks(docs(spark, pair), "text", "m").select(winnowing.hashes(F.col("m"))).collect()
+        assert set(a[0]) & set(b[0])
+
+
 # -- preference pairs -----------------------------------------------------------------------
 
 TURNS = "pair_id long, turn long, role string, text string"
