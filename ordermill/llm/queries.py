@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import bagminhash, langid, mixing, packing, preference, sharding, tokenfile, vectors, warc, winnowing
+from ordermill.llm import (bagminhash, langid, mixing, packing, preference, quality, ranking, sharding, tokenfile, trie,
+                           vectors, warc, winnowing)
 from ordermill.llm.common import table
 from ordermill.session import scratch_path
 
@@ -64,6 +65,18 @@ def op10_bin_completion_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_additive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_bag_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_nodes(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -171,8 +184,51 @@ counts AS (SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, c.rate, count(*
   FROM drawn d JOIN cdf c ON c.source IS NOT DISTINCT FROM d.source GROUP BY ALL)
 SELECT doc_id, text, lang, source, n_chars, rate, copy::INT AS copy FROM counts, unnest(range(0, copies)) t(copy)"""
 
+OP12_SQL = r"""WITH spelt AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), $UPPER, $LOWER), $TERM) AS t FROM documents),
+d AS MATERIALIZED (SELECT r, doc_id, len(t)::BIGINT AS n, t FROM spelt WHERE len(t) > 0),
+asked AS (SELECT DISTINCT item_id, text FROM benchmark),
+i AS MATERIALIZED (SELECT row_number() OVER () AS i, item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), $UPPER, $LOWER), $TERM)) AS term FROM asked),
+q AS (SELECT i, item_id, term, count(*) AS k FROM i GROUP BY ALL),
+f AS MATERIALIZED (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+a AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM d),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM f GROUP BY term), a),
+m AS (SELECT r, doc_id, 100 - 75 + (75 * n * docs) // terms AS m FROM d, a),
+s AS (SELECT i, item_id, r, doc_id, sum(k * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM q JOIN f USING (term) JOIN w USING (term) JOIN m USING (r) GROUP BY ALL)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0) WHERE rank <= 10"""
+for _name, _text in (("$UPPER", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), ("$LOWER", "abcdefghijklmnopqrstuvwxyz"),
+                     ("$TERM", r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")):
+    OP12_SQL = OP12_SQL.replace(_name, f"'{_text}'")
+
+OP13_SQL = f"""WITH RECURSIVE {_CRC_TABLE},
+t AS MATERIALIZED (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS MATERIALIZED (SELECT conv_id, {_crc("conv_id::VARCHAR")} % 4 AS h FROM (SELECT DISTINCT conv_id FROM t), crc),
+r AS (SELECT c.conv_id, 0 AS own, k, role, text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 20 AND k <= h
+  UNION ALL SELECT c.conv_id, 1, k, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND k > h),
+p AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY own, k) AS depth FROM r),
+m AS MATERIALIZED (SELECT conv_id, depth, list({{'role': role, 'text': text}}) OVER (PARTITION BY conv_id ORDER BY depth) AS path,
+    len(list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS words FROM p
+  UNION ALL SELECT conv_id, 0, [], 0 FROM c),
+l AS (SELECT conv_id, max(depth) AS last FROM m GROUP BY conv_id),
+n AS MATERIALIZED (SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE depth = last), '')) AS ends_sha256
+  FROM m JOIN l USING (conv_id) GROUP BY depth, path),
+k AS (SELECT path[:-2] AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+x AS MATERIALIZED (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (path)),
+u AS (SELECT m.path, count(*) FILTER (WHERE x.n_children = 0) AS n_leaves, sum((x.n_convs - 1) * x.words) AS saved_tokens
+  FROM x JOIN m ON m.conv_id = x.conv_id AND m.depth <= x.depth GROUP BY m.path)
+SELECT x.conv_id, x.depth::BIGINT AS depth, up.conv_id AS parent_conv_id, x.n_convs, x.n_children, n_leaves,
+  saved_tokens::BIGINT AS saved_tokens, x.ends_sha256
+FROM x JOIN u USING (path) LEFT JOIN n up ON up.depth = x.depth - 1 AND up.path = x.path[:-2]"""
+
 QUERIES = {f.__name__: f for f in (
     op1_jump_sharding, op2_bagminhash_dedup, op3_pstable_embeddings, op4_winnowing, op5_preference_format,
-    op6_repair_token_files, op7_warc_chain, op8_rank_order_langid, op9_poisson_mixing, op10_bin_completion_packing, pipeline)}
+    op6_repair_token_files, op7_warc_chain, op8_rank_order_langid, op9_poisson_mixing, op10_bin_completion_packing,
+    op11_additive_quality, op12_bag_ranking, op13_prefix_trie, pipeline)}
 ORACLE = {"op1_jump_sharding": _op1_sql(), "op2_bagminhash_dedup": OP2_SQL, "op3_pstable_embeddings": OP3_SQL,
-          "op5_preference_format": OP5_SQL, "op7_warc_chain": OP7_SQL, "op9_poisson_mixing": OP9_SQL}
+          "op5_preference_format": OP5_SQL, "op7_warc_chain": OP7_SQL, "op9_poisson_mixing": OP9_SQL,
+          "op12_bag_ranking": OP12_SQL, "op13_prefix_trie": OP13_SQL}

@@ -25,7 +25,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "conversations"):
+    for t in ("documents", "embeddings", "pages", "conversations", "benchmark"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return c
 
@@ -44,7 +44,7 @@ def test_query_matches_sql(spark, con, name):
 
 
 def test_every_operator_has_one_query():
-    assert [n.split("_")[0] for n in QUERIES] == [*(f"op{i}" for i in range(1, 11)), "pipeline"]
+    assert [n.split("_")[0] for n in QUERIES] == [*(f"op{i}" for i in range(1, 14)), "pipeline"]
 
 
 def plain_profile(text):
