@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.common import components, key_bits, stored
+from ordermill.llm.common import components, key_bits, stored, whole_row
 
 WORDS, THRESHOLD = 5, 0.8
 #: 32 bands of 8 registers: two texts of likeness 0.8 share a band with probability 0.997, of 0.5 with 0.12.
@@ -332,11 +332,11 @@ def deduplicated(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     rows, _, classes = text_classes(docs, threshold)
     # a digest has 64 characters, so digest, id or both are told apart
     key = lambda same, doc_id: F.concat_ws(":", same, doc_id.cast("string"))
-    keys = (classes.select(key(F.col("same"), F.col("class_id")).alias("_key")).unionAll(
-        rows.where("same is null and doc_id is not null").select(key(F.col("same"), F.col("doc_id")).alias("_key")).distinct()))
-    # copies meet before the shuffle
+    keys = (classes.select(key(F.col("same"), F.col("class_id")).alias("key")).unionAll(
+        rows.where("same is null and doc_id is not null").select(key(F.col("same"), F.col("doc_id")).alias("key")).distinct()))
+    # copies meet before the shuffle; the documents travel as one column, so that no name of theirs meets "key"
     kept = (docs.where("text is not null or doc_id is not null")
-            .withColumn("_key", key(F.sha2(F.col("text"), 256), F.col("doc_id").cast("long")))
-            .groupBy("_key").agg(F.min_by(F.struct(*[F.col(c) for c in docs.columns]), F.xxhash64(*docs.columns)).alias("_row"))
-            .join(keys, "_key", "left_semi"))
-    return kept.select("_row.*").unionAll(docs.where("text is null and doc_id is null"))
+            .select(key(F.sha2(F.col("text"), 256), F.col("doc_id").cast("long")).alias("key"), whole_row(docs))
+            .groupBy("key").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+            .join(keys, "key", "left_semi"))
+    return kept.select("row.*").unionAll(docs.where("text is null and doc_id is null"))

@@ -34,6 +34,11 @@ def key_bits(key: Column, salt: str = "") -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns of ``df`` as one, ``row``; ``select("row.*")`` gives them back, whatever their names."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns]).alias("row")
+
+
 def with_rank(df: DataFrame, group: list[str], bucket: Column, order: list[Column], name: str) -> DataFrame:
     """Add a gapless rank from 0 within each ``group`` without ever sorting a whole group in one task.
 
@@ -78,7 +83,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     Large-star / small-star contraction: every round hangs each neighbourhood under its smallest
     member, so a long chain halves and a hot hub stays a plain aggregate and an equi-join. The
-    rounds end when the edge list no longer changes; each round's list is stored.
+    rounds end when the edge list no longer changes; each round's lists are stored.
     """
     def settle(e: DataFrame) -> tuple[DataFrame, tuple]:
         e = stored(e.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(),
@@ -89,9 +94,11 @@ def components(edges: DataFrame) -> DataFrame:
     edges, mark = settle(edges)
     while mark[0]:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
+        # the minima are stored, so that the join behind them can split the edges of a hub
+        low = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m")), "low")
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = stored(large, "large")
+        low = stored(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = (large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionAll(low.select("u", F.col("m").alias("v"))))
         edges, after = settle(small)

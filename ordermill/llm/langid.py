@@ -7,7 +7,8 @@ out of its place; an n-gram that the profile lacks counts as ``PROFILE`` places.
 
 A text that is null or has no letter is ``und`` with score 0. Rows without a language don't train.
 Equal counts rank by the n-gram's code, equal distances go to the first language in text order. An
-empty table gives an empty result; without training rows every text is ``und``.
+empty table gives an empty result; without training rows every text is ``und``. Any number of
+languages is learned; profiles go to the tasks in blocks of about ``LANGUAGES``.
 """
 
 from __future__ import annotations
@@ -20,12 +21,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ordermill.llm.common import stored, whole_row
+
 #: N-grams of a profile.
 PROFILE = 300
-#: Most distinct languages that may be learned; more is an error (profiles go to every task).
+#: Languages of a block of profiles.
 LANGUAGES = 1000
-#: A text whose score is below this is like no learned language.
-REJECT = 0.2
+#: A text is like no learned language if its score is below MARGIN of the score that all but one in RARE training rows reach.
+RARE, MARGIN, STEPS = 100, 0.75, 1000
 
 
 def letters() -> np.ndarray:
@@ -58,8 +61,8 @@ def ranked(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return codes[np.argsort(-counts, kind="stable")[:PROFILE]]
 
 
-def learn(docs: DataFrame, lang: str = "lang") -> dict[str, list[int]]:
-    """Ranked n-gram codes by language, from every row with a language. At most PROFILE codes a language come back."""
+def learn(docs: DataFrame, lang: str = "lang") -> list[dict[str, list[int]]]:
+    """Blocks of ranked n-gram codes by language, from every row with a language; PROFILE codes a language at most."""
     def count(batches):
         for batch in batches:
             langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -77,16 +80,19 @@ def learn(docs: DataFrame, lang: str = "lang") -> dict[str, list[int]]:
     total = rows.mapInArrow(count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     place = Window.partitionBy("lang").orderBy(F.desc("n"), "code")
     top = total.withColumn("place", F.row_number().over(place)).where(F.col("place") <= PROFILE)
-    found: dict[str, list[int]] = {}
-    for r in top.limit(LANGUAGES * PROFILE + 1).orderBy("lang", "place").toLocalIterator():
-        found.setdefault(r["lang"], []).append(r["code"])
-    if len(found) > LANGUAGES:
-        raise ValueError("more distinct languages than LANGUAGES")
-    return found
-
-
-def predict(text: Column, profiles: dict[str, list[int]]) -> Column:
-    """A struct of lang_pred and score (1: every n-gram in its place, 0: none known) for a text column."""
+    top = stored(top.select("lang", "place", "code"), "profiles")
+    blocks = -(-top.select("lang").distinct().count() // LANGUAGES)
+    out = []
+    for k in range(blocks):
+        found: dict[str, list[int]] = {}
+        for r in top.where(F.pmod(F.xxhash64("lang"), F.lit(blocks)) == k).orderBy("lang", "place").toLocalIterator():
+            found.setdefault(r["lang"], []).append(r["code"])
+        out.append(found)
+    return out
+
+
+def nearest(text: Column, profiles: dict[str, list[int]]) -> Column:
+    """A struct of the distance (0 to 1) to the nearest of these profiles and its language; nulls without letters."""
     names = sorted(profiles)
     tables = []
     for name in names:
@@ -94,27 +100,47 @@ def predict(text: Column, profiles: dict[str, list[int]]) -> Column:
         order = np.argsort(codes)
         tables.append((codes[order], order))
 
-    @F.arrow_udf("struct<lang_pred:string,score:double>")
+    @F.arrow_udf("struct<away:double,lang:string>")
     def guess(texts: pa.Array) -> pa.Array:
-        langs, scores = [], []
+        langs, distances = [], []
         for text in texts.to_pylist():
             own = ranked(*grams(text))
-            best, least = "und", 1.0
+            best, least = None, None
             for name, (codes, place) in zip(names, tables):
                 if len(own) and len(codes):
                     at = np.minimum(np.searchsorted(codes, own), len(codes) - 1)
                     off = np.where(codes[at] == own, np.minimum(np.abs(place[at] - np.arange(len(own))), PROFILE), PROFILE)
-                    away = off.sum() / (PROFILE * len(own))
-                    if away < least or best == "und":
+                    away = float(off.sum() / (PROFILE * len(own)))
+                    if least is None or away < least:
                         best, least = name, away
             langs.append(best)
-            scores.append(0.0 if best == "und" else 1.0 - least)
-        return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                                          ["lang_pred", "score"])
+            distances.append(least)
+        return pa.StructArray.from_arrays([pa.array(distances, pa.float64()), pa.array(langs, pa.string())], ["away", "lang"])
 
     return guess(text)
 
 
+def predict(text: Column, profiles: list[dict[str, list[int]]]) -> Column:
+    """A struct of lang_pred and score (1: every n-gram in its place, 0: none known) for a text column."""
+    best = F.array_min(F.filter(F.array(*[nearest(text, p) for p in profiles]), lambda x: x["lang"].isNotNull())) if profiles \
+        else F.lit(None).cast("struct<away:double,lang:string>")
+    return F.struct(F.coalesce(best["lang"], F.lit("und")).alias("lang_pred"),
+                    F.when(best["lang"].isNull(), 0.0).otherwise(1.0 - best["away"]).alias("score"))
+
+
+def least_score(docs: DataFrame, profiles: list[dict[str, list[int]]]) -> float:
+    """The score below which a text is like no learned language, from all training rows that are taken for their own."""
+    found = docs.where("lang is not null").select(F.col("lang").cast("string").alias("lang"), predict(F.col("text"), profiles).alias("p"))
+    own = found.where(F.col("p.lang_pred") == F.col("lang")).select(F.floor(F.col("p.score") * STEPS).cast("int").alias("step"))
+    counts = sorted(tuple(r) for r in own.groupBy("step").count().collect())           # STEPS + 1 rows at most
+    rows, below = sum(n for _, n in counts), 0
+    for step, n in counts:
+        below += n
+        if below * RARE > rows:
+            return MARGIN * step / STEPS
+    return 0.0
+
+
 def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
@@ -127,7 +153,10 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def accepted(docs: DataFrame) -> DataFrame:
-    """The documents that are in a learned language: not ``und`` and not below REJECT."""
-    profiles = learn(docs.where(~held_out(F.col("doc_id"))))
-    found = docs.withColumn("_p", predict(F.col("text"), profiles))
-    return found.where((F.col("_p.lang_pred") != "und") & (F.col("_p.score") >= REJECT)).drop("_p")
+    """The documents that are in a learned language: not ``und`` and not below ``least_score``."""
+    training = docs.where(~held_out(F.col("doc_id")))
+    profiles = learn(training)
+    least = least_score(training, profiles)
+    # the documents travel as one column, so that no name of theirs meets "found"
+    found = docs.select(predict(F.col("text"), profiles).alias("found"), whole_row(docs))
+    return found.where((F.col("found.lang_pred") != "und") & (F.col("found.score") >= least)).select("row.*")

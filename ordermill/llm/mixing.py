@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from ordermill.llm.common import key_bits, stored
+from ordermill.llm.common import key_bits, stored, whole_row
 
 #: Sources up to which their table (a rate and its distribution each) is broadcast; beyond, a plain join.
 BROADCAST_SOURCES = 1000
@@ -67,14 +67,15 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, rows: f
         seed: str = SEED) -> DataFrame:
     """``docs`` with rows repeated or left out by their source's rate, shuffled; adds ``rate`` and ``copy`` (from 0)."""
     docs = docs.drop("rate", "copy")
-    known = stored(rates(docs, weights, rows).withColumn("_cdf", poisson_cdf("rate"))
-                   .select(F.col("source").alias("_source"), "rate", "_cdf"), "rates")
+    known = stored(rates(docs, weights, rows).withColumn("cdf", poisson_cdf("rate"))
+                   .select(F.col("source").alias("of"), "rate", "cdf"), "rates")
     few = known.count() <= BROADCAST_SOURCES
-    joined = docs.join(F.broadcast(known) if few else known, F.col("source").eqNullSafe(F.col("_source")))
-    drawn = joined.withColumn("_u", uniform(seed, F.col("doc_id")))
-    copies = F.size(F.filter("_cdf", lambda c: c <= F.col("_u")))
-    copied = (drawn.withColumn("_copies", copies).where("_copies > 0")
-              .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1))))
+    # the documents travel as one column, so that no name of theirs meets one of these
+    whole = docs.select(whole_row(docs), "source", "doc_id")
+    joined = whole.join(F.broadcast(known) if few else known, F.col("source").eqNullSafe(F.col("of")))
+    drawn = joined.withColumn("u", uniform(seed, F.col("doc_id")))
+    copies = F.size(F.filter("cdf", lambda c: c <= F.col("u")))
+    copied = (drawn.withColumn("copies", copies).where("copies > 0")
+              .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))))
     place = uniform(f"{seed}:place", F.col("doc_id"), F.col("copy"))
-    return (copied.withColumn("_place", place).repartition("_place").sortWithinPartitions("_place")
-            .select(*docs.columns, "rate", "copy"))
+    return copied.withColumn("place", place).repartition("place").sortWithinPartitions("place").select("row.*", "rate", "copy")

@@ -116,7 +116,7 @@ keys AS (SELECT doc_id, {_bits("doc_id::VARCHAR")} AS key FROM documents),
 rows AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size, {_crc("coalesce(text, '')")} AS text_crc32
          FROM documents, crc)
 SELECT r.doc_id, size::BIGINT AS size, text_crc32, 'key' AS law, j.shard::INT AS shard,
-  row_number() OVER (PARTITION BY j.shard ORDER BY {_bits("'slot:' || r.doc_id::VARCHAR")} % {sharding.SLOT_PIECES}, r.doc_id) - 1 AS slot,
+  row_number() OVER (PARTITION BY j.shard ORDER BY {_bits("'slot:' || r.doc_id::VARCHAR || ':' || text_crc32::VARCHAR || ':' || size::VARCHAR")} % {sharding.SLOT_PIECES}, r.doc_id) - 1 AS slot,
   g.shard::INT AS grown_shard
 FROM rows r JOIN j ON j.doc_id = r.doc_id AND j.ahead >= {SHARDS} JOIN g ON g.doc_id = r.doc_id AND g.ahead >= {SHARDS + 1}"""
 
@@ -177,8 +177,8 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'r
 OP9_SQL = f"""WITH sizes AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
 total AS (SELECT sum(n) AS rows, sum(pow(n, {mixing.SMOOTHING})) AS w FROM sizes),
 rates AS (SELECT source, pow(n, {mixing.SMOOTHING}) / w * rows / n AS rate FROM sizes, total),
-cdf AS (SELECT source, rate, k, sum(exp(k * ln(rate) - rate - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS p
-  FROM rates, range(0, 400) t(k) WHERE k < floor(rate + 14 * sqrt(rate) + 30)),
+ks AS (SELECT source, rate, unnest(range(floor(rate + 14 * sqrt(rate) + 30)::BIGINT)) AS k FROM rates),
+cdf AS (SELECT source, rate, k, sum(exp(k * ln(rate) - rate - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS p FROM ks),
 drawn AS (SELECT d.*, {_bits(f"'{mixing.SEED}:' || doc_id::VARCHAR")} / {float(1 << 60)!r} AS u FROM documents d),
 counts AS (SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, c.rate, count(*) FILTER (WHERE c.p <= d.u) AS copies
   FROM drawn d JOIN cdf c ON c.source IS NOT DISTINCT FROM d.source GROUP BY ALL)

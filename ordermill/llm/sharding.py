@@ -50,11 +50,13 @@ def shard_table(df: DataFrame, key: str, shards: int, order: list[Column]) -> Da
     """Add ``shard``, ``grown_shard`` (with one shard more) and ``slot`` (gapless from 0 in each shard).
 
     The key and the shard count decide, so one more shard takes rows only into itself. Slots
-    follow (a hash piece of the key, ``order``); rows equal in ``order`` may swap slots.
+    follow (a hash piece of the ``order`` columns, ``order``), so rows that share a key but not the rest
+    of ``order`` are numbered in many tasks; rows equal in ``order`` may swap slots.
     """
     df = df.drop("shard", "grown_shard", "slot")
     placed = df.withColumns({"shard": jump_shard(F.col(key), shards), "grown_shard": jump_shard(F.col(key), shards + 1)})
-    return with_rank(placed, ["shard"], (key_bits(F.col(key), "slot:") % SLOT_PIECES).cast("int"), order, "slot")
+    whole = F.concat_ws(":", *[F.coalesce(c.cast("string"), F.lit("")) for c in order])
+    return with_rank(placed, ["shard"], (key_bits(whole, "slot:") % SLOT_PIECES).cast("int"), order, "slot")
 
 
 def document_shards(docs: DataFrame, shards: int) -> DataFrame:

@@ -168,21 +168,27 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     candidates = placed.where("length >= 0 and (start > 0 or whole_line)")
     found = candidates.join(chain(candidates.select("file", "split", "at", "to")), ["file", "at"])
     columns = ["file", "at", "type", "id", "refers", "stated_digest", "stated_bytes", "length", "digest"]
-    found = stored(found.select(*columns, "begin", "to", "complete"), "records")
+    found = stored(found.select(*columns, "split", "begin", "to", "complete"), "records")
     split = found.where("not complete")
     if split.isEmpty():
         return found.select(*columns)
     files = split.select("file").distinct()
     raw = segments(spark, path).join(files, "file", "left_semi").withColumn(
         "size", (F.octet_length("value") + len(CUT)).cast("long"))
-    raw = with_offset(stored(raw, "raw")).select("file", F.col("at").alias("piece_at"), "value")
+    raw = with_offset(stored(raw, "raw")).select("file", "split", F.col("at").alias("piece_at"), "value")
     spans = split.select("file", "at", "to", "begin", "length")
-    # a segment's owner is the record before or at it; records of a file don't overlap
+    # a segment's owner is the record before or at it, in its split or else in the splits before;
+    # records of a file don't overlap
     marks = (raw.withColumn("own", F.lit(None).cast("long"))
-             .unionByName(spans.select("file", F.col("at").alias("piece_at"), F.lit(None).cast("string").alias("value"),
+             .unionByName(split.select("file", "split", F.col("at").alias("piece_at"), F.lit(None).cast("string").alias("value"),
                                        F.col("at").alias("own"))))
-    order = Window.partitionBy("file").orderBy("piece_at", F.col("own").asc_nulls_last())
-    owned = marks.withColumn("at", F.last("own", True).over(order)).where("value is not null")
+    order = Window.partitionBy("file", "split").orderBy("piece_at", F.col("own").asc_nulls_last())
+    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (split.select("file", "split", "at").unionByName(raw.select("file", "split").distinct(), allowMissingColumns=True)
+               .groupBy("file", "split").agg(F.max("at").alias("at"))        # a row per split
+               .select("file", "split", F.max("at").over(earlier).alias("_carried")))
+    owned = (marks.withColumn("at", F.last("own", True).over(order)).where("value is not null").join(carried, ["file", "split"])
+             .withColumn("at", F.coalesce("at", "_carried")).drop("_carried"))
     body = (owned.join(spans, ["file", "at"]).where("piece_at < `to`").groupBy("file", "at")
             .agg(F.sort_array(F.collect_list(F.struct("piece_at", "value"))).alias("p"), F.first("begin").alias("begin"),
                  F.first("length").alias("length"))
