@@ -14,9 +14,9 @@ Scale notes
 * ``upsert`` rewrites the whole state (one full outer join: rebuilds);
   ``upsert_changes`` reads only key + compare columns of the target, filtered to
   the batch's keys, and yields only inserts and winning updates (incremental
-  loads and streams), applied on read by ``apply_changes``.
-* Insert-only merges are hash left-anti joins (also with null-safe keys) against
-  the target identities that the batch also has.
+  loads and streams); stores rewrite only the key buckets they fall into.
+* Insert-only merges are hash left-anti joins (also with null-safe keys) against a
+  target bounded by the batch; long texts are met by a stored digest first.
 * Which side is broadcast is left to AQE (runtime sizes), never forced on data
   whose size grows with the input.
 """
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ordermill.operators.dedupe import latest_per_key
 
-CHANGE = "_change"
+CHANGE, SIGN, DIGEST = "_change", "_sign", "_digest"
 KEEP, INSERT, UPDATE, STALE = "keep", "insert", "update", "stale"
 
 
@@ -121,30 +121,69 @@ def key_condition(keys: Sequence[str], null_safe: bool | Sequence[str] = True, c
     return out
 
 
+def values_bound(batch: DataFrame, column: str, most: int = 1000) -> Column:
+    """A condition on ``column`` that every row of the (stored) batch meets: its values if few, else their range.
+
+    As a filter of the target it prunes partitions and row groups; nothing that could match is lost.
+    """
+    values = [r[0] for r in batch.select(column).distinct().limit(most + 1).collect()]
+    null = F.col(column).isNull() if None in values else F.lit(False)
+    if len(values) <= most:
+        known = [v for v in values if v is not None]
+        return F.col(column).isin(known) | null if None in values else F.col(column).isin(known)
+    low, high = batch.agg(F.min(column), F.max(column)).first()
+    return F.col(column).between(low, high) | F.col(column).isNull()
+
+
 def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool | Sequence[str] = True,
-             coalesce_blank: bool = False, distinct_source: bool = False) -> DataFrame:
+             coalesce_blank: bool = False, distinct_source: bool = False, bound: Column | None = None) -> DataFrame:
     """Source rows whose identity is not in the target (the rows an insert-only merge adds).
 
     Plain equality reproduces ``MERGE ... ON a = b WHEN NOT MATCHED INSERT``: rows
     with a NULL key never match and are inserted again on every run.
     ``distinct_source`` first keeps one row per identity (insert-ignore on a
-    unique constraint). Null-safe keys still plan as a hash left-anti join.
+    unique constraint). Null-safe keys still plan as a hash left-anti join, which does
+    not fan out, so repeated identities need no aggregate on either side. ``bound`` (see
+    :func:`values_bound`) cuts a stored target to what the batch can meet.
     """
     src = source.dropDuplicates(list(keys)) if distinct_source else source
-    # the target is first cut to the batch's identities (a semi-join that AQE turns into a
-    # map-side filter when they are few), so the anti-join's cost follows the batch; neither
-    # join fans out, so repeated target identities need no aggregate over the table
-    cond = key_condition(keys, null_safe, coalesce_blank)
-    batch = source.select(*keys).distinct()
-    known = target.select(*[F.col(k).alias("_t_" + k) for k in keys]).join(batch, cond, "left_semi")
-    return src.join(known, cond, "left_anti")
+    if bound is not None:
+        target = target.filter(bound)
+    known = target.select(*[F.col(k).alias("_t_" + k) for k in keys])
+    return src.join(known, key_condition(keys, null_safe, coalesce_blank), "left_anti")
+
+
+def content_digest(keys: Sequence[str], coalesce_blank: bool = False) -> Column:
+    """A 64-bit digest of an identity made of long texts, stored next to them as ``DIGEST``."""
+    return F.xxhash64(*[F.coalesce(F.col(k), F.lit("")) if coalesce_blank else F.col(k) for k in keys])
+
+
+def new_content(target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool | Sequence[str] = True,
+                coalesce_blank: bool = False) -> DataFrame:
+    """``new_rows`` for identities made of long texts: both sides have ``DIGEST`` and its 8 bytes are joined first.
+
+    Source rows whose digest the target lacks are new without a look at any text. Only for the
+    others the texts of the target rows with those digests are compared, so different texts
+    that share a digest are both kept and the target's texts never move as a whole.
+    """
+    on = F.col(DIGEST) == F.col("_t_" + DIGEST)
+    known = target.select(F.col(DIGEST).alias("_t_" + DIGEST))
+    fresh, met = source.join(known, on, "left_anti"), source.join(known, on, "left_semi")
+    texts = target.select(DIGEST, *keys).join(met.select(DIGEST), DIGEST, "left_semi")
+    same = on & key_condition(keys, null_safe, coalesce_blank)
+    texts = texts.select(*[F.col(k).alias("_t_" + k) for k in (DIGEST, *keys)])
+    return fresh.unionByName(met.join(texts, same, "left_anti"))
 
 
 def insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool | Sequence[str] = True,
-                coalesce_blank: bool = False, distinct_source: bool = False) -> DataFrame:
+                coalesce_blank: bool = False, distinct_source: bool = False, by_digest: bool = False) -> DataFrame:
     """Next state of an insert-only merge: target rows + new rows, with ``_change``."""
-    added = new_rows(target, source, keys, null_safe, coalesce_blank, distinct_source)
-    cols = [c for c in target.columns if c != CHANGE]
+    if by_digest:
+        digest = content_digest(keys, coalesce_blank)
+        added = new_content(target.withColumn(DIGEST, digest), source.withColumn(DIGEST, digest), keys, null_safe, coalesce_blank)
+    else:
+        added = new_rows(target, source, keys, null_safe, coalesce_blank, distinct_source)
+    cols = [c for c in target.columns if c not in (CHANGE, DIGEST)]
     return (target.select(*cols).withColumn(CHANGE, F.lit(KEEP))
             .unionByName(added.select(*cols).withColumn(CHANGE, F.lit(INSERT))))
 
@@ -157,10 +196,23 @@ def replace_by_key(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
 
 # ---------------------------------------------------------------------------
-# Upserts as change rows (merge-on-read): cost follows the batch, not the table
+# Upserts as change rows: what is compared and written follows the batch, not the table
 # ---------------------------------------------------------------------------
 
-SEQ = "_seq"
+def _winners(current: DataFrame, source: DataFrame, keys: Sequence[str], compare: Sequence[str] | None, cmp: str,
+             source_order: Sequence | None, old: Sequence[str]) -> tuple[DataFrame, Column]:
+    """The batch's best row per key beside ``old`` columns of the row it meets, and what the upsert does with it."""
+    order = list(source_order or compare or [])
+    if not order:
+        raise ValueError("a source ordering is needed to pick one row per key")
+    src = latest_per_key(source, keys, order)
+    met = current.select(*keys, *[c for c in old if c not in keys]).join(src.select(*keys), list(keys), "left_semi")
+    met = met.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in old], F.lit(True).alias("_in_tgt"))
+    cmp_cols = list(compare or [])
+    wins = F.lit(True) if not cmp_cols else newer({c: F.col(c) for c in cmp_cols}, {c: F.col(f"_t_{c}") for c in cmp_cols},
+                                                  cmp_cols, cmp)
+    change = F.when(F.col("_in_tgt").isNull(), F.lit(INSERT)).when(wins, F.lit(UPDATE)).otherwise(F.lit(STALE))
+    return src.join(met, list(keys), "left"), change
 
 
 def upsert_changes(current: DataFrame, source: DataFrame, keys: Sequence[str], compare: Sequence[str] | None = None,
@@ -172,32 +224,32 @@ def upsert_changes(current: DataFrame, source: DataFrame, keys: Sequence[str], c
     small, so the table is filtered map-side without a shuffle). Same semantics as
     :func:`upsert`; apply the result with :func:`apply_changes`.
     """
-    cols = [c for c in current.columns if c not in (CHANGE, SEQ)]
-    order = list(source_order or compare or [])
-    if not order:
-        raise ValueError("a source ordering is needed to pick one row per key")
-    src = latest_per_key(source.select(*cols), keys, order)
-    cmp_cols = list(compare or [])
-    cur = current.select(*keys, *cmp_cols).join(src.select(*keys), list(keys), "left_semi")
-    t = cur.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in cmp_cols], F.lit(True).alias("_in_tgt"))
-    j = src.join(t, list(keys), "left")
-    wins = F.lit(True) if not compare else newer({c: F.col(c) for c in cmp_cols},
-                                                 {c: F.col(f"_t_{c}") for c in cmp_cols}, cmp_cols, cmp)
-    change = F.when(F.col("_in_tgt").isNull(), F.lit(INSERT)).when(wins, F.lit(UPDATE)).otherwise(F.lit(STALE))
-    return j.select(*cols, change.alias(CHANGE)).filter(F.col(CHANGE) != STALE)
+    cols = [c for c in current.columns if c != CHANGE]
+    joined, change = _winners(current, source.select(*cols), keys, compare, cmp, source_order, list(compare or []))
+    return joined.select(*cols, change.alias(CHANGE)).filter(F.col(CHANGE) != STALE)
+
+
+def signed_changes(current: DataFrame, source: DataFrame, keys: Sequence[str], compare: Sequence[str] | None = None,
+                   cmp: str = ">", source_order: Sequence | None = None) -> DataFrame:
+    """Both sides of every row an upsert changes: the new row with ``_sign`` +1, the row it replaces with -1.
+
+    Sums over signed rows are what an invertible aggregate of the table gains, so it is kept
+    up to date from these rows alone (``ordermill.operators.metrics.add_signed``). The rows with
+    +1 are those of :func:`upsert_changes`.
+    """
+    cols = [c for c in current.columns if c != CHANGE]
+    joined, change = _winners(current, source.select(*cols), keys, compare, cmp, source_order, cols)
+    new = F.struct(*[F.col(c) for c in cols], F.lit(1).alias(SIGN))
+    old = F.struct(*[F.col(f"_t_{c}").alias(c) for c in cols], F.lit(-1).alias(SIGN))
+    sides = F.when(change == UPDATE, F.array(new, old)).otherwise(F.array(new))
+    return joined.filter(change != STALE).select(F.inline(sides))
 
 
-def apply_changes(base: DataFrame | None, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Current state = base rows whose key has no change, plus the newest change per key (by ``_seq``).
+def apply_changes(base: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """State after change rows (at most one per key): base rows of other keys, and the change rows.
 
-    Every change row beat the state it was computed against, so the newest change
-    for a key is the current row. Base rows of untouched keys pass through a
-    left-anti join against the (small) set of changed keys: no shuffle of the base
-    when AQE broadcasts that set.
+    Base rows pass a left-anti join against the set of changed keys: no shuffle of the base when
+    AQE broadcasts that set.
     """
-    cols = [c for c in changes.columns if c not in (CHANGE, SEQ)]
-    latest = latest_per_key(changes, keys, [SEQ])
-    if base is None:
-        return latest.select(*cols)
-    untouched = base.select(*cols).join(latest.select(*keys), list(keys), "left_anti")
-    return untouched.unionByName(latest.select(*cols))
+    cols = [c for c in changes.columns if c not in (CHANGE, SIGN)]
+    return base.select(*cols).join(changes.select(*keys), list(keys), "left_anti").unionByName(changes.select(*cols))

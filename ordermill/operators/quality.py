@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ordermill.functions.text import blank
 from ordermill.operators.dedupe import surplus_duplicates
 from ordermill.operators.joins import missing_parents
+from ordermill.operators.merge import SIGN
 from ordermill.operators.metrics import daily_metrics, total_metric_columns
 from ordermill.operators.rules import ERRORS, STAGING, RuleSet, apply_rules, rule_counts
 from ordermill.schema import ALLOWED_STATUSES
@@ -129,6 +130,27 @@ def reconcile_daily(silver: DataFrame, gold: DataFrame | None = None, amount: st
         ("report dates are unique", F.col("dup_dates") == 0)))
 
 
+def gained_gate(before: DataFrame, gold: DataFrame, signed: DataFrame, amount: str = "amount_cents") -> DataFrame:
+    """Daily gold against the signed rows that it was brought up to date with: counts, amounts, status split, unique dates.
+
+    Reads gold before and after and the change rows, never the orders behind them.
+    """
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    b = before.agg(total("total_orders").alias("b_orders"), total("total_amount_cents").alias("b_amount"))
+    s = signed.agg(total(SIGN).alias("s_orders"), total(F.col(SIGN) * F.coalesce(F.col(amount), F.lit(0))).alias("s_amount"))
+    g = gold.agg(total("total_orders").alias("g_orders"), total("total_amount_cents").alias("g_amount"),
+                 total(F.when(F.col("total_orders") != F.col("paid_orders") + F.col("shipped_orders")
+                              + F.col("pending_orders") + F.col("cancelled_orders"), 1).otherwise(0)).alias("bad_split"),
+                 total(F.when(F.col("total_orders") <= 0, 1).otherwise(0)).alias("empty_dates"),
+                 (F.count(F.lit(1)) - F.count_distinct("report_date")).alias("dup_dates"))
+    return combine_one_row(b, s, g).select(check_rows(
+        ("gold order count gained the changed rows", F.col("g_orders") == F.col("b_orders") + F.col("s_orders")),
+        ("gold amount gained the changed rows", F.col("g_amount") == F.col("b_amount") + F.col("s_amount")),
+        ("status split adds up per day", F.col("bad_split") == 0),
+        ("every date has orders", F.col("empty_dates") == 0),
+        ("report dates are unique", F.col("dup_dates") == 0)))
+
+
 # -- D4 -------------------------------------------------------------------------
 
 def event_gate(silver: DataFrame, gold: DataFrame | None = None, statuses: Sequence[str] = ALLOWED_STATUSES) -> DataFrame:

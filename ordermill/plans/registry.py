@@ -413,7 +413,7 @@ def q_merge_on_read(spark, sf):
     """State = target with the change rows applied (equals the full-rewrite upsert)."""
     tgt, src = _merge_inputs(spark, sf)
     changes = M.upsert_changes(tgt, src, ["order_id"], ["updated_at"], ">", source_order=list(LATEST_ORDER))
-    state = M.apply_changes(tgt, changes.withColumn(M.SEQ, F.lit("1")), ["order_id"])
+    state = M.apply_changes(tgt, changes, ["order_id"])
     return state.select("order_id", "customer_id", "status", "amount_cents", ts_text("updated_at").alias("updated_at"),
                         "_source_file")
 
@@ -527,7 +527,7 @@ def q_merge_unique_content(spark, sf):
     cols = ["order_id", "error_message", "raw_row"]
     # the order id is part of raw_row: distinct rows are distinct identities
     tgt = rej.filter(F.col("_version") == 0).select(*cols).distinct()
-    return M.insert_only(tgt, rej.select(*cols).distinct(), ["error_message", "raw_row"])
+    return M.insert_only(tgt, rej.select(*cols).distinct(), ["error_message", "raw_row"], by_digest=True)
 
 
 _T_REJECTS = f"""
@@ -550,7 +550,7 @@ def q_merge_coalesced_key(spark, sf):
     cols = ["order_id", "error_message", "raw_row", "_source_file"]
     tgt = rej.filter(F.col("_version") == 0).select(*cols).distinct()
     src = rej.select(*cols).distinct()
-    return M.insert_only(tgt, src, cols, coalesce_blank=True)
+    return M.insert_only(tgt, src, cols, coalesce_blank=True, by_digest=True)
 
 
 @register("distinct_rejects", O.with_ctes(O.RAW_ORDERS, O.STAGED, _T_REJECTS, body="""
@@ -927,7 +927,7 @@ def q_daily_metrics_refresh(spark, sf):
     tgt = _written(spark, tgt, "state")
     changes = _written(spark, M.upsert_changes(tgt, src, ["order_id"], ["updated_at"], ">",
                                                source_order=list(LATEST_ORDER)).drop(M.CHANGE), "changes")
-    after = M.apply_changes(tgt, changes.withColumn(M.SEQ, F.lit(0)), ["order_id"])
+    after = M.apply_changes(tgt, changes, ["order_id"])
     gold = refresh_daily_metrics(daily_metrics(tgt), tgt, changes, after)
     return gold.withColumn("report_date", F.date_format("report_date", "yyyy-MM-dd"))
 
@@ -966,23 +966,21 @@ def q_stream_bronze_replay(spark, sf):
     sink = BronzeSink(store)
     for b in (0, 0, 1, 1):
         sink(env.filter(F.col("_batch") == b), 0)
-    sink.tidy()
     return store.read(sink.table).select("raw_json", "eventhub_partition", "kafka_offset",
                                          ts_text("enqueued_at").alias("enqueued_at"))
 
 
 @register("stream_silver_restart", ORACLE["stream_silver"])
 def q_stream_silver_restart(spark, sf):
-    """A lost checkpoint after a compaction: the restarted sink counts its batches from 0 again."""
+    """A lost checkpoint after the table was rebuilt: the restarted sink counts its batches from 0 again."""
     from ordermill.streaming.sinks import EventSilverSink
     env, store = _envelope(spark, sf), _store(spark, "restarts")
     old, new = [env.filter(F.col("_batch") == b) for b in (0, 1)]
     EventSilverSink(store)(old, 7)
-    store.compact("silver_events", "silver-compact")
+    store.publish({"silver_events": store.read("silver_events")}, "silver-rebuild", rebuilds={"silver_events": ["order_id"]})
     sink = EventSilverSink(store)
     for i, batch in enumerate((new, old)):
         sink(batch, i)
-    sink.tidy()
     return store.read(sink.table).select("order_id", "status", "amount_cents", ts_text("updated_at").alias("updated_at"),
                                          ts_text("enqueued_at").alias("enqueued_at"), "eventhub_partition", "kafka_offset")
 
@@ -1166,9 +1164,10 @@ SELECT 'job-' || CAST(_version + 1 AS VARCHAR) AS run_id, 'SUCCESS' AS run_statu
 FROM first_error GROUP BY _version"""))
 def q_run_history(spark, sf):
     """The run mart after two incremental runs, from the append-only run events they wrote."""
-    from ordermill.operators.audit import mart_pipeline_runs, read_events
+    from ordermill.operators.audit import mart_pipeline_runs
+    from ordermill.plans.runs import run_log
     store = _run_batches(spark, sf, ("job-1", "job-2"), (0, 1))
-    mart = mart_pipeline_runs(run_state(read_events(spark, f"{store.root}/_runs")))
+    mart = mart_pipeline_runs(run_state(run_log(store)))
     return mart.select("run_id", "run_status", "extracted_count", "valid_count", "rejected_count")
 
 
@@ -1192,3 +1191,245 @@ def q_status_summary_seed(spark, sf):
     path = scratch_path(spark, "seed", uuid.uuid4().hex)
     status_dimension(spark).coalesce(1).write.option("header", True).csv(path)
     return _q_summary(spark, sf, read_seed(spark, path))
+
+
+# ---------------------------------------------------------------------------
+# Invertible aggregates kept up to date by signed change rows (AG1, AG3, AG4)
+# ---------------------------------------------------------------------------
+
+def _signed_gold(spark, state: DataFrame, batch: DataFrame, by: list[str], rows: str | None, compare: list[str], order: list[str],
+                 start: Callable[[DataFrame], DataFrame], gain: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Gold of the state, then what the batch changes added to it; the batch comes twice, stale the second time."""
+    from ordermill.operators.metrics import add_signed
+    state, batch = _written(spark, state, "state"), _written(spark, batch, "batch")
+    gold = _written(spark, start(state), "gold")
+    for _ in range(2):
+        signed = _written(spark, M.signed_changes(state, batch, ["order_id"], compare, ">", source_order=order), "signed")
+        gold = _written(spark, add_signed(gold, gain(signed), by, rows), "gold")
+        state = M.apply_changes(state, signed.filter(F.col(M.SIGN) > 0), ["order_id"])
+    return gold
+
+
+@register("daily_metrics_signed", ORACLE["daily_metrics_refresh"])
+def q_daily_metrics_signed(spark, sf):
+    """Daily gold from signed change rows alone: moved dates, replaced amounts, stale rows."""
+    from ordermill.operators.metrics import signed_daily
+    tgt, src = _merge_inputs(spark, sf)
+    gold = _signed_gold(spark, tgt, src, ["report_date"], "total_orders", ["updated_at"], list(LATEST_ORDER), daily_metrics, signed_daily)
+    return gold.withColumn("report_date", F.date_format("report_date", "yyyy-MM-dd"))
+
+
+@register("total_metrics_signed", ORACLE["total_metrics"])
+def q_total_metrics_signed(spark, sf):
+    from ordermill.operators.metrics import signed_totals
+    ev = _valid_events(spark, sf)
+    old, new = [ev.filter(F.col("_batch") == b).select(*EVENT_COLS) for b in (0, 1)]
+    return _signed_gold(spark, _event_silver(old).select(*EVENT_COLS), new, [], None, list(EVENT_ORDER), list(EVENT_ORDER),
+                        total_metrics, signed_totals)
+
+
+@register("status_summary_signed", """
+SELECT status, COUNT(*) AS order_count, round(CAST(SUM(amount_cents) AS DOUBLE) / 100.0, 2) AS total_amount
+FROM (""" + _MERGE_NEWER_SQL + ") merged GROUP BY status")
+def q_status_summary_signed(spark, sf):
+    from ordermill.operators.metrics import signed_by_status
+    tgt, src = _merge_inputs(spark, sf)
+    start = lambda state: signed_by_status(state.withColumn(M.SIGN, F.lit(1)))
+    gold = _signed_gold(spark, tgt, src, ["status"], "order_count", ["updated_at"], list(LATEST_ORDER), start, signed_by_status)
+    return gold.select("status", "order_count", cents_to_amount("total_cents", 2).alias("total_amount"))
+
+
+# ---------------------------------------------------------------------------
+# Upserts into touched buckets, ledgers, audits and run states (M2, M9, D1, D3, I6, A1, A4, ST2)
+# ---------------------------------------------------------------------------
+
+@register("merge_bucketed", ORACLE["merge_on_read"])
+def q_merge_bucketed(spark, sf):
+    """Both batches upserted into a table of key buckets, the second twice; only touched buckets are rewritten."""
+    from ordermill.plans.buckets import BucketTable
+    tgt, src = _merge_inputs(spark, sf)
+    table = BucketTable(spark, scratch_path(spark, "buckets", uuid.uuid4().hex), tgt.schema, ["order_id"], 16)
+    src = _written(spark, src, "batch")
+    for batch in (_written(spark, tgt, "batch"), src, src):
+        table.upsert(batch, ["updated_at"], ">", list(LATEST_ORDER))
+    return table.read().select("order_id", "customer_id", "status", "amount_cents", ts_text("updated_at").alias("updated_at"),
+                               "_source_file")
+
+
+@register("stream_audit", O.with_ctes(*_EVENT_SQL, """
+v AS (SELECT * FROM valid_events QUALIFY row_number() OVER (PARTITION BY _batch, order_id ORDER BY updated_at DESC, enqueued_at DESC,
+      eventhub_partition DESC, kafka_offset DESC) = 1)""", """
+changed AS (SELECT s._batch, COUNT(*) AS n FROM v s LEFT JOIN v t ON t._batch < s._batch AND t.order_id = s.order_id
+  WHERE t.order_id IS NULL OR s.updated_at > t.updated_at OR (s.updated_at = t.updated_at AND (s.enqueued_at > t.enqueued_at
+     OR (s.enqueued_at = t.enqueued_at AND (s.eventhub_partition > t.eventhub_partition
+         OR (s.eventhub_partition = t.eventhub_partition AND s.kafka_offset > t.kafka_offset))))) GROUP BY 1)""", """
+e AS (SELECT _batch, COUNT(*) AS n FROM event_envelope GROUP BY 1)""", """
+g AS (SELECT _batch, COUNT(*) AS n FROM valid_events GROUP BY 1)""", body="""
+SELECT 'bronze_events' AS sink, CAST(_batch AS BIGINT) AS batch_id, n AS rows_read, n AS rows_copied, CAST(0 AS BIGINT) AS rows_rejected FROM e
+UNION ALL
+SELECT 'silver_events', e._batch, e.n, changed.n, e.n - g.n FROM e JOIN changed USING (_batch) JOIN g USING (_batch)"""))
+def q_stream_audit(spark, sf):
+    """One audit row per micro-batch and sink with what was read, copied and rejected; a replay adds none."""
+    from ordermill.streaming.sinks import AUDIT, BronzeSink, EventSilverSink
+    env, store = _envelope(spark, sf), _store(spark, "audits")
+    for sink in (BronzeSink(store), EventSilverSink(store)):
+        for b in (0, 0, 1):
+            sink(env.filter(F.col("_batch") == b), b)
+    return store.read(AUDIT).drop("content", "audited_at")
+
+
+@register("file_ledger", O.with_ctes(*_CODED_SQL, """
+f AS (SELECT _source_file, COUNT(*) AS bronze_rows FROM coded GROUP BY 1)""", f"""
+v AS (SELECT * FROM coded WHERE _source_file IN ('{SLICE_FILE}', '{UPDATE_FILE}'))""", """
+p AS (SELECT _source_file, CAST(SUM(CASE WHEN _error_reason = '' THEN 1 ELSE 0 END) AS BIGINT) AS valid_rows,
+             CAST(SUM(CASE WHEN _error_reason <> '' THEN 1 ELSE 0 END) AS BIGINT) AS rejected_rows FROM v GROUP BY 1)""", """
+c AS (SELECT _source_file, COUNT(*) AS silver_rows FROM (
+        SELECT * FROM v WHERE _error_reason = '' QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY ts DESC, _version) = 1)
+      GROUP BY 1)""", body="""
+SELECT _source_file, bronze_rows, coalesce(valid_rows, 0) AS valid_rows, coalesce(rejected_rows, 0) AS rejected_rows,
+       coalesce(silver_rows, 0) AS silver_rows, coalesce(valid_rows, 0) - coalesce(silver_rows, 0) AS superseded_rows,
+       coalesce(valid_rows + rejected_rows, 0) = bronze_rows AS balanced
+FROM f LEFT JOIN p USING (_source_file) LEFT JOIN c USING (_source_file)"""))
+def q_file_ledger(spark, sf):
+    """The ledger after an ingest, two files processed (one of them twice) and everything ingested again."""
+    from ordermill.plans.runs import file_ledger, ingest_bronze, reprocess_file
+    store = _store(spark, "ledgers")
+    raw = _raw(spark, sf).select(*ORDER_COLS, "_source_file", F.col("_loaded_at").alias("_ingested_at"))
+    ingest_bronze(store, raw, "ingest-1")
+    for name in (SLICE_FILE, UPDATE_FILE, SLICE_FILE):
+        reprocess_file(store, name, f"file-{name}")
+    ingest_bronze(store, raw, "ingest-2")
+    return file_ledger(store)
+
+
+@register("run_state_transitions", O.with_ctes(O.RAW_ORDERS, body="""
+SELECT run_id, 'SUCCESS' AS run_status, event_count, n AS rows_read, n AS rows_copied
+FROM (SELECT _version, COUNT(*) AS n FROM raw_orders GROUP BY 1) r
+JOIN (VALUES ('job-1', 0, 2), ('job-2', 1, 4), ('job-3', 1, 2)) v(run_id, version, event_count) ON v.version = r._version"""))
+def q_run_state_transitions(spark, sf):
+    """A run that fails before its publish and is run again, and one whose export fails after it."""
+    from ordermill.plans.runs import run_incremental, run_log
+    raw, store = _raw(spark, sf), _store(spark, "states")
+    old, new = [raw.filter(F.col("_version") == v).select(*ORDER_COLS) for v in (0, 1)]
+
+    def broken():
+        raise RuntimeError("before the commit")
+
+    run_incremental(spark, store, old, run_id="job-1")
+    for run_id, options in (("job-2", {"hook": broken}), ("job-2", {}), ("job-3", {"export_dirs": {"processed": "nowhere://x"}})):
+        try:
+            run_incremental(spark, store, new, run_id=run_id, **options)
+        except Exception:
+            if not options:
+                raise
+    return run_state(run_log(store)).select("run_id", "run_status", "event_count", "rows_read", "rows_copied")
+
+
+# ---------------------------------------------------------------------------
+# Files and catalog tables (SC2, SC3, SC5, SC6, SC7, SC13, K1, K2, K4, K5, O4, X14)
+# ---------------------------------------------------------------------------
+
+_LINE = "concat_ws(',', coalesce(order_id, ''), coalesce(customer_id, ''), coalesce(status, ''), coalesce(amount_cents, '')"
+
+
+@register("csv_malformed", O.with_ctes(O.RAW_ORDERS, f"""
+bad AS (SELECT DISTINCT CASE WHEN _k % 11 = 0 THEN {_LINE}) ELSE {_LINE}, updated_at, 'extra') END AS raw_row FROM raw_orders
+        WHERE _k % 11 = 0 OR _k % 13 = 0)""", body="""
+SELECT flow, raw_row FROM bad, (VALUES ('incremental'), ('staging'), ('full load')) f(flow)"""))
+def q_csv_malformed(spark, sf):
+    """Lines with too few and too many fields through every flow: each is rejected with its raw text."""
+    from ordermill.plans.runs import (QUARANTINE, REJECTS_TABLE, STAGED_REJECTS, full_load, run_incremental, run_staging)
+    from ordermill.sources.files import CORRUPT, read_orders
+    path, store = scratch_path(spark, "malformed", uuid.uuid4().hex), _store(spark, "malformed")
+    field = lambda *cols: F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in cols])
+    short = field(*ORDER_COLS[:-1])
+    line = F.when(F.col("_k") % 11 == 0, short).otherwise(
+        F.when(F.col("_k") % 13 == 0, F.concat_ws(",", short, F.col("updated_at"), F.lit("extra"))).otherwise(field(*ORDER_COLS)))
+    # one text column whose header line is the five names
+    (_raw(spark, sf).select("_version", line.alias(",".join(ORDER_COLS))).write.partitionBy("_version").option("header", True)
+     .option("sep", "\x01").option("quote", "\x00").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(path))
+    for v in (0, 1):
+        raw = read_orders(spark, f"{path}/_version={v}", pattern="part-*.csv", empty_as_null=False)
+        run_incremental(spark, store, raw, run_id=f"load-{v}")
+        run_staging(store, raw, f"staging-{v}", "part-*.csv")
+    full_load(store, read_orders(spark, [f"{path}/_version={v}" for v in (0, 1)], pattern="part-*.csv"), "full")
+    is_line = ~F.col("raw_row").startswith("{")
+    return (store.read(REJECTS_TABLE).filter(is_line).select(F.lit("incremental").alias("flow"), "raw_row")
+            .unionByName(store.read(STAGED_REJECTS).filter(is_line).select(F.lit("staging").alias("flow"), "raw_row"))
+            .unionByName(store.read(QUARANTINE).filter(F.col(CORRUPT).isNotNull()).select(
+                F.lit("full load").alias("flow"), F.col(CORRUPT).alias("raw_row")))).distinct()
+
+
+@register("csv_inferred", ORACLE["csv_roundtrip"])
+def q_csv_inferred(spark, sf):
+    """The exported feed read with an inferred schema."""
+    from ordermill.plans.store import export_csv
+    from ordermill.sources.files import read_orders_inferred
+    path = scratch_path(spark, "csv", uuid.uuid4().hex)
+    export_csv(_raw(spark, sf), path, columns=ORDER_COLS, ts_columns=())
+    return read_orders_inferred(spark, path).select(*[F.col(c).cast("string").alias(c) for c in ORDER_COLS])
+
+
+@register("blob_roundtrip", ORACLE["csv_roundtrip"])
+def q_blob_roundtrip(spark, sf):
+    """Export to and read from a ``blob://`` container."""
+    from ordermill.plans.store import export_csv
+    from ordermill.sources.files import read_orders
+    containers = {"processed": scratch_path(spark, "blob", uuid.uuid4().hex)}
+    export_csv(_raw(spark, sf), "blob://processed/orders", columns=ORDER_COLS, ts_columns=(), containers=containers)
+    return read_orders(spark, "blob://processed/orders", pattern="part-*.csv", containers=containers).select(*ORDER_COLS)
+
+
+@register("topic_projection", ORACLE["stream_bronze"])
+def q_topic_projection(spark, sf):
+    """Messages in a topic's own columns, projected to the envelope."""
+    from ordermill.streaming.sources import ENVELOPE_EXPRS
+    messages = _envelope(spark, sf).select(F.col("raw_json").cast("binary").alias("value"), F.col("eventhub_partition").alias("partition"),
+                                           F.col("kafka_offset").alias("offset"), F.col("enqueued_at").cast("timestamp").alias("timestamp"))
+    return messages.selectExpr(*ENVELOPE_EXPRS).withColumn("enqueued_at", ts_text("enqueued_at"))
+
+
+@register("catalog_gold", ORACLE["daily_metrics"])
+def q_catalog_gold(spark, sf):
+    """A gold table by name: created empty if absent, replaced as select twice, read through SQL and an external view."""
+    from ordermill.sources.catalog import create_if_absent, create_or_replace
+    from ordermill.sources.files import register_external_view
+    name, root = f"gold_daily_{uuid.uuid4().hex}", scratch_path(spark, "catalog")
+    gold = _gold(spark, sf).withColumn("report_date", F.date_format("report_date", "yyyy-MM-dd"))
+    for _ in range(2):
+        create_if_absent(spark, name, gold.schema, root)
+        path = create_or_replace(spark, name, gold, root)
+    register_external_view(spark, f"{name}_view", path)
+    out = spark.sql(f"SELECT t.* FROM `{name}` t LEFT SEMI JOIN `{name}_view` v ON t.report_date <=> v.report_date")
+    out.schema                                             # resolved now: the entries may go, the folder stays
+    spark.sql(f"DROP TABLE `{name}`")
+    spark.catalog.dropTempView(f"{name}_view")
+    return out
+
+
+@register("overwrite_schema", O.with_ctes(O.RAW_ORDERS, body="""
+SELECT order_id, _source_file, CAST(_version AS BIGINT) AS version, CASE WHEN _version = 1 THEN _k END AS added_key FROM raw_orders"""))
+def q_overwrite_schema(spark, sf):
+    """Bronze overwritten with fewer columns, then appended to with a wider and a new one; all rows read back whole."""
+    from ordermill.plans.runs import BRONZE, full_load, ingest_bronze
+    store = _store(spark, "schemas")
+    base = [*ORDER_COLS, "_source_file", F.col("_loaded_at").alias("_ingested_at")]
+    old, new = [_raw(spark, sf).filter(F.col("_version") == v) for v in (0, 1)]
+    full_load(store, old.select(*base, F.lit("x").alias("legacy")), "full-1")
+    full_load(store, old.select(*base, F.col("_version").cast("int").alias("version")), "full-2")
+    ingest_bronze(store, new.select(*base, F.col("_version").cast("bigint").alias("version"), F.col("_k").alias("added_key")), "append")
+    out = store.read(BRONZE)
+    return out.select(*[c for c in out.columns if c not in (*ORDER_COLS[1:], "_ingested_at")])
+
+
+@register("duplicate_id_table", O.with_ctes(O.RAW_ORDERS, O.FIRST_ERROR, body="""
+SELECT order_id, COUNT(*) AS row_count FROM first_error WHERE error_message = '' GROUP BY 1 HAVING COUNT(*) > 1"""))
+def q_duplicate_id_table(spark, sf):
+    """Both batches in one load: it fails, and all repeated ids are listed in a table of the run."""
+    from ordermill.plans.runs import PipelineError, run_incremental
+    try:
+        run_incremental(spark, _store(spark, "duplicates"), _raw(spark, sf).select(*ORDER_COLS), run_id="both")
+    except PipelineError as e:
+        return spark.read.parquet(str(e).rsplit(" ", 1)[1])
+    raise AssertionError("the load should have failed")

@@ -1,21 +1,24 @@
-"""Versioned parquet tables with an atomic multi-table publish.
+"""Parquet tables published together: new folders, then one commit file.
 
 Plain parquet has no transactions, so a publish writes every output into a folder of its own
 attempt (invisible to readers, never overwritten) and then creates one commit file, last. Commits
 are numbered; a number is taken by renaming the commit file into place, which fails if another
-writer took it first, so two writers can't both build on the same state. Each commit file holds
-the layout (base, appended and change-row folders) of the tables it changed and names, for every
-table, the commit that holds its layout: a reader opens two small files, however long the
-history. Merges of folders list exactly what they replace. A crashed run leaves only folders that
-no commit names. With Delta Lake present, the same calls map onto Delta tables and
-``DESCRIBE HISTORY``.
+writer took it first. A commit file holds, for the tables it changed, their folders and schema, and,
+for every table, the number of the commit that tells them. A crashed run leaves only folders that no
+commit names. Every write is an ordinary Spark write and every table an ordinary Parquet read:
+
+* a plain table is a list of folders (a replaced table one, each append one more);
+* a keyed table is partitioned by a hash bucket of its key, and an upsert writes the touched buckets anew.
+
+With Delta Lake present, the same calls map onto Delta tables and ``DESCRIBE HISTORY``.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from py4j.protocol import Py4JJavaError
@@ -24,14 +27,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordermill.functions.text import iso_text
+from ordermill.operators import merge as M
+from ordermill.operators.rules import MALFORMED
+from ordermill.plans.buckets import bucket_of, touched
+from ordermill.plans.observed import counted_write
 from ordermill.schema import ORDER_COLUMNS
+from ordermill.sources.files import resolve_uri
 
 COMMIT_SCHEMA = "seq bigint, run_id string, table string, path string, committed_at timestamp, operation string, keys string"
-APPEND, DELTA, MERGED = "APPEND", "DELTA", "MERGE"
+APPEND, UPSERT = "APPEND", "UPSERT"
+BUCKET = "_bucket"
+#: Folders that a commit lists of an appended table; older ones stand in the commit it points to.
+LISTED = 64
 
 
 class CommitConflict(RuntimeError):
-    """Another writer committed since the state that this publish builds on."""
+    """Another writer committed to the same tables since the state that this publish builds on."""
+
+
+class SchemaConflict(ValueError):
+    """Appended columns can't be read together with those of the table."""
 
 
 class Files:
@@ -79,10 +94,37 @@ class Files:
             raise
 
 
+#: Types that a wider one reads without loss.
+WIDER = {("int", "bigint"), ("smallint", "int"), ("smallint", "bigint"), ("tinyint", "int"), ("float", "double"), ("int", "double"),
+         ("void", "string")}
+
+
+def merged_schema(old: T.StructType, new: T.StructType) -> T.StructType:
+    """Columns of both, the wider type where one widens the other; a dropped column stays and is null in new rows."""
+    out = {f.name: f.dataType for f in old}
+    for f in new:
+        have = out.get(f.name, f.dataType)
+        pair = (have.simpleString(), f.dataType.simpleString())
+        if have != f.dataType and pair not in WIDER and pair[::-1] not in WIDER:
+            raise SchemaConflict(f"column {f.name!r} is {pair[0]} in the table and {pair[1]} in the new rows")
+        out[f.name] = f.dataType if pair in WIDER else have
+    return T.StructType([T.StructField(n, t) for n, t in out.items()])
+
+
+@dataclass
+class Published:
+    """Of each output: the folder written (None: nothing to write) and its rows, for upserts the changed ones."""
+
+    paths: dict[str, str | None]
+    rows: dict[str, int]
+
+
 class Store:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 8):
+        """``buckets`` is for keyed tables that are published for the first time."""
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
         self.files = Files(spark)
 
     # -- commit log -------------------------------------------------------------
@@ -104,12 +146,10 @@ class Store:
     def _commit(self, seq: int) -> dict:
         return json.loads(self.files.read(self._commit_path(seq)).splitlines()[0])
 
-    def _layout(self, table: str, head: int | None = None) -> dict:
+    def _layout(self, table: str, head: int | None = None) -> dict | None:
         head = self.head() if head is None else head
         at = self._commit(head)["heads"].get(table) if head else None
-        if at is None:
-            return {"base": None, "appends": [], "deltas": [], "keys": []}
-        return self._commit(at)["layouts"][table]
+        return None if at is None else self._commit(at)["layouts"][table]
 
     def commits(self) -> DataFrame:
         """All commit records, one per table and commit (empty before the first publish)."""
@@ -123,175 +163,157 @@ class Store:
         """Commit history of one table, newest first (DESCRIBE HISTORY)."""
         return self.commits().filter(F.col("table") == table).orderBy(F.col("seq").desc())
 
-    def _publish(self, seen: int, layouts: dict[str, dict], records: list[dict], run_id: str) -> int:
-        seq = seen + 1
-        heads = dict(self._commit(seen)["heads"]) if seen else {}
-        heads.update({t: seq for t in layouts})
-        now = datetime.now(timezone.utc).isoformat(timespec="microseconds")
-        lines = [{"heads": heads, "layouts": layouts},
-                 *[{"seq": seq, "run_id": run_id, "committed_at": now, **r} for r in records]]
-        text = "\n".join(json.dumps(x) for x in lines) + "\n"
-        if not self.files.write(self._commit_path(seq), text, replace=False):
-            raise CommitConflict(f"commit {seq} was taken by another writer; run {run_id!r} published nothing")
-        self.files.write(f"{self.root}/_head", str(seq), replace=True)
-        return seq
+    def _publish(self, seen: int, edits: dict[str, Callable[[dict | None, int | None], dict]], records: list[dict], run_id: str,
+                 shared: Sequence[str] = ()) -> int:
+        """Commit on top of the head. Tables that others committed to since ``seen`` are a conflict, but for ``shared`` ones."""
+        while True:
+            head = self.head()
+            state = self._commit(head) if head else {"heads": {}}
+            moved = {t for t, at in state["heads"].items() if at > seen and t in edits and t not in shared}
+            if moved:
+                raise CommitConflict(f"{sorted(moved)} changed since commit {seen}; run {run_id!r} published nothing")
+            heads = dict(state["heads"])
+            layouts = {t: edit(self._layout(t, head), heads.get(t)) for t, edit in edits.items()}
+            heads.update({t: head + 1 for t in layouts})
+            now = datetime.now(timezone.utc).isoformat(timespec="microseconds")
+            lines = [{"heads": heads, "layouts": layouts},
+                     *[{"seq": head + 1, "run_id": run_id, "committed_at": now, **r} for r in records]]
+            if self.files.write(self._commit_path(head + 1), "\n".join(json.dumps(x) for x in lines) + "\n", replace=False):
+                self.files.write(f"{self.root}/_head", str(head + 1), replace=True)
+                return head + 1
 
     # -- reading ----------------------------------------------------------------
-    def layout(self, table: str) -> tuple[str | None, list[str], list[str], list[str]]:
-        """(base folder, append folders, delta folders, delta keys) of the current table."""
-        at = self._layout(table)
-        return at["base"], [p for p, _ in at["appends"]], at["deltas"], at["keys"]
+    def _folders(self, layout: dict) -> list[str]:
+        """Folders of a plain table in order of their commits, or of a keyed one's buckets."""
+        if "buckets" in layout:
+            return [f"{folder}/{BUCKET}={b}" for b, folder in layout["buckets"].items()]
+        out = list(layout["folders"])
+        while layout["more"] is not None:
+            table, seq = layout["more"]
+            layout = self._commit(seq)["layouts"][table]
+            out = layout["folders"] + out
+        return out
 
     def current_paths(self, table: str) -> list[str]:
-        base, appends, deltas, _ = self.layout(table)
-        return ([base] if base else []) + appends + deltas
-
-    def current_path(self, table: str) -> str | None:
-        paths = self.current_paths(table)
-        return paths[-1] if paths else None
+        layout = self._layout(table)
+        return [] if layout is None else self._folders(layout)
 
     def read(self, table: str, schema: T.StructType | str | None = None) -> DataFrame:
         """Current state of ``table``; an empty frame of ``schema`` when it does not exist yet.
 
-        Append-only tables are the base plus appended folders; keyed tables written
-        with deltas are the base with the change rows applied (merge-on-read).
+        The columns are those of the table (see :func:`merged_schema`); folders written before a
+        column was added give null there.
         """
-        return self._read(table, schema)
-
-    def _read(self, table: str, schema, pick=None) -> DataFrame:
-        base, appends, deltas, keys = self.layout(table)
-        if not (base or appends or deltas):
+        layout = self._layout(table)
+        if layout is None:
             if schema is None:
                 raise FileNotFoundError(f"table {table!r} has no committed version")
             return self.spark.createDataFrame([], schema)
-        narrow = (lambda df: df) if pick is None else (lambda df: df.filter(pick))
-        reader = self.spark.read
-        if schema is not None and not deltas:
-            reader = reader.schema(schema)
-        plain = [p for p in ([base] if base else []) + appends]
+        return self._read(table, layout)
+
+    def _read(self, table: str, layout: dict, only: Sequence[int] | None = None) -> DataFrame:
+        if only is not None:
+            layout = {**layout, "buckets": {b: f for b, f in layout["buckets"].items() if int(b) in set(only)}}
+        stored, paths = T.StructType.fromJson(json.loads(layout["schema"])), self._folders(layout)
+        if not paths:
+            return self.spark.createDataFrame([], stored)
         # the folders are read as partitions of one table, so those partitioned further go into one scan
-        base_df = narrow(reader.option("basePath", f"{self.root}/{table}").parquet(*plain).drop("v")) if plain else None
-        if not deltas:
-            return base_df
-        from ordermill.operators.merge import apply_changes
-        state = apply_changes(base_df, narrow(self.spark.read.parquet(*deltas)), keys)
-        if schema is None:
-            return state
-        names = schema.fieldNames() if isinstance(schema, T.StructType) else \
-            self.spark.createDataFrame([], schema).columns
-        return state.select(*names)
-
-    def lookup(self, table: str, key: str, values, schema=None) -> DataFrame:
-        """Rows of the current table whose ``key`` is in ``values`` (inspection by id).
-
-        The filter is applied to every folder before change rows are resolved, so the
-        ``In`` predicate reaches each parquet scan (bloom filters / min-max skip row groups).
-        """
-        return self._read(table, schema, F.col(key).isin(list(values)))
+        rows = self.spark.read.schema(stored).option("basePath", f"{self.root}/{table}").parquet(*paths)
+        return rows.select(*stored.fieldNames())
+
+    def lookup(self, table: str, key: str, values: Sequence) -> DataFrame:
+        """Rows of the current table whose ``key`` is in ``values``; of a table keyed by it, only their buckets are read."""
+        layout = self._layout(table)
+        if layout is None:
+            raise FileNotFoundError(f"table {table!r} has no committed version")
+        only = None
+        if layout.get("keys") == [key]:
+            kind = T.StructType.fromJson(json.loads(layout["schema"]))[key].dataType
+            wanted = self.spark.createDataFrame([(v,) for v in values], T.StructType([T.StructField(key, kind)]))
+            only = touched(wanted, [key], layout["n"])
+        return self._read(table, layout, only).filter(F.col(key).isin(list(values)))
 
     def exists(self, table: str) -> bool:
-        return self.current_path(table) is not None
+        return self._layout(table) is not None
 
     # -- writing ----------------------------------------------------------------
     def _folder(self, table: str) -> str:
         return f"{self.root}/{table}/v={uuid.uuid4().hex}"
 
-    def publish(self, outputs: dict[str, DataFrame], run_id: str, hook: Callable[[dict[str, str]], None] | None = None,
-                operation: str = "WRITE", partition_by: dict[str, list[str]] | None = None,
-                appends: tuple[str, ...] | list[str] = (), deltas: dict[str, list[str]] | None = None,
-                bloom: dict[str, list[str]] | None = None, seen: int | None = None) -> dict[str, str]:
+    def publish(self, outputs: dict[str, DataFrame | Callable[[dict[str, int]], DataFrame]], run_id: str,
+                hook: Callable[[dict[str, str | None]], None] | None = None, operation: str = "WRITE",
+                partition_by: dict[str, list[str]] | None = None, appends: Sequence[str] = (),
+                upserts: dict[str, list[str]] | None = None, rebuilds: dict[str, list[str]] | None = None,
+                shared: Sequence[str] = (), seen: int | None = None) -> Published:
         """Write every output as a new folder, then commit them together.
 
-        * tables in ``appends`` hold only new rows, added to the current table
-          (insert-only merges), committed as APPEND;
-        * tables in ``deltas`` (table -> key columns) hold upsert change rows, committed
-          as DELTA and applied on read; a ``_seq`` column (the commit number) orders them;
-        * every other table replaces the current one (``operation``).
-
-        ``seen`` is the commit (``head()``) whose state the outputs were computed from; if
-        another writer has committed since, nothing is published and ``CommitConflict`` is
-        raised. ``run_id`` is only recorded: a repeated id overwrites nothing. ``hook`` gets
-        the written folders before the commit (a failure there publishes nothing). ``bloom``
-        (table -> columns) writes parquet bloom filters. Returns table -> written folder.
+        * tables in ``appends`` hold only new rows, added to the current table (APPEND);
+        * tables in ``upserts`` (table -> key columns) hold change rows, at most one a key: the key
+          buckets they fall into are read, changed and written anew, other buckets stay (UPSERT);
+        * tables in ``rebuilds`` (table -> key columns) hold the whole keyed table, at most one row a key;
+        * every other table replaces the current one, with whatever columns (``operation``).
+
+        An output may be a function of the rows written so far by table. ``seen`` is the commit
+        (``head()``) whose state the outputs were computed from; if another writer has committed
+        to one of these tables since, nothing is published and ``CommitConflict`` is raised.
+        Appended tables in ``shared`` (logs) are never in conflict. ``run_id`` is only recorded: a
+        repeated id overwrites nothing. ``hook`` gets the written folders before the commit (a
+        failure there publishes nothing).
         """
-        from ordermill.operators.merge import SEQ
-        deltas, partition_by = deltas or {}, partition_by or {}
+        upserts, partition_by, rebuilds = upserts or {}, partition_by or {}, rebuilds or {}
         seen = self.head() if seen is None else seen
-        paths, layouts, records = {}, {}, []
+        done, edits, records = Published({}, {}), {}, []
         for table, df in outputs.items():
-            path = paths[table] = self._folder(table)
-            if table in deltas:
-                df = df.withColumn(SEQ, F.lit(seen + 1).cast("bigint"))
-            if table in partition_by:        # each folder's rows in few files
-                df = df.repartition(*partition_by[table])
-            w = df.write
-            for c in (bloom or {}).get(table, []):
-                w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
-            if table in partition_by:
-                w = w.partitionBy(*partition_by[table])
-            w.parquet(path)
-            kind = APPEND if table in appends else DELTA if table in deltas else operation
-            at = self._layout(table, seen)
-            if kind == APPEND:
-                at["appends"].append([path, APPEND])
-            elif kind == DELTA:
-                at["deltas"].append(path)
-                at["keys"] = deltas[table]
+            df = df(done.rows) if callable(df) else df
+            if table in upserts or table in rebuilds:
+                layout = self._layout(table, seen) if table in upserts else None
+                edits[table] = self._write_buckets(table, df, upserts.get(table) or rebuilds[table], layout, done)
             else:
-                at = {"base": path, "appends": [], "deltas": [], "keys": []}
-            layouts[table] = at
-            records.append({"table": table, "path": path, "operation": kind, "keys": ",".join(deltas.get(table, [])) or None})
-        if hook is not None:
-            hook(paths)
-        self._publish(seen, layouts, records, run_id)
-        return paths
+                path = done.paths[table] = self._folder(table)
+                by = partition_by.get(table)
 
-    def merge_appends(self, table: str, run_id: str, min_folders: int = 2) -> str | None:
-        """Merge the raw APPEND folders of an append-only table into one folder.
+                def write(rows: DataFrame, path=path, by=by) -> None:
+                    # each folder's rows in few files
+                    (rows.repartition(*by).write.partitionBy(*by) if by else rows.write).parquet(path)
 
-        Only raw appends are merged, each exactly once (merged folders are never merged
-        again), so every row is rewritten at most once and the base is never touched;
-        folders stay few for tables fed by many small micro-batches. Returns the new folder.
-        """
-        seen = self.head()
-        at = self._layout(table, seen)
-        raw = [p for p, kind in at["appends"] if kind == APPEND]
-        if len(raw) < min_folders:
-            return None
-        path = self._folder(table)
-        self.spark.read.option("basePath", f"{self.root}/{table}").parquet(*raw).drop("v").write.parquet(path)
-        at["appends"] = [a for a in at["appends"] if a[0] not in raw] + [[path, MERGED]]
-        self._publish(seen, {table: at}, [{"table": table, "path": path, "operation": MERGED, "keys": None}], run_id)
-        return path
-
-    def merge_deltas(self, table: str, run_id: str, min_folders: int = 2) -> str | None:
-        """Merge the change-row folders of a keyed table into one (newest change per key).
-
-        The base isn't read or rewritten, so the cost follows the changes. Returns the new folder.
-        """
-        from ordermill.operators.dedupe import latest_per_key
-        from ordermill.operators.merge import SEQ
-        seen = self.head()
-        at = self._layout(table, seen)
-        if len(at["deltas"]) < min_folders:
-            return None
-        path = self._folder(table)
-        latest_per_key(self.spark.read.parquet(*at["deltas"]), at["keys"], [SEQ]).write.parquet(path)
-        at["deltas"] = [path]
-        self._publish(seen, {table: at}, [{"table": table, "path": path, "operation": MERGED,
-                                           "keys": ",".join(at["keys"])}], run_id)
-        return path
-
-    def pending_appends(self, table: str) -> int:
-        return sum(1 for _, kind in self._layout(table)["appends"] if kind == APPEND)
-
-    def pending_deltas(self, table: str) -> int:
-        return len(self.layout(table)[2])
-
-    def compact(self, table: str, run_id: str) -> str:
-        """Rewrite the current table (base + appends, deltas applied) as one full version."""
-        seen = self.head()
-        return self.publish({table: self.read(table)}, run_id, operation="COMPACT", seen=seen)[table]
+                done.rows[table] = counted_write(df, write)["rows"]
+                edits[table] = self._append(table, path, df.schema) if table in appends else self._replace(path, df.schema)
+            kind = UPSERT if table in upserts else APPEND if table in appends else operation
+            records.append({"table": table, "path": done.paths[table], "operation": kind, "keys": ",".join(upserts.get(table, [])) or None})
+        if hook is not None:
+            hook(done.paths)
+        self._publish(seen, edits, records, run_id, shared)
+        return done
+
+    def _replace(self, path: str, schema: T.StructType):
+        return lambda layout, at: {"folders": [path], "more": None, "schema": schema.json()}
+
+    def _append(self, table: str, path: str, schema: T.StructType):
+        def edit(layout: dict | None, at: int | None) -> dict:
+            if layout is None:
+                return self._replace(path, schema)(None, None)
+            both = merged_schema(T.StructType.fromJson(json.loads(layout["schema"])), schema).json()
+            full = len(layout["folders"]) >= LISTED
+            return {"folders": [path] if full else [*layout["folders"], path], "more": [table, at] if full else layout["more"], "schema": both}
+        return edit
+
+    def _write_buckets(self, table: str, changes: DataFrame, keys: list[str], layout: dict | None, done: Published):
+        """Change rows are written once; then the buckets they touch are written with them in place."""
+        if layout is not None and "buckets" not in layout:
+            raise ValueError(f"table {table!r} is not keyed: rebuild it with its keys first")
+        if layout is None:
+            layout = {"keys": keys, "n": self.buckets, "buckets": {}, "schema": changes.schema.json()}
+        work = f"{self.root}/_work/{uuid.uuid4().hex}"
+        done.rows[table] = counted_write(changes, lambda df: df.write.parquet(work))["rows"]
+        done.paths[table] = None
+        if done.rows[table]:
+            stored = self.spark.read.schema(changes.schema).parquet(work)
+            hit = touched(stored, keys, layout["n"])
+            after = M.apply_changes(self._read(table, layout, hit), stored, keys).withColumn(BUCKET, bucket_of(keys, layout["n"]))
+            path = done.paths[table] = self._folder(table)
+            after.repartition(BUCKET).write.partitionBy(BUCKET).parquet(path)
+            layout = {**layout, "buckets": {**layout["buckets"], **{str(b): path for b in hit}}}
+        return lambda _, at: layout
 
     def ensure(self, table: str, schema: T.StructType | str, run_id: str = "init") -> None:
         """Create the table empty when it does not exist (CREATE TABLE IF NOT EXISTS)."""
@@ -302,14 +324,17 @@ class Store:
 # -- staging load and file exports ------------------------------------------------
 
 def load_staging(raw: DataFrame) -> DataFrame:
-    """Truncate-and-load staging rows: raw text columns + ``source_file``, ``loaded_at``."""
-    return raw.select(*ORDER_COLUMNS, F.col("_source_file").alias("source_file"),
+    """Truncate-and-load staging rows: raw text columns (and the raw line of malformed ones) + ``source_file``, ``loaded_at``."""
+    line = [MALFORMED] if MALFORMED in raw.columns else []
+    return raw.select(*ORDER_COLUMNS, *line, F.col("_source_file").alias("source_file"),
                       F.current_timestamp().alias("loaded_at"))
 
 
-def export_csv(df: DataFrame, path: str, columns=ORDER_COLUMNS, ts_columns=("updated_at",)) -> None:
-    """Overwrite a header CSV export; timestamps are written as 'yyyy-MM-dd HH:mm:ss'."""
+def export_csv(df: DataFrame, path: str, columns=ORDER_COLUMNS, ts_columns=("updated_at",),
+               containers: dict[str, str] | None = None) -> None:
+    """Overwrite a header CSV export (a path or a ``blob://`` target, see ``resolve_uri``); timestamps are
+    written as 'yyyy-MM-dd HH:mm:ss'."""
     out = df.select(*[iso_text(c, " ").alias(c) if c in ts_columns else F.col(c) for c in columns])
     # Spark's CSV writer trims values by default; exports keep text exactly as it was
     (out.write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False)
-     .option("ignoreTrailingWhiteSpace", False).csv(path))
+     .option("ignoreTrailingWhiteSpace", False).csv(resolve_uri(path, containers)))

@@ -6,7 +6,7 @@ import os
 import tempfile
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -85,14 +85,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder for written intermediate tables."""
     return os.path.join(ensure_checkpoint_dir(spark), "ordermill", *parts)
-
-
-def reliable(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once in the shared checkpoint folder and cut its lineage.
-
-    Used where one validated frame feeds several outputs: every output then reads
-    the same rows (deterministic even if the source changes), and a lost executor
-    re-reads the checkpoint instead of recomputing the scan. Never localCheckpoint.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

@@ -54,8 +54,6 @@ def run_event_job(store, stream: DataFrame, checkpoint: str, run_id: str, enforc
     from ordermill.streaming.sinks import BronzeSink, EventSilverSink
     bronze, silver = BronzeSink(store), EventSilverSink(store)
     run_available_now(stream, chain_sinks(bronze, silver), checkpoint)
-    bronze.tidy()
-    silver.tidy()
     silver_df = store.read(silver.table)
 
     def gate(paths: dict[str, str]) -> None:              # before the commit: bad gold never becomes visible

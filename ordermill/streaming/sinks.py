@@ -6,10 +6,16 @@ is an idempotent merge against the committed state, written to a folder of its
 own, so a replayed batch — also under the same batch id, or after a lost
 checkpoint — changes nothing. The checkpoint replaces manual offset commits:
 offsets advance only after the batch function returned.
+
+Each micro-batch is read from its source once: a sink writes the checked rows as a
+work table and every later step reads that. The counts of the audit row
+(``stream_audit``) are observed by these writes and published with the data.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +23,7 @@ from ordermill.operators import merge as M
 from ordermill.operators.dedupe import latest_per_key
 from ordermill.operators.events import parse_envelope
 from ordermill.operators.rules import ERRORS, EVENTS, LOCAL, MALFORMED, RuleSet, apply_rules, to_orders
+from ordermill.plans.observed import counted_write
 from ordermill.plans.store import Store
 
 EVENT_SILVER_COLS = ("order_id", "customer_id", "status", "amount_cents", "updated_at", "eventhub_partition",
@@ -30,6 +37,25 @@ BRONZE_SCHEMA = ("raw_json string, eventhub_partition int, kafka_offset bigint,
 BRONZE_REJECT_SCHEMA = ("raw_json string, eventhub_partition int, kafka_offset bigint, enqueued_at timestamp_ntz, "
                         "error_message string")
 EVENT_QUARANTINE_SCHEMA = BRONZE_REJECT_SCHEMA + ", quarantined_at timestamp"
+AUDIT = "stream_audit"
+AUDIT_SCHEMA = ("sink string, batch_id bigint, content bigint, rows_read bigint, rows_copied bigint, rows_rejected bigint, "
+                "audited_at timestamp")
+
+
+def once(store: Store, rows: DataFrame, *identity: str) -> tuple[DataFrame, int, int]:
+    """The rows of a micro-batch as a written work table, their number, and a number made of their contents."""
+    path = f"{store.root}/_work/{uuid.uuid4().hex}"
+    # a sum of 31-bit digests: it does not depend on the order of the rows, and repeats count
+    content = F.sum(F.pmod(F.xxhash64(*identity), F.lit(1 << 31)))
+    seen = counted_write(rows, lambda df: df.write.parquet(path), content=content)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path), seen["rows"], seen.get("content", 0)
+
+
+def audit_row(store: Store, sink: str, batch_id: int, content: int, read: int, copied: int, rejected: int) -> DataFrame:
+    """The audit row of a batch; none if these very rows have been audited for this sink before (a replay)."""
+    row = store.spark.createDataFrame([(sink, batch_id, content, read, copied, rejected)], ", ".join(AUDIT_SCHEMA.split(", ")[:-1]))
+    known = store.read(AUDIT, AUDIT_SCHEMA)
+    return M.new_rows(known, row, ["sink", "content", "rows_read"]).withColumn("audited_at", F.current_timestamp())
 
 
 def _run_id(batch_id: int, prefix: str) -> str:
@@ -53,34 +79,28 @@ class BronzeSink:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         seen = self.store.head()
+        cols = ["raw_json", "eventhub_partition", "kafka_offset", "enqueued_at"]
+        batch, read, content = once(self.store, batch.select(*cols), *cols)
+        if not read:
+            return
         # per topic partition (a few rows) the lowest offset of the batch: only stored rows at or above it
         # can match, and the bound reaches parquet as a pushed filter that skips row groups
-        lows = batch.groupBy("eventhub_partition").agg(F.min("kafka_offset").alias("low"), F.count(F.lit(1)).alias("n"),
-                                                       F.count("kafka_offset").alias("placed")).collect()
-        if not lows:
-            return
-        cols = ["raw_json", "eventhub_partition", "kafka_offset", "enqueued_at"]
+        lows = batch.groupBy("eventhub_partition").agg(F.min("kafka_offset").alias("low")).collect()
         has_place = F.col("eventhub_partition").isNotNull() & F.col("kafka_offset").isNotNull()
-        rows = (batch.filter(has_place).select(*cols).dropDuplicates(self.keys)
-                .withColumn("ingested_at", F.current_timestamp()))
+        rows = batch.filter(has_place).dropDuplicates(self.keys).withColumn("ingested_at", F.current_timestamp())
         reach = F.lit(False)
         for r in lows:
             if r["eventhub_partition"] is not None and r["low"] is not None:
                 reach = reach | ((F.col("eventhub_partition") == r["eventhub_partition"]) & (F.col("kafka_offset") >= r["low"]))
-        target = self.store.read(self.table, BRONZE_SCHEMA).filter(reach)
-        outputs = {self.table: M.new_rows(target, rows, self.keys, null_safe=False)}
-        rejects = f"{self.table}_rejects"
-        if any(r["eventhub_partition"] is None or r["placed"] < r["n"] for r in lows):
-            bad = (batch.filter(~has_place).select(*cols).withColumn("error_message", F.lit("missing topic coordinates"))
-                   .distinct())
-            outputs[rejects] = M.new_rows(self.store.read(rejects, BRONZE_REJECT_SCHEMA), bad, cols)
-        self.store.publish(outputs, _run_id(batch_id, self.prefix), appends=list(outputs), seen=seen)
+        target, rejects = self.store.read(self.table, BRONZE_SCHEMA), f"{self.table}_rejects"
+        bad = batch.filter(~has_place).withColumn("error_message", F.lit("missing topic coordinates")).distinct()
+        self.store.publish({
+            self.table: M.new_rows(target, rows, self.keys, null_safe=False, bound=reach),
+            rejects: M.new_rows(self.store.read(rejects, BRONZE_REJECT_SCHEMA), bad, cols),
+            AUDIT: lambda n: audit_row(self.store, self.table, batch_id, content, read, n[self.table], n[rejects]),
+        }, _run_id(batch_id, self.prefix), appends=[self.table, rejects, AUDIT], shared=[AUDIT], seen=seen)
         self.batches += 1
 
-    def tidy(self) -> None:
-        """Merge the small per-batch folders (maintenance; changes no row)."""
-        self.store.merge_appends(self.table, f"{self.prefix}-merge")
-
 
 class EventSilverSink:
     """Parse -> event rules -> newest per id -> upsert where newer; invalid events and broken
@@ -96,27 +116,23 @@ class EventSilverSink:
         self.prefix = prefix or table
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        from ordermill.plans.runs import publish_changes
-        if batch.isEmpty():
-            return
         seen = self.store.head()
         keep = ("eventhub_partition", "kafka_offset", "enqueued_at")
         checked = apply_rules(parse_envelope(batch, keep=("raw_json", *keep), flag_malformed=False, corrupt=MALFORMED), self.rules)
+        checked, read, content = once(self.store, checked, "raw_json", *keep)
+        if not read:
+            return
         valid = to_orders(checked.filter(F.col(ERRORS) == ""), keep).withColumn("ingested_at", F.current_timestamp())
         bad = checked.filter(F.col(ERRORS) != "").select("raw_json", *keep, F.col(ERRORS).alias("error_message")).distinct()
         target = self.store.read(self.table, EVENT_SILVER_SCHEMA)
         changes = M.upsert_changes(target, valid.select(*EVENT_SILVER_COLS), ["order_id"], EVENT_ORDER,
-                                   source_order=EVENT_ORDER)
+                                   source_order=EVENT_ORDER).drop(M.CHANGE)
         quarantine = f"{self.table}_quarantine"
-        kept = self.store.read(quarantine, EVENT_QUARANTINE_SCHEMA)
-        added = M.new_rows(kept, bad, ["eventhub_partition", "kafka_offset", "raw_json"])
-        publish_changes(self.store, self.table, changes, ["order_id"], _run_id(batch_id, self.prefix),
-                        {quarantine: added.withColumn("quarantined_at", F.current_timestamp())}, appends=[quarantine], seen=seen)
-
-    def tidy(self) -> None:
-        """Merge the per-batch change rows and quarantine folders (maintenance; the base isn't rewritten)."""
-        self.store.merge_deltas(self.table, f"{self.prefix}-merge")
-        self.store.merge_appends(f"{self.table}_quarantine", f"{self.prefix}-merge")
+        added = M.new_rows(self.store.read(quarantine, EVENT_QUARANTINE_SCHEMA), bad, ["eventhub_partition", "kafka_offset", "raw_json"])
+        self.store.publish({
+            quarantine: added.withColumn("quarantined_at", F.current_timestamp()), self.table: changes,
+            AUDIT: lambda n: audit_row(self.store, self.table, batch_id, content, read, n[self.table], n[quarantine]),
+        }, _run_id(batch_id, self.prefix), appends=[quarantine, AUDIT], upserts={self.table: ["order_id"]}, shared=[AUDIT], seen=seen)
 
 
 class OrderMessageSink:
@@ -128,10 +144,12 @@ class OrderMessageSink:
         self.store, self.rules, self.prefix = store, rules, prefix
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        from ordermill.plans.runs import BATCH_ORDER, _load
-        if batch.isEmpty():
-            return
+        from ordermill.plans.runs import BATCH_ORDER, ORDERS_TABLE, REJECTS_TABLE, load
         seen = self.store.head()
         checked = apply_rules(batch, self.rules)
+        checked, read, content = once(self.store, checked, *batch.columns)
+        if not read:
+            return
         valid = latest_per_key(to_orders(checked.filter(F.col(ERRORS) == "")), ["order_id"], BATCH_ORDER)
-        _load(self.store, checked, valid, _run_id(batch_id, self.prefix), None, {}, seen)
+        load(self.store, checked, valid, _run_id(batch_id, self.prefix), None, {
+            AUDIT: lambda n: audit_row(self.store, self.prefix, batch_id, content, read, n[ORDERS_TABLE], n[REJECTS_TABLE])}, seen)

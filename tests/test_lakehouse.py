@@ -92,7 +92,14 @@ def test_bronze_silver_gold_flow(spark, order_files, tmp_path):
         src = store.read(BRONZE).select("_source_file").distinct().collect()
         file_of_day = [r[0] for r in src if r[0].endswith(order_files[day].split("/")[-1])][0]
         out = reprocess_file(store, file_of_day, f"r{i}c")
-    assert out == {"silver_rows": 6, "quarantine_rows": 6}
+    assert out == {"valid_rows": 4, "rejected_rows": 1, "silver_changed": 3, "quarantine_added": 1}
+    assert store.read(SILVER).count() == store.read(QUARANTINE).count() == 6
+    from ordermill.plans.runs import file_ledger
+    ledger = {r["_source_file"][-14:-4]: tuple(r)[1:] for r in file_ledger(store).collect()}
+    assert ledger == {"2026-08-01": (8, 4, 4, 1, 3, True), "2026-08-02": (5, 4, 1, 2, 2, True), "2026-08-03": (5, 4, 1, 3, 1, True)}
+    again = reprocess_file(store, file_of_day, "again")
+    assert again == {"valid_rows": 4, "rejected_rows": 1, "silver_changed": 0, "quarantine_added": 0}
+    assert {r["_source_file"][-14:-4]: tuple(r)[1:] for r in file_ledger(store).collect()} == ledger
     silver = {r["order_id"]: r["status"] for r in store.read(SILVER).collect()}
     assert silver["ORD-1001"] == "SHIPPED" and silver["ORD-1002"] == "SHIPPED" and silver["ORD-1009"] == "PAID"
     assert _daily(store.read(GOLD).drop("_calculated_at"))["2026-08-03"] == (3, 14690, 2, 1, 0, 0, 9700)
@@ -108,7 +115,7 @@ def test_gold_refresh_of_touched_dates_equals_full_recompute(spark, order_files)
     for day in ("day2", "day3"):
         batch = to_orders(valid_rows(apply_rules(read_orders(spark, order_files[day]), LAKEHOUSE)))
         changes = M.upsert_changes(state, batch, ["order_id"], ["updated_at"])
-        after = M.apply_changes(state, changes.withColumn(M.SEQ, F.lit(day)), ["order_id"])
+        after = M.apply_changes(state, changes, ["order_id"])
         gold = refresh_daily_metrics(gold, state, changes, after)
         assert _daily(gold) == _daily(daily_metrics(after))
         state = after

@@ -68,7 +68,6 @@ def test_insert_only_null_keys(spark):
 
 
 def test_change_rows_equal_full_rewrite(spark, tmp_path):
-    from ordermill.plans.runs import publish_changes
     from ordermill.plans.store import Store
     batches = [_df(spark, [("A", "1", 8, 1), ("B", "1", 9, 1)]),
                _df(spark, [("A", "2", 10, 1), ("C", "2", 8, 1), ("B", "2", 9, 1)]),
@@ -78,24 +77,67 @@ def test_change_rows_equal_full_rewrite(spark, tmp_path):
         full = spark.createDataFrame([], SCHEMA)
         for b in perm:
             full = M.upsert(full, b, keys, cmp).drop(M.CHANGE)
-        for fold in ("compact", "merge_deltas", None):
-            store = Store(spark, str(tmp_path / f"s{i}-{fold}"))
-            changed = 0
+        for rebuilt in (True, False):
+            store = Store(spark, str(tmp_path / f"s{i}-{rebuilt}"), buckets=3)
             for j, b in enumerate(perm):
-                ch = M.upsert_changes(store.read("t", SCHEMA), b, keys, cmp)
-                changed += ch.count()
-                publish_changes(store, "t", ch, keys, "same id")
-                if fold and j:
-                    getattr(store, fold)("t", "fold")
+                ch = M.upsert_changes(store.read("t", SCHEMA), b, keys, cmp).drop(M.CHANGE)
+                n = ch.count()
+                assert store.publish({"t": ch}, "same id", upserts={"t": keys}).rows == {"t": n}
+                if rebuilt and j:
+                    store.publish({"t": store.read("t")}, "again", rebuilds={"t": keys})
             assert _state(store.read("t", SCHEMA)) == _state(full)
             again = M.upsert_changes(store.read("t", SCHEMA), perm[-1], keys, cmp)
             assert again.count() == 0                                  # replaying a batch changes nothing
         kinds = {r[M.CHANGE] for r in M.upsert_changes(spark.createDataFrame([], SCHEMA), perm[0], keys, cmp).collect()}
         assert kinds == {M.INSERT}
-    store = Store(spark, str(tmp_path / "ops"))
-    for j, b in enumerate(batches):
-        publish_changes(store, "t", M.upsert_changes(store.read("t", SCHEMA), b, keys, cmp), keys, f"r{j:03d}")
-        if j == 1:
-            base = store.compact("t", "fold")
-    assert [h["operation"] for h in store.history("t").collect()] == ["DELTA", "COMPACT", "DELTA", "DELTA"]
-    assert store.layout("t")[0] == base and store.pending_deltas("t") == 1
+
+
+def test_signed_changes_are_both_sides_of_the_change_rows(spark):
+    tgt = _df(spark, [("A", "t", 8, 1), ("B", "t", 8, 1), ("C", "t", 8, 1)])
+    src = _df(spark, [("A", "s", 9, 1), ("B", "s", 7, 1), ("E", "s", 8, 1), ("E", "s2", 6, 1)])
+    signed = M.signed_changes(tgt, src, ["order_id"], ["updated_at"])
+    got = sorted((r["order_id"], r["status"], r[M.SIGN]) for r in signed.collect())
+    assert got == [("A", "s", 1), ("A", "t", -1), ("E", "s", 1)]
+    new = signed.filter(F.col(M.SIGN) > 0).drop(M.SIGN)
+    assert _state(new) == _state(M.upsert_changes(tgt, src, ["order_id"], ["updated_at"]))
+    assert _state(M.apply_changes(tgt, new, ["order_id"])) == _state(M.upsert(tgt, src, ["order_id"], ["updated_at"]))
+
+
+def test_different_texts_of_one_digest_are_both_kept(spark, monkeypatch):
+    rows = lambda *k: spark.createDataFrame([(x, None) for x in k], "k string, v string")
+    for digest in (M.content_digest, lambda keys, coalesce_blank=False: F.lit(7).cast("bigint")):
+        monkeypatch.setattr(M, "content_digest", digest)
+        merged = M.insert_only(rows("a", "b"), rows("a", "c", "d"), ["k", "v"], by_digest=True)
+        assert sorted((r["k"], r[M.CHANGE]) for r in merged.collect()) == [("a", "keep"), ("b", "keep"), ("c", "insert"), ("d", "insert")]
+        assert merged.columns == ["k", "v", M.CHANGE]
+
+
+def test_bounds_hold_every_row_of_the_batch(spark):
+    df = spark.createDataFrame([(str(i % 7),) for i in range(50)] + [(None,)], "f string")
+    for most in (1000, 3):
+        assert df.filter(M.values_bound(df, "f", most)).count() == 51
+    some = df.filter("f in ('2', '3')")
+    assert df.filter(M.values_bound(some, "f")).select("f").distinct().count() == 2
+    assert df.filter(M.values_bound(df.limit(0), "f")).count() == 0
+
+
+def test_buckets_that_a_batch_misses_keep_their_files(spark, tmp_path):
+    import os
+
+    from ordermill.plans.buckets import BucketTable, touched
+    rows = lambda keys, hour: _df(spark, [(k, f"h{hour}", hour, 1) for k in keys])
+    keys = [f"K{i}" for i in range(40)]
+    table = BucketTable(spark, str(tmp_path / "t"), SCHEMA, ["order_id"], 8)
+    assert table.upsert(rows(keys, 8), ["updated_at"])["changed"] == 40
+    files = lambda: {os.path.join(d, f) for d, _, fs in os.walk(tmp_path / "t") for f in fs if f.startswith("part-")}
+    before, batch = files(), rows(keys[:2] + ["new"], 9)
+    done = table.upsert(batch, ["updated_at"])
+    hit = touched(batch, ["order_id"], 8)
+    assert done == {"changed": 3, "buckets": len(hit)} and len(hit) < 8
+    kept = {f for f in before if int(f.split("_bucket_of_8=")[1].split("/")[0]) not in hit}
+    assert kept == before & files() and len(files()) == 8
+    again = BucketTable(spark, str(tmp_path / "t"), SCHEMA, ["order_id"], 64)      # its own number of buckets is kept
+    assert again.upsert(batch, ["updated_at"]) == {"changed": 0, "buckets": 0}
+    assert {r["order_id"]: r["status"] for r in again.read().collect()} == {**{k: "h8" for k in keys}, **{k: "h9" for k in (*keys[:2], "new")}}
+    plan = again.read([3])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_bucket_of_8" in plan or "PartitionFilters: [(_bucket_of_8" in plan

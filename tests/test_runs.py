@@ -1,9 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ordermill.operators.audit import mart_pipeline_runs, read_events, run_state
-from ordermill.plans.runs import (ORDERS_TABLE, REJECTS_TABLE, PipelineError, read_watermark, run_incremental,
-                                  run_replay)
+from ordermill.operators.audit import mart_pipeline_runs, run_state
+from ordermill.plans.runs import (ORDERS_TABLE, REJECTS_TABLE, PipelineError, fail_run, finish_event, read_watermark, run_incremental,
+                                  run_log, run_replay, run_staging, start_run)
 from ordermill.plans.store import Store
 from ordermill.schema import ORDER_SCHEMA
 
@@ -31,7 +31,7 @@ def test_incremental_idempotent_then_day2(spark, order_files, tmp_path):
                       "ORD-1008": ("PAID", 1550), "ORD-1009": ("PENDING", 3200)}
     assert store.read(REJECTS_TABLE).count() == 5
     hist = store.history(ORDERS_TABLE).collect()
-    assert len(hist) == 3 and all(h["operation"] == "DELTA" for h in hist)
+    assert len(hist) == 3 and all(h["operation"] == "UPSERT" for h in hist)
     assert {h["operation"] for h in store.history(REJECTS_TABLE).collect()} == {"APPEND"}
 
 
@@ -68,7 +68,7 @@ def test_failed_commit_writes_nothing_then_rerun_succeeds(spark, order_files, tm
     assert read_watermark(store) is None
     s = run_incremental(spark, store, order_files["day1"])
     assert _counts(s) == (8, 4, 4, 4, 4)
-    runs = mart_pipeline_runs(run_state(read_events(spark, f"{store.root}/_runs"))).orderBy("started_at").collect()
+    runs = mart_pipeline_runs(run_state(run_log(store))).orderBy("started_at").collect()
     assert [r["run_status"] for r in runs] == ["FAILED", "SUCCESS"]
     assert runs[0]["error_message"] == "simulated failure before commit"
     assert runs[1]["changed_count"] == 4
@@ -105,7 +105,7 @@ def test_header_must_match_exactly(spark, tmp_path):
     with pytest.raises(Exception):
         run_incremental(spark, store, p)
     assert spark.conf.get("spark.sql.caseSensitive", "false") == "false"   # the override is scoped
-    runs = run_state(read_events(spark, f"{store.root}/_runs")).collect()
+    runs = run_state(run_log(store)).collect()
     assert [r["run_status"] for r in runs] == ["FAILED"]
     ok = write_csv(tmp_path, "ok.csv", "A,C,PAID,1,2026-08-01T08:15:00")
     assert run_incremental(spark, store, ok)["changed_count"] == 1
@@ -141,7 +141,7 @@ def test_full_error_text_is_kept(spark, order_files, tmp_path):
 
     with pytest.raises(RuntimeError):
         run_incremental(spark, store, order_files["day1"], hook=boom)
-    assert run_state(read_events(spark, f"{store.root}/_runs")).first()["error_message"] == "x" * 5000 + "end"
+    assert run_state(run_log(store)).first()["error_message"] == "x" * 5000 + "end"
 
 
 def test_writers_of_one_table_are_ordered_by_commit(spark, order_files, tmp_path):
@@ -168,6 +168,41 @@ def test_malformed_lines_are_rejected_with_their_text(spark, tmp_path):
     assert {r["raw_row"] for r in store.read(REJECTS_TABLE).collect()} == {"B,C,PAID,1,2026-08-01T08:15:00,extra", "short,row"}
 
 
+def test_malformed_lines_stay_rejects_in_staging(spark, tmp_path):
+    from ordermill.plans.runs import STAGED_ORDERS, STAGED_REJECTS
+    from ordermill.sources.files import read_orders
+    p = write_csv(tmp_path, "m.csv", "A,C,PAID,1,2026-08-01T08:15:00\nB,C,PAID,1,2026-08-01T08:15:00,extra\nshort,row")
+    store = Store(spark, str(tmp_path / "lake"))
+    for _ in range(2):
+        run_staging(store, read_orders(spark, p), "s", "m.csv")
+    assert [r["order_id"] for r in store.read(STAGED_ORDERS).collect()] == ["A"]
+    assert sorted(r["raw_row"] for r in store.read(STAGED_REJECTS).collect()) == ["B,C,PAID,1,2026-08-01T08:15:00,extra", "short,row"]
+    st = run_state(run_log(store)).first()
+    assert (st["run_status"], st["event_count"], st["rows_read"], st["rows_copied"], st["source_file_pattern"]) == ("SUCCESS", 4, 3, 3, "m.csv")
+
+
+def test_a_run_ends_once_and_only_while_it_runs(spark, order_files, tmp_path):
+    store = Store(spark, str(tmp_path / "lake"))
+    with pytest.raises(PipelineError, match="not running"):
+        finish_event(store, "r", "INCREMENTAL", {})
+    run_incremental(spark, store, order_files["day1"], run_id="r")
+    with pytest.raises(PipelineError, match="not running"):
+        finish_event(store, "r", "INCREMENTAL", {})
+    fail_run(store, "r", "INCREMENTAL", RuntimeError("late"))            # the data is out: the run stays a success
+    assert run_state(run_log(store)).first()["run_status"] == "SUCCESS"
+    start_run(store, "r", "INCREMENTAL")
+    assert finish_event(store, "r", "INCREMENTAL", {}).first()["event_seq"] == 3
+
+
+def test_a_failure_behind_the_publish_leaves_a_success(spark, order_files, tmp_path):
+    store = Store(spark, str(tmp_path / "lake"))
+    with pytest.raises(Exception, match="nowhere"):
+        run_incremental(spark, store, order_files["day1"], export_dirs={"processed": "nowhere://x", "rejected": "nowhere://y"})
+    assert store.read(ORDERS_TABLE).count() == 4
+    st = run_state(run_log(store)).first()
+    assert (st["run_status"], st["changed_count"], st["rows_read"]) == ("SUCCESS", 4, 8)
+
+
 def test_unicode_blanks_are_missing_values(spark):
     from ordermill.operators.rules import ERRORS, LOCAL, apply_rules
     blanks = ["", " ", "\t", "\u00a0", "\u3000", "\u2003 ", "\x1f", "\x85"]
@@ -197,5 +232,5 @@ def test_gate_fails_before_the_commit(spark, tmp_path, monkeypatch):
             attempt()
         assert not store.exists(GOLD) and not store.exists(SILVER)
     monkeypatch.undo()
-    assert reprocess_file(store, "f.csv", "r") == {"silver_rows": 1, "quarantine_rows": 0}
+    assert reprocess_file(store, "f.csv", "r") == {"valid_rows": 1, "rejected_rows": 0, "silver_changed": 1, "quarantine_added": 0}
     assert store.read(GOLD).first()["total_orders"] == 1

@@ -35,8 +35,8 @@ def test_blob_source_and_exports(spark, order_files, tmp_path):
 
 def test_staging_load_external_view_and_seed(spark, order_files, tmp_path):
     staging = load_staging(read_orders(spark, order_files["day1"]))
-    assert staging.columns == ["order_id", "customer_id", "status", "amount_cents", "updated_at", "source_file",
-                               "loaded_at"]
+    assert staging.columns == ["order_id", "customer_id", "status", "amount_cents", "updated_at", "_corrupt_record",
+                               "source_file", "loaded_at"]
     path = str(tmp_path / "gold")
     spark.createDataFrame([("2026-08-02", 3), ("2026-08-01", 2)], "report_date string, total_orders long") \
         .write.parquet(path)
@@ -49,7 +49,7 @@ def test_staging_load_external_view_and_seed(spark, order_files, tmp_path):
     assert dict(inferred.dtypes)["amount_cents"] == "int"
 
 
-def test_store_ensure_history_and_compact(spark, tmp_path):
+def test_store_ensure_history_and_rebuild(spark, tmp_path):
     store = Store(spark, str(tmp_path / "lake"))
     store.ensure("orders", ORDER_SCHEMA)
     store.ensure("orders", ORDER_SCHEMA)
@@ -58,9 +58,9 @@ def test_store_ensure_history_and_compact(spark, tmp_path):
     store.publish({"orders": one}, "r1", appends=["orders"])
     store.publish({"orders": one}, "r2", appends=["orders"])
     assert store.read("orders").count() == 2
-    store.compact("orders", "r3")
+    store.publish({"orders": store.read("orders")}, "r3", operation="REBUILD")
     assert len(store.current_paths("orders")) == 1 and store.read("orders").count() == 2
-    assert [h["operation"] for h in store.history("orders").collect()] == ["COMPACT", "APPEND", "APPEND", "CREATE"]
+    assert [h["operation"] for h in store.history("orders").collect()] == ["REBUILD", "APPEND", "APPEND", "CREATE"]
 
 
 def test_copy_metrics_in_run_log(spark, tmp_path):
@@ -77,10 +77,11 @@ def test_copy_metrics_in_run_log(spark, tmp_path):
 def test_orders_table_survives_reader_of_old_version(spark, order_files, tmp_path):
     store = Store(spark, str(tmp_path / "lake"))
     run_incremental(spark, store, order_files["day1"], run_id="20260801T000000000000-a")
-    old = store.current_path(ORDERS_TABLE)
+    old = store.read(ORDERS_TABLE)
+    paths = store.current_paths(ORDERS_TABLE)
     run_incremental(spark, store, order_files["day2"], run_id="20260802T000000000000-b")
-    assert store.current_path(ORDERS_TABLE) != old
-    assert spark.read.parquet(old).count() == 4            # earlier snapshot still readable
+    assert store.current_paths(ORDERS_TABLE) != paths
+    assert old.count() == 4                                # earlier snapshot still readable
 
 
 def test_lookup_by_id_reaches_the_scan(spark, order_files, tmp_path):
@@ -91,46 +92,92 @@ def test_lookup_by_id_reaches_the_scan(spark, order_files, tmp_path):
     assert {r["order_id"]: r["status"] for r in got.collect()} == {"ORD-1002": "SHIPPED", "ORD-1009": "PENDING"}
     p = got._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [In(order_id" in p
+    assert len(got.inputFiles()) < len(store.read(ORDERS_TABLE).inputFiles())      # other buckets aren't opened
     full = {r["order_id"]: r["status"] for r in store.read(ORDERS_TABLE).collect()}
     assert full["ORD-1002"] == "SHIPPED" and len(full) == 5
 
 
-def test_compact_folds_deltas_into_a_base(spark, tmp_path):
+def test_upserts_rewrite_the_buckets_they_touch(spark, tmp_path):
+    from datetime import datetime
+
     from ordermill.operators import merge as M
-    store = Store(spark, str(tmp_path / "lake"))
+    from ordermill.plans.buckets import touched
+    store = Store(spark, str(tmp_path / "lake"), buckets=8)
     schema = "order_id string, status string, updated_at timestamp_ntz"
-    from datetime import datetime
-    b1 = spark.createDataFrame([("A", "1", datetime(2026, 8, 1, 8)), ("B", "1", datetime(2026, 8, 1, 8))], schema)
-    b2 = spark.createDataFrame([("A", "2", datetime(2026, 8, 1, 9)), ("C", "2", datetime(2026, 8, 1, 9))], schema)
-    for i, b in enumerate((b1, b2)):
-        ch = M.upsert_changes(store.read("t", schema), b, ["order_id"], ["updated_at"]).drop(M.CHANGE)
-        store.publish({"t": ch}, f"r{i:03d}", deltas={"t": ["order_id"]})
-    before = sorted(tuple(r) for r in store.read("t", schema).collect())
-    assert store.pending_deltas("t") == 2
-    store.compact("t", "r002")
-    assert store.pending_deltas("t") == 0 and len(store.current_paths("t")) == 1
-    after = sorted(tuple(r) for r in store.read("t", schema).collect())
-    assert after == before and [r[1] for r in after] == ["2", "1", "2"]
-    assert "_seq" not in store.read("t").columns
-
-
-def test_merge_appends_keeps_rows_and_bounds_folders(spark, tmp_path):
+    rows = lambda keys, hour: spark.createDataFrame([(k, str(hour), datetime(2026, 8, 1, hour)) for k in keys], schema)
+    keys = [f"K{i}" for i in range(30)]
+    for batch in (rows(keys, 8), rows(["K3", "new"], 9)):
+        before = store.current_paths("t")
+        ch = M.upsert_changes(store.read("t", schema), batch, ["order_id"], ["updated_at"]).drop(M.CHANGE)
+        store.publish({"t": ch}, "r", upserts={"t": ["order_id"]})
+    hit = touched(batch, ["order_id"], 8)
+    assert len(set(store.current_paths("t")) - set(before)) == len(hit) < 8
+    got = {r["order_id"]: r["status"] for r in store.read("t").collect()}
+    assert got == {**{k: "8" for k in keys}, "K3": "9", "new": "9"} and store.read("t").count() == 31
+    assert store.publish({"t": ch.limit(0)}, "r", upserts={"t": ["order_id"]}).paths == {"t": None}
+    store.publish({"plain": batch}, "r")
+    with pytest.raises(ValueError, match="not keyed"):
+        store.publish({"plain": batch}, "r", upserts={"plain": ["order_id"]})
+
+
+def test_appended_folders_are_listed_in_a_chain(spark, tmp_path, monkeypatch):
+    from ordermill.plans import store as S
+    monkeypatch.setattr(S, "LISTED", 3)
+    store = Store(spark, str(tmp_path / "lake"))
+    for k in range(10):
+        store.publish({"b": spark.createDataFrame([(k,)], "k long")}, f"r{k}", appends=["b"])
+        store.publish({"other": spark.createDataFrame([(k,)], "k long")}, f"o{k}")
+    assert sorted(r["k"] for r in store.read("b").collect()) == list(range(10))
+    assert len(store._layout("b")["folders"]) <= 3 and len(store.current_paths("b")) == 10
+
+
+def test_schema_changes(spark, tmp_path):
+    from ordermill.plans.store import SchemaConflict
     store = Store(spark, str(tmp_path / "lake"))
-    schema = "k long, v string"
-    store.publish({"b": spark.createDataFrame([(0, "base")], schema)}, "r000")
-    for i in range(1, 6):
-        store.publish({"b": spark.createDataFrame([(i, f"a{i}")], schema)}, f"r{i:03d}", appends=["b"])
-    assert len(store.current_paths("b")) == 6 and store.pending_appends("b") == 5
-    store.merge_appends("b", "r006")
-    assert len(store.current_paths("b")) == 2 and store.pending_appends("b") == 0
-    store.publish({"b": spark.createDataFrame([(7, "a7")], schema)}, "r007", appends=["b"])
-    assert store.merge_appends("b", "r008") is None            # one raw append: nothing to merge
-    store.publish({"b": spark.createDataFrame([(9, "a9")], schema)}, "r009", appends=["b"])
-    store.merge_appends("b", "r010")                           # merges r007 + r009 only
-    assert len(store.current_paths("b")) == 3
-    assert sorted(r["k"] for r in store.read("b").collect()) == [0, 1, 2, 3, 4, 5, 7, 9]
-    store.compact("b", "r011")
-    assert len(store.current_paths("b")) == 1 and store.read("b").count() == 8
+    make = lambda rows, schema: spark.createDataFrame(rows, schema)
+    store.publish({"t": make([(1, "a")], "k int, gone string")}, "1")
+    store.publish({"t": make([(2, 1.5)], "k bigint, added double")}, "2", appends=["t"])
+    assert sorted(map(tuple, store.read("t").collect())) == [(1, "a", None), (2, None, 1.5)]
+    assert dict(store.read("t").dtypes) == {"k": "bigint", "gone": "string", "added": "double"}
+    store.publish({"t": make([(3,)], "k int")}, "3", appends=["t"])           # a narrower type is read as the wide one
+    assert store.read("t").count() == 3
+    with pytest.raises(SchemaConflict, match="'k' is bigint in the table and string"):
+        store.publish({"t": make([("x",)], "k string")}, "4", appends=["t"])
+    assert store.read("t").count() == 3
+    store.publish({"t": make([("x",)], "k string")}, "5", operation="OVERWRITE")
+    assert [tuple(r) for r in store.read("t").collect()] == [("x",)]
+
+
+def test_catalog_table_before_and_after_a_replace(spark, tmp_path):
+    from ordermill.sources.catalog import create_if_absent, create_or_replace
+    rows = lambda *v: spark.createDataFrame([(x,) for x in v], "k long")
+    name, root = "gold_by_name", str(tmp_path)
+    seen = lambda: sorted(r["k"] for r in spark.sql(f"SELECT k FROM {name}").collect())
+    try:
+        create_if_absent(spark, name, "k long", root)
+        assert seen() == []
+        create_or_replace(spark, name, rows(1, 2), root)
+        create_if_absent(spark, name, "k long", root)
+        assert seen() == [1, 2]
+        create_or_replace(spark, name, spark.table(name).union(rows(3)), root)       # a replacement may read what it replaces
+        assert seen() == [1, 2, 3]
+        create_or_replace(spark, name, rows(7).withColumn("label", F.lit("x")), root)
+        assert [tuple(r) for r in spark.table(name).collect()] == [(7, "x")]
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_logs_are_shared_and_other_tables_are_not(spark, tmp_path):
+    from ordermill.plans.store import CommitConflict
+    store = Store(spark, str(tmp_path / "lake"))
+    row = lambda k: spark.createDataFrame([(k,)], "k long")
+    seen = store.head()
+    store.publish({"log": row(1)}, "a", appends=["log"], shared=["log"])
+    store.publish({"x": row(1), "log": row(2)}, "b", appends=["log"], shared=["log"], seen=seen)
+    assert sorted(r["k"] for r in store.read("log").collect()) == [1, 2]
+    with pytest.raises(CommitConflict, match="x"):
+        store.publish({"x": row(2), "log": row(3)}, "c", appends=["log"], shared=["log"], seen=seen)
+    assert store.read("log").count() == 2
 
 
 def test_publish_refuses_a_state_that_moved_on(spark, tmp_path):
@@ -146,19 +193,6 @@ def test_publish_refuses_a_state_that_moved_on(spark, tmp_path):
     assert sorted(r["k"] for r in other.read("t").collect()) == [1, 2]
 
 
-def test_merge_replaces_exactly_what_it_merged(spark, tmp_path):
-    """An append committed after a merge stays, whatever its run id."""
-    store = Store(spark, str(tmp_path / "lake"))
-    row = lambda k: spark.createDataFrame([(k,)], "k long")
-    for k, run_id in ((1, "b1"), (2, "b2"), (4, "b4")):
-        store.publish({"t": row(k)}, run_id, appends=["t"])
-    store.merge_appends("t", "m")
-    store.publish({"t": row(3)}, "b3", appends=["t"])
-    assert sorted(r["k"] for r in store.read("t").collect()) == [1, 2, 3, 4]
-    store.merge_appends("t", "m2")
-    assert sorted(r["k"] for r in store.read("t").collect()) == [1, 2, 3, 4]
-
-
 def test_unreadable_log_is_an_error_not_an_empty_table(spark, tmp_path):
     store = Store(spark, str(tmp_path / "lake"))
     assert store.commits().count() == 0 and store.head() == 0
@@ -175,7 +209,7 @@ def test_a_reader_opens_two_small_files_however_long_the_history(spark, tmp_path
     store = Store(spark, str(tmp_path / "lake"))
     store.publish({"other": spark.createDataFrame([(0,)], "k long")}, "first")
     for i in range(300):                                    # commits without data: only the log grows
-        store._publish(store.head(), {"t": {"base": None, "appends": [], "deltas": [], "keys": []}}, [], f"r{i}")
+        store._publish(store.head(), {"t": lambda layout, at: {"folders": [], "more": None, "schema": "{}"}}, [], f"r{i}")
     opened = []
     read = S.Files.read
     monkeypatch.setattr(S.Files, "read", lambda self, path: opened.append(path) or read(self, path))
