@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and
 reread as the next stage's documents. All but the last return the columns of ``documents``; rows
 that mixing repeats are packed as often as they occur.
+
+Defined cases: texts that are null or have no letter go with the first stage. Rows without a doc_id, and
+rows that share one, are kept like others (the second stage knows texts by their digest); a null source is a source.
+Further columns of the documents stay through the first three stages, whatever their names. Without
+labelled languages, and for an empty table, every stage returns no rows.
 """
 
 from __future__ import annotations
