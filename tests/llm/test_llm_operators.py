@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import hashlib
 import itertools
 import math
 import random
@@ -10,6 +11,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from ordermill.llm import bagminhash, langid, mixing, packing, preference, sharding, tokenfile, vectors, warc, winnowing
@@ -261,17 +263,14 @@ def test_vectors_without_an_id_link_like_others(spark):
 
 # -- winnowing ----------------------------------------------------------------------------
 
-def marks_reference(codes):
+def plain_marks(text):
+    """(hash, position) of each mark, window by window."""
     k, w = winnowing.GRAM, winnowing.WINDOW
-    if not codes:
+    units = "".join(c for c in text or "" if c not in " \t\n\x0b\f\r")
+    if not units:
         return []
-    runs = [codes[i:i + k] for i in range(len(codes) - k + 1)] if len(codes) >= k else [codes]
-    grams = []
-    for run in runs:
-        v = 0
-        for c in run:
-            v = (v * winnowing.BASE + c) % winnowing.MODULUS
-        grams.append(v)
+    runs = [units[i:i + k] for i in range(len(units) - k + 1)] if len(units) >= k else [units]
+    grams = [xxhash.xxh64_intdigest(run.encode(), 42) & (1 << 31) - 1 for run in runs]
     found = []
     for i in range(max(1, len(grams) - w + 1)):
         at = min(range(i, min(i + w, len(grams))), key=lambda j: (grams[j], -j))
@@ -280,20 +279,50 @@ def marks_reference(codes):
     return found
 
 
+def plain_digests(spark, texts):
+    """The digest of the plain marks of each text."""
+    rows = [(i, [h * (1 << 31) + (1 << 31) - 1 - at for h, at in plain_marks(t)]) for i, t in enumerate(texts)]
+    found = spark.createDataFrame(rows, "i int, m array<bigint>").select("i", winnowing.digest(F.col("m")).alias("d"))
+    return [r["d"] for r in found.orderBy("i").collect()]
+
+
+def plain_likeness(a, b):
+    a, b = {h for h, _ in a}, {h for h, _ in b}
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def marks_of(df):
+    return winnowing.with_marks(df.withColumn("units", winnowing.units(F.col("text"))), m="units")
+
+
 def test_marks_equal_the_plain_algorithm(spark):
     draw = random.Random(4)
     texts = ["", "a", "a b c d", "a b c d e", " ".join("ab"[draw.random() < .5] for _ in range(90)), "same " * 60,
-             " ".join(f"w{draw.randrange(30)}" for _ in range(300)), "漢字かな混じり文 and words\n\tmore", None]
-    df = docs(spark, texts).withColumn("_c", winnowing._codes(F.coalesce("text", F.lit(""))))
-    got = winnowing.with_marks(df, "text", "m").select("_c", winnowing.positions(F.col("m")).alias("m")).collect()
+             " ".join(f"w{draw.randrange(30)}" for _ in range(300)), "漢字かな混じり文 and words\n\tmore", None, "😀a😀b" * 9, "\x0b\f\u00a0x\r y"]
+    got = marks_of(docs(spark, texts)).select("text", winnowing.positions(F.col("m")).alias("m")).collect()
     for r in got:
-        assert [tuple(x) for x in r["m"]] == marks_reference(list(r["_c"]))
+        assert [tuple(x) for x in r["m"]] == plain_marks(r["text"])
     passage = [f"shared{i}" for i in range(winnowing.GRAM + winnowing.WINDOW - 1)]
     pair = [" ".join([f"l{i}" for i in range(50)] + passage), " ".join([f"r{i}" for i in range(77)] + passage + ["end"] * 30)]
-    a, b = winnowing.with_marks(docs(spark, pair), "text", "m").select(winnowing.hashes(F.col("m"))).collect()
+    a, b = marks_of(docs(spark, pair)).select(winnowing.hashes(F.col("m"))).collect()
     assert set(a[0]) & set(b[0])
 
 
+def test_edited_marks_and_likeness_equal_plain_ones_of_the_whole_edited_text(spark):
+    draw = random.Random(11)
+    texts = ["".join(draw.choice(abc) for _ in range(n)) for abc in ("ab", "abcdefgh \n", "a ", "é漢😀 x")
+             for n in (0, 1, 2, 3, 5, 7, 8, 9, 11, 12, 13, 16, 20, 21, 22, 23, 24, 25, 30, 45, 200)]
+    draw.shuffle(texts)
+    got = {r["doc_id"]: r for r in winnowing.edited_fingerprints(docs(spark, texts)).collect()}
+    edits = [t[:len(t) - len(t) // 3] + texts[i - 1][:len(t) // 3] for i, t in enumerate(texts)]
+    own_digests, edited_digests = plain_digests(spark, texts), plain_digests(spark, edits)
+    for i, t in enumerate(texts):
+        own, edited, other = plain_marks(t), plain_marks(edits[i]), plain_marks(texts[i - 1])
+        assert got[i]["fingerprint"] == own_digests[i] and got[i]["edited_fingerprint"] == edited_digests[i], (i, t)
+        assert abs(got[i]["near_edited"] - plain_likeness(own, edited)) < 1e-12
+        assert abs(got[i]["near_next"] - plain_likeness(own, other)) < 1e-12
+
+
 def test_edited_fingerprints(spark):
     texts = ["one two three four five six seven eight nine ten " * 4, None, "", "é漢😀 tail of a text", "a", "zz top " * 20]
     df = docs(spark, texts).withColumn("marks", F.lit(0))
@@ -302,7 +331,6 @@ def test_edited_fingerprints(spark):
         t, other = t or "", texts[i - 1] or ""
         cut = len(t) // 3
         edited = t[:len(t) - cut] + other[:cut]
-        import hashlib
         assert got[i]["n_chars"] == len(t)
         assert got[i]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
         if edited == t:
@@ -326,7 +354,7 @@ def test_short_and_unspaced_texts_leave_common_marks(spark):
     for first, many in ((97, 26), (0xE01, 46), (0x1780, 36), (0x4E00, 900)):     # a passage inside one unspaced run
         passage = letters(winnowing.GRAM + winnowing.WINDOW - 1, first, many)
         pair = [letters(33, first, many) + passage + letters(9, first, many), letters(14, first, many) + passage]
-        a, b = winnowing.with_marks(docs(spark, pair), "text", "m").select(winnowing.hashes(F.col("m"))).collect()
+        a, b = marks_of(docs(spark, pair)).select(winnowing.hashes(F.col("m"))).collect()
         assert set(a[0]) & set(b[0])
 
 
@@ -410,6 +438,34 @@ def test_blocks_round_trip_and_decode_alone():
         tokenfile.Block(b"nope" + payload[4:])
 
 
+def apart(symbols):
+    """How often each adjacent pair stands in a list without overlapping itself."""
+    found, since = collections.Counter(), {}
+    for i, p in enumerate(zip(symbols, symbols[1:])):
+        if since.get(p, -2) < i - 1:
+            found[p] += 1
+            since[p] = i
+    return found
+
+
+def test_the_grammar_ends_when_no_pair_inside_documents_occurs_twice():
+    draw = np.random.default_rng(4)
+    copies = [np.append(draw.integers(0, 50, 200), 2)] * 60
+    for docs_ in (copies, [draw.integers(0, 9, n) for n in (500, 1, 40, 800)], [np.full(777, 7), np.array([7, 7, 1, 7, 7])]):
+        last = np.zeros(sum(map(len, docs_)), bool)
+        last[np.cumsum([len(d) for d in docs_]) - 1] = True
+        symbols, ends, rules = tokenfile.compress(np.concatenate(docs_), last, 60)
+        cuts = np.flatnonzero(ends) + 1
+        left = collections.Counter()
+        for part in np.split(symbols, cuts[:-1]):
+            left.update(apart(part.tolist()))
+        assert len(cuts) == len(docs_) and max(left.values(), default=1) == 1
+        used = collections.Counter(rules.ravel().tolist()) + collections.Counter(symbols.tolist())
+        assert all(used[60 + i] >= 1 for i in range(len(rules)))
+        if docs_ is copies:
+            assert len(symbols) == len(copies)             # one symbol a copy
+
+
 def test_token_files_of_awkward_documents(spark, encoder, tmp_path):
     texts = ["b a", None, "", "x " * 4000, "same", "same"]
     df = docs(spark, texts).unionAll(docs(spark, ["again"], 4)).withColumn("part", F.lit("clash"))
@@ -614,3 +670,36 @@ def test_documents_are_packed_whole(spark, encoder):
     assert packing.pack_documents(df.limit(0), 64).count() == 0
     with pytest.raises(ValueError):
         packing.pack(spark.createDataFrame([(1, 65)], "doc_id long, length long"), 64, ["doc_id"])
+
+
+# -- names of the input that the operators use themselves; many languages ------------------------------
+
+def test_clashing_columns_stay(spark, small):
+    names = ["_source", "_cdf", "_u", "_copies", "_place", "_p", "_key", "_row", "row", "found", "key", "of", "cdf", "u", "copies",
+             "place", "a.b", "same", "n", "w"]
+    df = small.withColumns({c: F.concat(F.lit(c), F.col("doc_id")) for c in names})
+    for out in (mixing.mix(df), langid.accepted(df), bagminhash.deduplicated(df)):
+        got = out.select(df.columns if "a.b" not in df.columns else [F.col(f"`{c}`") for c in df.columns]).collect()
+        assert got and all(r[c] == f"{c}{r['doc_id']}" for r in got for c in names)
+        assert out.columns[:len(df.columns)] == df.columns
+
+
+def test_more_languages_than_a_block(spark, small, monkeypatch):
+    want = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.identify(small).collect()}
+    monkeypatch.setattr(langid, "LANGUAGES", 1)
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.identify(small).collect()}
+    assert got == want
+
+
+def test_texts_in_an_unlearned_language_are_rejected_and_short_clean_ones_stay(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(*small_columns)
+    foreign = ["Wszyscy ludzie rodza sie wolni i rowni pod wzgledem swej godnosci i swych praw sa oni obdarzeni rozumem i sumieniem",
+               "Kaikki ihmiset syntyvat vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu jarki ja omatunto",
+               "zxqv wkjq xzzy qqwv kxjz vvkq zzxj wqkz jxqv kkzw xvqj zwkx"]
+    more = spark.createDataFrame([(10 ** 6 + i, t, None, "s", len(t)) for i, t in enumerate(foreign)], DOCS)
+    kept = {r["doc_id"] for r in langid.accepted(rows.unionAll(more)).select("doc_id").collect()}
+    assert not kept & {10 ** 6 + i for i in range(len(foreign))}
+    assert len(kept) >= 0.995 * rows.count()
+
+
+small_columns = ["doc_id", "text", "lang", "source", "n_chars"]
