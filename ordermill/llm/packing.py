@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.llm.common import key_bits, stored, with_rank
-from ordermill.llm.tokens import default_vocabulary, encoder
+from ordermill.llm.tokens import encoder
 
 #: Undominated fillings tried at a node, fillings generated to find them, and nodes of the whole
 #: search: after these the incumbent stands (it is always a whole, valid packing).
@@ -206,7 +206,7 @@ def pack(pieces: DataFrame, capacity: int, key: list[str]) -> DataFrame:
     return ranked.withColumn("_at", lay("length", "_rank")).select(*pieces.columns, "_at.sequence_id", "_at.offset")
 
 
-def cut(docs: DataFrame, capacity: int, vocabulary: str, end_id: int = 0) -> DataFrame:
+def cut(docs: DataFrame, capacity: int, vocabulary: str | None, end_id: int = 0) -> DataFrame:
     """Token pieces of whole texts: doc_id, piece, start, length, ids_crc32 (no ids leave the task)."""
     def run(batches):
         own = encoder(vocabulary)
@@ -228,5 +228,5 @@ def cut(docs: DataFrame, capacity: int, vocabulary: str, end_id: int = 0) -> Dat
 
 def pack_documents(docs: DataFrame, capacity: int = 2048, vocabulary: str | None = None) -> DataFrame:
     """All documents in as few sequences of at most ``capacity`` tokens as the search finds; one row per piece."""
-    pieces = stored(cut(docs, capacity, vocabulary or default_vocabulary()), "pieces")
+    pieces = stored(cut(docs, capacity, vocabulary), "pieces")
     return pack(pieces, capacity, ["doc_id", "piece", "ids_crc32"])

@@ -1,13 +1,16 @@
 """Token files compressed by Re-Pair: frequent id pairs become nonterminals of a grammar per block.
 
-A block holds the ids of whole documents in key order. In rounds, the most frequent adjacent pairs
-inside documents are replaced by new symbols, left to right and without overlap. A block stores
-its rules, the expansion length of each rule and the symbol at which each document ends, so any
-document decodes alone from its own symbols.
-
-Payload layout, little-endian: 4 bytes ``RPR1``; unsigned 32-bit terminals, rules, documents,
-symbols and symbol width (2 or 4 bytes); the rules as symbol pairs; unsigned 32-bit expansion
-lengths of the rules; unsigned 32-bit end symbol of each document; the symbols.
+A block holds the ids of whole documents in key order. The places of every pair inside documents are
+listed once; in rounds, the most frequent pairs (down to half of the best) are replaced by new symbols,
+where two of them overlap the more frequent one first. Only pairs next to a replacement change, and all
+pairs that arise hold a new symbol, so a round costs what it replaces. Rounds go on until no pair
+inside documents occurs twice without overlap. A block stores its rules, the expansion length of each
+rule and the symbol at which each document ends, so any document decodes alone from its own symbols.
+
+Payload layout, little-endian: 4 bytes ``RPR2``; unsigned 32-bit terminals, rules, documents,
+symbols and bytes of a symbol (2, 3 or 4); left and right symbols of the rules; unsigned 32-bit
+expansion lengths of the rules; unsigned 32-bit end symbol of each document; the symbols. Symbols are
+stored by byte: the lowest bytes of all, then the next ones, so that general compression finds them alike.
 """
 
 from __future__ import annotations
@@ -21,60 +24,131 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ordermill.llm.tokens import default_vocabulary, encoder
+from ordermill.llm.tokens import TEXTS_ABREAST, encoder, ranges
 
-#: Rounds of replacement, rules of a round, occurrences that a pair needs, ids after which a block ends.
-ROUNDS, ROUND_RULES, LEAST, BLOCK_IDS = 4, 4000, 4, 1 << 20
-MAGIC = b"RPR1"
-SLOT_BITS = 20
+#: Occurrences that a pair needs, ids after which a block ends, bits of a symbol in a pair's key.
+LEAST, BLOCK_IDS, SYMBOL_BITS = 2, 1 << 17, 24
+MAGIC = b"RPR2"
 FILE_SCHEMA = "part int, block int, doc_ids array<long>, n_tokens long, payload binary"
 READ_SCHEMA = "part int, block int, doc_id long, inside long, n_tokens long, ids_crc32 long"
 
 
-def slots(pair: np.ndarray) -> np.ndarray:
-    """A slot of a small table for each pair, by multiplicative hashing."""
-    return (pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First place and length of each run of equal keys."""
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    return first, np.diff(np.append(first, len(keys)))
+
+
+class Sequence:
+    """A block's symbols as a linked list, with the places of every pair that occurs LEAST times."""
+
+    def __init__(self, ids: np.ndarray, last: np.ndarray):
+        n = len(ids)
+        kind = np.int32 if n < 1 << 29 else np.int64       # small numbers keep a block in the processor's cache
+        self.symbol = ids.astype(np.int32)
+        self.after, self.before = np.arange(1, n + 1, dtype=kind), np.arange(-1, n - 1, dtype=kind)      # -1: none in this document
+        self.after[last] = -1
+        self.before[np.append(0, np.flatnonzero(last)[:-1] + 1)] = -1
+        self.alive = np.ones(n, bool)
+        self.pair = np.full(n, -1, kind)                  # number of the pair that begins at each place
+        self.mark = np.zeros(n + 1, kind)                 # scratch by place; what it holds for place -1 stays 0
+        # of each pair: symbols, occurrences now, and its places when it arose
+        self.left, self.right, self.count, self.begin, self.size = (np.zeros(0, np.int64) for _ in range(5))
+        self.places, self.used = np.zeros(3 * n + 1, kind), 0
+        self.live = np.zeros(0, np.int64)
+        self.enter(np.flatnonzero(self.after >= 0))
+
+    def enter(self, at: np.ndarray) -> None:
+        """Number the pairs that begin at these places; none of them is known yet."""
+        if not len(at):
+            return
+        key = self.symbol[at].astype(np.int64) << SYMBOL_BITS | self.symbol[self.after[at]]
+        bits = len(self.symbol).bit_length()
+        if int(key.max()).bit_length() + bits <= 63:      # one sort of numbers that hold key and place
+            both = np.sort(key << bits | at)
+            key, at = both >> bits, both & ((1 << bits) - 1)
+        else:
+            order = np.argsort(key)
+            key, at = key[order], at[order]
+        first, times = _runs(key)
+        often = times >= LEAST
+        numbers = np.full(len(first), -1)
+        numbers[often] = new = len(self.count) + np.arange(int(often.sum()))
+        self.pair[at] = np.repeat(numbers, times)
+        self.places[self.used:self.used + len(at)] = at
+        key = key[first[often]]
+        for name, more in (("left", key >> SYMBOL_BITS), ("right", key & ((1 << SYMBOL_BITS) - 1)), ("count", times[often]),
+                           ("size", times[often]), ("begin", first[often] + self.used), ("live", new)):
+            setattr(self, name, np.concatenate((getattr(self, name), more)))
+        self.used += len(at)
+
+    def once(self, at: np.ndarray) -> np.ndarray:
+        """Which of these places stand here for the last time."""
+        nth = np.arange(1, len(at) + 1)
+        self.mark[at] = nth
+        out = self.mark[at] == nth
+        self.mark[at] = 0
+        return out
+
+    def chosen(self) -> np.ndarray:
+        """The most frequent pairs, down to half of the best, most frequent first."""
+        count = self.count[self.live]
+        self.live, count = self.live[count >= LEAST], count[count >= LEAST]
+        if not len(count):
+            return count
+        often = count >= max(LEAST, int(count.max()) // 2)
+        return self.live[often][np.argsort(-count[often], kind="stable")]
+
+    def free_places(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places where these pairs can be replaced together, and the pair of each by its position in ``pairs``."""
+        at = self.places[ranges(self.begin[pairs], self.size[pairs])]
+        own = np.repeat(np.arange(len(pairs)), self.size[pairs])
+        still = self.pair[at] == pairs[own]
+        at, own = at[still], own[still]
+        self.mark[at] = len(pairs) - own
+        twins = np.sort(at[(self.left[pairs] == self.right[pairs])[own]])
+        if len(twins):                                     # in a run of one symbol, every second place
+            runs = np.concatenate(([True], self.after[twins[:-1]] != twins[1:]))
+            nth = np.arange(len(twins))
+            self.mark[twins[(nth - np.maximum.accumulate(np.where(runs, nth, 0))) % 2 == 1]] = 0
+        mine = self.mark[at]
+        wins = (mine > self.mark[self.before[at]]) & (mine > self.mark[self.after[at]])
+        self.mark[at] = 0
+        at, own = at[wins], own[wins]
+        often = np.bincount(own, minlength=len(pairs)) >= LEAST
+        if len(pairs) and not often[0]:                    # the best pair loses to none: it only overlaps itself
+            self.count[pairs[0]] = 0
+        return at[often[own]], own[often[own]]
+
+    def replace(self, at: np.ndarray, symbols: np.ndarray) -> None:
+        """Put one symbol for the pair at each of these places."""
+        gone, prior = self.after[at], self.before[at]
+        hit = np.concatenate((at, gone, prior[prior >= 0]))
+        ended = self.pair[hit][self.once(hit)]
+        self.count -= np.bincount(ended[ended >= 0], minlength=len(self.count))
+        self.pair[hit] = -1
+        self.symbol[at] = symbols
+        self.alive[gone] = False
+        following = self.after[gone]
+        self.after[at] = following
+        self.before[following[following >= 0]] = at[following >= 0]
+        prior = self.before[at]
+        hit = np.concatenate((at, prior[prior >= 0]))
+        hit = hit[self.once(hit)]
+        self.enter(hit[self.after[hit] >= 0])
 
 
 def compress(seq: np.ndarray, last: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, their end-of-document marks and the rules (n, 2) of a block's ids."""
-    seq, rules, top = seq.astype(np.uint32), [], terminals
-    for _ in range(ROUNDS):
-        room = min(ROUND_RULES, (1 << 16) - top if top < 1 << 16 else ROUND_RULES)
-        if len(seq) < 2 or room < 1:
-            break
-        wide = top >= 1 << 16
-        pair = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:] if wide else seq[:-1] << np.uint32(16) | seq[1:]
-        inside = ~last[:-1]
-        ordered = np.sort(pair[inside])
-        if not len(ordered):
-            break
-        starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-        times = np.diff(np.append(starts, len(ordered)))
-        often = np.flatnonzero(times >= LEAST)
-        if len(often) > room:
-            often = often[np.argsort(-times[often], kind="stable")[:room]]
-        if not len(often):
-            break
-        chosen = ordered[starts[often]]
-        _, free = np.unique(slots(chosen), return_index=True)   # of pairs in one slot, the others wait a round
-        chosen = chosen[np.sort(free)]
-        table = np.zeros(1 << SLOT_BITS, np.uint16)
-        table[slots(chosen)] = np.arange(len(chosen))
-        at = table[slots(pair)]
-        where = np.flatnonzero(inside & (chosen[at] == pair))
-        run = np.concatenate(([True], np.diff(where) != 1))
-        nth = np.arange(len(where)) - np.maximum.accumulate(np.where(run, np.arange(len(where)), 0))
-        where = where[nth % 2 == 0]
-        seq[where] = (top + at[where].astype(np.int64)).astype(np.uint32)
-        last[where] = last[where + 1]
-        keep = np.ones(len(seq), bool)
-        keep[where + 1] = False
-        seq, last = seq[keep], last[keep]
-        shift = np.uint64(32) if wide else np.uint32(16)
-        rules.append(np.stack([chosen >> shift, chosen & type(shift)((1 << int(shift)) - 1)], 1).astype(np.uint32))
-        top += len(chosen)
-    return seq, last, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
+    state, rules, top = Sequence(seq, last), [np.zeros((0, 2), np.int64)], terminals
+    while len(pairs := state.chosen()):
+        at, own = state.free_places(pairs)
+        if len(at):
+            used, own = np.unique(own, return_inverse=True)
+            rules.append(np.stack([state.left[pairs[used]], state.right[pairs[used]]], 1))
+            state.replace(at, top + own)
+            top += len(used)
+    return state.symbol[state.alive], state.after[state.alive] < 0, np.concatenate(rules)
 
 
 def lengths_of(rules: np.ndarray, terminals: int) -> np.ndarray:
@@ -90,17 +164,22 @@ def lengths_of(rules: np.ndarray, terminals: int) -> np.ndarray:
     return out
 
 
+def planes(symbols: np.ndarray, width: int) -> bytes:
+    """Symbols by byte, the lowest first."""
+    return symbols.astype("<u4").reshape(-1, 1).view(np.uint8)[:, :width].T.tobytes()
+
+
 def dump(docs: list[np.ndarray], terminals: int) -> bytes:
     """The payload of a block of documents (each with at least one id)."""
     sizes = np.array([len(d) for d in docs])
     last = np.zeros(sizes.sum(), bool)
     last[np.cumsum(sizes) - 1] = True
     seq, last, rules = compress(np.concatenate(docs), last, terminals)
-    width = 2 if terminals + len(rules) <= 1 << 16 else 4
+    width = next(w for w in (2, 3, 4) if terminals + len(rules) <= 1 << 8 * w)
     head = struct.pack("<4s5I", MAGIC, terminals, len(rules), len(docs), len(seq), width)
     ends = (np.flatnonzero(last) + 1).astype("<u4")
-    return b"".join([head, rules.astype(f"<u{width}").tobytes(), lengths_of(rules, terminals).astype("<u4").tobytes(),
-                     ends.tobytes(), seq.astype(f"<u{width}").tobytes()])
+    return b"".join([head, planes(rules[:, 0], width), planes(rules[:, 1], width), lengths_of(rules, terminals).astype("<u4").tobytes(),
+                     ends.tobytes(), planes(seq, width)])
 
 
 class Block:
@@ -118,10 +197,15 @@ class Block:
             at += out.nbytes
             return out
 
-        self.rules = read(2 * n_rules, f"<u{w}").reshape(-1, 2).astype(np.int64)
+        def symbols(count: int) -> np.ndarray:
+            out = np.zeros((count, 4), np.uint8)
+            out[:, :w] = read(count * w, np.uint8).reshape(w, count).T
+            return out.view("<u4").ravel().astype(np.int64)
+
+        self.rules = np.stack([symbols(n_rules), symbols(n_rules)], 1)
         self.sizes = np.concatenate([np.ones(self.terminals, np.int64), read(n_rules, "<u4").astype(np.int64)])
         self.ends = read(self.docs, "<u4").astype(np.int64)
-        self.symbols = read(n, f"<u{w}")
+        self.symbols = symbols(n)
         self._flat: np.ndarray | None = None
 
     def _expansions(self) -> tuple[np.ndarray, np.ndarray]:
@@ -156,12 +240,6 @@ class Block:
         return self._expand(self.symbols), np.cumsum(self.sizes[self.symbols])[self.ends - 1]
 
 
-def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """start, start + 1, ... for each of the runs, one after another."""
-    ends = np.cumsum(sizes)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
-
-
 def write(docs: DataFrame, path: str, vocabulary: str | None = None, end_id: int = 2) -> None:
     """Write the ids of whole texts (null: empty), each with the end id, in ascending doc_id order.
 
@@ -169,8 +247,6 @@ def write(docs: DataFrame, path: str, vocabulary: str | None = None, end_id: int
     committer publishes them, so a lost task writes its part again. Repeated doc_ids stand next
     to each other; a null doc_id comes first. An empty table writes no block.
     """
-    vocabulary = vocabulary or default_vocabulary()
-
     def run(batches):
         own = encoder(vocabulary)
         terminals = own.library.get_vocab_size()
@@ -185,8 +261,8 @@ def write(docs: DataFrame, path: str, vocabulary: str | None = None, end_id: int
 
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for at in range(0, len(ids), 256):
-                for key, found in zip(ids[at:at + 256], own.encode(texts[at:at + 256])):
+            for at in range(0, len(ids), TEXTS_ABREAST):
+                for key, found in zip(ids[at:at + TEXTS_ABREAST], own.encode(texts[at:at + TEXTS_ABREAST])):
                     keys.append(key)
                     held.append(np.concatenate([found, end]))
                     size += len(found) + 1

@@ -1,8 +1,9 @@
 """Token ids of whole texts by the tokenizers library, and how a task reaches them.
 
 The vocabulary lower-cases, drops white space and never joins tokens across it or from letters to
-marks, so a text's ids are the ids of its pieces in order. Each piece is encoded by the library
-once and remembered (a bounded memo in two generations), because prose repeats its words.
+marks, so a text's ids are the ids of its pieces in order. Arrow cuts texts into pieces and numbers
+them; each different piece is encoded by the library once and remembered (a bounded memo in two
+generations), because prose repeats its words.
 """
 
 from __future__ import annotations
@@ -13,11 +14,19 @@ import types
 import unicodedata
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Pieces remembered per worker in one of two generations (about 200 bytes each).
-MEMO_PIECES = 500_000
+#: Texts cut at a time; pieces remembered per worker in one of two generations (about 200 bytes each).
+TEXTS_ABREAST, MEMO_PIECES = 1024, 500_000
 #: Fixed value: a control character that the vocabulary encodes as one id of its own between spaces.
 MARK = "\x01"
+#: Characters below are their own composed form; letters of the Latin script.
+LATIN_END = "\u0250"
+#: Byte-level vocabularies spell bytes that are printable in Latin-1 as themselves, the others from 256 on.
+BYTE_CHARACTERS = [chr(b) for b in range(256)]
+for _n, _b in enumerate([*range(33), *range(127, 161), 173]):
+    BYTE_CHARACTERS[_b] = chr(256 + _n)
 #: Between a letter and a mark: there the vocabulary cuts anyway (a mark after another mark stays with it).
 BEHIND = re.compile(r"(?<=[^\W\d_])(?=[.,;:!?])")
 
@@ -58,6 +67,12 @@ class Encoder:
         """Encode pieces many at a time: words by their end-of-word ids, others between marks."""
         words = [p for p in pieces if p.isalpha()]
         others = [p for p in pieces if not p.isalpha()]
+        tokenize, spell = self.library.model.tokenize, BYTE_CHARACTERS.__getitem__
+        for p in words:
+            if p.islower() and max(p) < LATIN_END:        # what the vocabulary's cutting and lower case would leave as it is
+                spelt = p if p.isascii() else "".join(map(spell, p.encode()))
+                self.memo[p] = np.array([t.id for t in tokenize(spelt)], self.kind).tobytes()
+        words = [p for p in words if p not in self.memo]
         for at in range(0, len(words), 4096):
             part = words[at:at + 4096]
             ids = np.array(self._ids([" ".join(part)])[0], self.kind)
@@ -75,45 +90,70 @@ class Encoder:
         for p, ids in zip(alone, self._ids(alone) if alone else []):
             self.memo[p] = np.array(ids, self.kind).tobytes()
 
-    def _pieces(self, text: str | None) -> list[str]:
-        """Pieces whose ids, one after another, are the text's: words in lower case, marks behind them apart."""
-        text = (text or "").replace("\n", " ")
-        low = text.lower()
+    def _plain(self, low: str, text: str) -> bool:
+        """Whether ``text`` may be lower-cased, and cut between letters and marks, without a change of its ids."""
         # only where a letter stays one letter, so that no accent of its own joins the marks
         if len(low) != len(text) or "\u03a3" in text or not unicodedata.is_normalized("NFC", text):
-            return text.split(" ")
+            return False
         # added tokens are found in the text as it is: other cases of one are plain text
-        if any(t in low for t in self.added):
-            return text.split(" ")
-        return BEHIND.sub(" ", low).split(" ")
-
-    def _complete(self, wanted: set[str]) -> None:
-        """Every wanted piece into the memo: those of the last generation are taken over, others encoded."""
-        missing = wanted.difference(self.memo)
-        if len(self.memo) + len(missing) > MEMO_PIECES:
+        return not any(t in low for t in self.added)
+
+    def _spaced(self, text: str | None) -> tuple[str, bool]:
+        """A text with the same ids whose pieces stand between spaces, and whether it could be put in lower case."""
+        text = (text or "").replace("\n", " ")
+        low = text.lower()
+        return (low, True) if self._plain(low, text) else (text, False)
+
+    def _parts(self, piece: str, plain: bool) -> list[str]:
+        """A piece cut where its marks follow letters."""
+        if piece.isalpha():
+            return [piece]
+        parts = BEHIND.sub(" ", piece).split(" ")
+        return parts if len(parts) == 1 or plain or self._plain(piece.lower(), piece) else [piece]
+
+    def _encoded(self, missing: list[str], plain: bool) -> dict[str, bytes]:
+        """Ids of pieces that the memo lacks, by their parts, which it holds from now on."""
+        cut = {p: self._parts(p, plain) for p in missing}
+        wanted = {q for parts in cut.values() for q in parts}
+        if len(self.memo) + len(wanted) > MEMO_PIECES:
             self.memo, self.last = {}, self.memo
-            missing = wanted
-        memo, last, fresh = self.memo, self.last, []
-        for p in missing:
-            if p in last:
-                memo[p] = last[p]
-            else:
-                fresh.append(p)
-        if fresh:
-            self._learn(fresh)
+        wanted.difference_update(self.memo)
+        for q in wanted.intersection(self.last):
+            self.memo[q] = self.last[q]
+        self._learn(sorted(wanted.difference(self.memo)))
+        return {p: b"".join([self.memo[q] for q in parts]) for p, parts in cut.items()}
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        found = []
-        for at in range(0, len(texts), 64):
-            part = [self._pieces(t) for t in texts[at:at + 64]]
-            self._complete(set().union(*part))
-            get = self.memo.__getitem__
-            found += [np.frombuffer(b"".join(map(get, p)), self.kind) for p in part]
+        found: list[np.ndarray] = []
+        for at in range(0, len(texts), TEXTS_ABREAST):
+            part, plain = zip(*map(self._spaced, texts[at:at + TEXTS_ABREAST]))
+            pieces = pc.split_pattern(pa.array(part, pa.large_string()), " ")
+            numbered = pieces.flatten().dictionary_encode()
+            words = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+            ids = list(map(self.memo.get, words))
+            missing = [w for w, known in zip(words, ids) if known is None]
+            if missing:
+                more = self._encoded(missing, all(plain))
+                ids = [more[w] if known is None else known for w, known in zip(words, ids)]
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.kind.itemsize
+            starts = np.cumsum(sizes) - sizes
+            which = numbered.indices.to_numpy()
+            sizes = sizes[which]
+            whole = np.frombuffer(b"".join(ids), self.kind)[ranges(starts[which], sizes)]
+            ends = np.concatenate(([0], np.cumsum(sizes)))[pieces.offsets.to_numpy()]
+            found += [whole[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
         return found
 
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder for a vocabulary file; kept for the life of the Python worker."""
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... for each of the runs, one after another."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
+
+
+def encoder(path: str | None = None) -> Encoder:
+    """The worker's encoder for a vocabulary file (default: where this worker has it); kept for the worker's life."""
+    path = path or default_vocabulary()
     kept = sys.modules.setdefault("_llm_worker_kept", types.ModuleType("_llm_worker_kept"))
     found = kept.__dict__.setdefault("encoders", {})
     if path not in found:
