@@ -28,7 +28,7 @@ PROFILE = 300
 #: Languages of a block of profiles.
 LANGUAGES = 1000
 #: A text is like no learned language if its score is below MARGIN of the score that all but one in RARE training rows reach.
-RARE, MARGIN, STEPS = 100, 0.75, 1000
+RARE, MARGIN, STEPS = 100, 0.65, 1000
 
 
 def letters() -> np.ndarray:
