@@ -25,6 +25,8 @@ from ordermill.llm.common import stored, whole_row
 
 #: N-grams of a profile.
 PROFILE = 300
+#: Texts counted at a time.
+TEXTS_ABREAST = 256
 #: Languages of a block of profiles.
 LANGUAGES = 1000
 #: A text is like no learned language if its score is below MARGIN of the score that all but one in RARE training rows reach.
@@ -66,13 +68,15 @@ def learn(docs: DataFrame, lang: str = "lang") -> list[dict[str, list[int]]]:
     def count(batches):
         for batch in batches:
             langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            by: dict[str, list] = {}
-            for name, text in zip(langs, texts):
-                by.setdefault(name, []).append(grams(text))
-            for name, found in by.items():
-                codes = np.concatenate([c for c, _ in found])
-                code, at = np.unique(codes, return_inverse=True)
-                n = np.bincount(at, np.concatenate([k for _, k in found]), len(code)).astype(np.int64)
+            known: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+            for at in range(0, len(texts), TEXTS_ABREAST):     # few texts' n-grams at a time
+                by: dict[str, list] = {}
+                for name, text in zip(langs[at:at + TEXTS_ABREAST], texts[at:at + TEXTS_ABREAST]):
+                    by.setdefault(name, [known[name]] if name in known else []).append(grams(text))
+                for name, found in by.items():
+                    code, place = np.unique(np.concatenate([c for c, _ in found]), return_inverse=True)
+                    known[name] = code, np.bincount(place, np.concatenate([k for _, k in found]), len(code)).astype(np.int64)
+            for name, (code, n) in known.items():
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(code), pa.string()), pa.array(code), pa.array(n)],
                                                  ["lang", "code", "n"])
 
