@@ -32,6 +32,7 @@ from ordermill.operators.rules import MALFORMED
 from ordermill.plans.buckets import bucket_of, touched
 from ordermill.plans.observed import counted_write
 from ordermill.schema import ORDER_COLUMNS
+from ordermill.session import write_folders
 from ordermill.sources.files import resolve_uri
 
 COMMIT_SCHEMA = "seq bigint, run_id string, table string, path string, committed_at timestamp, operation string, keys string"
@@ -65,6 +66,12 @@ class Files:
         p = self._at(path)
         return p.getFileSystem(self.conf).exists(p)
 
+    def numbers(self, path: str, prefix: str) -> list[int]:
+        """The numbers after ``prefix`` in the names in a folder, ascending."""
+        p = self._at(path)
+        names = [s.getPath().getName() for s in p.getFileSystem(self.conf).listStatus(p)]
+        return sorted(int(x[len(prefix):]) for x in names if x.startswith(prefix))
+
     def read(self, path: str) -> str:
         p = self._at(path)
         stream = p.getFileSystem(self.conf).open(p)
@@ -208,15 +215,19 @@ class Store:
         if layout is None:
             if schema is None:
                 raise FileNotFoundError(f"table {table!r} has no committed version")
-            return self.spark.createDataFrame([], schema)
+            return self._none(schema)
         return self._read(table, layout)
 
+    def _none(self, schema: T.StructType | str) -> DataFrame:
+        """An empty frame that Spark's optimizer knows to be empty: a first load then joins with nothing and moves no rows for it."""
+        return self.spark.createDataFrame([], schema).limit(0)
+
     def _read(self, table: str, layout: dict, only: Sequence[int] | None = None) -> DataFrame:
         if only is not None:
             layout = {**layout, "buckets": {b: f for b, f in layout["buckets"].items() if int(b) in set(only)}}
         stored, paths = T.StructType.fromJson(json.loads(layout["schema"])), self._folders(layout)
         if not paths:
-            return self.spark.createDataFrame([], stored)
+            return self._none(stored)
         # the folders are read as partitions of one table, so those partitioned further go into one scan
         rows = self.spark.read.schema(stored).option("basePath", f"{self.root}/{table}").parquet(*paths)
         return rows.select(*stored.fieldNames())
@@ -273,8 +284,10 @@ class Store:
                 by = partition_by.get(table)
 
                 def write(rows: DataFrame, path=path, by=by) -> None:
-                    # each folder's rows in few files
-                    (rows.repartition(*by).write.partitionBy(*by) if by else rows.write).parquet(path)
+                    if by:                         # each folder's rows in few files; a large folder is dealt over several tasks
+                        write_folders(rows.hint("rebalance", *[F.col(c) for c in by]), by, path)
+                    else:
+                        rows.write.parquet(path)
 
                 done.rows[table] = counted_write(df, write)["rows"]
                 edits[table] = self._append(table, path, df.schema) if table in appends else self._replace(path, df.schema)
@@ -298,20 +311,29 @@ class Store:
         return edit
 
     def _write_buckets(self, table: str, changes: DataFrame, keys: list[str], layout: dict | None, done: Published):
-        """Change rows are written once; then the buckets they touch are written with them in place."""
+        """A new keyed table goes straight into its buckets. Change rows of a stored one are written once; then the
+        buckets they touch are written with them in place. No row is moved for its bucket: a task writes to all."""
         if layout is not None and "buckets" not in layout:
             raise ValueError(f"table {table!r} is not keyed: rebuild it with its keys first")
         if layout is None:
             layout = {"keys": keys, "n": self.buckets, "buckets": {}, "schema": changes.schema.json()}
-        work = f"{self.root}/_work/{uuid.uuid4().hex}"
-        done.rows[table] = counted_write(changes, lambda df: df.write.parquet(work))["rows"]
+        bucket, path = bucket_of(keys, layout["n"]), self._folder(table)
         done.paths[table] = None
-        if done.rows[table]:
-            stored = self.spark.read.schema(changes.schema).parquet(work)
-            hit = touched(stored, keys, layout["n"])
-            after = M.apply_changes(self._read(table, layout, hit), stored, keys).withColumn(BUCKET, bucket_of(keys, layout["n"]))
-            path = done.paths[table] = self._folder(table)
-            after.repartition(BUCKET).write.partitionBy(BUCKET).parquet(path)
+        if not layout["buckets"]:
+            write = lambda df: write_folders(df.withColumn(BUCKET, bucket), [BUCKET], path)
+            done.rows[table] = counted_write(changes, write)["rows"]
+            hit = self.files.numbers(path, f"{BUCKET}=") if done.rows[table] else []
+        else:
+            work = f"{self.root}/_work/{uuid.uuid4().hex}"
+            done.rows[table] = counted_write(changes, lambda df: df.write.parquet(work))["rows"]
+            hit = []
+            if done.rows[table]:
+                stored = self.spark.read.schema(changes.schema).parquet(work)
+                hit = touched(stored, keys, layout["n"])
+                after = M.apply_changes(self._read(table, layout, hit), stored, keys)
+                write_folders(after.withColumn(BUCKET, bucket), [BUCKET], path)
+        if hit:
+            done.paths[table] = path
             layout = {**layout, "buckets": {**layout["buckets"], **{str(b): path for b in hit}}}
         return lambda _, at: layout
 

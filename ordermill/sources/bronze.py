@@ -1,4 +1,4 @@
-"""Bronze tables of the derived order feed, written once per session.
+"""Bronze tables of the derived order feed, each written once per session, when a query first asks for it.
 
 Queries read bronze the way a medallion pipeline does: from a stored parquet
 table, not from the derivation expressions (Catalyst would otherwise inline
@@ -14,7 +14,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.session import scratch_path
+from ordermill.session import scratch_path, write_folders
 from ordermill.sources.orderfeed import event_envelope, load_tables, raw_orders
 
 _WRITTEN: dict[tuple, str] = {}
@@ -29,20 +29,21 @@ def _key(spark: SparkSession, sf_dir: str, table: str) -> tuple:
     return (spark.sparkContext.applicationId, fs.makeQualified(path).toString(), stamp, table)
 
 
-def write_bronze(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """Derive and write both bronze tables (always a fresh folder); returns their paths."""
-    root = scratch_path(spark, "bronze", uuid.uuid4().hex)
+def write_bronze(spark: SparkSession, sf_dir: str, table: str) -> str:
+    """Derive and write one bronze table (always a fresh folder) without moving a row; returns its path."""
+    path = scratch_path(spark, "bronze", uuid.uuid4().hex, table)
     (orders,) = load_tables(spark, sf_dir, "orders")
-    raw_path, env_path = f"{root}/raw_orders", f"{root}/event_envelope"
-    raw_orders(orders).repartition("_source_file").write.partitionBy("_source_file").parquet(raw_path)
-    event_envelope(spark.read.parquet(raw_path)).repartition("kafka_offset").write.parquet(env_path)
-    return {"raw_orders": raw_path, "event_envelope": env_path}
+    raw = raw_orders(orders)
+    if table == "raw_orders":
+        write_folders(raw, ["_source_file"], path)
+    else:
+        event_envelope(raw).write.parquet(path)
+    return path
 
 
 def bronze(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """The bronze table (``raw_orders`` or ``event_envelope``) for ``sf_dir``, written on first use."""
     k = _key(spark, sf_dir, table)
     if k not in _WRITTEN:
-        for t, p in write_bronze(spark, sf_dir).items():
-            _WRITTEN[_key(spark, sf_dir, t)] = p
+        _WRITTEN[k] = write_bronze(spark, sf_dir, table)
     return spark.read.parquet(_WRITTEN[k])
