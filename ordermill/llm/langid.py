@@ -132,10 +132,9 @@ def predict(text: Column, profiles: list[dict[str, list[int]]]) -> Column:
                     F.when(best["lang"].isNull(), 0.0).otherwise(1.0 - best["away"]).alias("score"))
 
 
-def least_score(docs: DataFrame, profiles: list[dict[str, list[int]]]) -> float:
-    """The score below which a text is like no learned language, from all training rows that are taken for their own."""
-    found = docs.where("lang is not null").select(F.col("lang").cast("string").alias("lang"), predict(F.col("text"), profiles).alias("p"))
-    own = found.where(F.col("p.lang_pred") == F.col("lang")).select(F.floor(F.col("p.score") * STEPS).cast("int").alias("step"))
+def least_score(scored: DataFrame) -> float:
+    """The score below which a text is like no learned language, from the training rows (lang, found) that are taken for their own."""
+    own = scored.where(F.col("found.lang_pred") == F.col("lang")).select(F.floor(F.col("found.score") * STEPS).cast("int").alias("step"))
     counts = sorted(tuple(r) for r in own.groupBy("step").count().collect())           # STEPS + 1 rows at most
     rows, below = sum(n for _, n in counts), 0
     for step, n in counts:
@@ -158,9 +157,10 @@ def identify(docs: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame) -> DataFrame:
     """The documents that are in a learned language: not ``und`` and not below ``least_score``."""
-    training = docs.where(~held_out(F.col("doc_id")))
-    profiles = learn(training)
-    least = least_score(training, profiles)
-    # the documents travel as one column, so that no name of theirs meets "found"
-    found = docs.select(predict(F.col("text"), profiles).alias("found"), whole_row(docs))
-    return found.where((F.col("found.lang_pred") != "und") & (F.col("found.score") >= least)).select("row.*")
+    training = ~held_out(F.col("doc_id"))
+    profiles = learn(docs.where(training))
+    # every text is scored once; the documents travel as one column, so that no name of theirs meets "found"
+    scored = stored(docs.select(predict(F.col("text"), profiles).alias("found"), training.alias("training"),
+                                F.col("lang").cast("string").alias("lang"), whole_row(docs)), "scored")
+    least = least_score(scored.where("training"))
+    return scored.where((F.col("found.lang_pred") != "und") & (F.col("found.score") >= least)).select("row.*")
