@@ -52,43 +52,45 @@ class Sequence:
         self.alive = np.ones(n, bool)
         self.pair = np.full(n, -1, kind)                  # number of the pair that begins at each place
         self.mark = np.zeros(n + 1, kind)                 # scratch by place; what it holds for place -1 stays 0
-        # of each pair: symbols, occurrences now, and its places when it arose
-        self.left, self.right, self.count, self.begin, self.size = (np.zeros(0, np.int64) for _ in range(5))
         self.places, self.used = np.zeros(3 * n + 1, kind), 0
-        self.live = np.zeros(0, np.int64)
+        # of each pair: symbols, occurrences now, and its places when it arose; filled up to the number of pairs
+        room = len(self.places) // LEAST
+        self.left, self.right, self.count, self.begin, self.size = (np.zeros(room, np.int64) for _ in range(5))
+        self.pairs, self.live = 0, np.zeros(0, np.int64)
         self.enter(np.flatnonzero(self.after >= 0))
 
     def enter(self, at: np.ndarray) -> None:
-        """Number the pairs that begin at these places; none of them is known yet."""
-        if not len(at):
-            return
+        """Number the pairs that begin at these places and occur LEAST times; none of them is known yet."""
         key = self.symbol[at].astype(np.int64) << SYMBOL_BITS | self.symbol[self.after[at]]
         bits = len(self.symbol).bit_length()
-        if int(key.max()).bit_length() + bits <= 63:      # one sort of numbers that hold key and place
+        if len(key) and int(key.max()).bit_length() + bits <= 63:      # one sort of numbers that hold key and place
             both = np.sort(key << bits | at)
-            key, at = both >> bits, both & ((1 << bits) - 1)
+            key = both >> bits
+            again = key[1:] == key[:-1]
+            keep = np.append(again, False)
+            keep[1:] |= again                              # most pairs that arise late occur once
+            key, at = key[keep], both[keep] & ((1 << bits) - 1)
         else:
             order = np.argsort(key)
             key, at = key[order], at[order]
+        if not len(key):
+            return
         first, times = _runs(key)
-        often = times >= LEAST
-        numbers = np.full(len(first), -1)
-        numbers[often] = new = len(self.count) + np.arange(int(often.sum()))
+        if int(times.min()) < LEAST:
+            often = times >= LEAST
+            keep = np.repeat(often, times)
+            at, key, times = at[keep], key[first[often]], times[often]
+        else:
+            key = key[first]
+        new = slice(self.pairs, self.pairs + len(key))
+        numbers = np.arange(new.start, new.stop)
         self.pair[at] = np.repeat(numbers, times)
         self.places[self.used:self.used + len(at)] = at
-        key = key[first[often]]
-        for name, more in (("left", key >> SYMBOL_BITS), ("right", key & ((1 << SYMBOL_BITS) - 1)), ("count", times[often]),
-                           ("size", times[often]), ("begin", first[often] + self.used), ("live", new)):
-            setattr(self, name, np.concatenate((getattr(self, name), more)))
-        self.used += len(at)
-
-    def once(self, at: np.ndarray) -> np.ndarray:
-        """Which of these places stand here for the last time."""
-        nth = np.arange(1, len(at) + 1)
-        self.mark[at] = nth
-        out = self.mark[at] == nth
-        self.mark[at] = 0
-        return out
+        self.left[new], self.right[new] = key >> SYMBOL_BITS, key & ((1 << SYMBOL_BITS) - 1)
+        self.count[new] = self.size[new] = times
+        self.begin[new] = np.cumsum(times) - times + self.used
+        self.live = np.concatenate((self.live, numbers))
+        self.pairs, self.used = new.stop, self.used + len(at)
 
     def chosen(self) -> np.ndarray:
         """The most frequent pairs, down to half of the best, most frequent first."""
@@ -101,13 +103,13 @@ class Sequence:
 
     def free_places(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places where these pairs can be replaced together, and the pair of each by its position in ``pairs``."""
-        at = self.places[ranges(self.begin[pairs], self.size[pairs])]
+        at = self.places[ranges(self.begin[pairs], self.size[pairs])].astype(np.intp)
         own = np.repeat(np.arange(len(pairs)), self.size[pairs])
         still = self.pair[at] == pairs[own]
         at, own = at[still], own[still]
         self.mark[at] = len(pairs) - own
-        twins = np.sort(at[(self.left[pairs] == self.right[pairs])[own]])
-        if len(twins):                                     # in a run of one symbol, every second place
+        alike = self.left[pairs] == self.right[pairs]
+        if alike.any() and len(twins := np.sort(at[alike[own]])):          # in a run of one symbol, every second place
             runs = np.concatenate(([True], self.after[twins[:-1]] != twins[1:]))
             nth = np.arange(len(twins))
             self.mark[twins[(nth - np.maximum.accumulate(np.where(runs, nth, 0))) % 2 == 1]] = 0
@@ -120,22 +122,24 @@ class Sequence:
             self.count[pairs[0]] = 0
         return at[often[own]], own[often[own]]
 
-    def replace(self, at: np.ndarray, symbols: np.ndarray) -> None:
-        """Put one symbol for the pair at each of these places."""
+    def replace(self, at: np.ndarray, symbols: np.ndarray, top: int) -> None:
+        """Put one symbol (``top`` or more, not in use yet) for the pair at each of these places."""
         gone, prior = self.after[at], self.before[at]
-        hit = np.concatenate((at, gone, prior[prior >= 0]))
-        ended = self.pair[hit][self.once(hit)]
-        self.count -= np.bincount(ended[ended >= 0], minlength=len(self.count))
+        self.alive[gone] = False
+        prior = prior[prior >= 0]
+        prior = prior[self.alive[prior]]                   # else it is the second of a pair beside, and counted there
+        hit = np.concatenate((at, gone, prior))
+        ended = self.pair[hit]
+        self.count[:self.pairs] -= np.bincount(ended[ended >= 0], minlength=self.pairs)
         self.pair[hit] = -1
         self.symbol[at] = symbols
-        self.alive[gone] = False
         following = self.after[gone]
         self.after[at] = following
-        self.before[following[following >= 0]] = at[following >= 0]
+        more = following >= 0
+        self.before[following[more]] = at[more]
         prior = self.before[at]
-        hit = np.concatenate((at, prior[prior >= 0]))
-        hit = hit[self.once(hit)]
-        self.enter(hit[self.after[hit] >= 0])
+        prior = prior[prior >= 0]
+        self.enter(np.concatenate((at[more], prior[self.symbol[prior] < top])))      # a new symbol is among the places anyway
 
 
 def compress(seq: np.ndarray, last: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -146,7 +150,7 @@ def compress(seq: np.ndarray, last: np.ndarray, terminals: int) -> tuple[np.ndar
         if len(at):
             used, own = np.unique(own, return_inverse=True)
             rules.append(np.stack([state.left[pairs[used]], state.right[pairs[used]]], 1))
-            state.replace(at, top + own)
+            state.replace(at, top + own, top)
             top += len(used)
     return state.symbol[state.alive], state.after[state.alive] < 0, np.concatenate(rules)
 

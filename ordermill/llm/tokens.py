@@ -12,6 +12,7 @@ import re
 import sys
 import types
 import unicodedata
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,8 @@ for _n, _b in enumerate([*range(33), *range(127, 161), 173]):
     BYTE_CHARACTERS[_b] = chr(256 + _n)
 #: Between a letter and a mark: there the vocabulary cuts anyway (a mark after another mark stays with it).
 BEHIND = re.compile(r"(?<=[^\W\d_])(?=[.,;:!?])")
+#: The same cut for letters alone, as Arrow writes it.
+LETTER_MARK, APART = r"(\pL)([.,;:!?])", r"\1 \2"
 
 
 def default_vocabulary() -> str:
@@ -68,10 +71,12 @@ class Encoder:
         words = [p for p in pieces if p.isalpha()]
         others = [p for p in pieces if not p.isalpha()]
         tokenize, spell = self.library.model.tokenize, BYTE_CHARACTERS.__getitem__
-        for p in words:
-            if p.islower() and max(p) < LATIN_END:        # what the vocabulary's cutting and lower case would leave as it is
-                spelt = p if p.isascii() else "".join(map(spell, p.encode()))
-                self.memo[p] = np.array([t.id for t in tokenize(spelt)], self.kind).tobytes()
+        # what the vocabulary's cutting and lower case would leave as it is
+        low = [p for p in words if p.islower() and (p.isascii() or max(p) < LATIN_END)]
+        for at in range(0, len(low), 4096):
+            part = low[at:at + 4096]
+            found = [[t.id for t in tokenize(p if p.isascii() else "".join(map(spell, p.encode())))] for p in part]
+            self._split(part, np.fromiter(chain.from_iterable(found), self.kind), np.cumsum(list(map(len, found))), 0)
         words = [p for p in words if p not in self.memo]
         for at in range(0, len(words), 4096):
             part = words[at:at + 4096]
@@ -106,28 +111,31 @@ class Encoder:
 
     def _parts(self, piece: str, plain: bool) -> list[str]:
         """A piece cut where its marks follow letters."""
-        if piece.isalpha():
-            return [piece]
         parts = BEHIND.sub(" ", piece).split(" ")
         return parts if len(parts) == 1 or plain or self._plain(piece.lower(), piece) else [piece]
 
     def _encoded(self, missing: list[str], plain: bool) -> dict[str, bytes]:
         """Ids of pieces that the memo lacks, by their parts, which it holds from now on."""
-        cut = {p: self._parts(p, plain) for p in missing}
-        wanted = {q for parts in cut.values() for q in parts}
+        words = {p for p in missing if p.isalpha()}
+        cut = {p: self._parts(p, plain) for p in missing if p not in words}
+        wanted = words.union(*cut.values())
         if len(self.memo) + len(wanted) > MEMO_PIECES:
             self.memo, self.last = {}, self.memo
         wanted.difference_update(self.memo)
         for q in wanted.intersection(self.last):
             self.memo[q] = self.last[q]
-        self._learn(sorted(wanted.difference(self.memo)))
-        return {p: b"".join([self.memo[q] for q in parts]) for p, parts in cut.items()}
+        self._learn(list(wanted.difference(self.memo)))
+        found = {p: b"".join([self.memo[q] for q in parts]) for p, parts in cut.items()}
+        found.update((p, self.memo[p]) for p in words)
+        return found
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         found: list[np.ndarray] = []
         for at in range(0, len(texts), TEXTS_ABREAST):
             part, plain = zip(*map(self._spaced, texts[at:at + TEXTS_ABREAST]))
-            pieces = pc.split_pattern(pa.array(part, pa.large_string()), " ")
+            whole = pa.array(part, pa.large_string())
+            apart = pc.replace_substring_regex(whole, LETTER_MARK, APART)      # words are found in the memo without their marks
+            pieces = pc.split_pattern(apart if all(plain) else pc.if_else(pa.array(plain), apart, whole), " ")
             numbered = pieces.flatten().dictionary_encode()
             words = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
             ids = list(map(self.memo.get, words))
