@@ -20,6 +20,8 @@ import pyarrow.compute as pc
 
 #: Texts cut at a time; pieces remembered per worker in one of two generations (about 200 bytes each).
 TEXTS_ABREAST, MEMO_PIECES = 1024, 500_000
+#: New words that the library gets at a time: its cutting costs more per word in longer texts.
+WORDS_ABREAST = 256
 #: Fixed value: a control character that the vocabulary encodes as one id of its own between spaces.
 MARK = "\x01"
 #: Characters below are their own composed form; letters of the Latin script.
@@ -28,10 +30,13 @@ LATIN_END = "\u0250"
 BYTE_CHARACTERS = [chr(b) for b in range(256)]
 for _n, _b in enumerate([*range(33), *range(127, 161), 173]):
     BYTE_CHARACTERS[_b] = chr(256 + _n)
-#: Between a letter and a mark: there the vocabulary cuts anyway (a mark after another mark stays with it).
-BEHIND = re.compile(r"(?<=[^\W\d_])(?=[.,;:!?])")
+#: The same as code units; a space stays between words.
+SPELLING = np.array([ord(c) for c in BYTE_CHARACTERS], "<u2")
+SPELLING[32] = 32
+#: Between a letter and a mark of ASCII (apostrophes begin endings): there the vocabulary cuts anyway, and a mark after another stays with it.
+BEHIND = re.compile(r"(?<=[^\W\d_])(?=[!-&(-/:-@\[-`{-~])")
 #: The same cut for letters alone, as Arrow writes it.
-LETTER_MARK, APART = r"(\pL)([.,;:!?])", r"\1 \2"
+LETTER_MARK, APART = r"(\pL)([!-&(-/:-@\[-`{-~])", r"\1 \2"
 
 
 def default_vocabulary() -> str:
@@ -44,10 +49,12 @@ class Encoder:
     """``encode(texts)`` gives one little-endian array of ids per text; null is the empty text."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
+        self.bare = Tokenizer(self.library.model)          # for words that are cut, in lower case and spelled already
+        self.bare.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
         self.memo: dict[str, bytes] = {}
         self.last: dict[str, bytes] = {}
         self.kind = np.dtype("<u2") if self.library.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
@@ -61,23 +68,30 @@ class Encoder:
         return [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _split(self, part: list[str], ids: np.ndarray, ends: np.ndarray, skip: int) -> None:
-        raw, start = ids.tobytes(), 0
-        for p, end in zip(part, (ends * self.kind.itemsize).tolist(), strict=True):
-            self.memo[p] = raw[start:end]
-            start = end + skip * self.kind.itemsize
+        stops = (ends * self.kind.itemsize).tolist()
+        starts = [0, *(stop + skip * self.kind.itemsize for stop in stops[:-1])]
+        self.memo.update(zip(part, map(ids.tobytes().__getitem__, map(slice, starts, stops)), strict=True))
+
+    def _learn_low(self, words: list[str]) -> None:
+        """Encode words that the vocabulary's cutting and lower case would leave as they are."""
+        text = " ".join(words)
+        if not text.isascii():
+            text = SPELLING[np.frombuffer(text.encode(), np.uint8)].tobytes().decode("utf-16-le")
+        ids = np.array(self.bare.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) != len(words):                        # a vocabulary that does not mark the ends of words
+            found = [[t.id for t in self.library.model.tokenize(p)] for p in text.split(" ")]
+            ids, ends = np.fromiter(chain.from_iterable(found), self.kind), np.cumsum(list(map(len, found)))
+        self._split(words, ids, ends, 0)
 
     def _learn(self, pieces: list[str]) -> None:
         """Encode pieces many at a time: words by their end-of-word ids, others between marks."""
-        words = [p for p in pieces if p.isalpha()]
-        others = [p for p in pieces if not p.isalpha()]
-        tokenize, spell = self.library.model.tokenize, BYTE_CHARACTERS.__getitem__
-        # what the vocabulary's cutting and lower case would leave as it is
-        low = [p for p in words if p.islower() and (p.isascii() or max(p) < LATIN_END)]
-        for at in range(0, len(low), 4096):
-            part = low[at:at + 4096]
-            found = [[t.id for t in tokenize(p if p.isascii() else "".join(map(spell, p.encode())))] for p in part]
-            self._split(part, np.fromiter(chain.from_iterable(found), self.kind), np.cumsum(list(map(len, found))), 0)
-        words = [p for p in words if p not in self.memo]
+        low = [p for p in pieces if p.isalpha() and p.islower() and (p.isascii() or max(p) < LATIN_END)]
+        for at in range(0, len(low), WORDS_ABREAST):
+            self._learn_low(low[at:at + WORDS_ABREAST])
+        rest = [p for p in pieces if p not in self.memo] if len(low) < len(pieces) else []
+        words = [p for p in rest if p.isalpha()]
+        others = [p for p in rest if not p.isalpha()]
         for at in range(0, len(words), 4096):
             part = words[at:at + 4096]
             ids = np.array(self._ids([" ".join(part)])[0], self.kind)
@@ -109,25 +123,25 @@ class Encoder:
         low = text.lower()
         return (low, True) if self._plain(low, text) else (text, False)
 
-    def _parts(self, piece: str, plain: bool) -> list[str]:
+    def _parts(self, piece: str) -> list[str]:
         """A piece cut where its marks follow letters."""
         parts = BEHIND.sub(" ", piece).split(" ")
-        return parts if len(parts) == 1 or plain or self._plain(piece.lower(), piece) else [piece]
-
-    def _encoded(self, missing: list[str], plain: bool) -> dict[str, bytes]:
-        """Ids of pieces that the memo lacks, by their parts, which it holds from now on."""
-        words = {p for p in missing if p.isalpha()}
-        cut = {p: self._parts(p, plain) for p in missing if p not in words}
-        wanted = words.union(*cut.values())
-        if len(self.memo) + len(wanted) > MEMO_PIECES:
-            self.memo, self.last = {}, self.memo
-        wanted.difference_update(self.memo)
-        for q in wanted.intersection(self.last):
-            self.memo[q] = self.last[q]
-        self._learn(list(wanted.difference(self.memo)))
-        found = {p: b"".join([self.memo[q] for q in parts]) for p, parts in cut.items()}
-        found.update((p, self.memo[p]) for p in words)
-        return found
+        return parts if len(parts) == 1 or self._plain(piece.lower(), piece) else [piece]
+
+    def _encoded(self, missing: list[str], plain: bool) -> list[bytes]:
+        """Ids of pieces that the memo lacks; it holds them, or the parts of those not cut yet, from now on."""
+        cut = {} if plain else {p: parts for p in missing if not p.isalpha() and len(parts := self._parts(p)) > 1}
+        wanted = list({*chain.from_iterable(cut.values()), *(p for p in missing if p not in cut)}) if cut else missing
+        fresh = [q for q in wanted if q not in self.memo] if cut else wanted
+        if len(self.memo) + len(fresh) > MEMO_PIECES:
+            self.memo, self.last, fresh = {}, self.memo, wanted
+        known = [q for q in fresh if q in self.last]
+        if known:
+            self.memo.update(zip(known, map(self.last.__getitem__, known)))
+            fresh = [q for q in fresh if q not in self.memo]
+        self._learn(fresh)
+        held = self.memo.__getitem__
+        return [b"".join(map(held, cut[p])) if p in cut else held(p) for p in missing] if cut else list(map(held, missing))
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         found: list[np.ndarray] = []
@@ -141,8 +155,8 @@ class Encoder:
             ids = list(map(self.memo.get, words))
             missing = [w for w, known in zip(words, ids) if known is None]
             if missing:
-                more = self._encoded(missing, all(plain))
-                ids = [more[w] if known is None else known for w, known in zip(words, ids)]
+                more = iter(self._encoded(missing, all(plain)))
+                ids = [next(more) if known is None else known for known in ids]
             sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.kind.itemsize
             starts = np.cumsum(sizes) - sizes
             which = numbered.indices.to_numpy()
