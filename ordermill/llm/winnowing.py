@@ -6,7 +6,7 @@ texts without spaces are cut as finely as others. Every run of ``GRAM`` units ha
 their position. So any passage of at least ``GRAM + WINDOW - 1`` units that two texts share leaves
 a common mark in both.
 
-The marks of a text and of the next document are computed once each. The edited text is a start of the one
+The marks of every text are computed once, where it stands behind the document before it. The edited text is a start of the one
 and a start of the other, so its marks are theirs, but for the few windows that hold units of both.
 
 A text of fewer units than a gram has one gram of all its units, fewer grams than a window are one
@@ -18,7 +18,7 @@ Other columns are ignored, and an empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.llm.common import neighbours
@@ -84,8 +84,8 @@ def moved(marks: Column, by: Column) -> Column:
 
 
 def with_edited_marks(df: DataFrame, a: str, p: str, b: str, q: str) -> DataFrame:
-    """Add the marks of two columns of units, ``{a}_marks`` and ``{b}_marks``, and ``edited``: the marks of the first
-    ``p`` units of ``a`` with the first ``q`` of ``b`` behind them.
+    """Add ``edited``: the marks of the first ``p`` units of ``a`` with the first ``q`` of ``b`` behind them. The marks
+    of both columns of units are in ``{a}_marks`` and ``{b}_marks``.
 
     A mark of a text at or before the place where the last whole window of its first p units begins is chosen by
     such a window too. The marks of the windows around that place, and of those that hold units of both
@@ -96,7 +96,7 @@ def with_edited_marks(df: DataFrame, a: str, p: str, b: str, q: str) -> DataFram
     cut = lambda c, start, stop: F.substring(F.col(c), start + 1, stop - start)
     from_a, from_b = F.greatest(p - back, zero), F.greatest(q - back, zero)
     df = df.withColumns({"_seam": F.concat(cut(a, from_a, p), cut(b, zero, F.least(q, F.lit(SPAN - 1)))), "_end": cut(b, from_b, q)})
-    df = with_marks(df, **{f"{a}_marks": a, f"{b}_marks": b, "_seam_marks": "_seam", "_end_marks": "_end"})
+    df = with_marks(df, _seam_marks="_seam", _end_marks="_end")
     upto = lambda marks, last: F.filter(marks, lambda mark: mark.bitwiseAND(PLACES - 1) >= F.lit(PLACES - 1) - last)
     first = F.when(p >= SPAN, upto(f"{a}_marks", p - SPAN)).otherwise(none)
     # a cutting that is shorter than a window has no marks of its own, unless it is all there is
@@ -129,32 +129,47 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(either == 0, F.lit(1.0)).otherwise(shared / either)
 
 
+def with_next(known: DataFrame) -> DataFrame:
+    """Texts (doc_id not null) with their units and marks, and those of the next document: (text, a, a_marks) and ``next``.
+
+    Adjacent documents form runs of about a million characters. A run is brought together once, with a copy of the
+    document that is next to its first; there each text is marked, and the row behind takes its marks over.
+    """
+    keys = known.groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("_first"), F.sum(F.length("text")).alias("_size"))
+    near = neighbours(keys, "doc_id", "_size")
+    copies = near.where("begins").select(F.col("lower").alias("doc_id"), F.col("run").alias("_run"), (F.col("at") - 1).alias("_at"))
+    place = lambda run, at, copy: F.struct(F.col(run).alias("run"), F.col(at).alias("at"), F.lit(copy).alias("copy"))
+    here, there = place("run", "at", False), place("_run", "_at", True)
+    sent = F.xxhash64("text") == F.col("_first")            # of rows that repeat a doc_id
+    placed = (known.join(near.select("doc_id", "_first", "run", "at"), "doc_id").join(copies, "doc_id", "left")
+              .select("doc_id", "text", sent.alias("sent"),
+                      F.inline(F.when(F.col("_run").isNotNull() & sent, F.array(here, there)).otherwise(F.array(here)))))
+    placed = placed.repartition("run").sortWithinPartitions("run", "at").withColumn("a", units(F.col("text")))
+    marked = with_marks(placed, a_marks="a")
+    before = Window.partitionBy("run").orderBy("at").rangeBetween(Window.unboundedPreceding, -1)
+    taken = F.last(F.when(F.col("sent"), F.struct("text", "a", "a_marks")), ignorenulls=True).over(before)
+    return marked.withColumn("next", taken).where(~F.col("copy")).select("doc_id", "text", "a", "a_marks", "next")
+
+
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of the text with its last third replaced by the next document's start.
 
     The next document has the next smaller doc_id (after the last: the first). Of rows that repeat
     a doc_id, the one whose text has the smallest hash is the next document. Only ids are ranged; each
-    text moves once for its own row and once for the row before.
+    text moves once to its place in the order of ids and once to the run of documents around it.
     """
     rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    known = rows.where("doc_id is not null")               # both joins read one shuffle of these texts
-    keys = known.groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("_first"))
-    near = neighbours(keys, "doc_id")
-    # what each document sends to the one before it: (sender, its row, receiver)
-    sent = (near.select(F.col("lower").alias("doc_id"), F.col("doc_id").alias("_to"))
-            .join(near.select("doc_id", "_first"), "doc_id"))
-    same_row = F.xxhash64("text").bitwiseXOR(F.col("_first")) == 0
-    send = (known.join(sent, "doc_id").where(same_row).select(F.col("_to").alias("doc_id"), F.col("text").alias("_next"))
-            .dropDuplicates(["doc_id"]))
-    took = known.join(send, "doc_id", "left").unionByName(rows.where("doc_id is null"), allowMissingColumns=True)
+    alone = with_marks(rows.where("doc_id is null").withColumn("a", units(F.col("text"))), a_marks="a")
+    took = with_next(rows.where("doc_id is not null")).unionByName(alone, allowMissingColumns=True)
+    took = took.select("doc_id", "text", "a", "a_marks", F.col("next.text").alias("_next"), F.coalesce("next.a", F.lit("")).alias("b"),
+                       F.coalesce("next.a_marks", F.array().cast("array<bigint>")).alias("b_marks"))
     took = took.withColumns({"_next": F.coalesce("_next", F.lit("")), "n_chars": F.length("text").cast("long")})
     third = F.floor(F.col("n_chars") / 3).cast("int")
     kept = F.col("n_chars").cast("int") - third
     start = F.substring(F.col("_next"), F.lit(1), third)
     edited = F.concat(F.substring(F.col("text"), F.lit(1), kept), start)
     took = took.select("doc_id", "n_chars", F.sha2(edited.cast("binary"), 256).alias("edited_sha256"),
-                       units(F.col("text")).alias("a"), units(F.col("_next")).alias("b"),
-                       F.length(units(F.substring(F.col("text"), kept + 1, third))).alias("cut"), F.length(units(start)).alias("q"))
+                       "a", "a_marks", "b", "b_marks", F.length(units(F.substring(F.col("text"), kept + 1, third))).alias("cut"), F.length(units(start)).alias("q"))
     both = with_edited_marks(took.withColumn("p", F.length("a") - F.col("cut")), "a", "p", "b", "q")
     both = both.select("doc_id", "n_chars", "edited_sha256", digest(F.col("a_marks")).alias("fingerprint"),
                        digest(F.col("edited")).alias("edited_fingerprint"), F.size("a_marks").alias("marks"),
