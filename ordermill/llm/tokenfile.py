@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ordermill.llm.tokens import TEXTS_ABREAST, encoder, ranges
+from ordermill.llm.tokens import encoder, ranges
 
 #: Occurrences that a pair needs, ids after which a block ends, bits of a symbol in a pair's key.
 LEAST, BLOCK_IDS, SYMBOL_BITS = 2, 1 << 17, 24
@@ -55,24 +56,29 @@ class Sequence:
         self.alive = np.ones(n, bool)
         self.pair = np.full(n, -1, kind)                  # number of the pair that begins at each place
         self.mark = np.zeros(n + 1, kind)                 # scratch by place; what it holds for place -1 stays 0
-        self.places, self.used = np.zeros(3 * n + 1, np.intp), 0
+        self.places, self.used = np.empty(3 * n + 1, np.intp), 0
         # of each pair: symbols, occurrences now, and its places when it arose; filled up to the number of pairs
         room = len(self.places) // LEAST
-        self.left, self.right, self.count, self.begin, self.size = (np.zeros(room, np.int64) for _ in range(5))
+        self.left, self.right, self.count, self.begin, self.size = (np.empty(room, np.int64) for _ in range(5))
         self.pairs, self.live = 0, np.zeros(0, np.int64)
         self.enter(np.flatnonzero(self.after >= 0))
 
     def enter(self, at: np.ndarray) -> None:
         """Number the pairs that begin at these places and occur LEAST times; none of them is known yet."""
-        key = self.symbol[at].astype(np.int64) << SYMBOL_BITS | self.symbol[self.after[at]]
+        key = self.symbol.take(at).astype(np.int64)
+        key <<= SYMBOL_BITS
+        key |= self.symbol.take(self.after.take(at))
         bits = len(self.symbol).bit_length()
         if len(key) and int(key.max()).bit_length() + bits <= 63:      # one sort of numbers that hold key and place
-            both = np.sort(key << bits | at)
-            key = both >> bits
+            key <<= bits
+            key |= at
+            key.sort()
+            both, key = key, key >> bits
             again = key[1:] == key[:-1]
             keep = np.append(again, False)
             keep[1:] |= again                              # most pairs that arise late occur once
-            key, at = key.compress(keep), both.compress(keep) & ((1 << bits) - 1)
+            both = both.compress(keep)
+            key, at = both >> bits, both & ((1 << bits) - 1)
         else:
             order = np.argsort(key)
             key, at = key[order], at[order]
@@ -99,10 +105,11 @@ class Sequence:
         """The most frequent pairs, down to a part of the best, most frequent first."""
         count = self.count[self.live]
         still = count >= LEAST
-        self.live, count = self.live.compress(still), count.compress(still)
-        if not len(count):
-            return count
-        best = int(count.max())
+        if 2 * np.count_nonzero(still) < len(count):       # those that are gone are dropped when they are many
+            self.live, count = self.live.compress(still), count.compress(still)
+        best = int(count.max(initial=0))
+        if best < LEAST:
+            return count[:0]
         often = np.flatnonzero(count >= max(LEAST, best // ROUND_PART))
         # one sort of numbers that hold how far a pair is behind the best, and its place in the list
         bits = len(count).bit_length()
@@ -111,9 +118,9 @@ class Sequence:
     def free_places(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places where these pairs can be replaced together, and the pair of each by its position in ``pairs``."""
         size = self.size[pairs]
-        at = self.places[ranges(self.begin[pairs], size)]
+        at = self.places.take(ranges(self.begin[pairs], size))
         own = np.repeat(np.arange(len(pairs)), size)
-        still = self.pair[at] == np.repeat(pairs, size)
+        still = self.pair.take(at) == np.repeat(pairs, size)
         at, own = at.compress(still), own.compress(still)
         self.mark[at] = len(pairs) - own
         alike = self.left[pairs] == self.right[pairs]
@@ -121,8 +128,9 @@ class Sequence:
             runs = np.concatenate(([True], self.after[twins[:-1]] != twins[1:]))
             nth = np.arange(len(twins))
             self.mark[twins[(nth - np.maximum.accumulate(np.where(runs, nth, 0))) % 2 == 1]] = 0
-        mine = self.mark[at]
-        wins = (mine > self.mark[self.before[at]]) & (mine > self.mark[self.after[at]])
+        mine = self.mark.take(at)
+        wins = mine > self.mark.take(self.before.take(at))
+        wins &= mine > self.mark.take(self.after.take(at))
         self.mark[at] = 0
         at, own = at.compress(wins), own.compress(wins)
         often = np.bincount(own, minlength=len(pairs)) >= LEAST
@@ -156,34 +164,40 @@ class Sequence:
 
 def compress(seq: np.ndarray, last: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, their end-of-document marks and the rules (n, 2) of a block's ids."""
-    state, rules, top = Sequence(seq, last), [np.zeros((0, 2), np.int64)], terminals
+    state, rules, top = Sequence(seq, last), [np.zeros(0, np.int64)], terminals
     while len(pairs := state.chosen()):
         at, own = state.free_places(pairs)
         if len(at):
             taken = np.bincount(own) > 0
-            used, own = np.flatnonzero(taken), (np.cumsum(taken) - 1)[own]
-            rules.append(np.stack([state.left[pairs[used]], state.right[pairs[used]]], 1))
-            state.replace(at, top + own, top)
-            top += len(used)
-    return state.symbol[state.alive], state.after[state.alive] < 0, np.concatenate(rules)
+            rules.append(pairs.compress(taken))
+            state.replace(at, (np.cumsum(taken) + (top - 1)).take(own), top)
+            top += len(rules[-1])
+    used, left = np.concatenate(rules), np.flatnonzero(state.alive)
+    return state.symbol.take(left), state.after.take(left) < 0, np.stack([state.left.take(used), state.right.take(used)], 1)
+
+
+def steps(rules: np.ndarray, terminals: int) -> Iterator[slice]:
+    """Rules in runs that refer only to rules of the runs before."""
+    latest = np.maximum.accumulate(rules.max(1)) - terminals if len(rules) else rules
+    at = 0
+    while at < len(rules):
+        end = int(np.searchsorted(latest, at))
+        yield slice(at, end)
+        at = end
 
 
 def lengths_of(rules: np.ndarray, terminals: int) -> np.ndarray:
     """Expansion length of each rule; a rule refers only to earlier ones."""
-    out = np.zeros(len(rules), np.int64)
-    todo = np.arange(len(rules))
-    while len(todo):
-        side = rules[todo].astype(np.int64) - terminals
-        size = np.where(side < 0, 1, out[np.maximum(side, 0)])
-        ready = (size > 0).all(1)
-        out[todo[ready]] = size[ready].sum(1)
-        todo = todo[~ready]
-    return out
+    out = np.ones(len(rules) + 1, np.int64)                # the first one stands for every terminal
+    side = np.maximum(rules.astype(np.int64) - (terminals - 1), 0)
+    for run in steps(rules, terminals):
+        out[run.start + 1:run.stop + 1] = out[side[run, 0]] + out[side[run, 1]]
+    return out[1:]
 
 
 def planes(symbols: np.ndarray, width: int) -> bytes:
     """Symbols by byte, the lowest first."""
-    return symbols.astype("<u4").reshape(-1, 1).view(np.uint8)[:, :width].T.tobytes()
+    return b"".join((symbols >> 8 * k).astype(np.uint8).tobytes() for k in range(width))
 
 
 def dump(docs: list[np.ndarray], terminals: int) -> bytes:
@@ -215,9 +229,10 @@ class Block:
             return out
 
         def symbols(count: int) -> np.ndarray:
-            out = np.zeros((count, 4), np.uint8)
-            out[:, :w] = read(count * w, np.uint8).reshape(w, count).T
-            return out.view("<u4").ravel().astype(np.int64)
+            out = np.zeros(count, np.int64)
+            for k in range(w):
+                out |= read(count, np.uint8).astype(np.int64) << 8 * k
+            return out
 
         self.rules = np.stack([symbols(n_rules), symbols(n_rules)], 1)
         self.sizes = np.concatenate([np.ones(self.terminals, np.int64), read(n_rules, "<u4").astype(np.int64)])
@@ -226,22 +241,16 @@ class Block:
         self._flat: np.ndarray | None = None
 
     def _expansions(self) -> tuple[np.ndarray, np.ndarray]:
-        """All expansions one after another, and where each symbol's begins; built level by level."""
+        """All expansions one after another, and where each symbol's begins; built by runs of rules."""
         if self._flat is None:
             begin = np.cumsum(self.sizes) - self.sizes
             flat = np.zeros(self.sizes.sum(), "<u4")
             flat[:self.terminals] = np.arange(self.terminals)
-            done = np.zeros(len(self.sizes), bool)
-            done[:self.terminals] = True
-            todo = np.arange(len(self.rules))
-            while len(todo):
-                ready = todo[done[self.rules[todo]].all(1)]
-                left, right = self.rules[ready].T
-                for part, to in ((left, begin[ready + self.terminals]),
-                                 (right, begin[ready + self.terminals] + self.sizes[left])):
-                    flat[ranges(to, self.sizes[part])] = flat[ranges(begin[part], self.sizes[part])]
-                done[ready + self.terminals] = True
-                todo = todo[~done[todo + self.terminals]]
+            for run in steps(self.rules, self.terminals):
+                sides = self.rules[run].ravel()
+                size = self.sizes[sides]
+                at = begin[run.start + self.terminals]
+                flat[at:at + size.sum()] = flat[ranges(begin[sides], size)]
             self._flat, self._begin = flat, begin
         return self._flat, self._begin
 
@@ -277,15 +286,13 @@ def write(docs: DataFrame, path: str, vocabulary: str | None = None, end_id: int
                 ["part", "block", "doc_ids", "n_tokens", "payload"])
 
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for at in range(0, len(ids), TEXTS_ABREAST):
-                for key, found in zip(ids[at:at + TEXTS_ABREAST], own.encode(texts[at:at + TEXTS_ABREAST])):
-                    keys.append(key)
-                    held.append(np.concatenate([found, end]))
-                    size += len(found) + 1
-                    if size >= BLOCK_IDS:
-                        yield flush()
-                        block, keys, held, size = block + 1, [], [], 0
+            for key, found in zip(batch.column(0).to_pylist(), own.encoded(batch.column(1).to_pylist())):
+                keys.append(key)
+                held.append(np.concatenate([found, end]))
+                size += len(found) + 1
+                if size >= BLOCK_IDS:
+                    yield flush()
+                    block, keys, held, size = block + 1, [], [], 0
         if keys:
             yield flush()
 
